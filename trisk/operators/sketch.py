@@ -95,7 +95,7 @@ def estimates(hist: DataFrame, cells: DataFrame, depth: int, width: int,
 def f2_exact(hist: DataFrame) -> DataFrame:
     """``(items, f2)``: sum of squared frequencies over the squared item count."""
     return hist.agg(
-        F.sum("freq").cast("bigint").alias("items"),
+        F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("items"),
         F.try_divide(F.sum(F.col("freq") * F.col("freq")).cast("double"),
                      (F.sum("freq") * F.sum("freq")).cast("double")).alias("f2"))
 

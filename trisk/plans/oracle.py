@@ -81,7 +81,7 @@ def _report(hist: str, total: str) -> str:
             f"est AS (SELECT hx.item, hx.freq, trunc(quantile_cont(hx.sign * cells.c, 0.5))::BIGINT AS est "
             f"FROM hx JOIN cells USING (row, col) WHERE hx.item IN (SELECT item FROM top) GROUP BY hx.item, hx.freq), "
             f"sq AS (SELECT row, sum(c * c) AS s FROM cells GROUP BY row), "
-            f"n AS (SELECT sum(freq)::BIGINT AS items_in_interval, count(*)::BIGINT AS distinct_in_interval, "
+            f"n AS (SELECT coalesce(sum(freq), 0)::BIGINT AS items_in_interval, count(*)::BIGINT AS distinct_in_interval, "
             f"sum(freq * freq)::DOUBLE AS f2num FROM {hist}) "
             f"SELECT {PR.DEPTH}::BIGINT AS d, {PR.WIDTH}::BIGINT AS w, {PR.LEFT}::BIGINT AS left_end, "
             f"{PR.RIGHT}::BIGINT AS right_end, {PR.TOP_K}::BIGINT AS k, "
@@ -200,7 +200,7 @@ def oracle_sql() -> dict[str, str]:
     sql["sketch_estimates"] = (
         f"{cells} SELECT hx.item, hx.freq, trunc(quantile_cont(hx.sign * cells.c, 0.5))::BIGINT AS est "
         f"FROM hx JOIN cells USING (row, col) GROUP BY hx.item, hx.freq")
-    sql["f2_exact"] = (f"WITH {HIST} SELECT sum(freq)::BIGINT AS items, "
+    sql["f2_exact"] = (f"WITH {HIST} SELECT coalesce(sum(freq), 0)::BIGINT AS items, "
                        f"round(sum(freq * freq)::DOUBLE / (sum(freq)::DOUBLE * sum(freq)::DOUBLE), 9) AS f2 FROM h0")
     sql["f2_sketch"] = (
         f"{cells}, sq AS (SELECT row, sum(c * c) AS s FROM cells GROUP BY row) "
