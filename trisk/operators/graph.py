@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trisk.operators.skew import HOT_CAP, HOT_ROWS, salt_count, split_lookup
+from trisk.operators.skew import HOT_CAP, HOT_ROWS, heavy_keys, salt_count, split_lookup
 
 
 def canonical_edges(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -50,10 +50,13 @@ def orient(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_cap: int = HOT_CAP) -
     edge so that later joins can size their salt buckets without another lookup.
     """
     deg = degrees(edges)
+    hot = heavy_keys(deg, ["node"], "degree", hot_rows, hot_cap)  # one broadcast for both ends
     with_u = split_lookup(edges, deg.select("node", F.col("degree").alias("du")),
-                          "u", "node", "du", hot_rows, hot_cap)
+                          "u", "node", "du", hot_rows, hot_cap,
+                          hot.select("node", F.col("degree").alias("du")))
     both = split_lookup(with_u, deg.select("node", F.col("degree").alias("dv")),
-                        "v", "node", "dv", hot_rows, hot_cap)
+                        "v", "node", "dv", hot_rows, hot_cap,
+                        hot.select("node", F.col("degree").alias("dv")))
     forward = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
     return both.select(
         F.when(forward, F.col("u")).otherwise(F.col("v")).alias("src"),
@@ -72,46 +75,54 @@ def adjacency_degree(edges: DataFrame, hot_rows: int = HOT_ROWS,
             .select("node", "degree", F.coalesce("out_degree", F.lit(0)).alias("out_degree")))
 
 
-def count_oriented(oriented: DataFrame, keys: Sequence[str] = (), tag: str | None = None,
-                   want: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Triangles per key in keyed, oriented edges ``(keys..., src, dst, dsrc, ddst)``.
+def out_lists(oriented: DataFrame, group: Sequence[str] = (), tag: str | None = None) -> DataFrame:
+    """Out-neighbour lists ``(group..., src, [tag], nb, dsrc)`` of oriented edges.
 
-    Keys partition the edges into independent subgraphs (a colour, a run, an edge
-    partition); all three edges of a counted triangle carry the same key.
+    With ``tag`` (a label of ``dst``), a node has one list per label. Lists are at
+    most out-degree long, which the degree orientation bounds by sqrt(2m).
+    """
+    cols = list(group) + ["src"] + ([tag] if tag else [])
+    return oriented.groupBy(*cols).agg(F.collect_list("dst").alias("nb"), F.max("dsrc").alias("dsrc"))
 
-    With ``tag``/``want`` (exact counting by colour triples), each edge row also names
-    ``tag`` = a label of its ``dst`` node and ``want`` = the label the third node must
-    have; only such third nodes are counted.
 
-    Returns ``(keys..., triangles)`` for the keys that have at least one triangle.
+def close_wedges(probe: DataFrame, lists: DataFrame, group: Sequence[str] = (),
+                 want: str | None = None, tag: str | None = None,
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
+    """For each probe edge ``(group..., src, dst, ddst, [want], ...)``: ``t`` = the
+    number of common out-neighbours of src and dst (with label ``want`` if given).
+
+    1) the list of dst: a hub is the dst of many edges, so its list is replicated
+       over ceil(deg/hot_rows) salt buckets and probe rows spread over them; the
+       probe rows are still narrow in this shuffle;
+    2) the list of src: at most out-degree rows per key (no skew), and ``lists`` is
+       already partitioned by (group, src), so only the probe rows move.
     """
-    keys = list(keys)
-    tagged = tag is not None
-    adj_keys = keys + ["src"] + ([tag] if tagged else [])
-    # grouped by the join key alone (dsrc rides along), so the join reuses this partitioning
-    adj = (oriented.groupBy(*adj_keys)
-           .agg(F.collect_list("dst").alias("nb"), F.max("dsrc").alias("dsrc")))
-    probe = oriented.select(*keys, "src", "dst", "ddst", *([want] if tagged else []))
-
-    # out-list of src: the src key has at most out-degree rows, no skew.
-    first_on = keys + ["src"] + ([want] if tagged else [])
-    adj_src = adj.select(*keys, "src", *([F.col(tag).alias(want)] if tagged else []),
-                         F.col("nb").alias("nb_src"))
-    step = probe.join(adj_src, first_on)
-
-    # out-list of dst: a hub is the dst of many edges; salt it over ceil(deg/hot_rows)
-    # buckets and replicate its (short) out-list once per bucket.
-    step = step.withColumn(
+    group = list(group)
+    match = [want] if want else []
+    label = [F.col(tag).alias(want)] if want else []
+    probe = probe.withColumn(
         "salt", F.pmod(F.xxhash64("src"), salt_count(F.col("ddst"), hot_rows)).cast("int"))
-    adj_dst = adj.select(
-        *keys, F.col("src").alias("dst"), *([F.col(tag).alias(want)] if tagged else []),
-        F.col("nb").alias("nb_dst"),
+    dst_lists = lists.select(
+        *group, F.col("src").alias("dst"), *label, F.col("nb").alias("nb_dst"),
         F.explode(F.sequence(F.lit(0), salt_count(F.col("dsrc"), hot_rows) - 1)).alias("salt"))
-    second_on = keys + ["dst", "salt"] + ([want] if tagged else [])
-    closed = step.join(adj_dst, second_on)
+    step = probe.join(dst_lists, group + ["dst", "salt"] + match)
+    src_lists = lists.select(*group, "src", *label, F.col("nb").alias("nb_src"))
+    closed = step.join(src_lists, group + ["src"] + match)
+    return closed.withColumn("t", F.size(F.array_intersect("nb_src", "nb_dst"))).drop("nb_src", "nb_dst")
+
 
-    return (closed.select(*keys, F.size(F.array_intersect("nb_src", "nb_dst")).alias("t"))
-            .groupBy(*keys).agg(F.sum("t").cast("bigint").alias("triangles"))
+def count_oriented(oriented: DataFrame, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Triangles per key in keyed, oriented edges ``(keys..., src, dst, dsrc, ddst)``.
+
+    Keys partition the edges into independent subgraphs (a colour of a run, an edge
+    partition); all three edges of a counted triangle carry the same key.
+    Returns ``(keys..., triangles)`` for the keys that have at least one triangle.
+    """
+    keys = list(keys)
+    lists = out_lists(oriented, keys)
+    probe = oriented.select(*keys, "src", "dst", "ddst")
+    closed = close_wedges(probe, lists, keys, hot_rows=hot_rows)
+    return (closed.groupBy(*keys).agg(F.sum("t").cast("bigint").alias("triangles"))
             .where(F.col("triangles") > 0))
 
 

@@ -40,14 +40,16 @@ def salt_count(count: Column, threshold: int) -> Column:
 
 
 def split_lookup(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str,
-                 value_col: str, threshold: int = HOT_ROWS, cap: int = HOT_CAP) -> DataFrame:
+                 value_col: str, threshold: int = HOT_ROWS, cap: int = HOT_CAP,
+                 hot: DataFrame | None = None) -> DataFrame:
     """``big`` joined to ``dim(dim_key, value_col)`` (one row per key), skew-safe.
 
     ``value_col`` must be an upper bound of the key's row count in ``big`` (a degree
     is one for the end points of an edge table), so it also selects the heavy keys.
     Returns ``big`` plus ``value_col``; rows without a match are dropped (inner join).
     """
-    hot = heavy_keys(dim, [dim_key], value_col, threshold, cap)
+    if hot is None:
+        hot = heavy_keys(dim, [dim_key], value_col, threshold, cap)
     hot = F.broadcast(hot.select(F.col(dim_key).alias(big_key), F.col(value_col).alias("_hv")))
     # One pass over ``big``: heavy rows already hold their value and join the shuffled
     # side under a key that cannot match (flag 1) and that spreads them evenly.
@@ -64,16 +66,19 @@ def split_lookup(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str,
 
 
 def salted_self_join_sides(rows: DataFrame, key: str, spread_col: str,
-                           threshold: int = HOT_ROWS, cap: int = HOT_CAP
-                           ) -> tuple[DataFrame, DataFrame]:
+                           threshold: int = HOT_ROWS, cap: int = HOT_CAP,
+                           counts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides of a self-join of ``rows`` on ``key``, with a ``salt`` column added.
 
     For a heavy key with n rows split into s = ceil(n/threshold) buckets, the left side
     puts each row in the bucket ``hash(spread_col) mod s`` and the right side repeats
     every row of the key once per bucket. Joining on (key, salt) gives every pair
     exactly once, and no task sees more than ``threshold`` left rows of one key.
+    ``counts(key, _n)`` may be given when an upper bound of the rows per key is
+    cheaper to get than counting ``rows`` (e.g. before a ``distinct``).
     """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    if counts is None:
+        counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(heavy_keys(counts, [key], "_n", threshold, cap)
                       .select(key, salt_count(F.col("_n"), threshold).alias("_s")))
     tagged = rows.join(hot, key, "left")

@@ -30,7 +30,7 @@ from trisk.functions.hashing import (
     edge_part,
     node_color,
 )
-from trisk.operators.graph import count_oriented, orient
+from trisk.operators.graph import close_wedges, count_oriented, orient, out_lists
 from trisk.operators.skew import HOT_CAP, HOT_ROWS
 from trisk.operators.util import combine_rows
 from trisk.session import checkpoint_root
@@ -143,9 +143,25 @@ def color_triple_edges(oriented: DataFrame, a: int, b: int, colors: int,
 def exact_by_color_triples(oriented: DataFrame, a: int, b: int, colors: int,
                            p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(triangles)``: exact count, summed over colour-triple keys."""
-    keyed = color_triple_edges(oriented, a, b, colors, p)
-    per = count_oriented(keyed, ["k1", "k2", "k3"], tag="cdst", want="want", hot_rows=hot_rows)
-    return per.agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint").alias("triangles"))
+    return (exact_by_color_triples_per_key(oriented, a, b, colors, p, hot_rows)
+            .agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint").alias("triangles")))
+
+
+def exact_by_color_triples_per_key(oriented: DataFrame, a: int, b: int, colors: int,
+                                   p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(k1, k2, k3, triangles)``: triangles whose sorted colours are the key.
+
+    Every edge copy ``(key, src -> dst, want)`` counts the common out-neighbours of
+    src and dst of colour ``want``. Which out-neighbours of a node have colour t does
+    not depend on the key, so the lists are built once, keyed by (node, colour),
+    over the m edges, while the C copies of the edges only probe them.
+    """
+    cd = node_color(F.col("dst"), a, b, colors, p)
+    lists = out_lists(oriented.select("src", "dst", "dsrc", cd.alias("cdst")), tag="cdst")
+    probe = color_triple_edges(oriented, a, b, colors, p).select("k1", "k2", "k3", "src", "dst", "ddst", "want")
+    closed = close_wedges(probe, lists, want="want", tag="cdst", hot_rows=hot_rows)
+    return (closed.groupBy("k1", "k2", "k3").agg(F.sum("t").cast("bigint").alias("triangles"))
+            .where(F.col("triangles") > 0))
 
 
 def exact_count(oriented: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
