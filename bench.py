@@ -42,7 +42,7 @@ def run(spark, name, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * int(cpus)))))
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 4 * int(cpus)))))
     spark = local_session(cpus, shuffle_partitions=parts, app="trisk-bench")
     only = sys.argv[1:] or HEADLINE
     run(spark, "triangles_exact", sf_dir)  # warm-up, untimed

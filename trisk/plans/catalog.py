@@ -21,7 +21,7 @@ from trisk.operators import triangles as TR
 from trisk.operators.util import combine_rows
 from trisk.plans import params as PR
 from trisk.sources import table
-from trisk.sources.edges import copurchase_edges, copurchase_pairs, edge_text_from_lineitem, parse_edges
+from trisk.sources.edges import copurchase_edges, copurchase_pair_count, edge_text_from_lineitem, parse_edges
 from trisk.sources.items import batched_events, item_text, parse_items
 from trisk.streaming import runner as ST
 
@@ -138,8 +138,7 @@ def triangles_exact_colored(spark, sf_dir):
 
 def triangle_report(spark, sf_dir):
     li = _lineitem(spark, sf_dir)
-    edges = copurchase_edges(li)
-    return bigints(TR.triangle_report(copurchase_pairs(li), edges, TR.prepare(edges),
+    return bigints(TR.triangle_report(copurchase_pair_count(li), TR.prepare(copurchase_edges(li)),
                                       PR.COLORS, PR.RUNS, PR.SEED, PR.P))
 
 

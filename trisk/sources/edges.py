@@ -67,3 +67,14 @@ def copurchase_edges(lineitem: DataFrame, hot_rows: int = HOT_ROWS,
     return (copurchase_pairs(lineitem, hot_rows, hot_cap)
             .select(F.col("src").alias("u"), F.col("dst").alias("v"))
             .distinct())
+
+
+def copurchase_pair_count(lineitem: DataFrame) -> DataFrame:
+    """``(raw_edges)``: the number of rows of ``copurchase_pairs`` without listing them:
+    an order with k distinct parts gives k(k-1)/2 pairs. Two aggregations, no join."""
+    per_order = (lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p"))
+                 .where(F.col("o").isNotNull() & F.col("p").isNotNull())
+                 .distinct()
+                 .groupBy("o").agg(F.count(F.lit(1)).alias("k")))
+    return per_order.agg(F.coalesce(F.sum(F.col("k") * (F.col("k") - 1) / 2), F.lit(0))
+                         .cast("bigint").alias("raw_edges"))
