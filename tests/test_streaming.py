@@ -15,16 +15,16 @@ def test_stream_histogram_and_replay(spark):
     bt = batched(spark)
     stream, base = ST.staged_stream(bt, "t-hist", 4)
     sink = ST.stream_partials(stream, f"{base}/out", 10, 100)
-    got = B.merge_partials(spark.read.parquet(f"{base}/out/hist").drop("epoch"))
+    got = B.merge_partials(ST.read_histogram_partials(spark, f"{base}/out"))
     want = S.histogram(bt.where("item BETWEEN 10 AND 100"))
     assert sorted(got.collect()) == sorted(want.collect())
     # replay micro-batch 1 (the same data again): its partial is overwritten, the
     # merge is unchanged
-    ids = [r.batch_id for r in spark.read.parquet(f"{base}/out/lengths/epoch=1").collect()]
+    ids = [r.batch_id for r in spark.read.parquet(f"{base}/out/partials/epoch=1/kind=len").collect()]
     one = spark.read.parquet(f"{base}/input").where(F.col("batch_id").isin(ids))
     sink(one, 1)
     sink(one, 1)
-    again = B.merge_partials(spark.read.parquet(f"{base}/out/hist").drop("epoch"))
+    again = B.merge_partials(ST.read_histogram_partials(spark, f"{base}/out"))
     assert sorted(again.collect()) == sorted(got.collect())
 
 
@@ -48,7 +48,16 @@ def test_stream_stops_at_threshold_and_cut_is_exact(spark):
     stream, base = ST.staged_stream(bt, "t-cut", 8)
     sink = ST.stream_partials(stream, f"{base}/out", 10, 100, threshold=2500)
     assert sink.done.is_set()
-    lengths = (spark.read.parquet(f"{base}/out/lengths").groupBy("batch_id")
-               .agg(F.sum("n").alias("n"), F.sum("n_in").alias("n_in")))
-    kept = B.prefix_cutoff(lengths, 2500)
+    kept = B.prefix_cutoff(ST.read_lengths(spark, f"{base}/out"), 2500)
     assert sorted(r.batch_id for r in kept.collect()) == [0, 1]
+
+
+def test_cut_tracker_out_of_order():
+    from trisk.streaming.runner import CutTracker
+    t = CutTracker(10)
+    assert not t.add([(2, 4), (3, 4)])      # ahead of the frontier: wait
+    assert not t.add([(0, 4)])              # 0..0 seen, 4 before batch 1
+    assert t.add([(1, 4)])                  # 0..3 seen: 4+4=8 < 10 <= 12 at batch 2
+    t = CutTracker(10, max_pending=1)
+    t.add([(5, 1), (6, 1)])
+    assert t.overflow and not t.decided

@@ -242,7 +242,7 @@ def batch_partials_merge(spark, sf_dir):
 def stream_histogram(spark, sf_dir):
     stream, base = ST.staged_stream(_batched(spark, sf_dir), "hist", PR.STREAM_FILES)
     ST.stream_partials(stream, f"{base}/out", PR.LEFT, PR.RIGHT)
-    return B.merge_partials(spark.read.parquet(f"{base}/out/hist").drop("epoch"))
+    return B.merge_partials(ST.read_histogram_partials(spark, f"{base}/out"))
 
 
 def stream_sketch_cells(spark, sf_dir):
@@ -261,10 +261,8 @@ def stream_prefix_cutoff(spark, sf_dir):
     stream, base = ST.staged_stream(_batched(spark, sf_dir), "cutoff", PR.STREAM_FILES)
     out = f"{base}/out"
     ST.stream_partials(stream, out, PR.LEFT, PR.RIGHT, threshold=PR.THRESHOLD)
-    lengths = (spark.read.parquet(f"{out}/lengths").groupBy("batch_id")
-               .agg(F.sum("n").alias("n"), F.sum("n_in").alias("n_in")))
-    kept = B.prefix_cutoff(lengths, PR.THRESHOLD)
-    hist = B.merge_partials(spark.read.parquet(f"{out}/hist").drop("epoch"), kept)
+    kept = B.prefix_cutoff(ST.read_lengths(spark, out), PR.THRESHOLD)
+    hist = B.merge_partials(ST.read_histogram_partials(spark, out), kept)
     total = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("items"))
     return rounded(bigints(S.report_from_histogram(hist, total, PR.DEPTH, PR.WIDTH, PR.LEFT,
                                                    PR.RIGHT, PR.TOP_K, PR.SEED, PR.P)))

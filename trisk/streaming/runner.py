@@ -4,16 +4,17 @@
   queries a batch table is staged as parquet files under the shared checkpoint folder
   (whole batches per file) and read back with ``maxFilesPerTrigger``.
 * Per micro-batch (``foreachBatch``): per-batch lengths and interval histograms are
-  written as partials under ``epoch=<id>`` with overwrite, so a replayed micro-batch
-  replaces its own output instead of adding to it (at-least-once delivery becomes
-  effectively once). Nothing but a flag lives in the driver.
+  written, in one job, as partials under ``partials/epoch=<id>`` with overwrite, so a
+  replayed micro-batch replaces its own output instead of adding to it (at-least-once
+  delivery becomes effectively once).
 * Count sketch: a stateful streaming aggregation ``groupBy(row, col).sum(sign)``; its
   state is bounded by D x W cells.
 * Distinct items: ``dropDuplicates(['item'])`` appended to a parquet sink.
-* Threshold T: after each micro-batch the driver checks on the lengths partials
-  whether the cut is decided (all batches 0..b seen and the running total crosses
-  T at b) and then stops the query from the main thread; the final result applies
-  the same cut to the partials, so it never depends on where the query stopped.
+* Threshold T: after each micro-batch the driver updates a small tracker (the
+  contiguous frontier of seen batch ids and the items before it) to see whether the
+  cut is decided (all batches 0..b seen and the running total crosses T at b), and
+  then stops the query from the main thread; the final result applies the same cut
+  to the partials, so it never depends on where the query stopped.
 """
 
 from __future__ import annotations
@@ -42,13 +43,33 @@ def read_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) ->
             .option("maxFilesPerTrigger", files_per_trigger).parquet(folder))
 
 
-def cut_decided(spark: SparkSession, lengths_path: str, threshold: int) -> bool:
-    """Whether the partial lengths already fix the set of batches the cut keeps."""
-    try:
-        ls = spark.read.parquet(lengths_path)
-    except Exception:  # no partial written yet
-        return False
-    per = ls.groupBy("batch_id").agg(F.sum("n").alias("n"))
+def partials_of(batch: DataFrame, left: int, right: int) -> DataFrame:
+    """Both partials of one micro-batch as one table, so one job writes them:
+    ``kind='len'``: (batch_id, a=n, b=n_in); ``kind='hist'``: (batch_id, item, a=freq)."""
+    lengths = batch_lengths(batch, left, right).select(
+        F.lit("len").alias("kind"), "batch_id", F.lit(None).cast("bigint").alias("item"),
+        F.col("n").alias("a"), F.col("n_in").cast("bigint").alias("b"))
+    hist = batch_partials(batch, left, right).select(
+        F.lit("hist").alias("kind"), "batch_id", "item", F.col("freq").alias("a"),
+        F.lit(None).cast("bigint").alias("b"))
+    return lengths.unionByName(hist)
+
+
+def read_lengths(spark: SparkSession, out: str) -> DataFrame:
+    """``(batch_id, n, n_in)`` over all epochs written under ``out``."""
+    return (spark.read.parquet(f"{out}/partials").where(F.col("kind") == "len")
+            .groupBy("batch_id").agg(F.sum("a").alias("n"), F.sum("b").alias("n_in")))
+
+
+def read_histogram_partials(spark: SparkSession, out: str) -> DataFrame:
+    """``(batch_id, item, freq)`` over all epochs written under ``out``."""
+    return (spark.read.parquet(f"{out}/partials").where(F.col("kind") == "hist")
+            .select("batch_id", "item", F.col("a").alias("freq")))
+
+
+def cut_decided(spark: SparkSession, lengths: DataFrame, threshold: int) -> bool:
+    """Whether the lengths seen so far already fix the set of batches the cut keeps."""
+    per = lengths.select("batch_id", "n")
     pre = preceding_sum(per.withColumn("one", F.lit(1)), "one").withColumnRenamed("preceding", "seen")
     pre = preceding_sum(pre, "n")
     hit = pre.where((F.col("seen") == F.col("batch_id")) & (F.col("preceding") < F.lit(threshold))
@@ -56,6 +77,38 @@ def cut_decided(spark: SparkSession, lengths_path: str, threshold: int) -> bool:
     return len(hit.limit(1).collect()) > 0
 
 
+class CutTracker:
+    """Driver-side state of the threshold rule, O(1) per batch in arrival order.
+
+    Batch ids are dense from 0 and every batch arrives whole (one staged file holds
+    whole batches). ``frontier`` is the first id not yet seen, ``before`` the items of
+    all batches below it; batches that arrive ahead of the frontier wait in
+    ``pending``. Past ``max_pending`` waiting batches the tracker gives up and the
+    caller falls back to ``cut_decided`` on the partials table.
+    """
+
+    def __init__(self, threshold: int, max_pending: int = 100_000):
+        self.threshold = threshold
+        self.max_pending = max_pending
+        self.frontier = 0
+        self.before = 0
+        self.pending: dict[int, int] = {}
+        self.decided = False
+        self.overflow = False
+
+    def add(self, lengths: list[tuple[int, int]]) -> bool:
+        for batch_id, n in lengths:
+            self.pending[batch_id] = self.pending.get(batch_id, 0) + n
+        while not self.decided and self.frontier in self.pending:
+            n = self.pending.pop(self.frontier)
+            if self.before < self.threshold <= self.before + n:
+                self.decided = True
+            self.before += n
+            self.frontier += 1
+        self.overflow = len(self.pending) > self.max_pending
+        return self.decided
+
+
 class PartialWriter:
     """``foreachBatch`` callback writing per-batch partials of one micro-batch."""
 
@@ -64,6 +117,7 @@ class PartialWriter:
         self.left = left
         self.right = right
         self.threshold = threshold
+        self.tracker = CutTracker(threshold) if threshold is not None else None
         self.done = threading.Event()
         self.error: BaseException | None = None
 
@@ -71,15 +125,18 @@ class PartialWriter:
         try:
             if self.done.is_set():
                 return  # the cut is decided: later batches are skipped, as in the reference
-            df = df.persist()
-            batch_lengths(df, self.left, self.right).write.mode("overwrite").parquet(
-                f"{self.out}/lengths/epoch={epoch_id}")
-            batch_partials(df, self.left, self.right).write.mode("overwrite").parquet(
-                f"{self.out}/hist/epoch={epoch_id}")
-            df.unpersist()
-            if self.threshold is not None and cut_decided(
-                    df.sparkSession, f"{self.out}/lengths", self.threshold):
-                self.done.set()
+            path = f"{self.out}/partials/epoch={epoch_id}"
+            partials_of(df, self.left, self.right).write.mode("overwrite").partitionBy("kind").parquet(path)
+            if self.tracker is not None:
+                spark = df.sparkSession
+                # one row per batch of this micro-batch: bounded by the trigger size
+                rows = [(r.batch_id, r.n) for r in
+                        spark.read.parquet(f"{path}/kind=len").select("batch_id", F.col("a").alias("n")).collect()]
+                decided = self.tracker.add(rows)
+                if self.tracker.overflow and not decided:
+                    decided = cut_decided(spark, read_lengths(spark, self.out), self.threshold)
+                if decided:
+                    self.done.set()
         except BaseException as exc:  # surfaced by run_query
             self.error = exc
             raise
