@@ -129,3 +129,13 @@ def test_estimates_against_brute_force(spark):
     part = lambda u, v: ((pa * u + pb * v) % p) % C
     expect = C * C * sum(brute_triangles([e for e in canon if part(*e) == k]) for k in range(C))
     assert TR.partition_estimate(o, C, seed=0).first()["estimate"] == expect
+
+
+def test_one_pass_estimates_equal_separate_ones(spark):
+    e = copurchase_edges(spark.read.parquet(f"{SF['0.001']}/lineitem.parquet"))
+    o = TR.prepare(e)
+    from trisk.functions.hashing import draw_color_params
+    params = draw_color_params(5, 3)
+    ce, pe = TR.estimates_one_pass(o, params, 3, seed=2)
+    assert sorted(ce.collect()) == sorted(TR.color_estimates(o, params, 3).collect())
+    assert pe.first()["estimate"] == TR.partition_estimate(o, 3, seed=2).first()["estimate"]
