@@ -1,6 +1,6 @@
 """Skew handling for joins whose key may hold a large share of all rows.
 
-Two tools, both plain DataFrame operations:
+Tools, all plain DataFrame operations:
 
 * ``heavy_keys``: keys whose row count exceeds ``threshold``, at most ``cap`` of them
   (the heaviest first). The table is small by construction, so it may be broadcast.
@@ -12,6 +12,8 @@ Two tools, both plain DataFrame operations:
 * ``salt_count``: the number of salt buckets for a key of a given row count, used to
   spread a hot key of a shuffle join over several tasks while the other side is
   replicated once per bucket.
+* ``salted_self_join_sides``: both sides of a self-join on a key (all pairs of one
+  order), with heavy keys split over buckets on one side and replicated on the other.
 """
 
 from __future__ import annotations
@@ -27,7 +29,12 @@ HOT_CAP = 100_000
 
 def heavy_keys(counts: DataFrame, key_cols: list[str], count_col: str,
                threshold: int = HOT_ROWS, cap: int = HOT_CAP) -> DataFrame:
-    """Keys of ``counts`` with ``count_col > threshold``, the ``cap`` heaviest at most."""
+    """Keys of ``counts`` with ``count_col > threshold``, the ``cap`` heaviest at most.
+
+    ``counts`` has one row per key, so at most N / threshold rows pass the filter
+    (N = total rows counted): the top-``cap`` merge, which runs in one task, never sees
+    more than that, however many partitions the table has.
+    """
     return (counts.where(F.col(count_col) > F.lit(threshold))
             .orderBy(F.col(count_col).desc(), *key_cols)
             .limit(cap)
