@@ -143,7 +143,7 @@ def triangle_report(spark, sf_dir):
 
 
 def run_report(spark, sf_dir):
-    return TR.run_report(_oriented(spark, sf_dir), PR.COLORS, 3, PR.SEED, PR.P)
+    return TR.run_report(_oriented(spark, sf_dir), PR.COLORS, PR.RUN_REPORT_RUNS, PR.SEED, PR.P)
 
 
 # ---------------------------------------------------------------- stream programs, on tables

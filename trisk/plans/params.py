@@ -10,6 +10,7 @@ SEED = 0
 # graph programs
 COLORS = 4
 RUNS = 9
+RUN_REPORT_RUNS = 3  # timed runs per algorithm in run_report (one Spark job each)
 
 # stream programs: items are events.user_id, cut into batches of 1,250 events
 DEPTH = 5
