@@ -118,3 +118,12 @@ def test_tradeoff_matches_single_reports(spark):
         assert got[(d, w)].f2 == pytest.approx(f2)
         assert got[(d, w)].f2_sketch == pytest.approx(f2s)
         assert got[(d, w)].avg_error == pytest.approx(err)
+
+
+def test_parameters_must_be_positive(spark):
+    hist = S.histogram(items_df(spark, ITEMS))
+    for bad in [dict(depth=0, width=4), dict(depth=2, width=0)]:
+        with pytest.raises(ValueError):
+            S.sketch_cells(hist, bad["depth"], bad["width"])
+    with pytest.raises(ValueError):
+        S.top_k(hist, 0)

@@ -30,7 +30,7 @@ from trisk.functions.hashing import (
     sketch_sign,
     sketch_rows_column,
 )
-from trisk.operators.util import combine_rows
+from trisk.operators.util import combine_rows, require_positive
 
 # Above this many cells (D*W) the cell table is joined by a shuffle, not broadcast.
 BROADCAST_CELLS = 2_000_000
@@ -48,6 +48,7 @@ def histogram(items: DataFrame, item_col: str = "item") -> DataFrame:
 
 def _rows_of(depth_or_rows, seed, p) -> list[SketchRow]:
     if isinstance(depth_or_rows, int):
+        require_positive(depth=depth_or_rows)
         return draw_sketch_rows(depth_or_rows, seed, p)
     return list(depth_or_rows)
 
@@ -73,6 +74,7 @@ def sketch_cells(hist: DataFrame, depth: int, width: int, seed: int | None = 0,
                  p: int = DEFAULT_PRIME) -> DataFrame:
     """``(row, col, c)`` count-sketch cells of a histogram."""
     rows = _rows_of(depth, seed, p)
+    require_positive(width=width)
     return (_hashed(hist, rows, width, p)
             .groupBy("row", "col")
             .agg(F.sum(F.col("sign") * F.col("freq")).cast("bigint").alias("c")))
@@ -113,9 +115,11 @@ def f2_sketch(cells: DataFrame, items: DataFrame) -> DataFrame:
 def top_k(hist: DataFrame, k: int) -> DataFrame:
     """``(rank, item, freq)``: the K most frequent items, ties by smaller item first.
 
+
     ``orderBy(...).limit(K)`` plans as a per-partition top-K plus one K-row merge;
     ranking the K survivors is a window over K rows only.
     """
+    require_positive(k=k)
     top = hist.orderBy(F.col("freq").desc(), F.col("item").asc()).limit(k)
     from pyspark.sql import Window
     w = Window.orderBy(F.col("freq").desc(), F.col("item").asc())
@@ -172,6 +176,8 @@ def tradeoff(hist: DataFrame, configs: list[tuple[int, int]], k: int, seed: int
     aggregation keyed by ``cfg``, and only the top-K items are estimated.
     """
     params = []
+    for d, w in configs:
+        require_positive(depth=d, width=w)
     for i, (d, w) in enumerate(configs):
         for r in draw_sketch_rows(d, seed, p):
             params.append((i, d, w, r))

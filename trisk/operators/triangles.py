@@ -32,7 +32,7 @@ from trisk.functions.hashing import (
 )
 from trisk.operators.graph import close_wedges, count_oriented, orient, out_lists
 from trisk.operators.skew import HOT_CAP, HOT_ROWS
-from trisk.operators.util import combine_rows
+from trisk.operators.util import combine_rows, require_positive
 from trisk.session import work_dir
 
 
@@ -81,6 +81,7 @@ def monochrome(oriented: DataFrame, params: list[tuple[int, int]], colors: int,
 def triangles_by_color(oriented: DataFrame, params: list[tuple[int, int]], colors: int,
                        p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(run, color, triangles)`` inside each colour class (classes with >= 1 triangle)."""
+    require_positive(colors=colors, runs=len(params))
     return count_oriented(monochrome(oriented, params, colors, p), ["run", "color"],
                           hot_rows=hot_rows)
 
@@ -112,6 +113,7 @@ def partition_estimate(oriented: DataFrame, parts: int, seed: int | None = 0,
     The part of an edge is ``((a*u + b*v) mod p) mod C`` on the canonical (u, v),
     so repeated or reversed lines of one edge always meet in one part.
     """
+    require_positive(parts=parts)
     a, b = draw_partition_params(seed, p)
     u, v = _canon(oriented)
     keyed = oriented.select(edge_part(u, v, a, b, parts, p).alias("part"), "src", "dst", "dsrc", "ddst")
@@ -133,6 +135,7 @@ def color_triple_edges(oriented: DataFrame, a: int, b: int, colors: int,
     """Every oriented edge replicated to its C keys ``(k1 <= k2 <= k3)`` with
     ``want`` = the colour the third node of a counted triangle must have and
     ``cdst`` = the colour of ``dst``."""
+    require_positive(colors=colors)
     cs = node_color(F.col("src"), a, b, colors, p)
     cd = node_color(F.col("dst"), a, b, colors, p)
     rows = oriented.select("*", cs.alias("csrc"), cd.alias("cdst"),

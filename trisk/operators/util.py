@@ -28,3 +28,10 @@ def combine_rows(frames: list[DataFrame]) -> DataFrame:
     for f in padded[1:]:
         out = out.unionByName(f)
     return out.agg(*[F.max(n).alias(n) for n in names])
+
+
+def require_positive(**values: int) -> None:
+    """The programs' argument rule: counts such as C, R, D, W, K must be >= 1."""
+    for name, v in values.items():
+        if not isinstance(v, int) or v < 1:
+            raise ValueError(f"{name} must be an integer >= 1, got {v!r}")
