@@ -19,7 +19,7 @@ squared cells. Empty inputs give NULL ratios instead of a division error.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trisk.functions.hashing import (
@@ -53,12 +53,11 @@ def _rows_of(depth_or_rows, seed, p) -> list[SketchRow]:
     return list(depth_or_rows)
 
 
-def _hashed(hist: DataFrame, rows: list[SketchRow], width: int, p: int,
-            config: int | None = None) -> DataFrame:
-    """histogram x sketch rows (a literal generate): adds row, col, sign."""
-    out = hist.select("*", F.inline(F.array(*sketch_rows_column(rows, config))))
+def _hashed(hist: DataFrame, rows: list[SketchRow], width: int, p: int) -> DataFrame:
+    """histogram x sketch rows (a literal generate, D rows per item): adds row, col, sign."""
+    out = hist.select("*", F.inline(F.array(*sketch_rows_column(rows))))
     return out.select(
-        *[c for c in hist.columns], *(["cfg"] if config is not None else []), "row",
+        *hist.columns, "row",
         sketch_col(F.col("item"), F.col("ah"), F.col("bh"), width, p).alias("col"),
         sketch_sign(F.col("item"), F.col("ag"), F.col("bg"), p).alias("sign"))
 
@@ -121,7 +120,6 @@ def top_k(hist: DataFrame, k: int) -> DataFrame:
     """
     require_positive(k=k)
     top = hist.orderBy(F.col("freq").desc(), F.col("item").asc()).limit(k)
-    from pyspark.sql import Window
     w = Window.orderBy(F.col("freq").desc(), F.col("item").asc())
     return top.select(F.row_number().over(w).alias("rank"), "item", "freq")
 

@@ -54,7 +54,8 @@ def prepare(edges: DataFrame, materialize: bool = True, hot_rows: int = HOT_ROWS
     return oriented
 
 
-def _canon(oriented: DataFrame) -> tuple:
+def _canon() -> tuple:
+    """The canonical (u, v) of an oriented edge row, u < v."""
     return F.least("src", "dst"), F.greatest("src", "dst")
 
 
@@ -115,7 +116,7 @@ def partition_estimate(oriented: DataFrame, parts: int, seed: int | None = 0,
     """
     require_positive(parts=parts)
     a, b = draw_partition_params(seed, p)
-    u, v = _canon(oriented)
+    u, v = _canon()
     keyed = oriented.select(edge_part(u, v, a, b, parts, p).alias("part"), "src", "dst", "dsrc", "ddst")
     per = count_oriented(keyed, ["part"], hot_rows=hot_rows)
     return per.agg((F.coalesce(F.sum("triangles"), F.lit(0)) * F.lit(parts * parts))
@@ -193,7 +194,7 @@ def estimates_one_pass(oriented: DataFrame, params: list[tuple[int, int]], color
     mono = monochrome(oriented, params, colors, p).select(
         F.lit(0).alias("family"), F.col("run").cast("bigint").alias("k1"), F.col("color").alias("k2"),
         "src", "dst", "dsrc", "ddst")
-    u, v = _canon(oriented)
+    u, v = _canon()
     parts = oriented.select(F.lit(1).alias("family"), edge_part(u, v, a, b, colors, p).alias("k1"),
                             F.lit(0).cast("bigint").alias("k2"), "src", "dst", "dsrc", "ddst")
     per = count_oriented(mono.unionByName(parts), ["family", "k1", "k2"], hot_rows=hot_rows)
