@@ -61,3 +61,15 @@ def test_cut_tracker_out_of_order():
     t = CutTracker(10, max_pending=1)
     t.add([(5, 1), (6, 1)])
     assert t.overflow and not t.decided
+
+
+def test_staging_grows_with_the_table(spark):
+    bt = batched(spark)
+    # 10,000 rows at 2,500 per file: more than the 2 asked for, at most one per batch
+    _, base = ST.staged_stream(bt, "t-files", 2, rows_per_file=2500)
+    files = spark.read.parquet(f"{base}/input").inputFiles()
+    assert 2 < len(files) <= 8
+    # every batch sits whole in one file
+    per = (spark.read.parquet(f"{base}/input").select("batch_id", F.input_file_name().alias("f"))
+           .groupBy("batch_id").agg(F.countDistinct("f").alias("k")))
+    assert per.agg(F.max("k")).first()[0] == 1

@@ -204,9 +204,20 @@ def stream_distinct(stream: DataFrame, out: str) -> str:
     return f"{out}/items"
 
 
-def staged_stream(batched: DataFrame, name: str, files: int) -> tuple[DataFrame, str]:
-    """Stage ``batched`` in a fresh shared folder and open it as a stream."""
+# Rows per staged file, hence per micro-batch (one file per trigger).
+ROWS_PER_FILE = 10_000_000
+
+
+def staged_stream(batched: DataFrame, name: str, files: int,
+                  rows_per_file: int = ROWS_PER_FILE) -> tuple[DataFrame, str]:
+    """Stage ``batched`` in a fresh shared folder and open it as a stream.
+
+    At least ``files`` files, and more as the table grows, so that no micro-batch
+    holds more than about ``rows_per_file`` rows (one scalar count decides it).
+    """
     spark = batched.sparkSession
     base = work_dir(spark, name)
+    n = batched.count()
+    files = max(files, -(-n // rows_per_file))
     stage_batches(batched, f"{base}/input", files)
     return read_stream(spark, f"{base}/input"), base
