@@ -139,3 +139,21 @@ def test_one_pass_estimates_equal_separate_ones(spark):
     ce, pe = TR.estimates_one_pass(o, params, 3, seed=2)
     assert sorted(ce.collect()) == sorted(TR.color_estimates(o, params, 3).collect())
     assert pe.first()["estimate"] == TR.partition_estimate(o, 3, seed=2).first()["estimate"]
+
+
+def test_hub_with_a_third_of_the_edges(spark):
+    # node 0 joins every node of a 300-ring (300 of its 900 edges): 300 hub triangles,
+    # plus chords (i, i+2) giving 300 ring triangles (i, i+1, i+2)
+    n = 300
+    pairs = [(0, i) for i in range(1, n + 1)]
+    pairs += [(i, i % n + 1) for i in range(1, n + 1)]
+    pairs += [(i, (i + 1) % n + 1) for i in range(1, n + 1)]
+    df = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    e = G.canonical_edges(df)
+    want = brute_triangles(pairs)
+    for hot in (1_000_000, 10):   # 10: the hub's lookup is broadcast and its list salted
+        o = TR.prepare(e, hot_rows=hot, hot_cap=5)
+        assert TR.exact_count(o, hot_rows=hot).first()["triangles"] == want
+        assert TR.exact_by_color_triples(o, 17, 3, 3, hot_rows=hot).first()["triangles"] == want
+        hub = G.adjacency_degree(e, hot_rows=hot, hot_cap=5).where("node = 0").first()
+        assert (hub.degree, hub.out_degree) == (n, 0)
