@@ -68,11 +68,16 @@ def orient(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_cap: int = HOT_CAP) -
 
 def adjacency_degree(edges: DataFrame, hot_rows: int = HOT_ROWS,
                      hot_cap: int = HOT_CAP) -> DataFrame:
-    """``(node, degree, out_degree)``: undirected degree and out-degree after orientation."""
+    """``(node, degree, out_degree)``: undirected degree and out-degree after orientation.
+
+    One aggregation over both ends of the oriented edges (partial aggregation, so a
+    hub costs one row per task), no join back to a degree table.
+    """
     oriented = orient(edges, hot_rows, hot_cap)
-    outs = oriented.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("out_degree"))
-    return (degrees(edges).join(outs, "node", "left")
-            .select("node", "degree", F.coalesce("out_degree", F.lit(0)).alias("out_degree")))
+    ends = (oriented.select(F.col("src").alias("node"), F.lit(1).alias("out"))
+            .unionByName(oriented.select(F.col("dst").alias("node"), F.lit(0).alias("out"))))
+    return ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"),
+                                    F.sum("out").cast("bigint").alias("out_degree"))
 
 
 def out_lists(oriented: DataFrame, group: Sequence[str] = (), tag: str | None = None) -> DataFrame:
