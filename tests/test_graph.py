@@ -157,3 +157,27 @@ def test_hub_with_a_third_of_the_edges(spark):
         assert TR.exact_by_color_triples(o, 17, 3, 3, hot_rows=hot).first()["triangles"] == want
         hub = G.adjacency_degree(e, hot_rows=hot, hot_cap=5).where("node = 0").first()
         assert (hub.degree, hub.out_degree) == (n, 0)
+
+
+def test_colour_triple_keys_hold_their_own_triangles(spark):
+    import random
+    rng = random.Random(21)
+    pairs = [(rng.randrange(50), rng.randrange(50)) for _ in range(500)]
+    adj = {}
+    for u, v in pairs:
+        if u != v:
+            adj.setdefault(u, set()).add(v)
+            adj.setdefault(v, set()).add(u)
+    a, b, C = 77, 5, 3
+    col = lambda x: ((a * x + b) % 8191) % C
+    want = {}
+    for u in adj:
+        for v in adj[u]:
+            for w in adj[v]:
+                if u < v < w and w in adj[u]:
+                    key = tuple(sorted((col(u), col(v), col(w))))
+                    want[key] = want.get(key, 0) + 1
+    o = TR.prepare(G.canonical_edges(spark.createDataFrame(pairs, "src bigint, dst bigint")))
+    got = {(r.k1, r.k2, r.k3): r.triangles
+           for r in TR.exact_by_color_triples_per_key(o, a, b, C).collect()}
+    assert got == want
