@@ -181,3 +181,21 @@ def test_colour_triple_keys_hold_their_own_triangles(spark):
     got = {(r.k1, r.k2, r.k3): r.triangles
            for r in TR.exact_by_color_triples_per_key(o, a, b, C).collect()}
     assert got == want
+
+
+def test_long_out_lists_are_split_into_buckets(spark, monkeypatch):
+    # cap lists at 3 entries: every count must run on hash-bucketed lists, unchanged
+    li = spark.read.parquet(f"{SF['0.001']}/lineitem.parquet")
+    o = TR.prepare(copurchase_edges(li))
+    monkeypatch.setattr(G, "MAX_LIST", 3)
+    chunks = G.list_chunks(o)
+    assert chunks > 1 and chunks & (chunks - 1) == 0
+    lists = G.out_lists(o, chunks=chunks)
+    assert lists.agg(F.max(F.size("nb"))).first()[0] < lists.agg(F.max("dsrc")).first()[0]
+    assert TR.exact_count(o).first()["triangles"] == 125968
+    a, b = 6918, 2121
+    assert TR.exact_by_color_triples(o, a, b, 4).first()["triangles"] == 125968
+    monkeypatch.setattr(G, "MAX_LIST", 1_000_000)
+    want = sorted(TR.color_estimates(o, [(a, b), (5, 9)], 4).collect())
+    monkeypatch.setattr(G, "MAX_LIST", 3)
+    assert sorted(TR.color_estimates(o, [(a, b), (5, 9)], 4).collect()) == want

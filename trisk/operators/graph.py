@@ -20,6 +20,7 @@ ceil(degree / hot_rows) buckets with the row replicated once per bucket.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 
 from trisk.operators.skew import HOT_CAP, HOT_ROWS, heavy_keys, salt_count, split_lookup
 
+# Longest out-list kept in one row; longer lists are split into hash buckets.
+MAX_LIST = 250_000
+
 
 def canonical_edges(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Raw directed pairs to the canonical undirected edge set ``(u, v)``, u < v."""
@@ -80,19 +84,41 @@ def adjacency_degree(edges: DataFrame, hot_rows: int = HOT_ROWS,
                                     F.sum("out").cast("bigint").alias("out_degree"))
 
 
-def out_lists(oriented: DataFrame, group: Sequence[str] = (), tag: str | None = None) -> DataFrame:
-    """Out-neighbour lists ``(group..., src, [tag], nb, dsrc)`` of oriented edges.
+def list_chunks(oriented: DataFrame, max_list: int | None = None) -> int:
+    """Buckets B (a power of two) that keep every out-list under about ``max_list``.
+
+    The degree orientation bounds out-degrees by sqrt(2m), so for most graphs the
+    row count alone (cheap on a materialized table) proves B = 1; only beyond that
+    the largest out-degree is measured (one aggregation).
+    """
+    limit = max_list or MAX_LIST
+    m = oriented.count()
+    if math.isqrt(2 * m) + 1 <= limit:
+        return 1
+    top = oriented.groupBy("src").count().agg(F.max("count")).first()[0] or 0
+    if top <= limit:
+        return 1
+    return 1 << math.ceil(math.log2(math.ceil(top / limit)))
+
+
+def out_lists(oriented: DataFrame, group: Sequence[str] = (), tag: str | None = None,
+              chunks: int = 1) -> DataFrame:
+    """Out-neighbour lists ``(group..., src, [tag], [chunk], nb, dsrc)`` of oriented edges.
 
     With ``tag`` (a label of ``dst``), a node has one list per label. Lists are at
-    most out-degree long, which the degree orientation bounds by sqrt(2m).
+    most out-degree long, which the degree orientation bounds by sqrt(2m); with
+    ``chunks`` > 1 each list is split by ``hash(dst) mod chunks``.
     """
     cols = list(group) + ["src"] + ([tag] if tag else [])
+    if chunks > 1:
+        oriented = oriented.withColumn("chunk", F.pmod(F.xxhash64("dst"), F.lit(chunks)).cast("int"))
+        cols.append("chunk")
     return oriented.groupBy(*cols).agg(F.collect_list("dst").alias("nb"), F.max("dsrc").alias("dsrc"))
 
 
 def close_wedges(probe: DataFrame, lists: DataFrame, group: Sequence[str] = (),
                  want: str | None = None, tag: str | None = None,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, chunks: int = 1) -> DataFrame:
     """For each probe edge ``(group..., src, dst, ddst, [want], ...)``: ``t`` = the
     number of common out-neighbours of src and dst (with label ``want`` if given).
 
@@ -101,22 +127,30 @@ def close_wedges(probe: DataFrame, lists: DataFrame, group: Sequence[str] = (),
        probe rows are still narrow in this shuffle;
     2) the list of src: at most out-degree rows per key (no skew), and ``lists`` is
        already partitioned by (group, src), so only the probe rows move.
+    With ``chunks`` > 1 (lists split by hash bucket) every probe edge meets each
+    bucket pair once; a common neighbour lies in exactly one bucket, so the sum of
+    ``t`` over an edge's copies is unchanged.
     """
     group = list(group)
     match = [want] if want else []
     label = [F.col(tag).alias(want)] if want else []
+    part = ["chunk"] if chunks > 1 else []
+    if chunks > 1:
+        probe = probe.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     probe = probe.withColumn(
         "salt", F.pmod(F.xxhash64("src"), salt_count(F.col("ddst"), hot_rows)).cast("int"))
     dst_lists = lists.select(
-        *group, F.col("src").alias("dst"), *label, F.col("nb").alias("nb_dst"),
+        *group, F.col("src").alias("dst"), *label, *part, F.col("nb").alias("nb_dst"),
         F.explode(F.sequence(F.lit(0), salt_count(F.col("dsrc"), hot_rows) - 1)).alias("salt"))
-    step = probe.join(dst_lists, group + ["dst", "salt"] + match)
-    src_lists = lists.select(*group, "src", *label, F.col("nb").alias("nb_src"))
-    closed = step.join(src_lists, group + ["src"] + match)
-    return closed.withColumn("t", F.size(F.array_intersect("nb_src", "nb_dst"))).drop("nb_src", "nb_dst")
+    step = probe.join(dst_lists, group + ["dst", "salt"] + match + part)
+    src_lists = lists.select(*group, "src", *label, *part, F.col("nb").alias("nb_src"))
+    closed = step.join(src_lists, group + ["src"] + match + part)
+    return (closed.withColumn("t", F.size(F.array_intersect("nb_src", "nb_dst")))
+            .drop("nb_src", "nb_dst", *part))
 
 
-def count_oriented(oriented: DataFrame, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+def count_oriented(oriented: DataFrame, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+                   chunks: int = 1) -> DataFrame:
     """Triangles per key in keyed, oriented edges ``(keys..., src, dst, dsrc, ddst)``.
 
     Keys partition the edges into independent subgraphs (a colour of a run, an edge
@@ -124,14 +158,15 @@ def count_oriented(oriented: DataFrame, keys: Sequence[str] = (), hot_rows: int
     Returns ``(keys..., triangles)`` for the keys that have at least one triangle.
     """
     keys = list(keys)
-    lists = out_lists(oriented, keys)
+    lists = out_lists(oriented, keys, chunks=chunks)
     probe = oriented.select(*keys, "src", "dst", "ddst")
-    closed = close_wedges(probe, lists, keys, hot_rows=hot_rows)
+    closed = close_wedges(probe, lists, keys, hot_rows=hot_rows, chunks=chunks)
     return (closed.groupBy(*keys).agg(F.sum("t").cast("bigint").alias("triangles"))
             .where(F.col("triangles") > 0))
 
 
 def triangle_count(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_cap: int = HOT_CAP) -> DataFrame:
     """Exact number of triangles of a canonical edge table: one row ``(triangles)``."""
-    per = count_oriented(orient(edges, hot_rows, hot_cap), hot_rows=hot_rows)
+    oriented = orient(edges, hot_rows, hot_cap)
+    per = count_oriented(oriented, hot_rows=hot_rows, chunks=list_chunks(oriented))
     return per.agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint").alias("triangles"))

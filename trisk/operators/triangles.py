@@ -30,7 +30,7 @@ from trisk.functions.hashing import (
     edge_part,
     node_color,
 )
-from trisk.operators.graph import close_wedges, count_oriented, orient, out_lists
+from trisk.operators.graph import close_wedges, count_oriented, list_chunks, orient, out_lists
 from trisk.operators.skew import HOT_CAP, HOT_ROWS
 from trisk.operators.util import combine_rows, require_positive
 from trisk.session import work_dir
@@ -84,7 +84,7 @@ def triangles_by_color(oriented: DataFrame, params: list[tuple[int, int]], color
     """``(run, color, triangles)`` inside each colour class (classes with >= 1 triangle)."""
     require_positive(colors=colors, runs=len(params))
     return count_oriented(monochrome(oriented, params, colors, p), ["run", "color"],
-                          hot_rows=hot_rows)
+                          hot_rows=hot_rows, chunks=list_chunks(oriented))
 
 
 def color_estimates(oriented: DataFrame, params: list[tuple[int, int]], colors: int,
@@ -118,7 +118,7 @@ def partition_estimate(oriented: DataFrame, parts: int, seed: int | None = 0,
     a, b = draw_partition_params(seed, p)
     u, v = _canon()
     keyed = oriented.select(edge_part(u, v, a, b, parts, p).alias("part"), "src", "dst", "dsrc", "ddst")
-    per = count_oriented(keyed, ["part"], hot_rows=hot_rows)
+    per = count_oriented(keyed, ["part"], hot_rows=hot_rows, chunks=list_chunks(oriented))
     return per.agg((F.coalesce(F.sum("triangles"), F.lit(0)) * F.lit(parts * parts))
                    .cast("bigint").alias("estimate"))
 
@@ -165,16 +165,17 @@ def exact_by_color_triples_per_key(oriented: DataFrame, a: int, b: int, colors:
     over the m edges, while the C copies of the edges only probe them.
     """
     cd = node_color(F.col("dst"), a, b, colors, p)
-    lists = out_lists(oriented.select("src", "dst", "dsrc", cd.alias("cdst")), tag="cdst")
+    chunks = list_chunks(oriented)
+    lists = out_lists(oriented.select("src", "dst", "dsrc", cd.alias("cdst")), tag="cdst", chunks=chunks)
     probe = color_triple_edges(oriented, a, b, colors, p).select("k1", "k2", "k3", "src", "dst", "ddst", "want")
-    closed = close_wedges(probe, lists, want="want", tag="cdst", hot_rows=hot_rows)
+    closed = close_wedges(probe, lists, want="want", tag="cdst", hot_rows=hot_rows, chunks=chunks)
     return (closed.groupBy("k1", "k2", "k3").agg(F.sum("t").cast("bigint").alias("triangles"))
             .where(F.col("triangles") > 0))
 
 
 def exact_count(oriented: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(triangles)``: exact count on the oriented graph."""
-    per = count_oriented(oriented, hot_rows=hot_rows)
+    per = count_oriented(oriented, hot_rows=hot_rows, chunks=list_chunks(oriented))
     return per.agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint").alias("triangles"))
 
 
@@ -197,7 +198,8 @@ def estimates_one_pass(oriented: DataFrame, params: list[tuple[int, int]], color
     u, v = _canon()
     parts = oriented.select(F.lit(1).alias("family"), edge_part(u, v, a, b, colors, p).alias("k1"),
                             F.lit(0).cast("bigint").alias("k2"), "src", "dst", "dsrc", "ddst")
-    per = count_oriented(mono.unionByName(parts), ["family", "k1", "k2"], hot_rows=hot_rows)
+    per = count_oriented(mono.unionByName(parts), ["family", "k1", "k2"], hot_rows=hot_rows,
+                         chunks=list_chunks(oriented))
     scale = F.lit(colors * colors)
     per_run = (per.where(F.col("family") == 0).groupBy(F.col("k1").cast("int").alias("run"))
                .agg(F.sum("triangles").alias("t")))
