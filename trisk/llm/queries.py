@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisk.llm import decontaminate, mixing, token_files, token_spans
+from trisk.llm import decontaminate, mixing, quality_forest, simhash, token_files, token_spans
 from trisk.llm.store import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,18 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken", "source"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdict of every document; the forest is fitted on ``labels``."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality_forest.judge(docs, quality_forest.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 OP6_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
@@ -92,6 +104,8 @@ QUERIES: dict[str, Query] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_token_counts": op4_token_counts,
     "op6_mix_sources": op6_mix_sources,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLES: dict[str, str] = {"op6_mix_sources": OP6_SQL}
