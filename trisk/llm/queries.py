@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisk.llm import decontaminate, mixing, quality_forest, simhash, token_files, token_spans
+from trisk.llm import decontaminate, license_rules, mixing, quality_forest, simhash, token_files, token_spans
 from trisk.llm.store import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_spans.line_token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    return license_rules.scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     documents, pieces = mixing.mix(_table(spark, sf_dir, "documents"))
@@ -103,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op3_decontaminate": op3_decontaminate,
     "op4_token_counts": op4_token_counts,
+    "op5_license_scan": op5_license_scan,
     "op6_mix_sources": op6_mix_sources,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
