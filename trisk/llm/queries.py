@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisk.llm import decontaminate, license_rules, mixing, quality_forest, simhash, token_files, token_spans
+from trisk.llm import decontaminate, license_rules, mixing, quality_forest, simhash, style_tree, token_files, token_spans
 from trisk.llm.store import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return style_tree.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-ID files of ``documents``: written as ORC, read back, one digest row per document."""
     return token_files.token_files(_table(spark, sf_dir, "documents"), work_path(spark, "token-files"))
@@ -105,6 +110,7 @@ FROM lined
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_extract_html": op1_extract_html,
     "op2_token_files": op2_token_files,
     "op3_decontaminate": op3_decontaminate,
     "op4_token_counts": op4_token_counts,
