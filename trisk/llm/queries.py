@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisk.llm import decontaminate, license_rules, mixing, quality_forest, simhash, style_tree, token_files, token_spans
+from trisk.llm import decontaminate, license_rules, mixing, quality_forest, simhash, style_tree, suffix_dedup, token_files, token_spans
 from trisk.llm.store import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken", "source"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeated 400-byte strings cover."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdict of every document; the forest is fitted on ``labels``."""
     docs = _table(spark, sf_dir, "documents")
@@ -116,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_license_scan": op5_license_scan,
     "op6_mix_sources": op6_mix_sources,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
 }
