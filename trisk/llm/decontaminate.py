@@ -167,6 +167,12 @@ def is_contaminated(inverse: int = MIN_SHARE_INVERSE) -> F.Column:
     return (n_hit() > 0) & (inverse * n_hit() >= F.col("__n_words"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` without the contaminated documents; all columns as they are."""
+    found = find_contamination(docs, benchmark, text_col)
+    return found.filter(~is_contaminated()).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def original_offsets(text: str, spans: list) -> list[tuple[int, int]]:
     """Character ranges in the original text of merged word ranges."""
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)]

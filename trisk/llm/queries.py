@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisk.llm import decontaminate, license_rules, mixing, quality_forest, simhash, style_tree, suffix_dedup, token_files, token_spans
+from trisk.llm import (decontaminate, license_rules, line_templates, mixing, quality_forest, simhash, style_tree,
+                       suffix_dedup, token_files, token_spans)
 from trisk.llm.store import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of recurring templates, as a digest."""
+    found = line_templates.drop_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 OP6_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
@@ -124,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
+    "op10_line_templates": op10_line_templates,
 }
 
 ORACLES: dict[str, str] = {"op6_mix_sources": OP6_SQL}
