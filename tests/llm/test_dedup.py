@@ -1,0 +1,273 @@
+"""SimHash, substring and line dedup against brute force."""
+
+import hashlib
+import itertools
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from trisk.llm import line_templates as LT
+from trisk.llm import simhash as S
+from trisk.llm import suffix_dedup as D
+from trisk.llm.components import components
+
+
+def classes(n, pairs):
+    """Least member of each node's class."""
+    label = list(range(n))
+    for a, b in pairs:
+        low, high = sorted((label[a], label[b]))
+        label = [low if x == high else x for x in label]
+    return label
+
+
+# ---------------------------------------------------------------- simhash
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[k:k + 3]) for k in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(st.sampled_from("abZÄ \n\t\x0b"), max_size=40))
+def test_fingerprint(text):
+    assert S.fingerprint(text) == plain_fingerprint(text)
+
+
+def near_codes(seed, n=300):
+    """Codes with chains and dense balls of near ones, and random ones."""
+    rng = np.random.default_rng(seed)
+    out = [int(x) for x in rng.integers(0, 1 << 63, n, dtype=np.uint64)]
+    for k in range(n):
+        x = out[k % 40]
+        for bit in rng.choice(64, rng.integers(1, 5), replace=False):
+            x ^= 1 << int(bit)
+        out.append(x)
+        if k % 3 == 0:
+            out[k % 40] = x  # chains
+    return sorted(set(out) | {0, 1, 7, (1 << 64) - 1})
+
+
+def test_gray_index_finds_exactly_the_links():
+    codes = np.array(near_codes(1), dtype=np.uint64)
+    group = np.array([int(c) % 3 for c in codes])
+    for fanout in (2, 8):
+        index = S.GrayIndex(group, codes, fanout)
+        found = {(int(index.order[i]), int(index.order[j])) for a, b in index.links(3) for i, j in zip(a, b)}
+        want = {(i, j) for i, j in itertools.combinations(range(len(codes)), 2)
+                if group[i] == group[j] and int(codes[i] ^ codes[j]).bit_count() <= 3}
+        assert {tuple(sorted(p)) for p in found} == want and want
+    assert list(S.GrayIndex(np.empty(0, int), np.empty(0, np.uint64)).links(3)) == []
+
+
+@pytest.mark.parametrize("max_group", [S.MAX_GROUP, 20, 1])
+def test_links_join_the_same_components_however_groups_are_split(spark, max_group):
+    codes = near_codes(2)
+    fps = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in codes], "fp long")
+    got = {r.a: r.root for r in components(S.fingerprint_links(fps, 3, max_group)).collect()}
+    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(codes)), 2) if (codes[i] ^ codes[j]).bit_count() <= 3]
+    label = classes(len(codes), pairs)
+    low = {}
+    for k, c in zip(label, signed):
+        low[k] = min(low.get(k, c), c)
+    assert {c: got.get(c, c) for c in signed} == {c: low[k] for k, c in zip(label, signed)}
+    assert got
+
+
+def test_components_of_awkward_graphs(spark):
+    edges = [(1, 1), (1, 2), (2, 1), (2, 3), (10, 9), (9, 8), (8, 7), (7, 6), (6, 10)] + [(50, k) for k in range(51, 90)]
+    got = {r.a: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {2: 1, 3: 1, **{k: 6 for k in range(7, 11)}, **{k: 50 for k in range(51, 90)}}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def check_near_duplicates(frame):
+    rows = [(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()]
+    codes = [plain_fingerprint(t) for _, t in rows]
+    label = classes(len(rows), [(i, j) for i, j in itertools.combinations(range(len(rows)), 2)
+                                if (codes[i] ^ codes[j]).bit_count() <= 3])
+    least = {}
+    for k, (i, _) in zip(label, rows):
+        least[k] = min((x for x in (least.get(k), i) if x is not None), default=None)
+    want = Counter((i, c, least[k]) for (i, _), c, k in zip(rows, codes, label))
+    got = Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in S.near_duplicates(frame).collect())
+    assert got == want
+    kept = S.deduplicate(frame)
+    assert kept.columns == frame.columns
+    assert Counter(least.values()) == Counter(r.doc_id for r in kept.collect())
+
+
+def test_near_duplicates(spark, awkward, nothing_but_nulls, empty):
+    check_near_duplicates(awkward)
+    check_near_duplicates(nothing_but_nulls)
+    check_near_duplicates(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert S.near_duplicates(empty).collect() == [] and S.deduplicate(empty).collect() == []
+
+
+# ---------------------------------------------------------------- substrings
+
+def test_cover_has_every_difference():
+    for i, j in itertools.product(range(D.PERIOD), repeat=2):
+        assert {(i + D.SHIFT[i, j]) % D.PERIOD, (j + D.SHIFT[i, j]) % D.PERIOD} <= set(D.COVER)
+
+
+def test_cover_ranks_are_those_of_the_suffixes():
+    rng = np.random.default_rng(3)
+    for text in (rng.integers(0, 2, 1500), np.zeros(900), np.tile([1, 2, 3], 400), rng.integers(0, 256, 800)):
+        text = text.astype(np.uint8)
+        padded = np.concatenate([text, np.zeros(1024, np.uint8)])
+        words = np.ndarray((len(text) + 1000,), dtype=">u8", buffer=padded, strides=(1,)).astype(np.uint64)
+        rank = D.cover_ranks(words, len(text))
+        places = [t for t in range(len(text)) if t % D.PERIOD in D.COVER]
+        tails = [padded[t:t + 419].tobytes() for t in places]
+        order = {t: k for k, t in enumerate(sorted(set(tails)))}
+        assert np.array_equal(np.argsort([rank[t] for t in places], kind="stable"),
+                              np.argsort([order[t] for t in tails], kind="stable"))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repeated_starts_of_a_block(seed):
+    rng = np.random.default_rng(seed)
+    pool = [rng.integers(97, 99 + seed, 700).astype(np.uint8) for _ in range(3)]
+    text = np.concatenate([np.concatenate([pool[k], rng.integers(97, 100, 30).astype(np.uint8)])
+                           for k in rng.integers(0, 3, 9)] + [np.full(500, 97, np.uint8)])
+    starts = np.arange(len(text) - 399)
+    bucket = rng.integers(0, 2, len(starts)) if seed % 2 else np.zeros(len(starts), int)
+    seen = Counter((b, text[p:p + 400].tobytes()) for p, b in zip(starts.tolist(), bucket.tolist()))
+    want = [seen[b, text[p:p + 400].tobytes()] > 1 for p, b in zip(starts.tolist(), bucket.tolist())]
+    got = D.repeated_starts(text, starts, bucket)
+    assert got[:len(starts)].tolist() == want and not got[len(starts):].any()
+
+
+def plain_removal(rows):
+    raw = [(t or "").encode() for _, t in rows]
+    seen = Counter(b[p:p + 400] for b in raw for p in range(len(b) - 399))
+    out = []
+    for (i, _), b in zip(rows, raw):
+        covered = np.zeros(len(b) + 1, dtype=int)
+        for p in range(len(b) - 399):
+            if seen[b[p:p + 400]] > 1:
+                covered[p] += 1
+                covered[p + 400] -= 1
+        gone = np.cumsum(covered)[:len(b)] > 0
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("max_bucket", [D.MAX_BUCKET, 2, 0])
+def test_substrings_equal_brute_force(spark, max_bucket):
+    rng = np.random.default_rng(5)
+    prose = [" ".join(f"w{x}" for x in rng.integers(0, 500, 400)) for _ in range(6)]
+    rows = [(k, prose[k]) for k in range(4)]
+    rows += [(10, prose[4][:900] + " | " + prose[0][100:700]), (11, "x" + prose[0][100:499] + "y"),
+             (12, "x" + prose[1][50:450] + "y"), (13, "a" * 2000), (14, "ab" * 700 + "c" + "é" * 300), (15, "é" * 450),
+             (16, None), (17, ""), (18, prose[5]), (18, prose[5]), (None, prose[5][:399]), (None, prose[3] + prose[3])]
+    rows += [(100 + k, f"{k} " * k + prose[2][200:800]) for k in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter(tuple(r)[:5] for r in D.remove_repeats(frame, max_bucket=max_bucket).collect())
+    assert got == plain_removal(rows)
+
+
+def test_substrings_of_awkward_tables(awkward, empty, nothing_but_nulls):
+    assert D.remove_repeats(empty).collect() == []
+    assert [tuple(r)[1:4] for r in D.remove_repeats(nothing_but_nulls).collect()] == [(0, 0, 0)] * 3
+    got = {(r.doc_id, r.n_bytes): r for r in D.remove_repeats(awkward).collect()}
+    assert len(got) >= 10
+    long = [r for r in got.values() if r.n_bytes > 100_000]
+    assert [r.n_removed for r in long] and all(r.n_removed > 0 for r in long)
+    assert got[7, 50_000].n_removed == 50_000
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    text = np.frombuffer((" ".join(f"w{k * k % 3571}" for k in range(1500))).encode(), dtype=np.uint8)
+    whole = np.concatenate([k for _, k, _ in D.anchors(text)])
+    monkeypatch.setattr(D, "PIECE", 700)
+    assert np.array_equal(whole, np.concatenate([k for _, k, _ in D.anchors(text)]))
+
+
+# ---------------------------------------------------------------- line templates
+
+def plain_templates(lines):
+    """Templates of the distinct generalised lines of one leaf part, in text order."""
+    made, member = [], {}
+    for line in sorted(lines, key=lambda x: x.encode()):
+        row = line.split(" ")
+        scores = [sum(a == b != LT.ANY for a, b in zip(t, row)) for t in made]
+        best = scores.index(max(scores)) if scores else -1
+        if made and (scores[best] >= LT.SIMILARITY * len(row) or made[best] == row):
+            made[best] = [a if a == b else LT.ANY for a, b in zip(made[best], row)]
+            member[line] = best
+        else:
+            made.append(row)
+            member[line] = len(made) - 1
+    return {line: " ".join(made[k]) for line, k in member.items()}
+
+
+def plain_drops(texts, min_docs):
+    """Per distinct text the numbers of dropped lines; leaves small enough to be one part."""
+    leaves = {}
+    for text in texts:
+        for raw in text.split("\n"):
+            g = LT.generalised(raw)
+            if g:
+                leaves.setdefault((len(g.split(" ")), tuple(g.split(" ")[:LT.DEPTH])), {}).setdefault(g, set()).add(text)
+    final = {}
+    for key, lines in leaves.items():
+        if len(set().union(*lines.values())) < 2:
+            continue
+        first = plain_templates(lines)
+        second = plain_templates(set(first.values()))
+        final.update({g: (key, second[t]) for g, t in first.items()})
+    docs = {}
+    for key, lines in leaves.items():
+        for g, where in lines.items():
+            if g in final:
+                docs.setdefault(final[g], set()).update(where)
+    out = {}
+    for text in texts:
+        out[text] = {k for k, raw in enumerate(text.split("\n"))
+                     if len(docs.get(final.get(LT.generalised(raw)), ())) >= min_docs}
+    return out
+
+
+def check_lines(frame, min_docs):
+    rows = [(r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect()]
+    gone = plain_drops({t for _, t in rows}, min_docs)
+    want = Counter((i, len(t.split("\n")) if t else 0, len(gone[t]),
+                    "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[t])) for i, t in rows)
+    assert Counter(tuple(r) for r in LT.drop_lines(frame, min_docs=min_docs).collect()) == want
+    return sum(len(g) for g in gone.values())
+
+
+def test_lines_equal_plain_parsing(spark, awkward):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert check_lines(docs, 3) > 0
+    made = [(k, f"Posted by user{k} on day {k} at noon\nbody {k * 7919 % 101} text number {'abcdefgh'[k % 8]} {k}\n"
+                f"Read the other article named {'xyzuvw'[k % 6] * 3} here now") for k in range(40)]
+    made += [(100, made[0][1]), (None, made[1][1]), (101, None), (102, "\n\n"), (103, "single")]
+    assert check_lines(spark.createDataFrame(made, "doc_id long, text string"), 5) >= 80
+    check_lines(awkward, 2)
+
+
+def test_split_leaves_give_the_same_recurring_lines(spark):
+    made = [(k, f"Dear valued member {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]} we thank you for reading") for k in range(100)]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    for leaf_lines in (LT.LEAF_LINES, 30):
+        assert {r.text for r in LT.drop_lines(frame, leaf_lines=leaf_lines).collect()} == {""}
+
+
+def test_lines_of_nothing(empty, nothing_but_nulls):
+    assert LT.drop_lines(empty).collect() == []
+    assert [tuple(r) for r in LT.drop_lines(nothing_but_nulls).collect()] == [(None, 0, 0, "")] * 3

@@ -132,7 +132,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                     n_words.append(hay.count(b" ") - 1)
                     found, ids = _scan(hay, machine, patterns) if patterns and len(hay) > 1 else ([], set())
                     if carry:
-                        found, ids = found + before[0][k], ids.union(before[1][k])
+                        found, ids = found + [tuple(s) for s in before[0][k]], ids.union(before[1][k])
                     spans.append(_merged(found))
                     items.append(sorted(ids))
                 kept = batch.columns[:-3] if carry else batch.columns

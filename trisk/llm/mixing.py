@@ -159,7 +159,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     """The mix as documents with the input's columns: every document as often as it is taken whole,
     plus one copy cut after its first words where the mix ends inside it; untaken ones go.
 
-    Equal rows (same id, source and text) share their takes in any order.
+    Rows of the same id, source and size share their takes in any order.
     """
     key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{source_col}`"), word_count(F.col(f"`{text_col}`")))
     documents, pieces = mix(docs, id_col, source_col, text_col, **options)

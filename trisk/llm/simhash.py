@@ -204,9 +204,9 @@ def key_groups(fps: DataFrame, max_bits: int = MAX_BITS, max_group: int = MAX_GR
     done, fixed = None, 0
     while True:
         free = 64 - fixed
-        width, step = free // blocks, -(-free // blocks)
+        width = free // blocks  # no block of the free bits is shorter
         turned = F.array(*[F.struct(F.concat(F.col("path"), F.lit(str(b))).alias("path"),
-                                    F.expr(_rotated(free, min(b * step, free - width))).alias("code"))
+                                    F.expr(_rotated(free, b * free // blocks)).alias("code"))
                            for b in range(blocks)])
         fixed += width
         rows = (rows.select("fp", F.explode(turned).alias("k")).select("k.path", "k.code", "fp")
