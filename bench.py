@@ -26,6 +26,9 @@ HEADLINE = [
     "sketch_report",
     "sketch_tradeoff",
     "batch_partials_merge",
+    "stream_histogram",
+    "stream_sketch_cells",
+    "stream_distinct",
     "stream_prefix_cutoff",
 ]
 WIDE = {"edges_canonical"}

@@ -21,7 +21,7 @@ def test_cutoff_fixture(spark):
     assert kept.agg(F.sum("n")).first()[0] == 6250
 
 
-def test_two_level_prefix_sum_equals_one_window(spark):
+def test_prefix_sum_by_levels_equals_one_window(spark):
     import random
     rng = random.Random(1)
     rows = [(i * 3 + rng.randrange(3), rng.randrange(1, 50)) for i in range(500)]
@@ -31,6 +31,15 @@ def test_two_level_prefix_sum_equals_one_window(spark):
     want = {r.batch_id: r.p for r in df.select("batch_id", F.coalesce(F.sum("n").over(w), F.lit(0))
                                                 .alias("p")).collect()}
     assert got == want
+    plan = B.preceding_sum(df, block=7)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("ExistingRDD") == 1  # one read of the rows
+
+
+def test_prefix_sum_keeps_repeated_ids_and_columns(spark):
+    df = spark.createDataFrame([(-5, 2, "a"), (0, 3, "b"), (0, 3, "b"), (9, 1, None)], "batch_id bigint, n bigint, x string")
+    got = sorted((r.batch_id, r.preceding) for r in B.preceding_sum(df, block=4).collect())
+    assert got == [(-5, 0), (0, 2), (0, 5), (9, 8)]
+    assert B.preceding_sum(df.where("n < 0")).collect() == []
 
 
 def test_partials_merge_is_the_histogram_of_kept_batches(spark):

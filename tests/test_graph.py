@@ -1,12 +1,19 @@
+import random
+from collections import Counter
+from itertools import combinations
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF, edges_of
+from trisk.functions.hashing import draw_color_params, draw_partition_params
 from trisk.operators import graph as G
+from trisk.operators import skew
 from trisk.operators import triangles as TR
-from trisk.sources.edges import copurchase_edges, copurchase_pairs
+from trisk.sources.edges import order_pairs
 
-# FIXTURES.md small graphs: (edges, raw lines, canonical edges, triangles)
+# The small graphs of FIXTURES.md as (edges, raw lines, canonical edges,
+# triangles); "sample" is the seven-line edge file of the first program.
 SMALL = {
     "sample": ("0,1 1,3 2,3 2,1 0,2 1,4 3,4", 7, 7, 3),
     "repeats": ("1,2 2,1 2,3 3,1 3,3 1,2", 6, 3, 1),
@@ -17,36 +24,41 @@ SMALL = {
 }
 
 
-def brute_triangles(pairs):
-    adj = {}
-    for u, v in pairs:
-        if u != v:
-            adj.setdefault(u, set()).add(v)
-            adj.setdefault(v, set()).add(u)
-    return sum(1 for u in adj for v in adj[u] if v > u for w in adj[v] if w > v and w in adj[u])
+def all_triangles(pairs):
+    """Every triple of nodes of which each two are joined."""
+    joined = {frozenset(p) for p in pairs if len(set(p)) == 2}
+    nodes = sorted(set().union(*joined)) if joined else []
+    return [t for t in combinations(nodes, 3) if all(frozenset(p) in joined for p in combinations(t, 2))]
+
+
+def random_pairs(seed, nodes, n):
+    rng = random.Random(seed)
+    return [(rng.randrange(-nodes // 3, nodes), rng.randrange(-nodes // 3, nodes)) for _ in range(n)]
+
+
+def frame(spark, pairs):
+    return G.canonical_edges(spark.createDataFrame(pairs, "src bigint, dst bigint"))
 
 
 @pytest.mark.parametrize("name", sorted(SMALL))
-@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
-def test_small_graphs_exact(spark, name, hot_rows):
+@pytest.mark.parametrize("hot", [10**6, 1])
+def test_small_graphs_exact(spark, name, hot):
     text, raw, canon, tri = SMALL[name]
-    raw_df = edges_of(spark, text)
-    e = G.canonical_edges(raw_df)
-    assert raw_df.count() == raw
-    assert e.count() == canon
-    o = TR.prepare(e, hot_rows=hot_rows)
-    assert TR.exact_count(o, hot_rows=hot_rows).first()["triangles"] == tri
+    pairs = edges_of(spark, text)
+    assert tuple(G.edge_counts(pairs).first()) == (raw, canon)
+    lists = TR.prepare(G.canonical_edges(pairs), hot_rows=hot)
+    assert TR.exact_count(lists, hot_work=hot).first()["triangles"] == tri
     for (a, b, C) in [(1, 0, 2), (5, 3, 3), (6918, 2121, 4)]:
-        assert TR.exact_by_color_triples(o, a, b, C, hot_rows=hot_rows).first()["triangles"] == tri
+        assert TR.exact_by_color_triples(lists, a, b, C, hot_work=hot).first()["triangles"] == tri
 
 
 def test_empty_graph(spark):
-    e = G.canonical_edges(edges_of(spark, ""))
-    o = TR.prepare(e)
-    assert TR.exact_count(o).first()["triangles"] == 0
-    assert TR.partition_estimate(o, 4).first()["estimate"] == 0
-    est = TR.color_estimates(o, [(1, 0), (2, 5)], 4).orderBy("run").collect()
-    assert [r["estimate"] for r in est] == [0, 0]
+    edges = G.canonical_edges(edges_of(spark, ""))
+    lists = TR.prepare(edges)
+    assert TR.exact_count(lists).first()["triangles"] == 0
+    assert TR.partition_estimate(lists, 4).first()["estimate"] == 0
+    assert [r["estimate"] for r in TR.color_estimates(lists, [(1, 0), (2, 5)], 4).collect()] == [0, 0]
+    assert tuple(G.edge_counts(edges_of(spark, "")).first()) == (0, 0)
 
 
 def test_one_colour_edges_and_keys_fixture(spark):
@@ -54,8 +66,7 @@ def test_one_colour_edges_and_keys_fixture(spark):
     e = G.canonical_edges(edges_of(spark, SMALL["sample"][0]))
     mono = TR.monochrome_edges(e, [(1, 0)], 2).select("u", "v").orderBy("u").collect()
     assert [(r.u, r.v) for r in mono] == [(0, 2), (1, 3)]
-    o = TR.prepare(e)
-    assert TR.color_estimates(o, [(1, 0)], 2).first()["estimate"] == 0
+    assert TR.color_estimates(TR.prepare(e), [(1, 0)], 2).first()["estimate"] == 0
     assert TR.color_triple_counts(e, 1, 0, 2).count() == 4
     # ids equal mod 8191 share a colour: every edge is one-colour, estimate 4 * 1
     e2 = G.canonical_edges(edges_of(spark, SMALL["mod8191"][0]))
@@ -63,139 +74,116 @@ def test_one_colour_edges_and_keys_fixture(spark):
     assert TR.color_triple_counts(e2, 1, 0, 2).count() == 2
 
 
+def order_graph(spark, sf):
+    return G.canonical_edges(order_pairs(spark.read.parquet(f"{SF[sf]}/lineitem.parquet")))
+
+
+def test_order_graph_is_linear_in_its_rows(spark):
+    rows = [(1, 5, 7), (1, 5, 7), (1, 6, 7), (2, None, 7), (None, 5, 7), (3, 5, None)]
+    raw = order_pairs(spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint"))
+    assert raw.count() == 9
+    got = sorted(map(tuple, G.canonical_edges(raw).collect()))
+    assert got == [(3, 16), (3, 19), (3, 23), (16, 23), (19, 23)]
+    assert TR.exact_count(TR.prepare(G.canonical_edges(raw))).first()["triangles"] == 2
+
+
 def test_c1_estimates_equal_exact(spark):
-    e = copurchase_edges(spark.read.parquet(f"{SF['0.001']}/lineitem.parquet"))
-    o = TR.prepare(e)
-    exact = TR.exact_count(o).first()["triangles"]
-    assert exact == 125968
-    assert TR.partition_estimate(o, 1).first()["estimate"] == exact
-    assert {r["estimate"] for r in TR.color_estimates(o, [(3, 4), (77, 0)], 1).collect()} == {exact}
+    lists = TR.prepare(order_graph(spark, "0.001"))
+    exact = TR.exact_count(lists).first()["triangles"]
+    assert exact > 5000
+    assert TR.partition_estimate(lists, 1).first()["estimate"] == exact
+    assert {r["estimate"] for r in TR.color_estimates(lists, [(3, 4), (77, 0)], 1).collect()} == {exact}
 
 
 def test_colour_median_is_close(spark):
-    e = copurchase_edges(spark.read.parquet(f"{SF['0.01']}/lineitem.parquet"))
-    o = TR.prepare(e)
-    from trisk.functions.hashing import draw_color_params
-    med = TR.median_estimate(TR.color_estimates(o, draw_color_params(9, 0), 4)).first()
+    lists = TR.prepare(order_graph(spark, "0.01"))
+    exact = TR.exact_count(lists).first()["triangles"]
+    med = TR.median_estimate(TR.color_estimates(lists, draw_color_params(9, 0), 4)).first()
     assert med["runs"] == 9
-    assert abs(med["median_estimate"] - 413718) / 413718 < 0.10
+    assert abs(med["median_estimate"] - exact) / exact < 0.15
+
+
+def test_heavy_keys_are_few_however_many_rows(spark):
+    counts = spark.createDataFrame([(k, 10) for k in range(50)] + [(99, 400), (98, 200)], "k bigint, n bigint")
+    # total 1,100: above max(5, 1100 / 4) only key 99; without the share bound all but none
+    assert [tuple(r) for r in skew.heavy_keys(counts, ["k"], "n", 5, 4).collect()] == [(99, 400)]
+    assert skew.heavy_keys(counts, ["k"], "n", 5, 10_000).count() == 52
+    assert skew.heavy_keys(counts.where("n < 0"), ["k"], "n", 5, 4).count() == 0
 
 
 def test_salting_paths_agree(spark):
-    li = spark.read.parquet(f"{SF['0.001']}/lineitem.parquet")
-    plain = copurchase_edges(li)
-    salted = copurchase_edges(li, hot_rows=2)   # every order of >2 parts is split
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
-    assert copurchase_pairs(li, hot_rows=2).count() == copurchase_pairs(li).count()
-    o_hot = TR.prepare(plain, hot_rows=20)      # many hubs, salted lookups and probes
-    assert TR.exact_count(o_hot, hot_rows=20).first()["triangles"] == 125968
-    a = G.adjacency_degree(plain).orderBy("node").collect()
-    b = G.adjacency_degree(plain, hot_rows=20).orderBy("node").collect()
-    assert a == b
+    edges = order_graph(spark, "0.001")
+    plain, hot = TR.prepare(edges), TR.prepare(edges, hot_rows=20)
+    key = lambda r: r.src
+    assert sorted(plain.collect(), key=key) == sorted(hot.collect(), key=key)
+    want = TR.exact_count(plain).first()["triangles"]
+    assert TR.exact_count(hot, hot_work=30).first()["triangles"] == want
+    params = draw_color_params(3, 1)
+    assert sorted(TR.color_estimates(plain, params, 3).collect()) == sorted(
+        TR.color_estimates(plain, params, 3, hot_work=2).collect())
+    assert TR.partition_estimate(plain, 3).first() == TR.partition_estimate(plain, 3, hot_work=2).first()
+    a = G.adjacency_degree(edges).orderBy("node").collect()
+    assert a == G.adjacency_degree(edges, hot_rows=20).orderBy("node").collect()
 
 
 def test_orientation_bounds_out_degree(spark):
-    e = copurchase_edges(spark.read.parquet(f"{SF['0.01']}/lineitem.parquet"))
+    e = order_graph(spark, "0.01")
     m = e.count()
     ad = G.adjacency_degree(e)
     assert ad.agg(F.max("out_degree")).first()[0] <= (2 * m) ** 0.5
     assert ad.agg(F.sum("out_degree")).first()[0] == m
+    assert TR.prepare(e).agg(F.sum(F.size("nb"))).first()[0] == m
 
 
-def test_brute_force_random_graph(spark):
-    import random
-    rng = random.Random(3)
-    pairs = [(rng.randrange(40), rng.randrange(40)) for _ in range(300)]
-    df = spark.createDataFrame(pairs, "src bigint, dst bigint")
-    o = TR.prepare(G.canonical_edges(df))
-    assert TR.exact_count(o).first()["triangles"] == brute_triangles(pairs)
+def test_every_list_is_built_once(spark):
+    """A count reads the written lists; nothing gathers lists again."""
+    plan = TR.exact_count(TR.prepare(order_graph(spark, "0.001")))._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_estimates_against_brute_force(spark):
-    import random
-    rng = random.Random(11)
-    pairs = [(rng.randrange(-30, 60), rng.randrange(-30, 60)) for _ in range(700)]
-    canon = {(min(u, v), max(u, v)) for u, v in pairs if u != v}
-    df = spark.createDataFrame(pairs, "src bigint, dst bigint")
-    o = TR.prepare(G.canonical_edges(df))
+    pairs = random_pairs(11, 60, 700)
+    triangles = all_triangles(pairs)
+    lists = TR.prepare(frame(spark, pairs))
+    assert TR.exact_count(lists).first()["triangles"] == len(triangles) > 0
     p, C = 8191, 3
     for a, b in [(5, 7), (4000, 0), (8190, 8190)]:
-        col = lambda x: ((a * x + b) % p) % C
-        mono = [(u, v) for u, v in canon if col(u) == col(v)]
-        expect = C * C * brute_triangles(mono)
-        assert TR.color_estimates(o, [(a, b)], C).first()["estimate"] == expect
-    from trisk.functions.hashing import draw_partition_params
+        alike = [t for t in triangles if len({((a * x + b) % p) % C for x in t}) == 1]
+        assert TR.color_estimates(lists, [(a, b)], C).first()["estimate"] == C * C * len(alike)
     pa, pb = draw_partition_params(0)
-    part = lambda u, v: ((pa * u + pb * v) % p) % C
-    expect = C * C * sum(brute_triangles([e for e in canon if part(*e) == k]) for k in range(C))
-    assert TR.partition_estimate(o, C, seed=0).first()["estimate"] == expect
-
-
-def test_one_pass_estimates_equal_separate_ones(spark):
-    e = copurchase_edges(spark.read.parquet(f"{SF['0.001']}/lineitem.parquet"))
-    o = TR.prepare(e)
-    from trisk.functions.hashing import draw_color_params
-    params = draw_color_params(5, 3)
-    ce, pe = TR.estimates_one_pass(o, params, 3, seed=2)
-    assert sorted(ce.collect()) == sorted(TR.color_estimates(o, params, 3).collect())
-    assert pe.first()["estimate"] == TR.partition_estimate(o, 3, seed=2).first()["estimate"]
+    alike = [t for t in triangles if len({((pa * u + pb * v) % p) % C for u, v in combinations(t, 2)}) == 1]
+    assert TR.partition_estimate(lists, C, seed=0).first()["estimate"] == C * C * len(alike)
 
 
 def test_hub_with_a_third_of_the_edges(spark):
-    # node 0 joins every node of a 300-ring (300 of its 900 edges): 300 hub triangles,
-    # plus chords (i, i+2) giving 300 ring triangles (i, i+1, i+2)
+    # node 0 joins every node of a 300-ring (300 of its 900 edges) with chords (i, i+2):
+    # 600 triangles with the hub, 300 ring triangles (i, i+1, i+2)
     n = 300
     pairs = [(0, i) for i in range(1, n + 1)]
-    pairs += [(i, i % n + 1) for i in range(1, n + 1)]
-    pairs += [(i, (i + 1) % n + 1) for i in range(1, n + 1)]
-    df = spark.createDataFrame(pairs, "src bigint, dst bigint")
-    e = G.canonical_edges(df)
-    want = brute_triangles(pairs)
-    for hot in (1_000_000, 10):   # 10: the hub's lookup is broadcast and its list salted
-        o = TR.prepare(e, hot_rows=hot, hot_cap=5)
-        assert TR.exact_count(o, hot_rows=hot).first()["triangles"] == want
-        assert TR.exact_by_color_triples(o, 17, 3, 3, hot_rows=hot).first()["triangles"] == want
-        hub = G.adjacency_degree(e, hot_rows=hot, hot_cap=5).where("node = 0").first()
+    pairs += [(i, (i + step - 1) % n + 1) for step in (1, 2) for i in range(1, n + 1)]
+    e = frame(spark, pairs)
+    for hot in (10**6, 10):   # 10: the hub's lookup is broadcast and its list salted
+        lists = TR.prepare(e, hot_rows=hot, hot_keys=5)
+        assert TR.exact_count(lists, hot_work=hot).first()["triangles"] == 3 * n
+        assert TR.exact_by_color_triples(lists, 17, 3, 3, hot_work=hot).first()["triangles"] == 3 * n
+        hub = G.adjacency_degree(e, hot_rows=hot, hot_keys=5).where("node = 0").first()
         assert (hub.degree, hub.out_degree) == (n, 0)
 
 
 def test_colour_triple_keys_hold_their_own_triangles(spark):
-    import random
-    rng = random.Random(21)
-    pairs = [(rng.randrange(50), rng.randrange(50)) for _ in range(500)]
-    adj = {}
-    for u, v in pairs:
-        if u != v:
-            adj.setdefault(u, set()).add(v)
-            adj.setdefault(v, set()).add(u)
+    pairs = random_pairs(21, 50, 500)
     a, b, C = 77, 5, 3
-    col = lambda x: ((a * x + b) % 8191) % C
-    want = {}
-    for u in adj:
-        for v in adj[u]:
-            for w in adj[v]:
-                if u < v < w and w in adj[u]:
-                    key = tuple(sorted((col(u), col(v), col(w))))
-                    want[key] = want.get(key, 0) + 1
-    o = TR.prepare(G.canonical_edges(spark.createDataFrame(pairs, "src bigint, dst bigint")))
+    want = Counter(tuple(sorted(((a * x + b) % 8191) % C for x in t)) for t in all_triangles(pairs))
     got = {(r.k1, r.k2, r.k3): r.triangles
-           for r in TR.exact_by_color_triples_per_key(o, a, b, C).collect()}
+           for r in TR.exact_by_color_triples_per_key(TR.prepare(frame(spark, pairs)), a, b, C).collect()}
     assert got == want
 
 
-def test_long_out_lists_are_split_into_buckets(spark, monkeypatch):
-    # cap lists at 3 entries: every count must run on hash-bucketed lists, unchanged
-    li = spark.read.parquet(f"{SF['0.001']}/lineitem.parquet")
-    o = TR.prepare(copurchase_edges(li))
-    monkeypatch.setattr(G, "MAX_LIST", 3)
-    chunks = G.list_chunks(o)
-    assert chunks > 1 and chunks & (chunks - 1) == 0
-    lists = G.out_lists(o, chunks=chunks)
-    assert lists.agg(F.max(F.size("nb"))).first()[0] < lists.agg(F.max("dsrc")).first()[0]
-    assert TR.exact_count(o).first()["triangles"] == 125968
-    a, b = 6918, 2121
-    assert TR.exact_by_color_triples(o, a, b, 4).first()["triangles"] == 125968
-    monkeypatch.setattr(G, "MAX_LIST", 1_000_000)
-    want = sorted(TR.color_estimates(o, [(a, b), (5, 9)], 4).collect())
-    monkeypatch.setattr(G, "MAX_LIST", 3)
-    assert sorted(TR.color_estimates(o, [(a, b), (5, 9)], 4).collect()) == want
+def test_run_results_are_the_separate_runs(spark):
+    lists = TR.prepare(frame(spark, random_pairs(5, 40, 400)))
+    got = {(r.algorithm, r.run): r.estimate for r in TR.run_results(lists, 3, 4, seed=2).collect()}
+    params = draw_color_params(4, 2)
+    want = {("color", k): TR.color_estimates(lists, [p], 3).first()["estimate"] for k, p in enumerate(params)}
+    want["partition", 0] = TR.partition_estimate(lists, 3, seed=2).first()["estimate"]
+    want["exact", 3] = TR.exact_count(lists).first()["triangles"]
+    assert got == want

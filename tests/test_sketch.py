@@ -127,3 +127,23 @@ def test_parameters_must_be_positive(spark):
             S.sketch_cells(hist, bad["depth"], bad["width"])
     with pytest.raises(ValueError):
         S.top_k(hist, 0)
+
+
+def test_second_moment_of_very_large_counts(spark):
+    """Four items of 10^9 and one of 3.2 * 10^9: squares and their sums leave BIGINT."""
+    rows = [(k, 10**9) for k in range(4)] + [(9, 3_200_000_000)]
+    hist = spark.createDataFrame(rows, "item bigint, freq bigint")
+    n = sum(f for _, f in rows)
+    want = sum(f * f for _, f in rows) / (n * n)
+    exact = S.f2_exact(hist).first()
+    assert exact.items == n and abs(exact.f2 - want) < 1e-12
+    cells = S.sketch_cells(hist, 3, 1000)
+    sums = {}
+    for r in cells.collect():
+        sums[r.row] = sums.get(r.row, 0) + r.c * r.c
+    median = sorted(sums.values())[1] / (n * n)
+    assert abs(S.f2_sketch(cells, S.f2_exact(hist).select("items")).first().f2_sketch - median) < 1e-12
+    grid = S.tradeoff(hist, [(3, 1000)], 5).first()
+    assert abs(grid.f2 - want) < 1e-12 and abs(grid.f2_sketch - median) < 1e-12
+    report = S.report_from_histogram(hist, S.f2_exact(hist).select("items"), 3, 1000, 0, 10, 5).first()
+    assert abs(report.f2 - want) < 1e-12

@@ -1,75 +1,155 @@
+"""The stream programs: split, replayed and out-of-order batches, restarts, empty streams."""
+
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from trisk.operators import batches as B
 from trisk.operators import sketch as S
+from trisk.session import work_dir
 from trisk.sources.items import batched_events
 from trisk.streaming import runner as ST
 
+SCHEMA = "batch_id bigint, item bigint"
+
 
 def batched(spark):
     return batched_events(spark.read.parquet(f"{SF['0.01']}/events.parquet"))
 
 
+def staged(spark, df, files):
+    """``df`` as ``files`` files in a folder, opened as a stream with one file per micro-batch."""
+    path = work_dir(spark, "t-input")
+    df.repartition(files).write.parquet(path)
+    return ST.table_stream(spark, path, df.schema, 1)
+
+
+def one_batch(spark, batch, n):
+    return spark.createDataFrame([(batch, k) for k in range(n)], SCHEMA)
+
+
+def kept_items(spark, out, threshold):
+    return {r.batch_id: r.n for r in B.prefix_cutoff(ST.read_lengths(spark, out), threshold).collect()}
+
+
+def test_the_tables_own_files_are_the_stream(spark):
+    events = spark.read.parquet(f"{SF['0.01']}/events.parquet")
+    stream = batched_events(ST.table_stream(spark, f"{SF['0.01']}/events.parquet", events.schema))
+    out = work_dir(spark, "t-own")
+    ST.stream_partials(stream, out)
+    got = B.merge_partials(ST.read_histogram_partials(spark, out))
+    assert sorted(got.collect()) == sorted(S.histogram(batched(spark)).collect())
+
+
 def test_stream_histogram_and_replay(spark):
-    bt = batched(spark)
-    stream, base = ST.staged_stream(bt, "t-hist", 4)
-    sink = ST.stream_partials(stream, f"{base}/out", 10, 100)
-    got = B.merge_partials(ST.read_histogram_partials(spark, f"{base}/out"))
-    want = S.histogram(bt.where("item BETWEEN 10 AND 100"))
-    assert sorted(got.collect()) == sorted(want.collect())
-    # replay micro-batch 1 (the same data again): its partial is overwritten, the
-    # merge is unchanged
-    ids = [r.batch_id for r in spark.read.parquet(f"{base}/out/partials/epoch=1/kind=len").collect()]
-    one = spark.read.parquet(f"{base}/input").where(F.col("batch_id").isin(ids))
-    sink(one, 1)
-    sink(one, 1)
-    again = B.merge_partials(ST.read_histogram_partials(spark, f"{base}/out"))
-    assert sorted(again.collect()) == sorted(got.collect())
+    bt, out = batched(spark), work_dir(spark, "t-hist")
+    sink = ST.stream_partials(staged(spark, bt, 4), out, 10, 100)
+    want = sorted(S.histogram(bt.where("item BETWEEN 10 AND 100")).collect())
+    merged = lambda: sorted(B.merge_partials(ST.read_histogram_partials(spark, out)).collect())
+    assert merged() == want
+    # epoch 1 comes again with the same rows: its partial is replaced
+    rows = ST._read(spark, f"{out}/partials/epoch=1", ST.PARTIALS.rpartition(",")[0])
+    again = rows.where("kind = 'hist'").select("batch_id", "item", F.explode(F.sequence(F.lit(1), "a")))
+    sink(again.select("batch_id", "item"), 1)
+    assert merged() == want
 
 
 def test_stream_sketch_equals_batch_sketch(spark):
     bt = batched(spark)
-    stream, base = ST.staged_stream(bt, "t-cells", 4)
-    got = spark.read.parquet(ST.stream_sketch_cells(stream, f"{base}/out", 5, 1000, 10, 100))
+    got = ST.stream_sketch_cells(staged(spark, bt, 4), work_dir(spark, "t-cells"), 5, 1000, 10, 100)
     want = S.sketch_cells(S.histogram(bt.where("item BETWEEN 10 AND 100")), 5, 1000)
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_stream_distinct(spark):
+def test_stream_distinct_and_report(spark):
     bt = batched(spark)
-    stream, base = ST.staged_stream(bt, "t-distinct", 4)
-    got = spark.read.parquet(ST.stream_distinct(stream, f"{base}/out"))
+    got = ST.stream_distinct(staged(spark, bt, 4), work_dir(spark, "t-distinct"))
     assert sorted(r.item for r in got.collect()) == list(range(150))
+    for threshold in (2500, 10**9):
+        report = ST.stream_distinct_report(staged(spark, bt, 4), work_dir(spark, "t-report"), threshold, 1250).first()
+        rows = bt.where(f"batch_id < {2 if threshold == 2500 else 8}")
+        want = rows.agg(F.count(F.lit(1)), F.countDistinct("item"), F.max("item")).first()
+        assert tuple(report) == tuple(want)
 
 
-def test_stream_stops_at_threshold_and_cut_is_exact(spark):
-    bt = batched(spark)
-    stream, base = ST.staged_stream(bt, "t-cut", 8)
-    sink = ST.stream_partials(stream, f"{base}/out", 10, 100, threshold=2500)
+def test_crossing_batch_split_over_files_is_kept_whole(spark):
+    out = work_dir(spark, "t-split")
+    sink = ST.PartialWriter(out, None, None, threshold=100, batch_rows=150)
+    sink(one_batch(spark, 0, 120), 0)
+    assert not sink.done.is_set()   # 120 of 150 rows: crossing, but not whole
+    sink(one_batch(spark, 0, 30), 1)
     assert sink.done.is_set()
-    kept = B.prefix_cutoff(ST.read_lengths(spark, f"{base}/out"), 2500)
-    assert sorted(r.batch_id for r in kept.collect()) == [0, 1]
+    assert kept_items(spark, out, 100) == {0: 150}
 
 
-def test_cut_tracker_out_of_order():
-    from trisk.streaming.runner import CutTracker
-    t = CutTracker(10)
-    assert not t.add([(2, 4), (3, 4)])      # ahead of the frontier: wait
-    assert not t.add([(0, 4)])              # 0..0 seen, 4 before batch 1
-    assert t.add([(1, 4)])                  # 0..3 seen: 4+4=8 < 10 <= 12 at batch 2
-    t = CutTracker(10, max_pending=1)
-    t.add([(5, 1), (6, 1)])
-    assert t.overflow and not t.decided
+def test_replay_ahead_of_the_frontier_counts_once(spark):
+    out = work_dir(spark, "t-replay")
+    sink = ST.PartialWriter(out, None, None, threshold=100, batch_rows=60)
+    for epoch, batch in ((0, 1), (0, 1), (1, 0)):   # batch 1 twice, ahead of batch 0
+        sink(one_batch(spark, batch, 60), epoch)
+        assert sink.done.is_set() == (batch == 0)   # 60 + 60 crosses 100 only with batch 0
+    assert kept_items(spark, out, 100) == {0: 60, 1: 60}
+    late = work_dir(spark, "t-replay")
+    sink = ST.PartialWriter(late, None, None, threshold=150, batch_rows=60)
+    for epoch, batch in ((0, 1), (0, 1), (1, 0)):
+        sink(one_batch(spark, batch, 60), epoch)
+    assert not sink.done.is_set()
 
 
-def test_staging_grows_with_the_table(spark):
-    bt = batched(spark)
-    # 10,000 rows at 2,500 per file: more than the 2 asked for, at most one per batch
-    _, base = ST.staged_stream(bt, "t-files", 2, rows_per_file=2500)
-    files = spark.read.parquet(f"{base}/input").inputFiles()
-    assert 2 < len(files) <= 8
-    # every batch sits whole in one file
-    per = (spark.read.parquet(f"{base}/input").select("batch_id", F.input_file_name().alias("f"))
-           .groupBy("batch_id").agg(F.countDistinct("f").alias("k")))
-    assert per.agg(F.max("k")).first()[0] == 1
+def test_restart_stops_at_the_threshold(spark):
+    out = work_dir(spark, "t-restart")
+    first = ST.PartialWriter(out, None, None, threshold=100, batch_rows=40)
+    for k in (0, 1):
+        first(one_batch(spark, k, 40), k)
+    second = ST.PartialWriter(out, None, None, threshold=100, batch_rows=40)   # a new process
+    second(one_batch(spark, 1, 40), 1)   # the last epoch is delivered again
+    assert not second.done.is_set()
+    second(one_batch(spark, 2, 40), 2)
+    assert second.done.is_set()
+    second(one_batch(spark, 3, 40), 3)
+    assert kept_items(spark, out, 100) == {0: 40, 1: 40, 2: 40}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_order_and_splitting_gives_the_tables_cut(spark, seed):
+    rng = random.Random(seed)
+    rows = [(b, rng.randrange(9)) for b in range(6) for _ in range(20)]
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, SCHEMA)
+    want = {r.batch_id: r.n for r in B.prefix_cutoff(B.batch_lengths(table, 0, 9), 50).collect()}
+    out = work_dir(spark, "t-any")
+    sink = ST.PartialWriter(out, None, None, threshold=50, batch_rows=20)
+    for epoch in range(4):
+        part = spark.createDataFrame(rows[30 * epoch:30 * epoch + 30], SCHEMA)
+        sink(part, epoch)
+        if rng.random() < 0.4:
+            sink(part, epoch)
+    assert kept_items(spark, out, 50) == want == {0: 20, 1: 20, 2: 20}
+
+
+def test_bare_text_items_have_the_micro_batch_as_batch(spark):
+    path, out = work_dir(spark, "t-text"), work_dir(spark, "t-bare")
+    for k in range(4):
+        spark.createDataFrame([(f" {x}",) for x in range(30)], "value string").coalesce(1).write.mode("append").text(path)
+    stream = ST.text_items(spark.readStream.option("maxFilesPerTrigger", 1).text(path))
+    sink = ST.stream_partials(stream, out, threshold=50, trigger={"processingTime": "100 milliseconds"})
+    assert sink.done.is_set()
+    assert kept_items(spark, out, 50) == {0: 30, 1: 30}
+    got = B.merge_partials(ST.read_histogram_partials(spark, out),
+                           B.prefix_cutoff(ST.read_lengths(spark, out), 50)).collect()
+    assert {(r.item, r.freq) for r in got} == {(x, 2) for x in range(30)}
+
+
+def test_empty_streams(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    out = work_dir(spark, "t-empty")
+    ST.stream_partials(staged(spark, none, 1), out, 10, 100, threshold=5, batch_rows=10)
+    sink = ST.PartialWriter(out, 10, 100, threshold=5, batch_rows=10)
+    sink(none, 7)
+    assert ST.read_lengths(spark, out).collect() == [] and not sink.done.is_set()
+    report = ST.stream_distinct_report(staged(spark, none, 1), work_dir(spark, "t-empty"), 5, 10).first()
+    assert tuple(report) == (0, 0, None)
+    assert ST.stream_distinct(staged(spark, none, 1), work_dir(spark, "t-empty")).collect() == []
+    assert ST.stream_sketch_cells(staged(spark, none, 1), work_dir(spark, "t-empty"), 2, 4).collect() == []

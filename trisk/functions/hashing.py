@@ -15,8 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The prime of the hash family and the ranges of its parameters,
-# a in [1, p-1], b in [0, p-1], as the reference uses them.
+# The prime of the hash family, the ranges of its parameters, a in [1, p-1]
+# and b in [0, p-1], and the order in which the draw functions below take them.
 DEFAULT_PRIME = 8191
 
 
@@ -102,14 +102,9 @@ def color_runs_column(params: list[tuple[int, int]]) -> Column:
     ])
 
 
-def sketch_rows_column(rows: list[SketchRow], config: int | None = None) -> list[Column]:
-    """Literal structs (row, ah, bh, ag, bg[, cfg]) for the rows of one sketch."""
-    out = []
-    for r in rows:
-        fields = [F.lit(r.row).cast("int").alias("row"),
-                  F.lit(r.ah).cast("bigint").alias("ah"), F.lit(r.bh).cast("bigint").alias("bh"),
-                  F.lit(r.ag).cast("bigint").alias("ag"), F.lit(r.bg).cast("bigint").alias("bg")]
-        if config is not None:
-            fields.insert(0, F.lit(config).cast("int").alias("cfg"))
-        out.append(F.struct(*fields))
-    return out
+def sketch_rows_column(rows: list[SketchRow]) -> list[Column]:
+    """Literal structs (row, ah, bh, ag, bg) for the rows of one sketch."""
+    return [F.struct(F.lit(r.row).cast("int").alias("row"),
+                     F.lit(r.ah).cast("bigint").alias("ah"), F.lit(r.bh).cast("bigint").alias("bh"),
+                     F.lit(r.ag).cast("bigint").alias("ag"), F.lit(r.bg).cast("bigint").alias("bg"))
+            for r in rows]

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from trisk.operators.sketch import in_interval
 
-# Batches per block of the two-level running sum: one task holds at most this many
-# batch rows, and the block totals (batches / BLOCK rows) are summed in one window.
+# Ids per block of one level of the running sum.
 PREFIX_BLOCK = 4096
+# Levels of blocks: no window holds more than PREFIX_BLOCK rows up to PREFIX_BLOCK^3 batches.
+PREFIX_LEVELS = 3
 
 
 def batch_lengths(batched: DataFrame, left: int, right: int) -> DataFrame:
@@ -30,22 +31,35 @@ def batch_lengths(batched: DataFrame, left: int, right: int) -> DataFrame:
 
 def preceding_sum(lengths: DataFrame, value: str = "n", order: str = "batch_id",
                   block: int = PREFIX_BLOCK) -> DataFrame:
-    """``lengths`` plus ``preceding``: sum of ``value`` over all earlier rows.
+    """``lengths`` plus ``preceding``: sum of ``value`` over all rows of smaller ``order``
+    (rows of one ``order`` in any order among themselves).
 
-    Two levels, so no task sees all batches: a window inside each block of ``block``
-    consecutive ids, plus the running total of whole earlier blocks (a window over
-    one row per block).
+    The rows of a block of ids are packed into one row with their sum, blocks into blocks
+    of blocks, and the running totals are handed down while unpacking: one read of
+    ``lengths``, no join, and no window or task over all batches.
     """
-    blk = F.floor(F.col(order) / F.lit(block)).cast("bigint")
-    rows = lengths.withColumn("_blk", blk)
-    totals = rows.groupBy("_blk").agg(F.sum(value).alias("_bt"))
-    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_blk", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    return (local.join(offsets, "_blk")
-            .withColumn("preceding", (F.col("_off") + F.col("_in")).cast("bigint"))
-            .drop("_blk", "_off", "_in"))
+    whole = F.struct(*lengths.columns)
+    level = lengths.select(F.col(order).alias("_id"), F.col(value).alias("_sum"), whole.alias("_row"))
+    for _ in range(PREFIX_LEVELS - 1):
+        level = (level.groupBy(F.floor(F.col("_id") / F.lit(block)).cast("bigint").alias("_id"))
+                 .agg(F.sum("_sum").alias("_up"), F.sort_array(F.collect_list(F.struct("_id", "_sum", "_row")))
+                      .alias("_row"))
+                 .withColumnRenamed("_up", "_sum"))
+    # The top level has one row per block^2 ids.
+    before = Window.orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    level = level.select("_row", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    for _ in range(PREFIX_LEVELS - 1):
+        level = _unpacked(level)
+    return level.select("_row.*", F.col("_off").cast("bigint").alias("preceding"))
+
+
+def _unpacked(level: DataFrame) -> DataFrame:
+    """(_row: packed children, _off) to (_row, _off) of every child, offsets running."""
+    ends = F.expr("aggregate(_row, array(cast(_off AS bigint)), (acc, x) -> "
+                  "concat(acc, array(cast(element_at(acc, -1) + x._sum AS bigint))))")
+    return (level.withColumn("_ends", ends)
+            .select(F.posexplode("_row").alias("_at", "_child"), "_ends")
+            .select(F.col("_child._row").alias("_row"), F.get("_ends", F.col("_at")).alias("_off")))
 
 
 def prefix_cutoff(lengths: DataFrame, threshold: int) -> DataFrame:

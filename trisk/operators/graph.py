@@ -1,35 +1,36 @@
 """Undirected simple graphs as edge tables, degree orientation and triangle counts.
 
-Data model: a canonical edge table ``(u, v)`` with ``u < v`` and no repeats, which is
-what the reference's adjacency sets hold (repeats and reversals collapse, self-loops
-never count).
-
-Counting follows the node-iterator with degree ordering (Schank & Wagner 2005;
-Suri & Vassilvitskii 2011): each edge is oriented from the lower to the higher
-``(degree, id)``, so that every node has out-degree at most sqrt(2m). Each
-triangle x < y < z (in that order) is found exactly once, at its edge x -> y, as a
-common out-neighbour z of x and y. The out-neighbour lists are built with
-``collect_list`` (bounded by the orientation) and intersected with
-``array_intersect``, all JVM-side.
-
-Skew: a hub may be an end point of a third of all edges. Its degree is looked up
-through a broadcast of the few heavy nodes (``split_lookup``); and since hubs have
-the *largest* in-degree, the probe of their adjacency row is salted over
-ceil(degree / hot_rows) buckets with the row replicated once per bucket.
+Data model: a canonical edge table ``(u, v)`` with ``u < v`` and no repeats (repeats and
+reversals collapse, self-loops never count).
+
+Counting follows the node-iterator with degree ordering (Schank & Wagner 2005; Suri &
+Vassilvitskii 2011): each edge is oriented from the lower to the higher ``(degree, id)``,
+so every node has out-degree at most sqrt(2m): a list of at most 4.5 million ids even for
+10^13 edges. Each triangle x < y < z (in that order) is found exactly once, at its edge
+x -> y, as a common out-neighbour z of x and y.
+
+``out_lists`` builds every node's out-neighbours once, in that order. All counts read those
+lists: a colouring or a partition of the edges only filters each list in place. A list
+meets the lists of its own members by one join: the row of x sends to each member y what
+comes after y in x's list, which is all that y's list can have in common with it there.
+
+Skew: a hub is a member of very many lists. The entries sent to each node are summed first
+(numbers only); nodes that are sent more than ``hot_work`` of them are heavy, their rows
+are spread over salt buckets by the sender and their own (short) list is repeated once per
+bucket.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trisk.operators.skew import HOT_CAP, HOT_ROWS, heavy_keys, salt_count, split_lookup
+from trisk.operators.skew import HOT_KEYS, HOT_ROWS, heavy_keys, salt_count, split_lookup
 
-# Longest out-list kept in one row; longer lists are split into hash buckets.
-MAX_LIST = 250_000
+# List entries (8 bytes each) sent to one node that one task may hold.
+HOT_WORK = 16_000_000
 
 
 def canonical_edges(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -39,134 +40,83 @@ def canonical_edges(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataF
             .distinct())
 
 
-def degrees(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys..., node, degree)`` of a canonical edge table (partial aggregation)."""
-    keys = list(keys)
-    ends = (edges.select(*keys, F.col("u").alias("node"))
-            .unionByName(edges.select(*keys, F.col("v").alias("node"))))
-    return ends.groupBy(*keys, "node").agg(F.count(F.lit(1)).alias("degree"))
+def edge_counts(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(raw_edges, edges)`` of raw pairs in one pass: all rows, and canonical edges."""
+    pairs = (raw.groupBy(F.least(src, dst).alias("u"), F.greatest(src, dst).alias("v"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    return pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("raw_edges"),
+                     F.count_if(F.col("u") != F.col("v")).alias("edges"))
 
 
-def orient(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_cap: int = HOT_CAP) -> DataFrame:
-    """Orient canonical edges by ``(degree, id)``: ``(src, dst, dsrc, ddst)``.
+def degrees(edges: DataFrame) -> DataFrame:
+    """``(node, degree)`` of a canonical edge table (partial aggregation)."""
+    ends = edges.select(F.explode(F.array("u", "v")).alias("node"))
+    return ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
 
-    ``dsrc``/``ddst`` are the (global) degrees of the end points; they travel with the
-    edge so that later joins can size their salt buckets without another lookup.
-    """
+
+def orient(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Orient canonical edges by ``(degree, id)``: ``(src, dst, dsrc, ddst)``."""
     deg = degrees(edges)
-    hot = heavy_keys(deg, ["node"], "degree", hot_rows, hot_cap)  # one broadcast for both ends
-    with_u = split_lookup(edges, deg.select("node", F.col("degree").alias("du")),
-                          "u", "node", "du", hot_rows, hot_cap,
-                          hot.select("node", F.col("degree").alias("du")))
-    both = split_lookup(with_u, deg.select("node", F.col("degree").alias("dv")),
-                        "v", "node", "dv", hot_rows, hot_cap,
-                        hot.select("node", F.col("degree").alias("dv")))
+    hot = heavy_keys(deg, ["node"], "degree", hot_rows, hot_keys)  # one broadcast for both ends
+    both = edges
+    for end, name in (("u", "du"), ("v", "dv")):
+        both = split_lookup(both, deg.select("node", F.col("degree").alias(name)), end, "node", name,
+                            hot.select("node", F.col("degree").alias(name)))
     forward = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
-    return both.select(
-        F.when(forward, F.col("u")).otherwise(F.col("v")).alias("src"),
-        F.when(forward, F.col("v")).otherwise(F.col("u")).alias("dst"),
-        F.when(forward, F.col("du")).otherwise(F.col("dv")).alias("dsrc"),
-        F.when(forward, F.col("dv")).otherwise(F.col("du")).alias("ddst"),
-    )
+
+    def pick(a: str, b: str):
+        return F.when(forward, F.col(a)).otherwise(F.col(b))
+
+    return both.select(pick("u", "v").alias("src"), pick("v", "u").alias("dst"),
+                       pick("du", "dv").alias("dsrc"), pick("dv", "du").alias("ddst"))
 
 
-def adjacency_degree(edges: DataFrame, hot_rows: int = HOT_ROWS,
-                     hot_cap: int = HOT_CAP) -> DataFrame:
+def adjacency_degree(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
     """``(node, degree, out_degree)``: undirected degree and out-degree after orientation.
 
     One aggregation over both ends of the oriented edges (partial aggregation, so a
     hub costs one row per task), no join back to a degree table.
     """
-    oriented = orient(edges, hot_rows, hot_cap)
-    ends = (oriented.select(F.col("src").alias("node"), F.lit(1).alias("out"))
-            .unionByName(oriented.select(F.col("dst").alias("node"), F.lit(0).alias("out"))))
+    oriented = orient(edges, hot_rows, hot_keys)
+    ends = oriented.select(F.inline(F.array(F.struct(F.col("src").alias("node"), F.lit(1).alias("out")),
+                                            F.struct(F.col("dst").alias("node"), F.lit(0).alias("out")))))
     return ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"),
                                     F.sum("out").cast("bigint").alias("out_degree"))
 
 
-def list_chunks(oriented: DataFrame, max_list: int | None = None) -> int:
-    """Buckets B (a power of two) that keep every out-list under about ``max_list``.
+def out_lists(oriented: DataFrame) -> DataFrame:
+    """``(src, nb)``: every node's out-neighbours in ascending ``(degree, id)``."""
+    ranked = F.array_sort(F.collect_list(F.struct("ddst", "dst")))
+    return oriented.groupBy("src").agg(F.transform(ranked, lambda x: x["dst"]).alias("nb"))
 
-    The degree orientation bounds out-degrees by sqrt(2m), so for most graphs the
-    row count alone (cheap on a materialized table) proves B = 1; only beyond that
-    the largest out-degree is measured (one aggregation).
-    """
-    limit = max_list or MAX_LIST
-    m = oriented.count()
-    if math.isqrt(2 * m) + 1 <= limit:
-        return 1
-    top = oriented.groupBy("src").count().agg(F.max("count")).first()[0] or 0
-    if top <= limit:
-        return 1
-    return 1 << math.ceil(math.log2(math.ceil(top / limit)))
-
-
-def out_lists(oriented: DataFrame, group: Sequence[str] = (), tag: str | None = None,
-              chunks: int = 1) -> DataFrame:
-    """Out-neighbour lists ``(group..., src, [tag], [chunk], nb, dsrc)`` of oriented edges.
-
-    With ``tag`` (a label of ``dst``), a node has one list per label. Lists are at
-    most out-degree long, which the degree orientation bounds by sqrt(2m); with
-    ``chunks`` > 1 each list is split by ``hash(dst) mod chunks``.
-    """
-    cols = list(group) + ["src"] + ([tag] if tag else [])
-    if chunks > 1:
-        oriented = oriented.withColumn("chunk", F.pmod(F.xxhash64("dst"), F.lit(chunks)).cast("int"))
-        cols.append("chunk")
-    return oriented.groupBy(*cols).agg(F.collect_list("dst").alias("nb"), F.max("dsrc").alias("dsrc"))
-
-
-def close_wedges(probe: DataFrame, lists: DataFrame, group: Sequence[str] = (),
-                 want: str | None = None, tag: str | None = None,
-                 hot_rows: int = HOT_ROWS, chunks: int = 1) -> DataFrame:
-    """For each probe edge ``(group..., src, dst, ddst, [want], ...)``: ``t`` = the
-    number of common out-neighbours of src and dst (with label ``want`` if given).
-
-    1) the list of dst: a hub is the dst of many edges, so its list is replicated
-       over ceil(deg/hot_rows) salt buckets and probe rows spread over them; the
-       probe rows are still narrow in this shuffle;
-    2) the list of src: at most out-degree rows per key (no skew), and ``lists`` is
-       already partitioned by (group, src), so only the probe rows move.
-    With ``chunks`` > 1 (lists split by hash bucket) every probe edge meets each
-    bucket pair once; a common neighbour lies in exactly one bucket, so the sum of
-    ``t`` over an edge's copies is unchanged.
-    """
-    group = list(group)
-    match = [want] if want else []
-    label = [F.col(tag).alias(want)] if want else []
-    part = ["chunk"] if chunks > 1 else []
-    if chunks > 1:
-        probe = probe.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    probe = probe.withColumn(
-        "salt", F.pmod(F.xxhash64("src"), salt_count(F.col("ddst"), hot_rows)).cast("int"))
-    dst_lists = lists.select(
-        *group, F.col("src").alias("dst"), *label, *part, F.col("nb").alias("nb_dst"),
-        F.explode(F.sequence(F.lit(0), salt_count(F.col("dsrc"), hot_rows) - 1)).alias("salt"))
-    step = probe.join(dst_lists, group + ["dst", "salt"] + match + part)
-    src_lists = lists.select(*group, "src", *label, *part, F.col("nb").alias("nb_src"))
-    closed = step.join(src_lists, group + ["src"] + match + part)
-    return (closed.withColumn("t", F.size(F.array_intersect("nb_src", "nb_dst")))
-            .drop("nb_src", "nb_dst", *part))
-
-
-def count_oriented(oriented: DataFrame, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-                   chunks: int = 1) -> DataFrame:
-    """Triangles per key in keyed, oriented edges ``(keys..., src, dst, dsrc, ddst)``.
-
-    Keys partition the edges into independent subgraphs (a colour of a run, an edge
-    partition); all three edges of a counted triangle carry the same key.
-    Returns ``(keys..., triangles)`` for the keys that have at least one triangle.
+
+def close_wedges(lists: DataFrame, keys: Sequence[str] = (), hot_work: int = HOT_WORK,
+                 hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``(keys..., src, dst, common)`` for every edge of ``lists(keys..., src, nb)`` that
+    closes a triangle: the common out-neighbours of src and dst.
+
+    Keys split the graph into independent subgraphs; a list holds the members of its key.
     """
     keys = list(keys)
-    lists = out_lists(oriented, keys, chunks=chunks)
-    probe = oriented.select(*keys, "src", "dst", "ddst")
-    closed = close_wedges(probe, lists, keys, hot_rows=hot_rows, chunks=chunks)
-    return (closed.groupBy(*keys).agg(F.sum("t").cast("bigint").alias("triangles"))
-            .where(F.col("triangles") > 0))
-
-
-def triangle_count(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_cap: int = HOT_CAP) -> DataFrame:
-    """Exact number of triangles of a canonical edge table: one row ``(triangles)``."""
-    oriented = orient(edges, hot_rows, hot_cap)
-    per = count_oriented(oriented, hot_rows=hot_rows, chunks=list_chunks(oriented))
-    return per.agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint").alias("triangles"))
+    node = [*keys, "dst"]
+    sent = (lists.where(F.size("nb") > 1)
+            .select(*keys, "src", "nb", F.posexplode("nb").alias("at", "dst"))
+            .where(F.col("at") < F.size("nb") - 1))
+    work = sent.groupBy(*node).agg(F.sum(F.size("nb") - F.col("at") - 1).alias("work"))
+    heavy = F.broadcast(heavy_keys(work, node, "work", hot_work, hot_keys)
+                        .select(*node, salt_count(F.col("work"), hot_work).alias("salts")))
+    probe = (sent.join(heavy, node, "left")
+             .select(*node, "src", F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest"),
+                     F.pmod(F.xxhash64("src"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")))
+    held = (lists.withColumnRenamed("src", "dst").join(heavy, node, "left")
+            .select(*node, F.col("nb").alias("own"),
+                    F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")))
+    return (probe.join(held, [*node, "salt"])
+            .select(*keys, "src", "dst", F.array_intersect("rest", "own").alias("common"))
+            .where(F.size("common") > 0))
+
+
+def count_lists(lists: DataFrame, keys: Sequence[str] = (), hot_work: int = HOT_WORK) -> DataFrame:
+    """``(keys..., triangles)`` of the subgraphs that have at least one triangle."""
+    return (close_wedges(lists, keys, hot_work).groupBy(*keys)
+            .agg(F.coalesce(F.sum(F.size("common")), F.lit(0)).cast("bigint").alias("triangles")))

@@ -11,10 +11,11 @@ The sketch is built from the histogram, not from the raw items: each distinct it
 adds ``sign * freq`` to one cell per row. This is the same matrix (the sketch is
 linear) and a hot item costs one row per sketch row instead of one per occurrence.
 
-Estimates follow the reference: the median over rows of ``sign_j(x) * C[j, h_j(x)]``,
+Estimates are the median over rows of ``sign_j(x) * C[j, h_j(x)]``,
 mean of the two middle values when D is even, truncated toward zero; F2 is divided by
 the squared number of items; the sketch F2 is the median over rows of the sum of
-squared cells. Empty inputs give NULL ratios instead of a division error.
+squared cells. Squares are taken as DECIMAL(38, 0), so sums of them are exact for any
+BIGINT counts of up to 10^19 items. Empty inputs give NULL ratios, not a division error.
 """
 
 from __future__ import annotations
@@ -31,9 +32,7 @@ from trisk.functions.hashing import (
     sketch_rows_column,
 )
 from trisk.operators.util import combine_rows, require_positive
-
-# Above this many cells (D*W) the cell table is joined by a shuffle, not broadcast.
-BROADCAST_CELLS = 2_000_000
+from trisk.session import materialize
 
 
 def in_interval(item: Column, left: int, right: int) -> Column:
@@ -79,36 +78,42 @@ def sketch_cells(hist: DataFrame, depth: int, width: int, seed: int | None = 0,
             .agg(F.sum(F.col("sign") * F.col("freq")).cast("bigint").alias("c")))
 
 
-def _cells_side(cells: DataFrame, n_cells: int) -> DataFrame:
-    return F.broadcast(cells) if n_cells <= BROADCAST_CELLS else cells
-
-
 def estimates(hist: DataFrame, cells: DataFrame, depth: int, width: int,
               seed: int | None = 0, p: int = DEFAULT_PRIME) -> DataFrame:
     """``(item, freq, est)``: sketch estimate of every item of ``hist``."""
     rows = _rows_of(depth, seed, p)
     probes = _hashed(hist, rows, width, p)
-    joined = probes.join(_cells_side(cells, len(rows) * width), ["row", "col"])
+    joined = probes.join(cells, ["row", "col"])
     return (joined.groupBy("item", "freq")
             .agg(F.percentile(F.col("sign") * F.col("c"), F.lit(0.5)).cast("bigint").alias("est")))
 
 
+def _squares(value: str) -> Column:
+    """Sum of squares of a BIGINT column, exact, as DOUBLE."""
+    wide = F.col(value).cast("decimal(19,0)")
+    return F.sum((wide * wide).cast("decimal(38,0)")).cast("double")
+
+
+def _over_square(value: Column, count: Column) -> Column:
+    """``value / count^2`` as DOUBLE; NULL for a count of 0."""
+    wide = count.cast("double")
+    return F.try_divide(value, wide * wide)
+
+
 def f2_exact(hist: DataFrame) -> DataFrame:
     """``(items, f2)``: sum of squared frequencies over the squared item count."""
     return hist.agg(
         F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("items"),
-        F.try_divide(F.sum(F.col("freq") * F.col("freq")).cast("double"),
-                     (F.sum("freq") * F.sum("freq")).cast("double")).alias("f2"))
+        _over_square(_squares("freq"), F.sum("freq")).alias("f2"))
 
 
 def f2_sketch(cells: DataFrame, items: DataFrame) -> DataFrame:
     """``(f2_sketch)``: median over rows of the sum of squared cells, over items^2.
     ``items`` is a one-row frame with column ``items`` (the number of elements)."""
-    per_row = cells.groupBy("row").agg(F.sum(F.col("c") * F.col("c")).alias("s"))
+    per_row = cells.groupBy("row").agg(_squares("c").alias("s"))
     med = per_row.agg(F.percentile(F.col("s"), F.lit(0.5)).alias("m"))
     both = combine_rows([med, items.select("items")])
-    return both.select(F.try_divide(F.col("m"), (F.col("items") * F.col("items")).cast("double"))
-                       .alias("f2_sketch"))
+    return both.select(_over_square(F.col("m"), F.col("items")).alias("f2_sketch"))
 
 
 def top_k(hist: DataFrame, k: int) -> DataFrame:
@@ -143,9 +148,9 @@ def sketch_report(items: DataFrame, depth: int, width: int, left: int, right: in
     """One row as the stream program prints it at the end:
     D, W, left, right, K, items, items in the interval, distinct items in the interval,
     average error of the top K, exact F2 and its sketch estimate."""
-    sel = items.select(F.col(item_col).alias("item"))
-    total = sel.agg(F.count(F.lit(1)).alias("items"))
-    hist = histogram(sel.where(in_interval(F.col("item"), left, right)))
+    every = materialize(histogram(items, item_col), "histogram")  # one scan of the items
+    total = every.agg(F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("items"))
+    hist = every.where(in_interval(F.col("item"), left, right))
     return report_from_histogram(hist, total, depth, width, left, right, k, seed, p)
 
 
@@ -194,14 +199,13 @@ def tradeoff(hist: DataFrame, configs: list[tuple[int, int]], k: int, seed: int
 
     cells = (hashed(hist).groupBy("cfg", "row", "col")
              .agg(F.sum(F.col("sign") * F.col("freq")).cast("bigint").alias("c")))
-    n_cells = sum(d * w for d, w in configs)
     top = top_k(hist, k)
-    est = (hashed(top).join(_cells_side(cells, n_cells), ["cfg", "row", "col"])
+    est = (hashed(top).join(cells, ["cfg", "row", "col"])
            .groupBy("cfg", "item", "freq")
            .agg(F.percentile(F.col("sign") * F.col("c"), F.lit(0.5)).cast("bigint").alias("est")))
     err = est.groupBy("cfg").agg(
         F.avg(F.abs(F.col("freq") - F.col("est")) / F.col("freq")).alias("avg_error"))
-    sq = (cells.groupBy("cfg", "row").agg(F.sum(F.col("c") * F.col("c")).alias("s"))
+    sq = (cells.groupBy("cfg", "row").agg(_squares("c").alias("s"))
           .groupBy("cfg").agg(F.percentile(F.col("s"), F.lit(0.5)).alias("m")))
     # the exact F2 is one row: spread it over the grid with a literal generate
     grid = F.array(*[F.struct(F.lit(i).cast("int").alias("cfg"), F.lit(d).cast("int").alias("d"),
@@ -210,4 +214,4 @@ def tradeoff(hist: DataFrame, configs: list[tuple[int, int]], k: int, seed: int
            .join(err, "cfg", "left").join(sq, "cfg", "left"))
     return out.select(
         "cfg", "d", "w", "avg_error", "f2",
-        F.try_divide(F.col("m"), (F.col("items") * F.col("items")).cast("double")).alias("f2_sketch"))
+        _over_square(F.col("m"), F.col("items")).alias("f2_sketch"))

@@ -1,19 +1,15 @@
 """Skew handling for joins whose key may hold a large share of all rows.
 
-Tools, all plain DataFrame operations:
-
-* ``heavy_keys``: keys whose row count exceeds ``threshold``, at most ``cap`` of them
-  (the heaviest first). The table is small by construction, so it may be broadcast.
-  Keys beyond the cap are not lost: every helper below sends them down the ordinary
-  shuffle path, which is exact, only less balanced.
-* ``split_lookup``: join a big table to a one-row-per-key table. Rows of heavy keys
-  take their value from the broadcast heavy table (no shuffle, no hot reducer); the
-  other rows join by an ordinary shuffle, where no key has more than ``threshold`` rows.
-* ``salt_count``: the number of salt buckets for a key of a given row count, used to
-  spread a hot key of a shuffle join over several tasks while the other side is
-  replicated once per bucket.
-* ``salted_self_join_sides``: both sides of a self-join on a key (all pairs of one
-  order), with heavy keys split over buckets on one side and replicated on the other.
+A key is heavy if it has more than ``max(threshold, total / keys)`` rows. Counts sum to
+the total, so fewer than ``keys`` keys can be heavy, whatever the size of the table: the
+heavy table may be broadcast without any cap, and every other key has at most
+``max(threshold, total / keys)`` rows, which an ordinary shuffle deals out.
+
+* ``heavy_keys``: that table;
+* ``split_lookup``: join a big table to a one-row-per-key table. Rows of heavy keys take
+  their value from the broadcast (no shuffle, no hot reducer), the others by a shuffle;
+* ``salt_count``: over how many buckets a heavy key's rows are spread while the other side
+  is repeated once per bucket.
 """
 
 from __future__ import annotations
@@ -21,23 +17,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Defaults, per key: above this many rows a key is split; at most this many keys
-# are broadcast as "heavy" (a few MB).
+# Above this many rows (or list entries, where work is what counts) a key may be split;
+# fewer than HOT_KEYS keys are ever broadcast as heavy.
 HOT_ROWS = 1_000_000
-HOT_CAP = 100_000
+HOT_KEYS = 10_000
 
 
 def heavy_keys(counts: DataFrame, key_cols: list[str], count_col: str,
-               threshold: int = HOT_ROWS, cap: int = HOT_CAP) -> DataFrame:
-    """Keys of ``counts`` with ``count_col > threshold``, the ``cap`` heaviest at most.
+               threshold: int = HOT_ROWS, keys: int = HOT_KEYS) -> DataFrame:
+    """Keys of ``counts`` (one row per key) with more than ``max(threshold, total / keys)``.
 
-    ``counts`` has one row per key, so at most N / threshold rows pass the filter
-    (N = total rows counted): the top-``cap`` merge, which runs in one task, never sees
-    more than that, however many partitions the table has.
+    The total is a scalar subquery of the same plan, so nothing runs while it is built.
     """
-    return (counts.where(F.col(count_col) > F.lit(threshold))
-            .orderBy(F.col(count_col).desc(), *key_cols)
-            .limit(cap)
+    total = counts.agg(F.coalesce(F.sum(count_col), F.lit(0)).cast("double").alias("total")).scalar()
+    return (counts.where(F.col(count_col) > F.greatest(F.lit(float(threshold)), total / F.lit(float(keys))))
             .select(*key_cols, count_col))
 
 
@@ -46,17 +39,13 @@ def salt_count(count: Column, threshold: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(count / F.lit(threshold))).cast("int")
 
 
-def split_lookup(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str,
-                 value_col: str, threshold: int = HOT_ROWS, cap: int = HOT_CAP,
-                 hot: DataFrame | None = None) -> DataFrame:
+def split_lookup(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str, value_col: str,
+                 hot: DataFrame) -> DataFrame:
     """``big`` joined to ``dim(dim_key, value_col)`` (one row per key), skew-safe.
 
-    ``value_col`` must be an upper bound of the key's row count in ``big`` (a degree
-    is one for the end points of an edge table), so it also selects the heavy keys.
-    Returns ``big`` plus ``value_col``; rows without a match are dropped (inner join).
+    ``hot`` holds the heavy rows of ``dim``. Returns ``big`` plus ``value_col``; rows
+    without a match are dropped (inner join).
     """
-    if hot is None:
-        hot = heavy_keys(dim, [dim_key], value_col, threshold, cap)
     hot = F.broadcast(hot.select(F.col(dim_key).alias(big_key), F.col(value_col).alias("_hv")))
     # One pass over ``big``: heavy rows already hold their value and join the shuffled
     # side under a key that cannot match (flag 1) and that spreads them evenly.
@@ -70,28 +59,3 @@ def split_lookup(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str,
     return (joined.withColumn(value_col, F.coalesce("_hv", "_cv"))
             .where(F.col(value_col).isNotNull())
             .drop("_f", "_k", "_hv", "_cv"))
-
-
-def salted_self_join_sides(rows: DataFrame, key: str, spread_col: str,
-                           threshold: int = HOT_ROWS, cap: int = HOT_CAP,
-                           counts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a self-join of ``rows`` on ``key``, with a ``salt`` column added.
-
-    For a heavy key with n rows split into s = ceil(n/threshold) buckets, the left side
-    puts each row in the bucket ``hash(spread_col) mod s`` and the right side repeats
-    every row of the key once per bucket. Joining on (key, salt) gives every pair
-    exactly once, and no task sees more than ``threshold`` left rows of one key.
-    ``counts(key, _n)`` may be given when an upper bound of the rows per key is
-    cheaper to get than counting ``rows`` (e.g. before a ``distinct``).
-    """
-    if counts is None:
-        counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(heavy_keys(counts, [key], "_n", threshold, cap)
-                      .select(key, salt_count(F.col("_n"), threshold).alias("_s")))
-    tagged = rows.join(hot, key, "left")
-    buckets = F.coalesce(F.col("_s"), F.lit(1))
-    left = tagged.withColumn(
-        "salt", F.pmod(F.xxhash64(F.col(spread_col)), buckets).cast("int")).drop("_s")
-    right = tagged.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), buckets - 1))).drop("_s")
-    return left, right

@@ -10,16 +10,14 @@
   ``sorted(c(u), c(v), i)``; a key counts only triangles whose sorted colours
   equal the key, so the sum is the exact count.
 
-All of them start from one oriented edge table (``prepare``), so the colour or the
-part is an extra grouping column of the same join-based count; no group of edges
-is ever gathered in one task.
+All of them read one table of out-lists (``prepare``). A colour or a part keeps some
+members of each list, so the subgraphs need no shuffle of their own, and no group of
+edges is ever gathered in one task.
 """
 
 from __future__ import annotations
 
-import time
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trisk.functions.hashing import (
@@ -30,97 +28,97 @@ from trisk.functions.hashing import (
     edge_part,
     node_color,
 )
-from trisk.operators.graph import close_wedges, count_oriented, list_chunks, orient, out_lists
-from trisk.operators.skew import HOT_CAP, HOT_ROWS
+from trisk.operators.graph import HOT_WORK, close_wedges, count_lists, orient, out_lists
+from trisk.operators.skew import HOT_KEYS, HOT_ROWS
 from trisk.operators.util import combine_rows, require_positive
-from trisk.session import work_dir
+from trisk.session import materialize
+
+Params = list[tuple[int, int]]
 
 
-def prepare(edges: DataFrame, materialize: bool = True, hot_rows: int = HOT_ROWS,
-            hot_cap: int = HOT_CAP) -> DataFrame:
-    """Oriented edges ``(src, dst, dsrc, ddst)`` of a canonical edge table.
+def prepare(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Out-lists ``(src, nb)`` of a canonical edge table, written once in the shared folder.
 
-    With ``materialize`` the table is written once as parquet in a fresh folder under
-    the shared checkpoint folder and read back: every count reads it several times,
-    the lineage is cut, and a lost executor costs a re-read, not a recomputation.
-    (Parquet reads back much faster than ``checkpoint()``'s serialized rows.)
+    Every count reads them from there; the lineage is cut, and a lost executor costs a
+    re-read, not a recomputation.
     """
-    oriented = orient(edges, hot_rows, hot_cap)
-    if materialize:
-        spark = oriented.sparkSession
-        path = work_dir(spark, "oriented")
-        oriented.write.parquet(path)
-        oriented = spark.read.parquet(path)
-    return oriented
+    return materialize(out_lists(orient(edges, hot_rows, hot_keys)), "lists")
 
 
-def _canon() -> tuple:
-    """The canonical (u, v) of an oriented edge row, u < v."""
-    return F.least("src", "dst"), F.greatest("src", "dst")
+def _total(per_key: DataFrame, scale: int = 1, name: str = "triangles") -> DataFrame:
+    return per_key.agg((F.coalesce(F.sum("triangles"), F.lit(0)) * F.lit(scale)).cast("bigint").alias(name))
 
 
-def node_colors(edges: DataFrame, params: list[tuple[int, int]], colors: int,
-                p: int = DEFAULT_PRIME) -> DataFrame:
+def node_colors(edges: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
     """``(run, node, color)`` for every node of a canonical edge table and run."""
-    nodes = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
+    nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     return (nodes.select("node", F.inline(color_runs_column(params)))
             .select("run", "node", node_color(F.col("node"), F.col("a"), F.col("b"), colors, p)
                     .alias("color")))
 
 
-def monochrome(oriented: DataFrame, params: list[tuple[int, int]], colors: int,
-               p: int = DEFAULT_PRIME) -> DataFrame:
-    """Oriented edges of every run whose two end points share a colour:
-    ``(run, color, src, dst, dsrc, ddst)``. One generate + filter, no join."""
-    rows = oriented.select("*", F.inline(color_runs_column(params)))
-    cs = node_color(F.col("src"), F.col("a"), F.col("b"), colors, p)
-    cd = node_color(F.col("dst"), F.col("a"), F.col("b"), colors, p)
-    return (rows.where(cs == cd)
-            .select("run", cs.alias("color"), "src", "dst", "dsrc", "ddst"))
+def monochrome_lists(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(run, color, src, nb)``: per run, the members of each list of its node's colour."""
+    def color(x: Column) -> Column:
+        return node_color(x, F.col("a"), F.col("b"), colors, p)
+
+    return (lists.select("src", "nb", F.inline(color_runs_column(params)))
+            .withColumn("color", color(F.col("src")))
+            .select("run", "color", "src", F.filter("nb", lambda x: color(x) == F.col("color")).alias("nb"))
+            .where(F.size("nb") > 0))
 
 
-def triangles_by_color(oriented: DataFrame, params: list[tuple[int, int]], colors: int,
-                       p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
+def triangles_by_color(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME,
+                       hot_work: int = HOT_WORK) -> DataFrame:
     """``(run, color, triangles)`` inside each colour class (classes with >= 1 triangle)."""
     require_positive(colors=colors, runs=len(params))
-    return count_oriented(monochrome(oriented, params, colors, p), ["run", "color"],
-                          hot_rows=hot_rows, chunks=list_chunks(oriented))
+    return count_lists(monochrome_lists(lists, params, colors, p), ["run", "color"], hot_work)
 
 
-def color_estimates(oriented: DataFrame, params: list[tuple[int, int]], colors: int,
-                    p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
+def color_estimates(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME,
+                    hot_work: int = HOT_WORK) -> DataFrame:
     """``(run, estimate)``: C^2 times the monochromatic triangles, one row per run."""
-    spark = oriented.sparkSession
-    per_run = (triangles_by_color(oriented, params, colors, p, hot_rows)
+    per_run = (triangles_by_color(lists, params, colors, p, hot_work)
                .groupBy("run").agg(F.sum("triangles").alias("t")))
-    runs = spark.range(len(params)).select(F.col("id").cast("int").alias("run"))
-    return (F.broadcast(runs).join(per_run, "run", "left")
+    runs = lists.sparkSession.range(len(params)).select(F.col("id").cast("int").alias("run"))
+    return (F.broadcast(runs).join(per_run, "run", "left")  # R rows, a parameter
             .select("run", (F.coalesce("t", F.lit(0)) * F.lit(colors * colors))
                     .cast("bigint").alias("estimate")))
 
 
 def median_estimate(estimates: DataFrame) -> DataFrame:
-    """``(runs, median_estimate)``: exact median over runs, rounded half to even."""
+    """``(runs, median_estimate)``: median over runs, rounded half to even.
+
+    Exact while the estimates are below 2^53, as ``percentile`` works on doubles.
+    """
     return estimates.agg(
         F.count(F.lit(1)).alias("runs"),
         F.bround(F.percentile(F.col("estimate"), F.lit(0.5)), 0).cast("bigint")
         .alias("median_estimate"))
 
 
-def partition_estimate(oriented: DataFrame, parts: int, seed: int | None = 0,
-                       p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(estimate)``: C^2 times the triangles whose three edges share a part.
+def part_lists(lists: DataFrame, parts: int, seed: int | None = 0, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(part, src, nb)``: per part, the members of each list whose edge is in the part.
 
     The part of an edge is ``((a*u + b*v) mod p) mod C`` on the canonical (u, v),
     so repeated or reversed lines of one edge always meet in one part.
     """
-    require_positive(parts=parts)
     a, b = draw_partition_params(seed, p)
-    u, v = _canon()
-    keyed = oriented.select(edge_part(u, v, a, b, parts, p).alias("part"), "src", "dst", "dsrc", "ddst")
-    per = count_oriented(keyed, ["part"], hot_rows=hot_rows, chunks=list_chunks(oriented))
-    return per.agg((F.coalesce(F.sum("triangles"), F.lit(0)) * F.lit(parts * parts))
-                   .cast("bigint").alias("estimate"))
+
+    def part(x: Column) -> Column:
+        return edge_part(F.least(F.col("src"), x), F.greatest(F.col("src"), x), a, b, parts, p)
+
+    each = F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))
+    return (lists.select("src", "nb", F.explode(each).alias("part"))
+            .select("part", "src", F.filter("nb", lambda x: part(x) == F.col("part")).alias("nb"))
+            .where(F.size("nb") > 0))
+
+
+def partition_estimate(lists: DataFrame, parts: int, seed: int | None = 0, p: int = DEFAULT_PRIME,
+                       hot_work: int = HOT_WORK) -> DataFrame:
+    """``(estimate)``: C^2 times the triangles whose three edges share a part."""
+    require_positive(parts=parts)
+    return _total(count_lists(part_lists(lists, parts, seed, p), ["part"], hot_work), parts * parts, "estimate")
 
 
 def partition_sizes(edges: DataFrame, parts: int, seed: int | None = 0,
@@ -131,140 +129,95 @@ def partition_sizes(edges: DataFrame, parts: int, seed: int | None = 0,
             .groupBy("part").agg(F.count(F.lit(1)).alias("edges")))
 
 
-def color_triple_edges(oriented: DataFrame, a: int, b: int, colors: int,
-                       p: int = DEFAULT_PRIME) -> DataFrame:
-    """Every oriented edge replicated to its C keys ``(k1 <= k2 <= k3)`` with
-    ``want`` = the colour the third node of a counted triangle must have and
-    ``cdst`` = the colour of ``dst``."""
+def _triple_keys(c1: Column, c2: Column, c3: Column) -> list[Column]:
+    """Three colours in ascending order, as the key columns k1, k2, k3."""
+    low, high = F.least(c1, c2, c3), F.greatest(c1, c2, c3)
+    return [low.alias("k1"), (c1 + c2 + c3 - low - high).alias("k2"), high.alias("k3")]
+
+
+def _every_color(colors: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(colors - 1).cast("bigint")))
+
+
+def color_triple_counts(edges: DataFrame, a: int, b: int, colors: int,
+                        p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(k1, k2, k3, edges)``: how many edge copies each colour-triple key receives."""
     require_positive(colors=colors)
-    cs = node_color(F.col("src"), a, b, colors, p)
-    cd = node_color(F.col("dst"), a, b, colors, p)
-    rows = oriented.select("*", cs.alias("csrc"), cd.alias("cdst"),
-                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(colors - 1).cast("bigint"))).alias("want"))
-    lo = F.least("csrc", "cdst", "want")
-    hi = F.greatest("csrc", "cdst", "want")
-    mid = F.col("csrc") + F.col("cdst") + F.col("want") - lo - hi
-    return rows.select(lo.alias("k1"), mid.alias("k2"), hi.alias("k3"),
-                       "src", "dst", "dsrc", "ddst", "cdst", "want")
-
-
-def exact_by_color_triples(oriented: DataFrame, a: int, b: int, colors: int,
-                           p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(triangles)``: exact count, summed over colour-triple keys."""
-    return (exact_by_color_triples_per_key(oriented, a, b, colors, p, hot_rows)
-            .agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint").alias("triangles")))
+    copies = edges.select(node_color(F.col("u"), a, b, colors, p).alias("cu"),
+                          node_color(F.col("v"), a, b, colors, p).alias("cv"), _every_color(colors).alias("want"))
+    return (copies.select(*_triple_keys(F.col("cu"), F.col("cv"), F.col("want")))
+            .groupBy("k1", "k2", "k3").agg(F.count(F.lit(1)).alias("edges")))
 
 
-def exact_by_color_triples_per_key(oriented: DataFrame, a: int, b: int, colors: int,
-                                   p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
+def exact_by_color_triples_per_key(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
+                                   hot_work: int = HOT_WORK) -> DataFrame:
     """``(k1, k2, k3, triangles)``: triangles whose sorted colours are the key.
 
-    Every edge copy ``(key, src -> dst, want)`` counts the common out-neighbours of
-    src and dst of colour ``want``. Which out-neighbours of a node have colour t does
-    not depend on the key, so the lists are built once, keyed by (node, colour),
-    over the m edges, while the C copies of the edges only probe them.
+    Every edge goes to its C keys ``sorted(c(src), c(dst), want)`` and counts there the
+    common out-neighbours of colour ``want``; the copies are made after the join, so the
+    lists move once, not C times.
     """
-    cd = node_color(F.col("dst"), a, b, colors, p)
-    chunks = list_chunks(oriented)
-    lists = out_lists(oriented.select("src", "dst", "dsrc", cd.alias("cdst")), tag="cdst", chunks=chunks)
-    probe = color_triple_edges(oriented, a, b, colors, p).select("k1", "k2", "k3", "src", "dst", "ddst", "want")
-    closed = close_wedges(probe, lists, want="want", tag="cdst", hot_rows=hot_rows, chunks=chunks)
-    return (closed.groupBy("k1", "k2", "k3").agg(F.sum("t").cast("bigint").alias("triangles"))
-            .where(F.col("triangles") > 0))
+    require_positive(colors=colors)
 
+    def color(x: Column) -> Column:
+        return node_color(x, a, b, colors, p)
 
-def exact_count(oriented: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(triangles)``: exact count on the oriented graph."""
-    per = count_oriented(oriented, hot_rows=hot_rows, chunks=list_chunks(oriented))
-    return per.agg(F.coalesce(F.sum("triangles"), F.lit(0)).cast("bigint").alias("triangles"))
+    copies = close_wedges(lists, (), hot_work).select(
+        color(F.col("src")).alias("cs"), color(F.col("dst")).alias("cd"),
+        F.transform("common", color).alias("found"), _every_color(colors).alias("want"))
+    t = F.size(F.filter("found", lambda c: c == F.col("want")))
+    return (copies.select(*_triple_keys(F.col("cs"), F.col("cd"), F.col("want")), t.alias("t"))
+            .where(F.col("t") > 0).groupBy("k1", "k2", "k3")
+            .agg(F.sum("t").cast("bigint").alias("triangles")))
 
 
-def estimates_one_pass(oriented: DataFrame, params: list[tuple[int, int]], colors: int,
-                       seed: int | None = 0, p: int = DEFAULT_PRIME,
-                       hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """The R colour estimates and the partition estimate from one keyed count.
+def exact_by_color_triples(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
+                           hot_work: int = HOT_WORK) -> DataFrame:
+    """``(triangles)``: exact count, summed over colour-triple keys."""
+    return _total(exact_by_color_triples_per_key(lists, a, b, colors, p, hot_work))
 
-    Both are triangle counts over keyed subgraphs, so their edges are unioned under
-    a common key ``(family, k1, k2)`` — (0, run, colour) and (1, part, 0) — and share
-    one set of out-lists and probes. Returns ``(run, estimate)`` and ``(estimate)``.
-    Use it when both results are consumed from one materialized count; the report
-    keeps them apart (measured faster at sf0.1: 18 s against 23 s, as each branch of
-    a combined plan would recompute the shared count).
-    """
-    a, b = draw_partition_params(seed, p)
-    mono = monochrome(oriented, params, colors, p).select(
-        F.lit(0).alias("family"), F.col("run").cast("bigint").alias("k1"), F.col("color").alias("k2"),
-        "src", "dst", "dsrc", "ddst")
-    u, v = _canon()
-    parts = oriented.select(F.lit(1).alias("family"), edge_part(u, v, a, b, colors, p).alias("k1"),
-                            F.lit(0).cast("bigint").alias("k2"), "src", "dst", "dsrc", "ddst")
-    per = count_oriented(mono.unionByName(parts), ["family", "k1", "k2"], hot_rows=hot_rows,
-                         chunks=list_chunks(oriented))
-    scale = F.lit(colors * colors)
-    per_run = (per.where(F.col("family") == 0).groupBy(F.col("k1").cast("int").alias("run"))
-               .agg(F.sum("triangles").alias("t")))
-    runs = oriented.sparkSession.range(len(params)).select(F.col("id").cast("int").alias("run"))
-    color_est = (F.broadcast(runs).join(per_run, "run", "left")
-                 .select("run", (F.coalesce("t", F.lit(0)) * scale).cast("bigint").alias("estimate")))
-    part_est = (per.where(F.col("family") == 1)
-                .agg((F.coalesce(F.sum("triangles"), F.lit(0)) * scale).cast("bigint").alias("estimate")))
-    return color_est, part_est
-
-
-def triangle_report(raw_count: DataFrame, oriented: DataFrame, colors: int,
-                    runs: int, seed: int | None = 0, p: int = DEFAULT_PRIME,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+
+def exact_count(lists: DataFrame, hot_work: int = HOT_WORK) -> DataFrame:
+    """``(triangles)``: exact count on the oriented graph."""
+    return count_lists(lists, (), hot_work)
+
+
+def triangle_report(raw_counts: DataFrame, lists: DataFrame, colors: int, runs: int,
+                    seed: int | None = 0, p: int = DEFAULT_PRIME, hot_work: int = HOT_WORK) -> DataFrame:
     """One row: raw and distinct edges, C, R, the median colour estimate over R runs,
     the partition estimate and the exact count (by colour triples, first run's hash).
-    ``raw_count`` is a one-row ``(raw_edges)`` frame."""
+    ``raw_counts`` is a one-row ``(raw_edges, edges)`` frame."""
     params = draw_color_params(runs, seed, p)
     a0, b0 = params[0]
     return combine_rows([
-        raw_count.select("raw_edges"),
-        oriented.agg(F.count(F.lit(1)).alias("edges")),
-        median_estimate(color_estimates(oriented, params, colors, p, hot_rows))
+        raw_counts.select("raw_edges", "edges"),
+        median_estimate(color_estimates(lists, params, colors, p, hot_work))
         .select(F.col("median_estimate").alias("color_estimate")),
-        partition_estimate(oriented, colors, seed, p, hot_rows)
+        partition_estimate(lists, colors, seed, p, hot_work)
         .select(F.col("estimate").alias("partition_estimate")),
-        exact_by_color_triples(oriented, a0, b0, colors, p, hot_rows)
+        exact_by_color_triples(lists, a0, b0, colors, p, hot_work)
         .select(F.col("triangles").alias("exact_triangles")),
     ]).select(F.lit(colors).alias("colors"), F.lit(runs).alias("runs"), "raw_edges", "edges",
               "color_estimate", "partition_estimate", "exact_triangles")
 
 
-def run_report(oriented: DataFrame, colors: int, runs: int, seed: int | None = 0,
-               p: int = DEFAULT_PRIME, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Timed runs, one Spark job each, as the reference measures them:
-    ``(algorithm, run, estimate, elapsed_ms)`` for the colour estimate and the exact
-    count by colour triples. Only R small result rows reach the driver."""
-    spark = oriented.sparkSession
+def run_results(lists: DataFrame, colors: int, runs: int, seed: int | None = 0, p: int = DEFAULT_PRIME,
+                hot_work: int = HOT_WORK) -> DataFrame:
+    """``(algorithm, run, estimate)``: what every run of the programs prints, without times:
+    R colour runs, the partition run, and the exact count with the last run's hash."""
     params = draw_color_params(runs, seed, p)
-    rows = []
-    for r, (a, b) in enumerate(params):
-        t0 = time.perf_counter()
-        est = color_estimates(oriented, [(a, b)], colors, p, hot_rows).first()["estimate"]
-        rows.append(("color", r, int(est), int(round((time.perf_counter() - t0) * 1000))))
-    for r, (a, b) in enumerate(params):
-        t0 = time.perf_counter()
-        ex = exact_by_color_triples(oriented, a, b, colors, p, hot_rows).first()["triangles"]
-        rows.append(("exact", r, int(ex), int(round((time.perf_counter() - t0) * 1000))))
-    return spark.createDataFrame(
-        rows, "algorithm string, run int, estimate bigint, elapsed_ms bigint")
-
-
-def monochrome_edges(edges: DataFrame, params: list[tuple[int, int]], colors: int,
-                     p: int = DEFAULT_PRIME) -> DataFrame:
+    color = color_estimates(lists, params, colors, p, hot_work).select(
+        F.lit("color").alias("algorithm"), "run", "estimate")
+    part = partition_estimate(lists, colors, seed, p, hot_work).select(
+        F.lit("partition").alias("algorithm"), F.lit(0).alias("run"), "estimate")
+    exact = exact_by_color_triples(lists, *params[-1], colors, p, hot_work).select(
+        F.lit("exact").alias("algorithm"), F.lit(runs - 1).alias("run"), F.col("triangles").alias("estimate"))
+    return color.unionByName(part).unionByName(exact)
+
+
+def monochrome_edges(edges: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
     """``(run, color, u, v)``: canonical edges whose end points share a colour, per run."""
     rows = edges.select("u", "v", F.inline(color_runs_column(params)))
     cu = node_color(F.col("u"), F.col("a"), F.col("b"), colors, p)
     cv = node_color(F.col("v"), F.col("a"), F.col("b"), colors, p)
     return rows.where(cu == cv).select("run", cu.alias("color"), "u", "v")
-
-
-def color_triple_counts(edges: DataFrame, a: int, b: int, colors: int,
-                        p: int = DEFAULT_PRIME) -> DataFrame:
-    """``(k1, k2, k3, edges)``: how many edge copies each colour-triple key receives."""
-    as_oriented = edges.select(F.col("u").alias("src"), F.col("v").alias("dst"),
-                               F.lit(0).cast("bigint").alias("dsrc"), F.lit(0).cast("bigint").alias("ddst"))
-    return (color_triple_edges(as_oriented, a, b, colors, p)
-            .groupBy("k1", "k2", "k3").agg(F.count(F.lit(1)).alias("edges")))

@@ -1,7 +1,7 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame over the test tables.
 
-Inputs (see FIXTURES.md): the co-purchase graph of ``lineitem`` (two parts bought in
-one order), the edge text ``l_partkey,l_suppkey``, and the item stream
+Inputs (see FIXTURES.md): the order graph of ``lineitem`` (order - part, part - supplier
+and order - supplier per row), the edge text ``l_partkey,l_suppkey``, and the item stream
 ``events.user_id`` cut into batches of 1,250 events. Every query reads the whole
 tables; parameters are the fixed values of ``trisk.plans.params``.
 """
@@ -18,10 +18,10 @@ from trisk.operators import batches as B
 from trisk.operators import graph as G
 from trisk.operators import sketch as S
 from trisk.operators import triangles as TR
-from trisk.operators.util import combine_rows
 from trisk.plans import params as PR
 from trisk.sources import table
-from trisk.sources.edges import copurchase_edges, copurchase_pair_count, edge_text_from_lineitem, parse_edges
+from trisk.session import work_dir
+from trisk.sources.edges import edge_text_from_lineitem, order_pairs, parse_edges, read_edge_text
 from trisk.sources.items import batched_events, item_text, parse_items
 from trisk.streaming import runner as ST
 
@@ -49,10 +49,10 @@ def _lineitem(spark, sf_dir) -> DataFrame:
 
 
 def _graph(spark, sf_dir) -> DataFrame:
-    return copurchase_edges(_lineitem(spark, sf_dir))
+    return G.canonical_edges(order_pairs(_lineitem(spark, sf_dir)))
 
 
-def _oriented(spark, sf_dir) -> DataFrame:
+def _lists(spark, sf_dir) -> DataFrame:
     return TR.prepare(_graph(spark, sf_dir))
 
 
@@ -64,25 +64,36 @@ def _items(spark, sf_dir) -> DataFrame:
     return _events(spark, sf_dir).select(F.col("user_id").alias("item"))
 
 
-def _interval_hist(spark, sf_dir) -> DataFrame:
-    it = _items(spark, sf_dir)
-    return S.histogram(it.where(S.in_interval(F.col("item"), PR.LEFT, PR.RIGHT)))
+def _hist(spark, sf_dir) -> DataFrame:
+    return S.histogram(_items(spark, sf_dir))
 
 
 def _batched(spark, sf_dir) -> DataFrame:
     return batched_events(_events(spark, sf_dir), PR.BATCH_ROWS)
 
 
+def _stream(spark, sf_dir) -> DataFrame:
+    """The events table's own files as a stream of (batch_id, item)."""
+    events = _events(spark, sf_dir)
+    stream = ST.table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", events.schema)
+    return batched_events(stream, PR.BATCH_ROWS)
+
+
 # ---------------------------------------------------------------- graph programs
 
 def edge_list_parse(spark, sf_dir):
     return parse_edges(edge_text_from_lineitem(_lineitem(spark, sf_dir)))
 
 
+def edge_text_scan(spark, sf_dir):
+    """The edge text written as files and read back from them, as the programs' input is."""
+    path = work_dir(spark, "edge-text")
+    edge_text_from_lineitem(_lineitem(spark, sf_dir)).write.text(path)
+    return parse_edges(read_edge_text(spark, path))
+
+
 def edge_count(spark, sf_dir):
-    raw = edge_list_parse(spark, sf_dir)
-    return combine_rows([raw.agg(F.count(F.lit(1)).alias("raw_edges")),
-                         G.canonical_edges(raw).agg(F.count(F.lit(1)).alias("edges"))])
+    return G.edge_counts(edge_list_parse(spark, sf_dir))
 
 
 def edges_canonical(spark, sf_dir):
@@ -111,39 +122,44 @@ def color_triple_edges(spark, sf_dir):
 
 
 def triangles_exact(spark, sf_dir):
-    return TR.exact_count(_oriented(spark, sf_dir))
+    return TR.exact_count(_lists(spark, sf_dir))
 
 
 def triangles_by_color(spark, sf_dir):
-    return bigints(TR.triangles_by_color(_oriented(spark, sf_dir), PR.color_params(), PR.COLORS, PR.P))
+    return bigints(TR.triangles_by_color(_lists(spark, sf_dir), PR.color_params(), PR.COLORS, PR.P))
 
 
 def triangles_color_estimate(spark, sf_dir):
-    return bigints(TR.color_estimates(_oriented(spark, sf_dir), PR.color_params(), PR.COLORS, PR.P))
+    return bigints(TR.color_estimates(_lists(spark, sf_dir), PR.color_params(), PR.COLORS, PR.P))
 
 
 def triangles_color_median(spark, sf_dir):
-    est = TR.color_estimates(_oriented(spark, sf_dir), PR.color_params(), PR.COLORS, PR.P)
+    est = TR.color_estimates(_lists(spark, sf_dir), PR.color_params(), PR.COLORS, PR.P)
     return TR.median_estimate(est)
 
 
 def triangles_partition_estimate(spark, sf_dir):
-    return TR.partition_estimate(_oriented(spark, sf_dir), PR.COLORS, PR.SEED, PR.P)
+    return TR.partition_estimate(_lists(spark, sf_dir), PR.COLORS, PR.SEED, PR.P)
 
 
 def triangles_exact_colored(spark, sf_dir):
     a, b = PR.color_params()[0]
-    return TR.exact_by_color_triples(_oriented(spark, sf_dir), a, b, PR.COLORS, PR.P)
+    return TR.exact_by_color_triples(_lists(spark, sf_dir), a, b, PR.COLORS, PR.P)
+
+
+def triangles_per_triple_key(spark, sf_dir):
+    a, b = PR.color_params()[0]
+    return TR.exact_by_color_triples_per_key(_lists(spark, sf_dir), a, b, PR.COLORS, PR.P)
 
 
 def triangle_report(spark, sf_dir):
-    li = _lineitem(spark, sf_dir)
-    return bigints(TR.triangle_report(copurchase_pair_count(li), TR.prepare(copurchase_edges(li)),
+    raw = order_pairs(_lineitem(spark, sf_dir))
+    return bigints(TR.triangle_report(G.edge_counts(raw), TR.prepare(G.canonical_edges(raw)),
                                       PR.COLORS, PR.RUNS, PR.SEED, PR.P))
 
 
 def run_report(spark, sf_dir):
-    return TR.run_report(_oriented(spark, sf_dir), PR.COLORS, PR.RUN_REPORT_RUNS, PR.SEED, PR.P)
+    return bigints(TR.run_results(_lists(spark, sf_dir), PR.COLORS, PR.RUNS, PR.SEED, PR.P))
 
 
 # ---------------------------------------------------------------- stream programs, on tables
@@ -157,11 +173,11 @@ def interval_items(spark, sf_dir):
 
 
 def item_histogram(spark, sf_dir):
-    return _interval_hist(spark, sf_dir)
+    return _hist(spark, sf_dir)
 
 
 def item_hashes(spark, sf_dir):
-    return bigints(S.item_hashes(_interval_hist(spark, sf_dir), PR.DEPTH, PR.WIDTH, PR.SEED, PR.P))
+    return bigints(S.item_hashes(_hist(spark, sf_dir), PR.DEPTH, PR.WIDTH, PR.SEED, PR.P))
 
 
 def stream_lengths(spark, sf_dir):
@@ -171,11 +187,11 @@ def stream_lengths(spark, sf_dir):
 
 
 def sketch_cells(spark, sf_dir):
-    return bigints(S.sketch_cells(_interval_hist(spark, sf_dir), PR.DEPTH, PR.WIDTH, PR.SEED, PR.P))
+    return bigints(S.sketch_cells(_hist(spark, sf_dir), PR.DEPTH, PR.WIDTH, PR.SEED, PR.P))
 
 
 def _cells(spark, sf_dir):
-    hist = _interval_hist(spark, sf_dir)
+    hist = _hist(spark, sf_dir)
     return hist, S.sketch_cells(hist, PR.DEPTH, PR.WIDTH, PR.SEED, PR.P)
 
 
@@ -185,7 +201,7 @@ def sketch_estimates(spark, sf_dir):
 
 
 def f2_exact(spark, sf_dir):
-    return rounded(S.f2_exact(_interval_hist(spark, sf_dir)))
+    return rounded(S.f2_exact(_hist(spark, sf_dir)))
 
 
 def f2_sketch(spark, sf_dir):
@@ -211,8 +227,7 @@ def sketch_report(spark, sf_dir):
 
 def sketch_tradeoff(spark, sf_dir):
     items = _lineitem(spark, sf_dir).select(F.col("l_partkey").alias("item"))
-    hist = S.histogram(items.where(S.in_interval(F.col("item"), PR.TRADEOFF_LEFT, PR.TRADEOFF_RIGHT)))
-    return rounded(bigints(S.tradeoff(hist, PR.TRADEOFF_GRID, PR.TOP_K, PR.SEED, PR.P)))
+    return rounded(bigints(S.tradeoff(S.histogram(items), PR.TRADEOFF_GRID, PR.TOP_K, PR.SEED, PR.P)))
 
 
 def distinct_items(spark, sf_dir):
@@ -232,35 +247,33 @@ def batch_prefix_cutoff(spark, sf_dir):
 
 
 def batch_partials_merge(spark, sf_dir):
-    batched = _batched(spark, sf_dir)
-    kept = B.prefix_cutoff(B.batch_lengths(batched, PR.LEFT, PR.RIGHT), PR.THRESHOLD)
-    return B.merge_partials(B.batch_partials(batched, PR.LEFT, PR.RIGHT), kept)
+    return B.merge_partials(B.batch_partials(_batched(spark, sf_dir), PR.LEFT, PR.RIGHT))
 
 
 # ---------------------------------------------------------------- stream programs, streaming
 
 def stream_histogram(spark, sf_dir):
-    stream, base = ST.staged_stream(_batched(spark, sf_dir), "hist", PR.STREAM_FILES)
-    ST.stream_partials(stream, f"{base}/out", PR.LEFT, PR.RIGHT)
-    return B.merge_partials(ST.read_histogram_partials(spark, f"{base}/out"))
+    out = work_dir(spark, "hist")
+    ST.stream_partials(_stream(spark, sf_dir), out)
+    return B.merge_partials(ST.read_histogram_partials(spark, out))
 
 
 def stream_sketch_cells(spark, sf_dir):
-    stream, base = ST.staged_stream(_batched(spark, sf_dir), "cells", PR.STREAM_FILES)
-    path = ST.stream_sketch_cells(stream, f"{base}/out", PR.DEPTH, PR.WIDTH, PR.LEFT, PR.RIGHT,
-                                  PR.SEED, PR.P)
-    return bigints(spark.read.parquet(path))
+    return bigints(ST.stream_sketch_cells(_stream(spark, sf_dir), work_dir(spark, "cells"), PR.DEPTH, PR.WIDTH,
+                                          seed=PR.SEED, p=PR.P))
 
 
 def stream_distinct(spark, sf_dir):
-    stream, base = ST.staged_stream(_batched(spark, sf_dir), "distinct", PR.STREAM_FILES)
-    return spark.read.parquet(ST.stream_distinct(stream, f"{base}/out"))
+    return ST.stream_distinct(_stream(spark, sf_dir), work_dir(spark, "distinct"))
+
+
+def stream_distinct_report(spark, sf_dir):
+    return ST.stream_distinct_report(_stream(spark, sf_dir), work_dir(spark, "distinct"), PR.THRESHOLD, PR.BATCH_ROWS)
 
 
 def stream_prefix_cutoff(spark, sf_dir):
-    stream, base = ST.staged_stream(_batched(spark, sf_dir), "cutoff", PR.STREAM_FILES)
-    out = f"{base}/out"
-    ST.stream_partials(stream, out, PR.LEFT, PR.RIGHT, threshold=PR.THRESHOLD)
+    out = work_dir(spark, "cutoff")
+    ST.stream_partials(_stream(spark, sf_dir), out, PR.LEFT, PR.RIGHT, PR.THRESHOLD, PR.BATCH_ROWS)
     kept = B.prefix_cutoff(ST.read_lengths(spark, out), PR.THRESHOLD)
     hist = B.merge_partials(ST.read_histogram_partials(spark, out), kept)
     total = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("items"))
@@ -270,6 +283,7 @@ def stream_prefix_cutoff(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "edge_list_parse": edge_list_parse,
+    "edge_text_scan": edge_text_scan,
     "edge_count": edge_count,
     "edges_canonical": edges_canonical,
     "adjacency_degree": adjacency_degree,
@@ -283,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "triangles_color_median": triangles_color_median,
     "triangles_partition_estimate": triangles_partition_estimate,
     "triangles_exact_colored": triangles_exact_colored,
+    "triangles_per_triple_key": triangles_per_triple_key,
     "triangle_report": triangle_report,
     "run_report": run_report,
     "item_parse": item_parse,
@@ -306,5 +321,6 @@ QUERIES: dict[str, Query] = {
     "stream_histogram": stream_histogram,
     "stream_sketch_cells": stream_sketch_cells,
     "stream_distinct": stream_distinct,
+    "stream_distinct_report": stream_distinct_report,
     "stream_prefix_cutoff": stream_prefix_cutoff,
 }

@@ -21,10 +21,11 @@ def _hash(x: str, a, b) -> str:
     return f"(({a}) * {_pmod(x, P)} + ({b})) % {P}"
 
 
-GRAPH = f"""
-op AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem
-       WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL),
-e AS (SELECT DISTINCT a.p AS u, b.p AS v FROM op a JOIN op b ON a.o = b.o AND a.p < b.p)"""
+GRAPH = """
+raw AS (SELECT unnest([{'a': 3 * l_orderkey, 'b': 3 * l_partkey + 1}, {'a': 3 * l_partkey + 1, 'b': 3 * l_suppkey + 2},
+                       {'a': 3 * l_orderkey, 'b': 3 * l_suppkey + 2}]) AS x FROM lineitem
+        WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL AND l_suppkey IS NOT NULL),
+e AS (SELECT DISTINCT least(x.a, x.b) AS u, greatest(x.a, x.b) AS v FROM raw)"""
 
 
 def _runs() -> str:
@@ -64,8 +65,9 @@ def _sketch_body(hist: str, width: int = PR.WIDTH) -> str:
 
 
 INTERVAL = f"item BETWEEN {PR.LEFT} AND {PR.RIGHT}"
-HIST = (f"it AS (SELECT user_id AS item FROM events), "
-        f"h0 AS (SELECT item, count(*)::BIGINT AS freq FROM it WHERE {INTERVAL} GROUP BY item)")
+IT = "it AS (SELECT user_id AS item FROM events)"
+HIST = f"{IT}, h0 AS (SELECT item, count(*)::BIGINT AS freq FROM it GROUP BY item)"
+HIST_IN = f"{IT}, h0 AS (SELECT item, count(*)::BIGINT AS freq FROM it WHERE {INTERVAL} GROUP BY item)"
 BATCHES = (f"bt AS (SELECT (event_id // {PR.BATCH_ROWS})::BIGINT AS batch_id, user_id AS item FROM events), "
            f"lengths AS (SELECT batch_id, count(*)::BIGINT AS n, "
            f"count(*) FILTER (WHERE {INTERVAL})::BIGINT AS n_in FROM bt GROUP BY batch_id), "
@@ -103,8 +105,7 @@ def _tradeoff() -> str:
     return (
         f"WITH g(cfg, d, w, row, ah, bh, ag, bg) AS (VALUES {', '.join(prm)}), "
         f"grid(cfg, d, w) AS (VALUES {grid}), "
-        f"h AS (SELECT l_partkey AS item, count(*)::BIGINT AS freq FROM lineitem "
-        f"WHERE l_partkey BETWEEN {PR.TRADEOFF_LEFT} AND {PR.TRADEOFF_RIGHT} GROUP BY l_partkey), "
+        f"h AS (SELECT l_partkey AS item, count(*)::BIGINT AS freq FROM lineitem GROUP BY l_partkey), "
         f"hx AS (SELECT g.cfg, h.item, h.freq, g.row, {col} AS col, {sign} AS sign FROM h, g), "
         f"cells AS (SELECT cfg, row, col, sum(sign * freq)::BIGINT AS c FROM hx GROUP BY cfg, row, col), "
         f"top AS (SELECT item FROM h ORDER BY freq DESC, item ASC LIMIT {PR.TOP_K}), "
@@ -133,7 +134,7 @@ def oracle_sql() -> dict[str, str]:
     text = ("WITH t AS (SELECT l_partkey::VARCHAR || ',' || l_suppkey::VARCHAR AS value FROM lineitem), "
             "s AS (SELECT trim(string_split(value, ',')[1])::BIGINT AS src, "
             "trim(string_split(value, ',')[2])::BIGINT AS dst FROM t)")
-    sql["edge_list_parse"] = f"{text} SELECT src, dst FROM s"
+    sql["edge_list_parse"] = sql["edge_text_scan"] = f"{text} SELECT src, dst FROM s"
     sql["edge_count"] = (f"{text} SELECT (SELECT count(*) FROM s)::BIGINT AS raw_edges, "
                          f"(SELECT count(*) FROM (SELECT DISTINCT least(src, dst), greatest(src, dst) "
                          f"FROM s WHERE src <> dst))::BIGINT AS edges")
@@ -161,6 +162,12 @@ def oracle_sql() -> dict[str, str]:
     exact = f"WITH {GRAPH} {_triangles('e', [])}"
     sql["triangles_exact"] = exact
     sql["triangles_exact_colored"] = exact
+    tri = _triangles("e", []).replace("SELECT count(*)::BIGINT AS triangles", "SELECT e1.u AS x, e1.v AS y, e2.v AS z")
+    cols = [f"(({_hash(n, a0, b0)}) % {C})" for n in "xyz"]
+    low, high = f"least({', '.join(cols)})", f"greatest({', '.join(cols)})"
+    sql["triangles_per_triple_key"] = (
+        f"WITH {GRAPH}, t AS ({tri}) SELECT {low}::BIGINT AS k1, ({' + '.join(cols)} - {low} - {high})::BIGINT AS k2, "
+        f"{high}::BIGINT AS k3, count(*)::BIGINT AS triangles FROM t GROUP BY 1, 2, 3")
     by_color = f"WITH {GRAPH}, {_runs()}, {_mono()} {_triangles('mono', ['run', 'color'])}"
     sql["triangles_by_color"] = (f"SELECT run::BIGINT AS run, color::BIGINT AS color, triangles "
                                  f"FROM ({by_color})")
@@ -176,18 +183,23 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT (coalesce(sum(triangles), 0) * {C * C})::BIGINT AS estimate FROM tp")
     sql["triangle_report"] = (
         f"WITH {GRAPH}, {_runs()}, {_mono()}, "
-        f"raw AS (SELECT count(*) AS n FROM op a JOIN op b ON a.o = b.o AND a.p < b.p), "
         f"bc AS ({_triangles('mono', ['run', 'color'])}), "
         f"est AS (SELECT r.run, coalesce(sum(bc.triangles), 0) * {C * C} AS estimate "
         f"FROM runs r LEFT JOIN bc ON bc.run = r.run GROUP BY r.run), "
         f"pe AS (SELECT u, v, {part} AS part FROM e), tp AS ({_triangles('pe', ['part'])}), "
         f"ex AS ({_triangles('e', [])}) "
-        f"SELECT {C}::BIGINT AS colors, {PR.RUNS}::BIGINT AS runs, (SELECT n FROM raw)::BIGINT AS raw_edges, "
+        f"SELECT {C}::BIGINT AS colors, {PR.RUNS}::BIGINT AS runs, (SELECT count(*) FROM raw)::BIGINT AS raw_edges, "
         f"(SELECT count(*) FROM e)::BIGINT AS edges, "
         f"(SELECT round_even(quantile_cont(estimate, 0.5), 0) FROM est)::BIGINT AS color_estimate, "
         f"(SELECT coalesce(sum(triangles), 0) * {C * C} FROM tp)::BIGINT AS partition_estimate, "
         f"(SELECT triangles FROM ex)::BIGINT AS exact_triangles")
 
+    sql["run_report"] = (
+        f"{est}, pe AS (SELECT u, v, {part} AS part FROM e), tp AS ({_triangles('pe', ['part'])}), "
+        f"ex AS ({_triangles('e', [])}) "
+        f"SELECT 'color' AS algorithm, run, estimate FROM est UNION ALL "
+        f"SELECT 'partition', 0, (SELECT coalesce(sum(triangles), 0) * {C * C} FROM tp)::BIGINT UNION ALL "
+        f"SELECT 'exact', {PR.RUNS - 1}, (SELECT triangles FROM ex)")
     sql["item_parse"] = "SELECT trim(user_id::VARCHAR)::BIGINT AS item FROM events"
     sql["interval_items"] = f"SELECT user_id AS item FROM events WHERE user_id BETWEEN {PR.LEFT} AND {PR.RIGHT}"
     sql["item_histogram"] = f"WITH {HIST} SELECT item, freq FROM h0"
@@ -213,7 +225,7 @@ def oracle_sql() -> dict[str, str]:
             f"tk AS (SELECT top.rank, top.item, top.freq, est.est FROM top JOIN est USING (item))")
     sql["topk_items"] = f"{topk} SELECT rank, item, freq, est FROM tk"
     sql["topk_avg_error"] = f"{topk} SELECT round(avg(abs(freq - est)::DOUBLE / freq), 9) AS avg_error FROM tk"
-    sql["sketch_report"] = (f"WITH {HIST}, tot AS (SELECT count(*)::BIGINT AS items FROM events) "
+    sql["sketch_report"] = (f"WITH {HIST_IN}, tot AS (SELECT count(*)::BIGINT AS items FROM events) "
                             f"SELECT * FROM ({_report('h0', 'tot')})")
     sql["sketch_tradeoff"] = _tradeoff()
     sql["distinct_items"] = "SELECT DISTINCT user_id AS item FROM events"
@@ -223,10 +235,14 @@ def oracle_sql() -> dict[str, str]:
     sql["batch_prefix_cutoff"] = f"WITH {BATCHES} SELECT batch_id, n, n_in, preceding FROM kept"
     merged = (f"WITH {BATCHES}, hk AS (SELECT item, count(*)::BIGINT AS freq FROM bt "
               f"WHERE {INTERVAL} AND batch_id IN (SELECT batch_id FROM kept) GROUP BY item)")
-    sql["batch_partials_merge"] = f"{merged} SELECT item, freq FROM hk"
+    sql["batch_partials_merge"] = f"WITH {HIST_IN} SELECT item, freq FROM h0"
     sql["stream_histogram"] = sql["item_histogram"]
     sql["stream_sketch_cells"] = sql["sketch_cells"]
     sql["stream_distinct"] = sql["distinct_items"]
+    sql["stream_distinct_report"] = (
+        f"WITH {BATCHES}, k AS (SELECT item FROM bt WHERE batch_id IN (SELECT batch_id FROM kept)) "
+        f"SELECT count(*)::BIGINT AS items, count(DISTINCT item)::BIGINT AS distinct_items, "
+        f"max(item) AS largest_item FROM k")
     sql["stream_prefix_cutoff"] = (f"{merged}, tot AS (SELECT sum(n)::BIGINT AS items FROM kept) "
                                    f"SELECT * FROM ({_report('hk', 'tot')})")
     return sql

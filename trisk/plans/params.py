@@ -10,9 +10,9 @@ SEED = 0
 # graph programs
 COLORS = 4
 RUNS = 9
-RUN_REPORT_RUNS = 3  # timed runs per algorithm in run_report (one Spark job each)
 
-# stream programs: items are events.user_id, cut into batches of 1,250 events
+# stream programs: items are events.user_id, cut into batches of 1,250 events; the interval
+# is that of interval_items and the reports, everything else covers all items
 DEPTH = 5
 WIDTH = 1000
 LEFT = 10
@@ -20,13 +20,10 @@ RIGHT = 100
 TOP_K = 20
 THRESHOLD = 5000
 BATCH_ROWS = 1250
-STREAM_FILES = 8
 
-# space-accuracy grid, over lineitem.l_partkey (every item in the interval)
+# space-accuracy grid, over lineitem.l_partkey
 TRADEOFF_GRID = [(1, 50), (3, 50), (5, 50), (1, 200), (3, 200), (5, 200),
                  (1, 1000), (3, 1000), (5, 1000), (7, 1000), (4, 1000)]
-TRADEOFF_LEFT = 0
-TRADEOFF_RIGHT = 2**62
 
 
 def color_params() -> list[tuple[int, int]]:

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_made: list[str] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -34,7 +36,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a fresh local folder is set.
+    A session without one gets a fresh local folder, but only under a local master: on a
+    cluster every executor would write to its own disk, so that raises instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,12 +46,37 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="trisk-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def is_local(master: str) -> bool:
+    """Whether a master URL runs everything in this process (``local-cluster`` does not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root, for staged files and partials."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/trisk-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared checkpoint root, for intermediate tables."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/trisk-{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in a fresh shared folder and read back from there."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_work_dirs(spark: SparkSession) -> int:
+    """Delete the intermediate folders made so far, once no result reads them any more;
+    returns how many were there."""
+    jvm, removed = spark.sparkContext._jvm, 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        removed += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return removed

@@ -1,7 +1,6 @@
 from trisk.sources.edges import (  # noqa: F401
-    copurchase_edges,
-    copurchase_pairs,
     edge_text_from_lineitem,
+    order_pairs,
     parse_edges,
     read_edge_text,
 )

@@ -1,12 +1,10 @@
-"""Edge-list sources: text files of ``u,v`` lines and the co-purchase graph of a table."""
+"""Edge-list sources: text files of ``u,v`` lines and the order graph of a table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trisk.operators.skew import HOT_CAP, HOT_ROWS, salted_self_join_sides
-
 
 def read_edge_text(spark: SparkSession, path: str) -> DataFrame:
     """Lines of an edge file as ``value STRING`` (one ``u,v`` per line)."""
@@ -39,42 +37,15 @@ def edge_text_from_lineitem(lineitem: DataFrame) -> DataFrame:
                     F.col("l_suppkey").cast("string")).alias("value"))
 
 
-def copurchase_pairs(lineitem: DataFrame, hot_rows: int = HOT_ROWS,
-                     hot_cap: int = HOT_CAP, per_order_distinct: bool = True) -> DataFrame:
-    """Raw edges ``(src, dst)``, src < dst: two distinct parts bought in the same order.
+def order_pairs(lineitem: DataFrame) -> DataFrame:
+    """Raw edges ``(src, dst)`` of the order graph: three per row, order - part,
+    part - supplier and order - supplier, so linear in the table.
 
-    One row per (order, part pair), i.e. before removing repeats across orders
-    (with ``per_order_distinct=False`` a part listed twice in one order repeats its
-    pairs, which a later ``distinct`` removes anyway, saving one shuffle).
-    The self-join is on the order key; orders with more than ``hot_rows`` lines are
-    split into buckets so that no task holds a whole large order.
+    Ids are kept apart as 3 * order, 3 * part + 1, 3 * supplier + 2; rows with a null key
+    are skipped.
     """
-    order_parts = (lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p"))
-                   .where(F.col("o").isNotNull() & F.col("p").isNotNull()))
-    if per_order_distinct:
-        order_parts = order_parts.distinct()
-    # lineitem rows per order bound its distinct parts: one aggregation finds hot orders
-    counts = lineitem.groupBy(F.col("l_orderkey").alias("o")).agg(F.count(F.lit(1)).alias("_n"))
-    left, right = salted_self_join_sides(order_parts, "o", "p", hot_rows, hot_cap, counts)
-    a = left.select("o", "salt", F.col("p").alias("src"))
-    b = right.select("o", "salt", F.col("p").alias("dst"))
-    return a.join(b, ["o", "salt"]).where(F.col("src") < F.col("dst")).select("src", "dst")
-
-
-def copurchase_edges(lineitem: DataFrame, hot_rows: int = HOT_ROWS,
-                     hot_cap: int = HOT_CAP) -> DataFrame:
-    """Canonical co-purchase graph ``(u, v)``, u < v, each edge once."""
-    return (copurchase_pairs(lineitem, hot_rows, hot_cap)
-            .select(F.col("src").alias("u"), F.col("dst").alias("v"))
-            .distinct())
-
-
-def copurchase_pair_count(lineitem: DataFrame) -> DataFrame:
-    """``(raw_edges)``: the number of rows of ``copurchase_pairs`` without listing them:
-    an order with k distinct parts gives k(k-1)/2 pairs. Two aggregations, no join."""
-    per_order = (lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("p"))
-                 .where(F.col("o").isNotNull() & F.col("p").isNotNull())
-                 .distinct()
-                 .groupBy("o").agg(F.count(F.lit(1)).alias("k")))
-    return per_order.agg(F.coalesce(F.sum(F.col("k") * (F.col("k") - 1) / 2), F.lit(0))
-                         .cast("bigint").alias("raw_edges"))
+    ids = (lineitem.where("l_orderkey IS NOT NULL AND l_partkey IS NOT NULL AND l_suppkey IS NOT NULL")
+           .select((3 * F.col("l_orderkey")).alias("o"), (3 * F.col("l_partkey") + 1).alias("p"),
+                   (3 * F.col("l_suppkey") + 2).alias("s")))
+    pairs = [F.struct(F.col(a).alias("src"), F.col(b).alias("dst")) for a, b in (("o", "p"), ("p", "s"), ("o", "s"))]
+    return ids.select(F.inline(F.array(*pairs)))

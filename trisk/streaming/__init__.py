@@ -1,10 +1,10 @@
 from trisk.streaming.runner import (  # noqa: F401
     PartialWriter,
-    read_stream,
     run_query,
-    stage_batches,
-    staged_stream,
     stream_distinct,
+    stream_distinct_report,
     stream_partials,
     stream_sketch_cells,
+    table_stream,
+    text_items,
 )

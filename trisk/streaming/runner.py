@@ -1,141 +1,168 @@
 """Structured Streaming versions of the stream programs.
 
-* Source: any streaming DataFrame ``(batch_id, item)``. For tests and the registered
-  queries a batch table is staged as parquet files under the shared checkpoint folder
-  (whole batches per file) and read back with ``maxFilesPerTrigger``.
-* Per micro-batch (``foreachBatch``): per-batch lengths and interval histograms are
-  written, in one job, as partials under ``partials/epoch=<id>`` with overwrite, so a
-  replayed micro-batch replaces its own output instead of adding to it (at-least-once
-  delivery becomes effectively once).
-* Count sketch: a stateful streaming aggregation ``groupBy(row, col).sum(sign)``; its
-  state is bounded by D x W cells.
-* Distinct items: ``dropDuplicates(['item'])`` appended to a parquet sink.
-* Threshold T: after each micro-batch the driver updates a small tracker (the
-  contiguous frontier of seen batch ids and the items before it) to see whether the
-  cut is decided (all batches 0..b seen and the running total crosses T at b), and
-  then stops the query from the main thread; the final result applies the same cut
-  to the partials, so it never depends on where the query stopped.
+* Source: any streaming DataFrame of items. Either it has a ``batch_id`` (the batches of the
+  data, whose rows may arrive split over files and micro-batches), or it is bare items or
+  text lines, and then the micro-batch is the batch (``epoch_batches``).
+* ``table_stream`` opens a table's own files, as many per micro-batch as the cluster has
+  cores; nothing is staged. The trigger is a parameter: processing time or availableNow.
+* Per micro-batch (``foreachBatch``): lengths and interval histograms are written, in one
+  job, as partials under ``partials/epoch=<id>`` with overwrite, so a replayed micro-batch
+  replaces its own output (at-least-once delivery becomes effectively once).
+* Threshold T: after each micro-batch a small state table (``state/epoch=<id>``, made from the
+  last earlier epoch's) holds the frontier, the first batch not yet known to be whole, the
+  items before it, and the lengths of batches at or after it. The query stops once the batch
+  that crosses T is whole and so is every batch before it. A restart reads the state back and
+  a replay makes its epoch's state anew. The result applies the same cut to the partials, so
+  it never depends on where the query stopped.
+* Count sketch: a stateful streaming aggregation ``groupBy(row, col).sum(sign)``; its state
+  is bounded by D x W cells.
+* Distinct items: ``dropDuplicates(['item'])`` appended to a parquet sink; with a threshold,
+  the partials of all items give the distinct count and the largest item.
 """
 
 from __future__ import annotations
 
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trisk.functions.hashing import DEFAULT_PRIME, draw_sketch_rows, sketch_col, sketch_rows_column, sketch_sign
-from trisk.operators.batches import batch_lengths, batch_partials, preceding_sum
+from trisk.operators.batches import merge_partials, preceding_sum, prefix_cutoff
 from trisk.operators.sketch import in_interval
-from trisk.session import work_dir
+from trisk.sources.items import parse_items
 
+AVAILABLE_NOW = {"availableNow": True}
+PARTIALS = "kind STRING, batch_id BIGINT, item BIGINT, a BIGINT, b BIGINT, epoch BIGINT"
+STATE = "frontier BOOLEAN, batch_id BIGINT, n BIGINT, epoch BIGINT"
 
-def stage_batches(batched: DataFrame, folder: str, files: int) -> str:
-    """Write a ``(batch_id, item)`` table as ``files`` parquet files of whole batches."""
-    (batched.repartitionByRange(files, "batch_id").sortWithinPartitions("batch_id")
-     .write.mode("errorifexists").parquet(folder))
-    return folder
 
+def table_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """A table's Parquet files as a stream, one file per core in a micro-batch by default.
 
-def read_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
-    """The staged files as a stream, ``files_per_trigger`` files per micro-batch."""
-    return (spark.readStream.schema("batch_id BIGINT, item BIGINT")
-            .option("maxFilesPerTrigger", files_per_trigger).parquet(folder))
+    The path is given as a pattern that matches itself, as the file source takes a table of
+    a single file only by a pattern.
+    """
+    files = files_per_trigger or max(1, spark.sparkContext.defaultParallelism)
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+            .parquet(f"{path[:-1]}[{path[-1]}]"))
+
+
+def text_items(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """A stream of text lines, one integer each, as ``(item)``; the micro-batch is the batch."""
+    return parse_items(lines, value_col)
+
+
+def epoch_batches(df: DataFrame, epoch_id: int) -> DataFrame:
+    """Bare items of one micro-batch as ``(batch_id, item)``; data batches stay as they are."""
+    return df if "batch_id" in df.columns else df.select(F.lit(epoch_id).cast("bigint").alias("batch_id"), "item")
 
 
-def partials_of(batch: DataFrame, left: int, right: int) -> DataFrame:
-    """Both partials of one micro-batch as one table, so one job writes them:
-    ``kind='len'``: (batch_id, a=n, b=n_in); ``kind='hist'``: (batch_id, item, a=freq)."""
-    lengths = batch_lengths(batch, left, right).select(
-        F.lit("len").alias("kind"), "batch_id", F.lit(None).cast("bigint").alias("item"),
-        F.col("n").alias("a"), F.col("n_in").cast("bigint").alias("b"))
-    hist = batch_partials(batch, left, right).select(
-        F.lit("hist").alias("kind"), "batch_id", "item", F.col("freq").alias("a"),
-        F.lit(None).cast("bigint").alias("b"))
-    return lengths.unionByName(hist)
+def partials_of(batch: DataFrame, left: int | None, right: int | None) -> DataFrame:
+    """Both partials of one micro-batch from one aggregation: ``kind='len'``: (batch_id, a=n,
+    b=n_in); ``kind='hist'``: (batch_id, item, a=freq) inside the interval (None: no bound)."""
+    inside = F.lit(True) if left is None or right is None else in_interval(F.col("item"), left, right)
+    counts = (batch.groupBy("batch_id", "item").agg(F.count(F.lit(1)).alias("freq"))
+              .withColumn("inside", F.coalesce(inside, F.lit(False))))
+    none = F.lit(None).cast("bigint")
+    rows = counts.select(F.inline(F.array(
+        F.struct(F.lit("len").alias("kind"), "batch_id", none.alias("item"), F.col("freq").alias("a"),
+                 F.when(F.col("inside"), F.col("freq")).otherwise(0).alias("b")),
+        F.struct(F.when(F.col("inside"), "hist").otherwise("out").alias("kind"), "batch_id", "item",
+                 F.col("freq").alias("a"), none.alias("b")))))
+    return (rows.where("kind <> 'out'").groupBy("kind", "batch_id", "item")
+            .agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A folder of epochs with a known schema; no rows where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_lengths(spark: SparkSession, out: str) -> DataFrame:
     """``(batch_id, n, n_in)`` over all epochs written under ``out``."""
-    return (spark.read.parquet(f"{out}/partials").where(F.col("kind") == "len")
+    return (_read(spark, f"{out}/partials", PARTIALS).where(F.col("kind") == "len")
             .groupBy("batch_id").agg(F.sum("a").alias("n"), F.sum("b").alias("n_in")))
 
 
 def read_histogram_partials(spark: SparkSession, out: str) -> DataFrame:
     """``(batch_id, item, freq)`` over all epochs written under ``out``."""
-    return (spark.read.parquet(f"{out}/partials").where(F.col("kind") == "hist")
+    return (_read(spark, f"{out}/partials", PARTIALS).where(F.col("kind") == "hist")
             .select("batch_id", "item", F.col("a").alias("freq")))
 
 
-def cut_decided(spark: SparkSession, lengths: DataFrame, threshold: int) -> bool:
-    """Whether the lengths seen so far already fix the set of batches the cut keeps."""
-    per = lengths.select("batch_id", "n")
-    pre = preceding_sum(per.withColumn("one", F.lit(1)), "one").withColumnRenamed("preceding", "seen")
-    pre = preceding_sum(pre, "n")
-    hit = pre.where((F.col("seen") == F.col("batch_id")) & (F.col("preceding") < F.lit(threshold))
-                    & (F.col("preceding") + F.col("n") >= F.lit(threshold)))
-    return len(hit.limit(1).collect()) > 0
+class Cut:
+    """The threshold rule over a growing stream, as a state table per epoch.
 
-
-class CutTracker:
-    """Driver-side state of the threshold rule, O(1) per batch in arrival order.
-
-    Batch ids are dense from 0 and every batch arrives whole (one staged file holds
-    whole batches). ``frontier`` is the first id not yet seen, ``before`` the items of
-    all batches below it; batches that arrive ahead of the frontier wait in
-    ``pending``. Past ``max_pending`` waiting batches the tracker gives up and the
-    caller falls back to ``cut_decided`` on the partials table.
+    A data batch is whole once it has ``batch_rows`` items; without that number only bare
+    streams, whose batch is the micro-batch, can stop early, and others run to their end.
     """
 
-    def __init__(self, threshold: int, max_pending: int = 100_000):
-        self.threshold = threshold
-        self.max_pending = max_pending
-        self.frontier = 0
-        self.before = 0
-        self.pending: dict[int, int] = {}
-        self.decided = False
-        self.overflow = False
-
-    def add(self, lengths: list[tuple[int, int]]) -> bool:
-        for batch_id, n in lengths:
-            self.pending[batch_id] = self.pending.get(batch_id, 0) + n
-        while not self.decided and self.frontier in self.pending:
-            n = self.pending.pop(self.frontier)
-            if self.before < self.threshold <= self.before + n:
-                self.decided = True
-            self.before += n
-            self.frontier += 1
-        self.overflow = len(self.pending) > self.max_pending
-        return self.decided
+    def __init__(self, out: str, threshold: int, batch_rows: int | None = None):
+        self.out, self.threshold, self.batch_rows = out, threshold, batch_rows
+
+    def advance(self, spark: SparkSession, lengths: DataFrame, epoch_id: int, bare: bool) -> bool:
+        """Write the state after ``epoch_id``, whose ``lengths`` are (batch_id, n); whether the
+        crossing batch is whole."""
+        states = _read(spark, f"{self.out}/state", STATE).where(F.col("epoch") < epoch_id)
+        last = states.agg(F.max("epoch")).first()[0]
+        old = states.where(F.col("epoch") == last) if last is not None else states
+        mark = old.where("frontier").first()
+        # A bare stream's epochs are its batches: one without items is an empty batch.
+        frontier, before = (mark.batch_id, mark.n) if mark else (0, 0)
+        pending = (old.where("NOT frontier").select("batch_id", "n")
+                   .unionByName(lengths.select("batch_id", "n")).groupBy("batch_id").agg(F.sum("n").alias("n")))
+        if bare:
+            new = pending.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.lit(epoch_id + 1).alias("next")).first()
+            done, crossed, rest = new.next, before < self.threshold <= before + new.n, None
+            before += new.n
+        else:
+            rows = preceding_sum(pending.withColumn("one", F.lit(1)), "one").withColumnRenamed("preceding", "nth")
+            rows = preceding_sum(rows).withColumn("whole", F.col("n") >= F.lit(self.batch_rows))
+            gap = rows.where(~F.col("whole") | (F.col("batch_id") != F.lit(frontier) + F.col("nth")))
+            stop = gap.agg(F.min("batch_id")).first()[0]
+            ready = rows if stop is None else rows.where(F.col("batch_id") < stop)
+            after = F.lit(before) + F.col("preceding")
+            new = ready.agg(
+                F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                F.coalesce(F.max((after < self.threshold) & (after + F.col("n") >= self.threshold)), F.lit(False))
+                .alias("crossed")).first()
+            done, crossed, before = frontier + new.k, new.crossed, before + new.n
+            rest = pending.where(F.col("batch_id") >= done)
+        state = spark.createDataFrame([(True, done, before)], "frontier BOOLEAN, batch_id BIGINT, n BIGINT")
+        if rest is not None:
+            state = state.unionByName(rest.select(F.lit(False).alias("frontier"), "batch_id", "n"))
+        state.write.mode("overwrite").parquet(f"{self.out}/state/epoch={epoch_id}")
+        return bool(crossed)
 
 
 class PartialWriter:
-    """``foreachBatch`` callback writing per-batch partials of one micro-batch."""
-
-    def __init__(self, out: str, left: int, right: int, threshold: int | None = None):
-        self.out = out
-        self.left = left
-        self.right = right
-        self.threshold = threshold
-        self.tracker = CutTracker(threshold) if threshold is not None else None
+    """``foreachBatch`` callback writing the partials, and the cut's state, of one micro-batch."""
+
+    def __init__(self, out: str, left: int | None, right: int | None, threshold: int | None = None,
+                 batch_rows: int | None = None):
+        self.out, self.left, self.right = out, left, right
+        self.cut = Cut(out, threshold, batch_rows) if threshold is not None else None
         self.done = threading.Event()
         self.error: BaseException | None = None
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         try:
             if self.done.is_set():
-                return  # the cut is decided: later batches are skipped, as in the reference
-            path = f"{self.out}/partials/epoch={epoch_id}"
-            partials_of(df, self.left, self.right).write.mode("overwrite").partitionBy("kind").parquet(path)
-            if self.tracker is not None:
-                spark = df.sparkSession
-                # one row per batch of this micro-batch: bounded by the trigger size
-                rows = [(r.batch_id, r.n) for r in
-                        spark.read.parquet(f"{path}/kind=len").select("batch_id", F.col("a").alias("n")).collect()]
-                decided = self.tracker.add(rows)
-                if self.tracker.overflow and not decided:
-                    decided = cut_decided(spark, read_lengths(spark, self.out), self.threshold)
-                if decided:
+                return  # the cut is decided: later batches are skipped
+            path, spark, bare = f"{self.out}/partials/epoch={epoch_id}", df.sparkSession, "batch_id" not in df.columns
+            (partials_of(epoch_batches(df, epoch_id), self.left, self.right)
+             .write.mode("overwrite").parquet(path))
+            if self.cut is not None and (bare or self.cut.batch_rows):
+                lengths = (_read(spark, path, PARTIALS.rpartition(",")[0]).where("kind = 'len'")
+                           .select("batch_id", F.col("a").alias("n")))
+                if self.cut.advance(spark, lengths, epoch_id, bare):
                     self.done.set()
         except BaseException as exc:  # surfaced by run_query
             self.error = exc
@@ -143,7 +170,7 @@ class PartialWriter:
 
 
 def run_query(writer, stop: threading.Event | None = None, poll: float = 0.2) -> None:
-    """Run a started query to its end (availableNow) or until ``stop`` is set."""
+    """Run a query to its end (availableNow) or until ``stop`` is set."""
     query = writer.start()
     try:
         while query.isActive:
@@ -159,65 +186,62 @@ def run_query(writer, stop: threading.Event | None = None, poll: float = 0.2) ->
             query.stop()
 
 
-def stream_partials(stream: DataFrame, out: str, left: int, right: int,
-                    threshold: int | None = None) -> PartialWriter:
+def stream_partials(stream: DataFrame, out: str, left: int | None = None, right: int | None = None,
+                    threshold: int | None = None, batch_rows: int | None = None,
+                    trigger: dict = AVAILABLE_NOW) -> PartialWriter:
     """Run ``stream`` writing lengths and histogram partials under ``out``."""
-    sink = PartialWriter(out, left, right, threshold)
+    sink = PartialWriter(out, left, right, threshold, batch_rows)
     writer = (stream.writeStream.foreachBatch(sink)
-              .option("checkpointLocation", f"{out}/_checkpoint")
-              .trigger(availableNow=True))
+              .option("checkpointLocation", f"{out}/_checkpoint").trigger(**trigger))
     run_query(writer, sink.done)
     if sink.error is not None:
         raise sink.error
     return sink
 
 
-def stream_sketch_cells(stream: DataFrame, out: str, depth: int, width: int, left: int,
-                        right: int, seed: int | None = 0, p: int = DEFAULT_PRIME) -> str:
-    """Stateful count sketch of the interval items; the final cells land in ``out/cells``."""
+def stream_sketch_cells(stream: DataFrame, out: str, depth: int, width: int, left: int | None = None,
+                        right: int | None = None, seed: int | None = 0, p: int = DEFAULT_PRIME,
+                        trigger: dict = AVAILABLE_NOW) -> DataFrame:
+    """Stateful count sketch of the items (in the interval, if one is given): ``(row, col, c)``."""
     rows = draw_sketch_rows(depth, seed, p)
-    upd = (stream.where(in_interval(F.col("item"), left, right))
-           .select("item", F.inline(F.array(*sketch_rows_column(rows))))
+    if left is not None and right is not None:
+        stream = stream.where(in_interval(F.col("item"), left, right))
+    upd = (stream.select("item", F.inline(F.array(*sketch_rows_column(rows))))
            .select("row", sketch_col(F.col("item"), F.col("ah"), F.col("bh"), width, p).alias("col"),
                    sketch_sign(F.col("item"), F.col("ag"), F.col("bg"), p).alias("sign")))
     cells = upd.groupBy("row", "col").agg(F.sum("sign").cast("bigint").alias("c"))
 
     def write_cells(df: DataFrame, epoch_id: int) -> None:
-        # complete mode: the whole (bounded, D x W) table each epoch, replacing the last
-        df.write.mode("overwrite").parquet(f"{out}/cells")
+        # Complete mode: the whole (bounded, D x W) table in a folder of its epoch, so that
+        # a crash while writing leaves the last whole one.
+        df.write.mode("overwrite").parquet(f"{out}/cells/epoch={epoch_id}")
 
-    writer = (cells.writeStream.outputMode("complete").foreachBatch(write_cells)
-              .option("checkpointLocation", f"{out}/_checkpoint")
-              .trigger(availableNow=True))
-    run_query(writer)
-    return f"{out}/cells"
+    run_query(cells.writeStream.outputMode("complete").foreachBatch(write_cells)
+              .option("checkpointLocation", f"{out}/_checkpoint").trigger(**trigger))
+    spark = stream.sparkSession
+    written = _read(spark, f"{out}/cells", "row INT, col BIGINT, c BIGINT, epoch BIGINT")
+    last = written.agg(F.max("epoch").alias("e")).scalar()
+    return written.where(F.col("epoch") == last).drop("epoch")
 
 
-def stream_distinct(stream: DataFrame, out: str) -> str:
-    """Distinct items of a stream appended to a parquet sink at ``out/items``."""
-    writer = (stream.select("item").dropDuplicates(["item"])
-              .writeStream.outputMode("append").format("parquet")
-              .option("path", f"{out}/items")
-              .option("checkpointLocation", f"{out}/_checkpoint")
-              .trigger(availableNow=True))
-    run_query(writer)
-    return f"{out}/items"
-
+def stream_distinct(stream: DataFrame, out: str, trigger: dict = AVAILABLE_NOW) -> DataFrame:
+    """Distinct items of a stream, appended to a parquet sink at ``out/items``.
 
-# Rows per staged file, hence per micro-batch (one file per trigger).
-ROWS_PER_FILE = 10_000_000
-
-
-def staged_stream(batched: DataFrame, name: str, files: int,
-                  rows_per_file: int = ROWS_PER_FILE) -> tuple[DataFrame, str]:
-    """Stage ``batched`` in a fresh shared folder and open it as a stream.
-
-    At least ``files`` files, and more as the table grows, so that no micro-batch
-    holds more than about ``rows_per_file`` rows (one scalar count decides it).
+    State holds one key per distinct item; for very many set the RocksDB state store.
     """
-    spark = batched.sparkSession
-    base = work_dir(spark, name)
-    n = batched.count()
-    files = max(files, -(-n // rows_per_file))
-    stage_batches(batched, f"{base}/input", files)
-    return read_stream(spark, f"{base}/input"), base
+    run_query(stream.select("item").dropDuplicates(["item"])
+              .writeStream.outputMode("append").format("parquet")
+              .option("path", f"{out}/items").option("checkpointLocation", f"{out}/_checkpoint")
+              .trigger(**trigger))
+    return _read(stream.sparkSession, f"{out}/items", "item BIGINT")
+
+
+def stream_distinct_report(stream: DataFrame, out: str, threshold: int, batch_rows: int | None = None,
+                           trigger: dict = AVAILABLE_NOW) -> DataFrame:
+    """``(items, distinct_items, largest_item)`` of the batches the threshold keeps."""
+    spark = stream.sparkSession
+    stream_partials(stream, out, threshold=threshold, batch_rows=batch_rows, trigger=trigger)
+    kept = prefix_cutoff(read_lengths(spark, out), threshold)
+    hist = merge_partials(read_histogram_partials(spark, out), kept)
+    return hist.agg(F.coalesce(F.sum("freq"), F.lit(0)).cast("bigint").alias("items"),
+                    F.count(F.lit(1)).alias("distinct_items"), F.max("item").alias("largest_item"))
