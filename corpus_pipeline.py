@@ -11,23 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trisk.llm import decontaminate, mixing, quality_forest, simhash, token_files
-from trisk.llm.store import materialize, work_path
+from trisk.llm.store import materialize, ship, work_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules or the isolation forest reject go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return quality_forest.keep_good(docs, quality_forest.fit(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates stays, the one of the smallest id."""
+    ship(spark)
     return simhash.deduplicate(docs)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated by benchmark passages go."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    benchmark = ship(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.drop_contaminated(docs, benchmark)
 
 
@@ -38,7 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-ID files of the mix; one row per document as read back from them."""
-    return token_files.token_files(docs, work_path(spark, "pipeline-tokens"))
+    return token_files.token_files(docs, work_path(ship(spark), "pipeline-tokens"))
 
 
 STAGES = [("quality rules", quality), ("simhash near-dedup", near_duplicates),

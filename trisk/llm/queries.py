@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from trisk.llm import (decontaminate, license_rules, line_templates, mixing, quality_forest, simhash, style_tree,
                        suffix_dedup, token_files, token_spans)
-from trisk.llm.store import work_path
+from trisk.llm.store import ship, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
-from collections.abc import Callable, Iterator
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +33,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the Python workers of any cluster, once per context:
+    its sources are put into the shared folder as one archive and handed to Spark."""
+    context = spark.sparkContext
+    if not getattr(context, "trisk_shipped", False):
+        package = Path(__file__).resolve().parents[1]
+        archive = io.BytesIO()
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, f"{package.name}/{source.relative_to(package)}")
+        path = context._jvm.org.apache.hadoop.fs.Path(work_path(spark, "code") + ".zip")
+        stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+        stream.write(archive.getvalue())
+        stream.close()
+        context.addPyFile(path.toString())
+        context.trisk_shipped = True
+    return spark
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of at most ``STEP`` rows with the texts of ``column`` (null: empty)."""
     for batch in batches:
@@ -38,11 +60,6 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tup
             yield part, [t or "" for t in part.column(part.schema.get_field_index(column)).to_pylist()]
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with the schema given as a StructType or DDL text."""
-    return df.mapInArrow(fn, schema)
-
-
 def id_field(docs: DataFrame, id_col: str, name: str | None = None) -> T.StructField:
     """The id column's own type under the output name."""
     return T.StructField(name or id_col, docs.schema[id_col].dataType, True)
