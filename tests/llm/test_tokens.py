@@ -30,8 +30,9 @@ def test_encoder_equals_the_library(texts):
 def test_encoder_tables_start_anew(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_PIECES", 2)
     monkeypatch.setattr(bpe, "MAX_WORDS", 2)
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", 9)  # texts are handled in several parts
     enc = bpe.Encoder(bpe.default_vocab())
-    for text in ("one two three, four.", "two five six", "one <|endoftext|> two", ""):
+    for text in ("one two three, four.\nOne two", "two five six", "one <|endoftext|> two", "", "averyverylongword x"):
         assert enc.encode([text])[0].tolist() == ids_of(text)
 
 

@@ -3,24 +3,45 @@
 The byte-level pre-tokenizer always starts a new piece at a single space between two
 non-space characters, and a single newline between two non-space characters is a piece
 of its own before a fresh start. A text without adjacent white space is therefore cut
-there, every distinct piece is encoded once by the library, and the ids are laid out
-with numpy. A text with adjacent white space, at an end, or with a special token's text
-in it goes to the library whole. Both ways give the library's ids for the whole text.
+there, every distinct piece is encoded once by the library's pre-tokenizer and model, and
+the ids are laid out with numpy: pieces are found by a 64-bit hash, checked by their
+length and first eight bytes. A text with adjacent white space, at an end, or with a special
+token's text in it goes to the library whole. Both ways give the library's ids for the
+whole text.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 
 import numpy as np
 
-#: Distinct pieces kept by one Python worker before the table is started anew; a memory
-#: bound only, ids do not depend on it.
-MAX_PIECES = 300_000
+#: Distinct pieces, and distinct pre-tokens, kept by one Python worker before the tables are
+#: started anew, and bytes handled at a time; memory bounds only, ids do not depend on them.
+MAX_PIECES = 800_000
+MAX_WORDS = 400_000
+CHUNK_BYTES = 2 << 20
+#: Byte to sign of a byte-level vocabulary: printable Latin-1 bytes stand for themselves, the
+#: others, in order, for the characters from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: chr(b) for b in _PRINTABLE}
+_BYTE_SIGNS |= {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _BYTE_SIGNS)}
+_SPACE, _NEWLINE = _BYTE_SIGNS[32], _BYTE_SIGNS[10]
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0  -     　]")
 
+_ODD = np.random.default_rng(2).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+
+
+@functools.lru_cache(maxsize=2)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
 
 class Encoder:
     """Encodes lists of texts into one flat id array and a length per text."""
@@ -30,14 +51,16 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocab_path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.word_ids: dict[str, tuple[int, ...]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.empty(1 << 20, dtype=np.int32)
-        self.starts = np.empty(1 << 18, dtype=np.int64)
-        self.sizes = np.empty(1 << 18, dtype=np.int64)
-        self.used = 0
+        # Known pieces by ascending hash, with their check value, first id and number of ids.
+        self.hashes = np.empty(0, dtype=np.uint64)
+        self.checks = np.empty(0, dtype=np.uint64)
+        self.starts = np.empty(0, dtype=np.int64)
+        self.sizes = np.empty(0, dtype=np.int64)
+        self.flat = np.empty(0, dtype=np.int32)
 
     def _whole(self, text: str) -> bool:
         """Whether the text must be encoded in one call."""
@@ -45,57 +68,120 @@ class Encoder:
                 or " \n" in text or "\n " in text or _OTHER_SPACE.search(text) is not None
                 or any(s in text for s in self.specials))
 
-    def _learn(self, pieces: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(
-            [p if p[0] == "\n" else " " + p for p in pieces], add_special_tokens=False)
-        for piece, enc in zip(pieces, encoded):
-            ids = enc.ids
-            at, n = len(self.index), len(ids)
-            if at == len(self.starts):
-                self.starts = np.resize(self.starts, 2 * at)
-                self.sizes = np.resize(self.sizes, 2 * at)
-            while self.used + n > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used:self.used + n] = ids
-            self.starts[at], self.sizes[at] = self.used, n
-            self.used += n
-            self.index[piece] = at
+    def _encode_new(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        """The ids of pieces, each with its leading space or newline: cut into pre-tokens, each
+        distinct one encoded once by the library's model. A piece of Latin-1 letters, with or
+        without a comma or full stop after them, has its pre-tokens in plain sight; the library
+        cuts all others, written one after the other."""
+        if len(self.word_ids) > MAX_WORDS:
+            self.word_ids = {}
+        known, plain, tails, others, order = self.word_ids, [], [], [], []
+        for piece in pieces:
+            core, tail = (piece[1:-1], piece[-1]) if piece[-1] in ",." else (piece[1:], "")
+            if core.isalpha() and (core.isascii() or max(core) < "Ā"):
+                order.append(len(plain))
+                plain.append(core if piece[0] == " " else "\n" + core)
+                tails.append(tail)
+            else:
+                others.append(piece)
+                order.append(-len(others))
+        if plain:
+            # A separator that no word holds; a leading newline is a pre-token of its own.
+            raw = " ".join(plain).encode().decode("latin-1").translate(_BYTE_SIGNS).split(_SPACE)
+            words = [_SPACE + w if w[0] != _NEWLINE else w[1:] for w in raw]
+        else:
+            raw = words = []
+        rest = ([w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str("".join(others))] if others else [])
+        missing = {*words, *tails, *rest, _NEWLINE}
+        missing.discard("")
+        tokenize = self.tokenizer.model.tokenize
+        for word in missing.difference(known):
+            known[word] = tuple([t.id for t in tokenize(word)])
+        known[""] = ()
+        newline = known[_NEWLINE]
+        of_plain = [known[w] + known[t] if r[0] != _NEWLINE else newline + known[w] + known[t]
+                    for r, w, t in zip(raw, words, tails)]
+        of_others: list[tuple[int, ...]] = []
+        for w in rest:  # a pre-token that starts with a space or newline starts a piece
+            if w[0] == _SPACE or w[0] == _NEWLINE:
+                of_others.append(())
+            of_others[-1] += known[w]
+        return [of_plain[k] if k >= 0 else of_others[-k - 1] for k in order]
+
+    def _lookup(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places in the tables of the pieces [start, end) of a buffer, learning new ones."""
+        raw = np.frombuffer(buffer, dtype=np.uint8)
+        n = len(raw)
+        room = max(n, 2 * CHUNK_BYTES)
+        sums = np.concatenate([np.zeros(1, np.uint64),
+                               np.cumsum(_ODD[raw] * _powers(_BASE, room)[:n], dtype=np.uint64)])
+        sizes = (ends - starts).astype(np.uint64)
+        h = (sums[ends] - sums[starts]) * _powers(pow(_BASE, -1, 1 << 64), room)[starts]
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + sizes
+        padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+        head = np.ndarray((n + 1,), dtype=">u8", buffer=padded, strides=(1,))[starts].astype(np.uint64)
+        head >>= (np.uint64(64) - np.minimum(sizes, np.uint64(8)) * np.uint64(8))
+        check = head * np.uint64(_BASE) + sizes
+        distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
+        which, own = which.reshape(-1), check[first]
+        at = np.searchsorted(self.hashes, distinct)
+        held = at < len(self.hashes)
+        held[held] = self.hashes[at[held]] == distinct[held]
+        if (own[which] != check).any() or (self.checks[at[held]] != own[held]).any():
+            raise ArithmeticError("two pieces of one hash")
+        new = np.flatnonzero(~held)
+        if len(new):
+            a, b = starts[first[new]].tolist(), ends[first[new]].tolist()
+            ids = self._encode_new([buffer[x:y].decode() for x, y in zip(a, b)])
+            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            flat = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(counts.sum()))
+            where = at[new]
+            self.hashes = np.insert(self.hashes, where, distinct[new])
+            self.checks = np.insert(self.checks, where, own[new])
+            self.starts = np.insert(self.starts, where, len(self.flat) + np.cumsum(counts) - counts)
+            self.sizes = np.insert(self.sizes, where, counts)
+            self.flat = np.concatenate([self.flat, flat])
+            at = np.searchsorted(self.hashes, distinct)
+        return at[which]
+
+    def _encode_cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of texts that may be cut at their white space."""
+        buffer = "".join(["\n" + t for t in texts]).encode()
+        raw = np.frombuffer(buffer, dtype=np.uint8)
+        starts = np.flatnonzero((raw == 32) | (raw == 10))
+        ends = np.append(starts[1:], len(raw))
+        doc_at = np.cumsum([0] + [len(t.encode()) + 1 for t in texts])
+        parts, sizes, k = [], [], 0
+        while k < len(starts):
+            to = max(k + 1, int(np.searchsorted(ends, starts[k] + CHUNK_BYTES, side="right")))
+            low = int(starts[k])
+            if len(self.hashes) > MAX_PIECES:
+                self._reset()
+            at = self._lookup(buffer[low:int(ends[to - 1])], starts[k:to] - low, ends[k:to] - low)
+            n, first = self.sizes[at], self.starts[at]
+            upto = np.cumsum(n)
+            parts.append(self.flat[np.arange(upto[-1]) + np.repeat(first - (upto - n), n)])
+            sizes.append(n)
+            k = to
+        flat, upto = np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        bounds = upto[np.searchsorted(starts, doc_at)]
+        # The newline put before every text is its first id; it goes.
+        return np.delete(flat, bounds[:-1]), np.diff(bounds) - 1
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids int32, ids per text int64)."""
-        if len(self.index) > MAX_PIECES:
-            self._reset()
-        pieces: list[str] = []
-        counts, whole = [], {}
-        for i, text in enumerate(texts):
-            if self._whole(text):
-                whole[i] = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
-                counts.append(0)
-            else:
-                cut = ("\n" + text).replace("\n", " \n").split(" ")
-                counts.append(len(cut) - 1)
-                pieces += cut[1:]
-        missing = set(pieces).difference(self.index)
-        if missing:
-            self._learn(list(missing))
-        at = np.fromiter(map(self.index.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        sizes, starts = self.sizes[at], self.starts[at]
-        ends = np.cumsum(sizes)
-        flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
-        piece_ends = np.concatenate([[0], ends])[np.cumsum(counts, dtype=np.int64)] if counts else np.empty(0, np.int64)
-        lengths = np.diff(piece_ends, prepend=0)
-        # The newline put before every text is its first id; it goes.
-        keep = np.ones(len(flat), dtype=bool)
-        cut_texts = lengths > 0
-        keep[(piece_ends - lengths)[cut_texts]] = False
-        flat, lengths = flat[keep], lengths - cut_texts
+        whole = {i: np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=np.int32)
+                 for i, t in enumerate(texts) if self._whole(t)}
+        cut = [t for i, t in enumerate(texts) if i not in whole]
+        flat, lengths = self._encode_cut(cut) if cut else (np.empty(0, np.int32), np.empty(0, np.int64))
         if not whole:
             return flat, lengths
-        parts, at = [], 0
-        for i, n in enumerate(lengths.tolist()):
-            parts.append(whole[i] if i in whole else flat[at:at + n])
+        pieces, at, each = [], 0, iter(lengths.tolist())
+        for i in range(len(texts)):
+            n = 0 if i in whole else next(each)
+            pieces.append(whole[i] if i in whole else flat[at:at + n])
             at += n
-        return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+        return np.concatenate(pieces), np.array([len(p) for p in pieces], dtype=np.int64)
 
     def byte_lengths(self) -> np.ndarray:
         """UTF-8 bytes of each id's token (a byte-level vocabulary writes one character a byte)."""
@@ -107,7 +193,7 @@ class Encoder:
 
     def leading_space(self) -> np.ndarray:
         """White-space bytes each token begins with; 0 where it is nothing else."""
-        space = {"Ġ", "Ċ", "ĉ", "č", "ċ", "Č"}  # byte-level signs of the ASCII white space bytes
+        space = {_BYTE_SIGNS[b] for b in b" \n\t\r\x0b\x0c"}
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         out = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for token, i in vocab.items():
