@@ -2,7 +2,7 @@
 
 Sub-packages:
   functions  column expressions for the hash families (colours, sketch columns, signs)
-  sources    edge lists, the co-purchase graph and item streams read from tables
+  sources    edge lists, the order graph and item streams read from tables
   operators  graph orientation, triangle counts and estimates, count sketch, batch tables
   streaming  the same operators on Structured Streaming micro-batches
   plans      the registered queries over the test tables and their SQL oracles
