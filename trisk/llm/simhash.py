@@ -269,7 +269,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, fp, component_id): one row per document with its component's smallest id."""
     signed = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash")
     labelled = materialize(label_documents(signed, max_bits), "simhash-labels")
-    least = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    # Written first, so that the join reads two plain shuffles and a hot component can be split.
+    least = materialize(labelled.groupBy("label").agg(F.min("doc_id").alias("component_id")), "simhash-least")
     return labelled.join(least, "label").select("doc_id", "fp", "component_id")
 
 
