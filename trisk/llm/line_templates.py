@@ -124,7 +124,8 @@ def cluster(lines: DataFrame) -> DataFrame:
 
 def _dealt(lines: DataFrame, leaf_lines: int) -> DataFrame:
     """(leaf, line) with ``part``: leaves over ``leaf_lines`` distinct lines are cut by a hash of the line."""
-    sizes = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    # Written first, so that the join reads two plain shuffles and a hot leaf can be split.
+    sizes = materialize(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")), "leaf-sizes")
     parts = F.ceil(F.col("n") / F.lit(leaf_lines)).cast("bigint")
     return lines.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("line"), parts).alias("part"), "line")
 
@@ -167,8 +168,9 @@ def recurring_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN
     keyed = materialize(first.join(second, ["leaf", "template"])
                         .select("leaf", "line_hash", F.xxhash64("final").alias("template")), "line-templates")
     found = places.join(keyed, ["leaf", "line_hash"]).select("doc", "number", "leaf", "template")
-    often = (found.select("leaf", "template", "doc").distinct().groupBy("leaf", "template")
-             .agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs).select("leaf", "template"))
+    often = materialize(found.select("leaf", "template", "doc").distinct().groupBy("leaf", "template")
+                        .agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
+                        .select("leaf", "template"), "recurring-templates")
     return (found.join(often, ["leaf", "template"]).groupBy("doc")
             .agg(F.collect_set("number").alias("lines")))
 
