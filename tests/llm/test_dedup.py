@@ -268,6 +268,30 @@ def test_split_leaves_give_the_same_recurring_lines(spark):
         assert {r.text for r in LT.drop_lines(frame, leaf_lines=leaf_lines).collect()} == {""}
 
 
+def test_hot_leaves_are_parsed_whole(spark):
+    """Many templates in one leaf, six lines each: the same drops whatever leaf_lines is."""
+    names = ["".join("abcdefghij"[int(c)] for c in f"{k:03d}") for k in range(120)]
+    made = [(k * 6 + j, f"Note of the {w}x {w}y {w}z {w}u {'abcdef'[j]}end") for k, w in enumerate(names) for j in range(6)]
+    made += [(1000 + k, f"Footer of site {'klmnop'[k]} all about our many goods {'uvwxyz'[k]}") for k in range(6)]
+    made += [(2000 + k, f"{k} {k} {k} {'abcdefghij'[k % 10]} {k}") for k in range(40)]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    want = check_lines(frame, LT.MIN_DOCS)
+    assert want > 0
+    for leaf_lines in (1, 10, LT.LEAF_LINES):
+        got = LT.drop_lines(frame, leaf_lines=leaf_lines).collect()
+        assert sum(r.n_dropped for r in got) == want
+        assert not any(r.text for r in got if 1000 <= r.doc_id < 2000)
+
+
+def test_indexed_leaves_equal_scanned_ones():
+    rng = np.random.default_rng(3)
+    lines = sorted({" ".join(["the", *("abcde"[x] if x < 5 else LT.ANY for x in rng.integers(0, 6, 7))]) for _ in range(3000)})
+    scanned, indexed = LT.Leaf(8), LT.Leaf(8, leaf_lines=3)
+    scanned.leaf_lines = len(lines)
+    assert [scanned.add(x) for x in lines] == [indexed.add(x) for x in lines]
+    assert scanned.templates() == indexed.templates() and indexed.places
+
+
 def test_lines_of_nothing(empty, nothing_but_nulls):
     assert LT.drop_lines(empty).collect() == []
     assert [tuple(r) for r in LT.drop_lines(nothing_but_nulls).collect()] == [(None, 0, 0, "")] * 3

@@ -11,11 +11,14 @@ Documents with the same text count as one, so copies of a whole document do not
 lines boilerplate.
 
 Distribution. Only leaves that several documents reach are looked at; their distinct
-generalised lines are dealt by leaf and, where a leaf has more than ``LEAF_LINES`` of them,
-by a hash of the line as well, so no task holds a whole hot leaf. Templates of such parts
-that are equal, or similar by the same rule in a second round over templates, become one.
-Lines are taken in text order, so the result is the same at every run. The two joins that
-move text are merge joins at every size, so that small inputs plan like large ones.
+generalised lines are dealt by leaf, since any line may join a template of any other one. Only
+lines with fewer fixed tokens than a join asks for, which stay alone, are dealt by themselves.
+A line is compared with all templates of its leaf; beyond ``LEAF_LINES`` of them, an index of
+tokens by position leaves out those that cannot be similar enough, which changes no result. A
+task holds the distinct lines of its largest leaf. Templates that are equal, or similar by the
+same rule in a second round over templates, become one. Lines are taken in text order, so the
+result is the same at every run. The two joins that move text are merge joins at every size,
+so that small inputs plan like large ones.
 
 Defined cases: null or empty text has no lines; lines without words are never dropped; null
 or repeated ids and repeated rows are judged alike; an empty table gives no rows.
@@ -23,6 +26,7 @@ or repeated ids and repeated rows are judged alike; an empty table gives no rows
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -37,8 +41,10 @@ from trisk.llm.store import materialize, text_batches
 DEPTH = 3
 SIMILARITY = 0.6
 MIN_DOCS = 6
-#: Distinct lines of one leaf that are compared with each other at most.
+#: Templates of one leaf from which on an index picks those to compare; no bound on either.
 LEAF_LINES = 2000
+#: Rows of one batch that a task hands on.
+BATCH_ROWS = 4096
 ANY = "<*>"
 _DIGIT = re.compile(r"\d")
 
@@ -63,71 +69,103 @@ def _hash(text: str) -> int:
 
 
 class Leaf:
-    """The templates of one leaf part, as token codes; -1 stands for any token."""
+    """The templates of one leaf, as token codes; -1 stands for any token."""
 
-    def __init__(self, n_tokens: int, similarity: float = SIMILARITY):
+    def __init__(self, n_tokens: int, similarity: float = SIMILARITY, leaf_lines: int = LEAF_LINES):
         self.need = similarity * n_tokens
+        self.leaf_lines = leaf_lines
         self.codes: dict[str, int] = {ANY: -1}
         self.rows = np.empty((4, n_tokens), dtype=np.int64)
         self.n = 0
+        # By (position, code) the templates that started or were indexed with it.
+        self.places: dict[tuple[int, int], list[int]] | None = None
 
     def add(self, line: str) -> int:
         """Number of the template that the line joins or starts."""
-        row = np.array([self.codes.setdefault(t, len(self.codes)) for t in line.split(" ")], dtype=np.int64)
-        if self.n:
-            held = self.rows[:self.n]
+        codes = [self.codes.setdefault(t, len(self.codes)) for t in line.split(" ")]
+        row = np.array(codes, dtype=np.int64)
+        near = self._near(codes)
+        held = self.rows[:self.n] if near is None else self.rows[near]
+        if len(held):
             same = ((held == row) & (held >= 0)).sum(axis=1)
             best = int(same.argmax())
             # Lines without any fixed token are alike if their signs are.
-            if same[best] >= self.need or (held == row).all(axis=1)[best]:
-                held[best][held[best] != row] = -1
+            if same[best] >= self.need or (held[best] == row).all():
+                best = best if near is None else int(near[best])
+                self.rows[best][self.rows[best] != row] = -1
                 return best
         if self.n == len(self.rows):
             self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
         self.rows[self.n] = row
         self.n += 1
+        if self.places is not None:
+            self._index(self.n - 1, codes)
         return self.n - 1
 
+    def _index(self, number: int, codes: list[int]) -> None:
+        for at, code in enumerate(codes):
+            if code >= 0:
+                self.places.setdefault((at, code), []).append(number)
+
+    def _near(self, codes: list[int]) -> np.ndarray | None:
+        """The templates that a line can join, in order; None for all.
+
+        One with ``need`` tokens of the line's f fixed ones has at least one of any
+        f - need + 1 of them, so the rarest of those are looked up. Templates only lose
+        tokens, so none is missed.
+        """
+        if self.n <= self.leaf_lines:
+            return None
+        if self.places is None:
+            self.places = {}
+            for number, row in enumerate(self.rows[:self.n].tolist()):
+                self._index(number, row)
+        lists = sorted((self.places.get((at, code), ()) for at, code in enumerate(codes) if code >= 0), key=len)
+        lists = [x for x in lists[:max(len(lists) - math.ceil(self.need) + 1, 0)] if x]
+        return np.unique(np.concatenate(lists)) if lists else np.empty(0, dtype=np.int64)
+
     def templates(self) -> list[str]:
         """The templates' text."""
         names = {code: token for token, code in self.codes.items()}
         return [" ".join(names[c] for c in row) for row in self.rows[:self.n].tolist()]
 
 
-def cluster(lines: DataFrame) -> DataFrame:
-    """(leaf, part, line) rows, distinct, to (leaf, line_hash, line, template): each line's template."""
+def cluster(lines: DataFrame, leaf_lines: int = LEAF_LINES) -> DataFrame:
+    """(leaf, line) rows, distinct, to (leaf, line_hash, line, template): each line's template."""
 
     def run(batches):
-        key, leaf, members = None, None, []
+        key, leaf, members, out = None, None, [], []
 
         def done():
             texts = leaf.templates()
-            columns = ([key[0]] * len(members), [_hash(m) for m, _ in members], [m for m, _ in members],
-                       [texts[k] for _, k in members])
+            out.extend((key[0], _hash(m), m, texts[k]) for m, k in members)
+
+        def made():
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)],
-                                              names=["leaf", "line_hash", "line", "template"])
+            for at in range(0, len(out), BATCH_ROWS):
+                columns = zip(*out[at:at + BATCH_ROWS])
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)],
+                                                 names=["leaf", "line_hash", "line", "template"])
+            out.clear()
 
         for batch in batches:
-            for leaf_key, part, line in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if (leaf_key, part) != key:
+            for leaf_key, alone, line in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if (leaf_key, alone) != key:
                     if members:
-                        yield done()
-                    key, leaf, members = (leaf_key, part), Leaf(line.count(" ") + 1), []
+                        done()
+                    if len(out) >= BATCH_ROWS:
+                        yield from made()
+                    key, leaf, members = (leaf_key, alone), Leaf(line.count(" ") + 1, leaf_lines=leaf_lines), []
                 members.append((line, leaf.add(line)))
         if members:
-            yield done()
-
-    return (lines.select("leaf", "part", "line").repartition("leaf", "part")
-            .sortWithinPartitions("leaf", "part", "line").mapInArrow(run, "leaf long, line_hash long, line string, template string"))
-
+            done()
+        yield from made()
 
-def _dealt(lines: DataFrame, leaf_lines: int) -> DataFrame:
-    """(leaf, line) with ``part``: leaves over ``leaf_lines`` distinct lines are cut by a hash of the line."""
-    # Written first, so that the join reads two plain shuffles and a hot leaf can be split.
-    sizes = materialize(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")), "leaf-sizes")
-    parts = F.ceil(F.col("n") / F.lit(leaf_lines)).cast("bigint")
-    return lines.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("line"), parts).alias("part"), "line")
+    # A line with fewer fixed tokens than a join asks for neither joins nor is joined.
+    tokens = F.split("line", " ")
+    alone = F.when(F.size(F.array_remove(tokens, ANY)) < F.lit(SIMILARITY) * F.size(tokens), F.xxhash64("line"))
+    return (lines.select("leaf", alone.alias("alone"), "line").repartition("leaf", "alone")
+            .sortWithinPartitions("leaf", "alone", "line").mapInArrow(run, "leaf long, line_hash long, line string, template string"))
 
 
 def text_key(text_col: str) -> Column:
@@ -162,8 +200,8 @@ def recurring_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN
                              "doc long, number long, leaf long, line_hash long, line string")
              .select("leaf", "line").join(shared.hint("merge"), "leaf", "left_semi"))
     lines = materialize(texts.distinct(), "leaf-lines")
-    first = materialize(cluster(_dealt(lines, leaf_lines)), "templates")
-    second = (cluster(_dealt(first.select("leaf", F.col("template").alias("line")).distinct(), leaf_lines))
+    first = materialize(cluster(lines, leaf_lines), "templates")
+    second = (cluster(first.select("leaf", F.col("template").alias("line")).distinct(), leaf_lines)
               .select("leaf", F.col("line").alias("template"), F.col("template").alias("final")))
     keyed = materialize(first.join(second, ["leaf", "template"])
                         .select("leaf", "line_hash", F.xxhash64("final").alias("template")), "line-templates")
