@@ -42,6 +42,20 @@ def test_prefix_sum_keeps_repeated_ids_and_columns(spark):
     assert B.preceding_sum(df.where("n < 0")).collect() == []
 
 
+def test_prefix_sum_packs_no_rows(spark):
+    df = spark.range(3000).selectExpr("id * 5 - 700 AS batch_id", "id % 9 AS n", "repeat('x', 50) AS x")
+    out = B.preceding_sum(df, block=8)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Join" not in plan
+    # Every window but the last level's is dealt by blocks.
+    assert plan.count("Window [") >= 2 * B.PREFIX_LEVELS - 1
+    total, want = 0, []
+    for i in range(3000):
+        want.append((i * 5 - 700, i % 9, "x" * 50, total))
+        total += i % 9
+    assert sorted(map(tuple, out.collect())) == want
+
+
 def test_partials_merge_is_the_histogram_of_kept_batches(spark):
     bt = batched_events(events(spark))
     kept = B.prefix_cutoff(B.batch_lengths(bt, 10, 100), 5000)

@@ -18,7 +18,7 @@ from trisk.operators.sketch import in_interval
 
 # Ids per block of one level of the running sum.
 PREFIX_BLOCK = 4096
-# Levels of blocks: no window holds more than PREFIX_BLOCK rows up to PREFIX_BLOCK^3 batches.
+# Levels of blocks: no window holds more than PREFIX_BLOCK ids up to PREFIX_BLOCK^3 batches.
 PREFIX_LEVELS = 3
 
 
@@ -34,32 +34,40 @@ def preceding_sum(lengths: DataFrame, value: str = "n", order: str = "batch_id",
     """``lengths`` plus ``preceding``: sum of ``value`` over all rows of smaller ``order``
     (rows of one ``order`` in any order among themselves).
 
-    The rows of a block of ids are packed into one row with their sum, blocks into blocks
-    of blocks, and the running totals are handed down while unpacking: one read of
-    ``lengths``, no join, and no window or task over all batches.
+    Every row takes the sum before it inside its block of ids, and the last one of a block
+    adds a row with the block's total; totals are summed by blocks of blocks in the same way,
+    and each hands what comes before it down to its block. One read of ``lengths``, no join,
+    no list of rows, and no window or task over all batches.
     """
-    whole = F.struct(*lengths.columns)
-    level = lengths.select(F.col(order).alias("_id"), F.col(value).alias("_sum"), whole.alias("_row"))
-    for _ in range(PREFIX_LEVELS - 1):
-        level = (level.groupBy(F.floor(F.col("_id") / F.lit(block)).cast("bigint").alias("_id"))
-                 .agg(F.sum("_sum").alias("_up"), F.sort_array(F.collect_list(F.struct("_id", "_sum", "_row")))
-                      .alias("_row"))
-                 .withColumnRenamed("_up", "_sum"))
-    # The top level has one row per block^2 ids.
-    before = Window.orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
-    level = level.select("_row", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
-    for _ in range(PREFIX_LEVELS - 1):
-        level = _unpacked(level)
-    return level.select("_row.*", F.col("_off").cast("bigint").alias("preceding"))
-
-
-def _unpacked(level: DataFrame) -> DataFrame:
-    """(_row: packed children, _off) to (_row, _off) of every child, offsets running."""
-    ends = F.expr("aggregate(_row, array(cast(_off AS bigint)), (acc, x) -> "
-                  "concat(acc, array(cast(element_at(acc, -1) + x._sum AS bigint))))")
-    return (level.withColumn("_ends", ends)
-            .select(F.posexplode("_row").alias("_at", "_child"), "_ends")
-            .select(F.col("_child._row").alias("_row"), F.get("_ends", F.col("_at")).alias("_off")))
+    level = lengths.select(F.lit(0).alias("_level"), F.col(order).alias("_id"), F.col(value).cast("bigint").alias("_sum"),
+                           F.lit(0).cast("bigint").alias("_off"), F.struct(*lengths.columns).alias("_row"))
+    up = F.floor(F.col("_id") / F.lit(block)).cast("bigint")
+    for k in range(PREFIX_LEVELS):
+        # Rows of other levels pass by, each keyed by its own id. The top level has one row
+        # per block^2 ids.
+        own = F.col("_level") == k
+        top = k == PREFIX_LEVELS - 1
+        level = level.withColumn("_key", F.when(own, F.lit(0).cast("bigint") if top else up).otherwise(F.col("_id").cast("bigint")))
+        within = Window.partitionBy("_level", "_key").orderBy("_id")
+        before = F.coalesce(F.sum("_sum").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        last = F.lead(F.lit(1)).over(within).isNull()
+        level = level.select("_level", "_id", "_sum", "_row", "_key", F.when(own, before).otherwise(F.col("_off")).alias("_off"),
+                             (own & last).alias("_last"))
+        if not top:
+            total = F.col("_off") + F.coalesce(F.col("_sum"), F.lit(0))
+            row = F.struct(F.col("_level"), F.col("_id"), F.col("_sum"), F.col("_off"), F.col("_row"))
+            block_row = F.struct(F.lit(k + 1).alias("_level"), F.col("_key").alias("_id"), total.alias("_sum"),
+                                 F.lit(0).cast("bigint").alias("_off"), F.when(F.lit(False), F.col("_row")).alias("_row"))
+            level = (level.select(F.explode(F.when(F.col("_last"), F.array(row, block_row)).otherwise(F.array(row))).alias("_it"))
+                     .select("_it.*"))
+    for k in reversed(range(PREFIX_LEVELS - 1)):
+        own, above = F.col("_level") == k, F.col("_level") == k + 1
+        level = (level.withColumn("_key", F.when(own, up).otherwise(F.col("_id").cast("bigint")))
+                 .withColumn("_group", F.when(above, k).otherwise(F.col("_level"))))
+        handed = F.max(F.when(above, F.col("_off"))).over(Window.partitionBy("_group", "_key"))
+        level = (level.withColumn("_off", F.when(own, F.col("_off") + handed).otherwise(F.col("_off")))
+                 .filter(F.col("_level") <= k))
+    return level.select("_row.*", F.col("_off").alias("preceding"))
 
 
 def prefix_cutoff(lengths: DataFrame, threshold: int) -> DataFrame:
