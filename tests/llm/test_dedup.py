@@ -292,6 +292,19 @@ def test_indexed_leaves_equal_scanned_ones():
     assert scanned.templates() == indexed.templates() and indexed.places
 
 
+def test_long_lines_recur_from_two_documents(spark, tmp_path):
+    from trisk.llm.queries import QUERIES
+    long, digits = (" ".join(f"{w}{'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}" for k in range(51)) for w in "xy")
+    digits = " ".join(w if k % 2 else f"{w}{k}" for k, w in enumerate(digits.split()))
+    short = " ".join(long.split()[1:])
+    made = [(1, f"{long}\n{short}\n{digits}\none"), (2, f"two\n{digits}\n{short}\n{long}"), (3, f"{long} more\nthree")]
+    spark.createDataFrame(made, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.kept_sha256 for r in QUERIES["op10_line_templates"](spark, str(tmp_path)).collect()}
+    # Lines of 50 words, or with fewer fixed ones, still need MIN_DOCS documents.
+    want = {1: f"{short}\n{digits}\none", 2: f"two\n{digits}\n{short}", 3: f"{long} more\nthree"}
+    assert got == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in want.items()}
+
+
 def test_lines_of_nothing(empty, nothing_but_nulls):
     assert LT.drop_lines(empty).collect() == []
     assert [tuple(r) for r in LT.drop_lines(nothing_but_nulls).collect()] == [(None, 0, 0, "")] * 3

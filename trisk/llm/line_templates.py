@@ -5,7 +5,9 @@ its first ``DEPTH`` tokens, tokens with a digit generalised to ``<*>``. In a lea
 compared with the leaf's templates position by position: a line joins the most similar
 template if at least ``SIMILARITY`` of the positions hold the same fixed token, and positions
 that differ become ``<*>``; otherwise it starts a template. Templates that occur in at least
-``MIN_DOCS`` different documents are boilerplate, and all their lines are dropped.
+``MIN_DOCS`` different documents are boilerplate, and all their lines are dropped. Short lines
+can meet by chance, long ones do not: with ``long_docs``, templates of more than ``LONG_TOKENS``
+fixed tokens recur from that many documents on.
 
 Documents with the same text count as one, so copies of a whole document do not make its
 lines boilerplate.
@@ -41,6 +43,8 @@ from trisk.llm.store import materialize, text_batches
 DEPTH = 3
 SIMILARITY = 0.6
 MIN_DOCS = 6
+LONG_TOKENS = 50
+LONG_DOCS = 2
 #: Templates of one leaf from which on an index picks those to compare; no bound on either.
 LEAF_LINES = 2000
 #: Rows of one batch that a task hands on.
@@ -162,19 +166,23 @@ def cluster(lines: DataFrame, leaf_lines: int = LEAF_LINES) -> DataFrame:
         yield from made()
 
     # A line with fewer fixed tokens than a join asks for neither joins nor is joined.
-    tokens = F.split("line", " ")
-    alone = F.when(F.size(F.array_remove(tokens, ANY)) < F.lit(SIMILARITY) * F.size(tokens), F.xxhash64("line"))
+    alone = F.when(fixed_tokens("line") < F.lit(SIMILARITY) * F.size(F.split("line", " ")), F.xxhash64("line"))
     return (lines.select("leaf", alone.alias("alone"), "line").repartition("leaf", "alone")
             .sortWithinPartitions("leaf", "alone", "line").mapInArrow(run, "leaf long, line_hash long, line string, template string"))
 
 
+def fixed_tokens(line: str) -> Column:
+    """Tokens of a column of generalised lines or templates that are not ``<*>``."""
+    return F.size(F.array_remove(F.split(line, " "), ANY))
+
+
 def text_key(text_col: str) -> Column:
     """The document a row counts as: its text."""
     return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
 
 
 def recurring_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS,
-                    leaf_lines: int = LEAF_LINES) -> DataFrame:
+                    leaf_lines: int = LEAF_LINES, long_docs: int | None = None) -> DataFrame:
     """(doc, lines): by text key, the numbers of the lines whose template recurs."""
     rows = docs.select(text_key(text_col).alias("doc"), F.col(f"`{text_col}`").alias("text"))
 
@@ -204,19 +212,21 @@ def recurring_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN
     second = (cluster(first.select("leaf", F.col("template").alias("line")).distinct(), leaf_lines)
               .select("leaf", F.col("line").alias("template"), F.col("template").alias("final")))
     keyed = materialize(first.join(second, ["leaf", "template"])
-                        .select("leaf", "line_hash", F.xxhash64("final").alias("template")), "line-templates")
-    found = places.join(keyed, ["leaf", "line_hash"]).select("doc", "number", "leaf", "template")
-    often = materialize(found.select("leaf", "template", "doc").distinct().groupBy("leaf", "template")
-                        .agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
+                        .select("leaf", "line_hash", F.xxhash64("final").alias("template"),
+                                (fixed_tokens("final") > LONG_TOKENS).alias("long")), "line-templates")
+    found = places.join(keyed, ["leaf", "line_hash"]).select("doc", "number", "leaf", "template", "long")
+    enough = F.when(F.col("long"), min_docs if long_docs is None else long_docs).otherwise(min_docs)
+    often = materialize(found.select("leaf", "template", "long", "doc").distinct().groupBy("leaf", "template", "long")
+                        .agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= enough)
                         .select("leaf", "template"), "recurring-templates")
     return (found.join(often, ["leaf", "template"]).groupBy("doc")
             .agg(F.collect_set("number").alias("lines")))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
-               leaf_lines: int = LEAF_LINES) -> DataFrame:
+               leaf_lines: int = LEAF_LINES, long_docs: int | None = None) -> DataFrame:
     """(doc_id, n_lines, n_dropped, text): every document without its recurring lines."""
-    marks = materialize(recurring_lines(docs, text_col, min_docs, leaf_lines), "recurring-lines")
+    marks = materialize(recurring_lines(docs, text_col, min_docs, leaf_lines, long_docs), "recurring-lines")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                        text_key(text_col).alias("doc")).join(marks.hint("merge"), "doc", "left").select(
         "doc_id", "text", "lines")

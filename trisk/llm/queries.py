@@ -74,7 +74,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of recurring templates, as a digest."""
-    found = line_templates.drop_lines(_table(spark, sf_dir, "documents"))
+    found = line_templates.drop_lines(_table(spark, sf_dir, "documents"), long_docs=line_templates.LONG_DOCS)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
