@@ -93,6 +93,41 @@ def test_labels(text, labels):
     assert [r.label for _, _, r in L.detections(text)] == labels
 
 
+WRAPPED = [
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("gpl-2.0", "under the terms of the GNU General Public License, version 2"),
+    ("cc-by-sa", "Creative Commons Attribution ShareAlike 4.0"), ("reserved", "All rights reserved"),
+    ("permission-notice", "Permission is hereby granted, free of charge"), ("no-warranty", "provided as is"),
+    ("copyright", "Copyright (c) 2020"), ("mit", "released under the MIT License"),
+]
+
+
+@pytest.mark.parametrize("label, text", WRAPPED)
+@pytest.mark.parametrize("gap", ["\n", "  ", "\r\n\t", "\n * ", "\n# ", "\n//", " */\n/* ", "\n *\n * ", "\u00a0"])
+def test_wrapped_texts_match_like_plain_ones(label, text, gap):
+    plain = L.detections(f"x {text} y")
+    assert label in {r.label for _, _, r in plain}
+    wrapped = f"İx\n\n{text.replace(' ', gap)} y"
+    found = L.detections(wrapped)
+    assert [r.order for _, _, r in found] == [r.order for _, _, r in plain]
+    for (a, b, _), (x, y, _) in zip(found, plain):
+        assert wrapped[a:b] == f"x {text} y"[x:y].replace(" ", gap)
+
+
+@pytest.mark.parametrize("label, text", [("copyright", "©2020 by us"), ("copyright", "Copyright2021"), ("mit", "the “MIT License” —"),
+                                         ("apache-2.0", "—Apache License 2.0—"), ("reserved", "©all rights reserved®")])
+def test_glued_texts_pass_the_gate(label, text):
+    assert label in {r.label for _, _, r in L.detections(text)}
+
+
+def test_every_license_rule_matches_wrapped_and_glued_text():
+    for label, tags, name, keyword, address in L.LICENSES:
+        tag = tags.split("|")[0].replace("\\", "")
+        tag = re.sub(r"\(.*?\)\??|\[(.).*?\]\??", r"\1", tag)
+        for text in (f"SPDX-License-Identifier:\n{tag}", f"“SPDX-License-Identifier: {tag}”"):
+            assert L.detections(text), (label, text)
+
+
 def test_contained_detections_are_suppressed():
     text = "distributed under the terms of the GNU General Public License version 2 " * 50
     found = L.detections(text)

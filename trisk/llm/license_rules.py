@@ -1,9 +1,11 @@
 """License scans: ordered signature rules gated by keywords, overlaps resolved by priority.
 
-The rules are regular expressions over lower-cased text: for each license its name, its
-short tag, its address and phrases of grant, plus general notices. A text is reduced once
-to words; an Aho-Corasick scan over the keywords tells which rules can match at all, and
-only those are run, over the whole text. Detections are then taken in order of priority,
+The rules are regular expressions over lower-cased text in which every run of white space,
+with the comment signs at the ends of lines in it, is one space: for each license its name,
+its short tag, its address and phrases of grant, plus general notices. That text is reduced
+to words; an Aho-Corasick scan over the keywords, inside words too, tells which rules can
+match at all, and only those are run, over the whole text. Places of detections are those of
+the original text. Detections are then taken in order of priority,
 length and position, and one that lies inside a taken one is suppressed.
 
 Besides, base phrases are counted wherever their words stand consecutively; their labels
@@ -107,6 +109,8 @@ FORMS = (
     (30, 0.7, r"\b(?:NAME)[ -](?:open source |public )?licen[sc]e\b"),
     (28, 0.7, r"\blicen[sc]e ?[:=] ?[\"']?(?:the )?(?:NAME)\b"),
 )
+#: White space to be read as one space, with comment signs that end or start lines in it.
+_GAP = re.compile(r"(?:[ \t]+[*#;%/]+)?[^\S\n]*\n(?:\s*(?://+|/\*+|\*+/?|#+|;+|--+|%+|>+|!+|dnl\b|rem\b))*\s*|\s{2,}|[^\S ]")
 #: Names that say "license" or a version themselves also count alone.
 _ALONE = re.compile(r"licen\[sc\]e|\bcc|gpl|cecill|eupl|wtfpl|unlicense")
 
@@ -151,7 +155,9 @@ def _gates():
     by_word: dict[str, list[Rule]] = {}
     for rule in rules():
         for k in rule.keywords:
-            by_word.setdefault(normal_form(k).decode("latin-1"), []).append(rule)
+            word = normal_form(k).decode("latin-1")
+            # A rule may match inside a word or next to signs that count as part of one; (c) stands alone.
+            by_word.setdefault(word if len(k) == 1 and k.isascii() else word.strip(" "), []).append(rule)
     machine = ahocorasick.Automaton()
     for k, own in by_word.items():
         machine.add_word(k, own)
@@ -159,14 +165,31 @@ def _gates():
     return machine
 
 
-def detections(text: str, hay: bytes | None = None) -> list[tuple[int, int, Rule]]:
-    """Kept detections (start, end, rule) in the lower-cased text, in position order."""
-    hay = normal_form(text) if hay is None else hay
-    able = {r.order: r for _, own in _gates().iter(hay.decode("latin-1")) for r in own}
-    if not able:
-        return []
+def flattened(text: str) -> tuple[str, list[int], list[int]]:
+    """The lower-cased text with single spaces for gaps, and where its pieces start: in it, in the text."""
     low = text.lower()
-    found = [(m.start(), m.end(), r) for r in able.values() for m in r.pattern.finditer(low)]
+    if len(low) != len(text):
+        low = "".join(c.lower()[0] for c in text)
+    pieces, flat_at, text_at, end, size = [], [0], [0], 0, 0
+    for m in _GAP.finditer(low):
+        pieces.append(low[end:m.start()])
+        size += m.start() - end + 1
+        end = m.end()
+        flat_at.append(size)
+        text_at.append(end)
+    return " ".join([*pieces, low[end:]]), flat_at, text_at
+
+
+def detections(text: str) -> list[tuple[int, int, Rule]]:
+    """Kept detections (start, end, rule) in the text, in position order."""
+    flat, flat_at, text_at = flattened(text)
+    able = {r.order: r for _, own in _gates().iter(normal_form(flat).decode("latin-1")) for r in own}
+
+    def place(at: int) -> int:
+        k = bisect.bisect_right(flat_at, at) - 1
+        return text_at[k] + at - flat_at[k]
+
+    found = [(place(m.start()), place(m.end() - 1) + 1, r) for r in able.values() for m in r.pattern.finditer(flat)]
     found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[2].order, d[0]))
     kept: list[tuple[int, int, Rule]] = []
     starts: list[int] = []  # of kept ones, sorted; reach: how far those from a start go
@@ -214,7 +237,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             for text in texts:
                 hay = normal_form(text)
                 base = base_places(hay)
-                kept = detections(text, hay)
+                kept = detections(text)
                 words = [w for w, _ in base]
                 own = {label for _, label in base}
                 out.append((hay.count(b" ") - 1, len(base), min(words, default=None), max(words, default=None),
