@@ -26,6 +26,23 @@ def test_text_of_a_page(source, text):
     assert Page(source).text() == text
 
 
+CLASSED = [
+    ("<html class='has-menu'><body class='page no-sidebar comments-closed'><article>a</article></body></html>", "a"),
+    ("<body class='comments'><div class=menu>m</div><p>kept</p></body>", "kept"),
+    ("<article class='post has-comments'><p>a</p><div class='post-comments'>c</div></article>", "a"),
+    ("<main class='with-menu' id=search><p>a</p></main>", "a"), ("<div class='no-sidebar'><p>a</p></div>", "a"),
+    ("<div class='layout sidebar'><main><p>a</p></main></div>", "a"), ("<div id='left-sidebar'><article>a</article></div>", "a"),
+    ("<div class='left-sidebar'><article>teaser</article></div><article>a</article>", "a"),
+    ("<div class='comments'><article>c</article></div><p>a</p>", "a"),
+    ("<div class='social-history'>a</div><div class=social>s</div><div class='top-menu'>m</div>", "a"),
+]
+
+
+@pytest.mark.parametrize("source, text", CLASSED)
+def test_names_of_pages_and_articles_are_no_noise(source, text):
+    assert Page(source).text() == text
+
+
 def site(n, host="site.example"):
     """Pages of one template: every page has the same box in its article, and its own text."""
     return [(k, f"http://{host}/p{k}", f"<html><body><article><h1>T{k}</h1><div class=box>Written by our <i>staff</i>"

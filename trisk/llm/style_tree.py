@@ -12,7 +12,10 @@ classes, and it counts, over the host's distinct pages, which sequences of child
 A node on at least ``MIN_PAGES`` distinct pages with importance under ``MIN_IMPORTANCE`` is
 cut from every page of the host with all that is below it. Elements that can hold no main
 text by their kind (menus, headers, footers, sidebars, forms, scripts, adverts, notices,
-reader comments) have importance 0 from the start. Where a page has an article or main
+reader comments) have importance 0 from the start; a class or id tells that by its whole name
+or its last part (not ``no-sidebar`` or ``has-menu``), never for html, body and main, and for an
+article by its whole name alone. If no article or main element is left on a page, such names
+do not count for what encloses one (whole names only do not for main). Where a page has an article or main
 element, the main text is inside it.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
@@ -63,6 +66,11 @@ newsletter subscribe share sharing social related comment comments commentlist d
 pagination pager widget toolbar skip""".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 MAIN_TAGS = frozenset(("article", "main"))
+PAGE_TAGS = frozenset(("html", "body", "main"))
+#: First parts of names that tell what a page has, not what an element is.
+STATES = frozenset("no not has have with without is".split())
+#: Why an element is noise: by the last part of a name, by a whole name, by its tag or attributes.
+BY_PART, BY_NAME, BY_KIND = 1, 2, 3
 
 _TOKEN = re.compile(r"""<!--(?s:.*?)(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""")
@@ -76,25 +84,35 @@ def host_of(url: Column) -> Column:
     return F.xxhash64(F.lower(F.regexp_extract(F.trim(F.coalesce(url, F.lit(""))), HOST, 1)))
 
 
-def _sign(tag: str, attrs: str) -> tuple[str, bool]:
-    """(tag with its classes, whether the element is noise by its kind)."""
+def _named(value: str) -> int:
+    """Whether class or id names tell noise: 0, ``BY_PART`` or ``BY_NAME``."""
+    kind = 0
+    for parts in map(_NAME.findall, value.split()):
+        if parts and parts[-1] in NOISE_WORDS and parts[0] not in STATES:
+            kind = max(kind, BY_NAME if len(parts) == 1 else BY_PART)
+    return kind
+
+
+def _sign(tag: str, attrs: str) -> tuple[str, int]:
+    """(tag with its classes, why the element is noise; 0 if it is not)."""
     if not attrs or attrs.isspace():
-        return tag, tag in NOISE_TAGS
-    noise, classes = tag in NOISE_TAGS, ""
+        return tag, BY_KIND if tag in NOISE_TAGS else 0
+    kind, named, classes = BY_KIND if tag in NOISE_TAGS else 0, 0, ""
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            words = _NAME.findall(value)
-            noise = noise or not NOISE_WORDS.isdisjoint(words)
+            named = max(named, _named(value))
             if name == "class":
                 classes = "." + ".".join(sorted(value.split()))
         elif name == "role":
-            noise = noise or value in NOISE_ROLES
+            kind = BY_KIND if value in NOISE_ROLES else kind
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            noise = True
+            kind = BY_KIND
         elif name == "style":
-            noise = noise or "display:none" in value.replace(" ", "")
-    return tag + classes, noise
+            kind = BY_KIND if "display:none" in value.replace(" ", "") else kind
+    if tag in PAGE_TAGS or (tag == "article" and named == BY_PART):
+        named = 0
+    return tag + classes, max(kind, named)
 
 
 class Page:
@@ -103,11 +121,38 @@ class Page:
     def __init__(self, source: str):
         self.paths: list[str] = [""]
         self.parents: list[int] = [-1]
+        self.kinds: list[int] = [0]  # why an element itself is noise
         self.noise: list[bool] = [False]
         self.main: list[bool] = [False]
         self.texts: list[tuple[int, str]] = []  # (node, text); a block's edge is a space
         self.tags: list[str] = [""]
         self._read(source)
+        self._judge()
+        if not any(m and not x for m, x in zip(self.main, self.noise)) and self._cleared():
+            self._judge()
+
+    def _judge(self) -> None:
+        """Noise and main of every node from its own kind and its parent's."""
+        self.noise, self.main = [False], [False]
+        for tag, kind, up in zip(self.tags[1:], self.kinds[1:], self.parents[1:]):
+            # A header inside the article is its heading; elsewhere it is the site's.
+            self.main.append(self.main[up] or (tag in MAIN_TAGS and not kind and not self.noise[up]))
+            self.noise.append(self.noise[up] or kind > 0 or (tag == "header" and not self.main[up]))
+
+    def _cleared(self) -> bool:
+        """Clear noise by names from what encloses a main or article element; whether there was any."""
+        found = False
+        for k, tag in enumerate(self.tags):
+            if tag in MAIN_TAGS and not self.kinds[k]:
+                above, up = [], self.parents[k]
+                while up > 0:
+                    above.append(up)
+                    up = self.parents[up]
+                if all(self.kinds[a] <= (BY_NAME if tag == "main" else BY_PART) and self.tags[a] != "header" for a in above):
+                    found = True
+                    for a in above:
+                        self.kinds[a] = 0
+        return found
 
     def _read(self, source: str) -> None:
         stack, at, n = [0], 0, len(source)
@@ -137,16 +182,13 @@ class Page:
                     if open_tag in SCOPE:
                         break
             attrs = m[3] if m[2] else m[6]
-            signed, noise = _sign(tag, attrs or "")
+            signed, kind = _sign(tag, attrs or "")
             up = stack[-1]
             node = len(self.paths)
             self.paths.append(f"{self.paths[up]}/{signed}")
             self.parents.append(up)
             self.tags.append(tag)
-            main = self.main[up] or (tag in MAIN_TAGS and not noise and not self.noise[up])
-            # A header inside the article is its heading; elsewhere it is the site's.
-            self.noise.append(self.noise[up] or noise or (tag == "header" and not self.main[up]))
-            self.main.append(main)
+            self.kinds.append(kind)
             if tag in VOID or (attrs or "").rstrip().endswith("/"):
                 continue
             if tag in RAW:
