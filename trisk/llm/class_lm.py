@@ -4,19 +4,18 @@ Tokens are a text's words (A-Z lower-cased, cut at ASCII white space) and one en
 also stands before the first word. Words get ``CLASSES`` classes such that the class bigram
 likelihood sum(N(c, d) log N(c, d)) - 2 sum(N(c) log N(c)) is large; the model is
 
-    p(w | v) = t(c(w) | c(v)) max(n(w) - D, 0) / N(c(w)) + g(c(v)) q(w)
+    p(w | v) = t(c(w) | c(v)) n(w) / N(c(w))
 
-with transitions t smoothed by the classes' own frequencies, the discount D = n1 / (n1 + 2 n2)
-of the numbers of words seen once and twice, and g the mass that the discount leaves. Of that
-mass q gives an unseen word what its Good-Turing chance n1 / N asks for (at most ``MOST_UNSEEN``)
-and the rest to all words by n(w) + 1. p sums to 1 over all words and the unseen one. After an unseen word the classes' frequencies stand
-for the transitions. Where nothing is learned, the score is the base one.
+with transitions t from the class bigrams, smoothed by the classes' own frequencies. Unseen
+words are one class of a single word, of probability u = (n1 + 1) / (N + V + 1) everywhere
+(n1 words were seen once); t leaves that much, so p sums to 1 over all words and the unseen
+one. After an unseen word the classes' frequencies stand for the transitions.
 
 Exchange on Spark. A move of one word changes the likelihood by an amount that the class
 bigram matrix (bounded by ``CLASSES`` squared) and the word's own counts with each class give
 exactly (``gains``).
 
-1. Texts are encoded once, in blocks of about ``BLOCK_BYTES`` with a word list of their own.
+1. Texts are encoded once, in rows of about ``BLOCK_BYTES`` of text with a word list of their own.
    Only blocks' distinct words are ever joined to the vocabulary, never tokens.
 2. Words with at least 1 / ``SHARE`` of all tokens, of which there are ``SHARE`` at most at any
    size, start in classes by rank and are exchanged for ``ROUNDS`` rounds on the table of their
@@ -26,6 +25,9 @@ exactly (``gains``).
    Their counts are made per block before they are shuffled, and a word there has less than
    1 / ``SHARE`` of all tokens, so no task gets a hot word.
 
+Texts then become class sequences of a byte a token; their bigrams are the transitions, and
+their sums the scores.
+
 Vocabulary, counts, bigrams and contexts cover all training texts. Words are told apart by
 themselves in all counts; only step 3 knows them by a 64-bit hash, where two words of one
 hash would share a class.
@@ -37,7 +39,7 @@ every token is unseen; an empty table gives no rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,18 +49,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trisk.llm.store import columns, id_field, materialize
+from trisk.llm.store import columns, materialize
 
 CLASSES = 48
 ROUNDS = 8
 SHARE = 10_000
 #: Weight, in tokens, of the classes' own frequencies in a transition.
 PRIOR = 20.0
-#: Largest share of the discounted mass that goes to unseen words.
-MOST_UNSEEN = 0.9
 #: Text of one block, and tokens of a block handled at a time.
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 8 << 20
 TOKENS_AT_ONCE = 1 << 20
+#: Class sequences scored at a time.
+ROWS_AT_ONCE = 512
 #: The end token: no word has white space.
 END = "\n"
 _LOWER = bytes(range(256)).lower()
@@ -71,112 +73,110 @@ def held_out(id_column: Column) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
+class _Places(dict):
+    """Words numbered as they come, the end token first."""
+
+    def __init__(self):
+        super().__init__({END.encode(): 0})
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
+
+
+def _planes(codes: np.ndarray) -> bytes:
+    """4-byte numbers byte by byte, the bytes of one weight together: compresses well."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _codes(planes: bytes) -> np.ndarray:
+    """The numbers of ``_planes``."""
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def encode(docs: DataFrame, held: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, doc_id, held, wide, codes, words, counts): per text the places of its words in its block's
-    list, as 2- or 4-byte numbers; the first row of a block has that list (the end token first) and
-    how often each word stands in texts that are not held out."""
+    """One row per block of texts: (block, ids, held, sizes, codes, words, counts). ``sizes`` are the texts'
+    numbers of tokens, ``codes`` the places of all tokens in the block's ``words`` (the end token first),
+    ``counts`` how often each word stands in texts that are not held out."""
     rows = columns(docs, doc_id=id_col, text=text_col)
     rows = rows.select("doc_id", F.coalesce(held_out(F.col("doc_id")) if held is None else held, F.lit(False)).alias("held"),
                        F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    schema = T.StructType([T.StructField("block", T.LongType()), id_field(rows, "doc_id"),
-                           T.StructField("held", T.BooleanType()), T.StructField("wide", T.BooleanType()),
-                           T.StructField("codes", T.BinaryType()), T.StructField("words", T.ArrayType(T.StringType())),
+    schema = T.StructType([T.StructField("block", T.LongType()),
+                           T.StructField("ids", T.ArrayType(rows.schema["doc_id"].dataType)),
+                           T.StructField("held", T.ArrayType(T.BooleanType())),
+                           T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("codes", T.BinaryType()),
+                           T.StructField("words", T.ArrayType(T.StringType())),
                            T.StructField("counts", T.ArrayType(T.LongType()))])
 
-    def block(number, ids, flags, texts):
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        coded = pa.array([w for t in texts for w in t], pa.large_binary()).dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.uint32) + 1
-        n = len(coded.dictionary) + 1
-        counts = np.bincount(codes[np.repeat(~flags, sizes)], minlength=n)
-        counts[0] = int((~flags).sum())
-        wide = n > 1 << 16
-        codes = codes.astype("<u4" if wide else "<u2")
-        ends = np.cumsum(sizes)
-        words = pa.concat_arrays([pa.array([END.encode()], pa.large_binary()), coded.dictionary]).cast(pa.large_string())
-        rest = [None] * (len(texts) - 1)
+    def block(number, ids, flags, parts, words):
+        sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        codes = np.concatenate(parts)
+        counts = np.bincount(codes[np.repeat(~np.array(flags), sizes)], minlength=len(words))
+        whole = pa.concat_arrays(ids)
+        one = pa.array([0, len(whole)], pa.int32())
         return pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(texts), number)), pa.concat_arrays(ids), pa.array(flags),
-            pa.array(np.full(len(texts), wide)),
-            pa.array([codes[b - k:b].tobytes() for b, k in zip(ends.tolist(), sizes.tolist())], pa.binary()),
-            pa.array([words.to_pylist(), *rest], pa.list_(pa.string())),
-            pa.array([counts, *rest], pa.list_(pa.int64()))], names=schema.names)
+            pa.array([number]), pa.ListArray.from_arrays(one, whole), pa.array([flags]), pa.array([sizes]),
+            pa.array([_planes(codes)], pa.binary()), pa.array([[w.decode() for w in words]], pa.list_(pa.string())),
+            pa.array([counts], pa.list_(pa.int64()))], names=schema.names)
 
     def run(batches):
         number = TaskContext.get().partitionId() << 33
-        ids, flags, texts, size = [], [], [], 0
+        ids, flags, parts, words, size = [], [], [], _Places(), 0
         for batch in batches:
             for k in range(batch.num_rows):
                 raw = batch.column(2)[k].as_py()
+                tokens = raw.translate(_LOWER).split()
+                tokens.append(END.encode())
+                parts.append(np.fromiter(map(words.__getitem__, tokens), dtype=np.uint32, count=len(tokens)))
                 ids.append(batch.column(0).slice(k, 1))
                 flags.append(batch.column(1)[k].as_py())
-                texts.append(raw.translate(_LOWER).split())
                 size += len(raw)
                 if size >= block_bytes:
-                    yield block(number, ids, np.array(flags), texts)
-                    ids, flags, texts, size, number = [], [], [], 0, number + 1
-        if texts:
-            yield block(number, ids, np.array(flags), texts)
+                    yield block(number, ids, flags, parts, words)
+                    ids, flags, parts, words, size, number = [], [], [], _Places(), 0, number + 1
+        if parts:
+            yield block(number, ids, flags, parts, words)
 
     return rows.mapInArrow(run, schema)
 
 
 def block_words(encoded: DataFrame) -> DataFrame:
     """(block, code, word, n): the word lists of all blocks."""
-    return (encoded.where(F.col("words").isNotNull())
-            .select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "at"))
+    return (encoded.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "at"))
             .select("block", "code", F.col("at.words").alias("word"), F.col("at.counts").alias("n")))
 
 
-def _tokens(texts: pa.Table, train_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of a block's texts, an end token (0) after each, and their numbers of tokens."""
-    if train_only:
-        texts = texts.filter(pc.invert(texts["held"]))
-    wide = texts.num_rows > 0 and texts["wide"][0].as_py()
-    raw = [np.frombuffer(c.as_py(), dtype="<u4" if wide else "<u2") for c in texts["codes"]]
-    sizes = np.array([len(r) + 1 for r in raw], dtype=np.int64)
-    out = np.zeros(int(sizes.sum()), dtype=np.uint32)
-    inside = np.ones(len(out), dtype=bool)
-    inside[np.cumsum(sizes) - 1] = False
-    if raw:
-        out[inside] = np.concatenate(raw)
-    return out, sizes
-
-
-def _of_codes(labels: pa.Table, column: str, size: int, default: int = 0) -> np.ndarray:
-    """A label of every code of a block."""
-    codes = labels["code"].to_numpy()
-    out = np.full(max(size, int(codes.max()) + 1 if len(codes) else 0), default, dtype=np.int64)
-    out[codes] = labels[column].to_numpy()
-    return out
-
+def _training_tokens(held: list[bool], sizes: list[int], planes: bytes) -> np.ndarray:
+    """The codes of a block's texts that are not held out, one after the other; each ends with the end
+    token, which so stands before the next one (before the first one: the last one's)."""
+    codes = _codes(planes)
+    return codes[np.repeat(~np.array(held, dtype=bool), sizes)]
 
-def _with_blocks(encoded: DataFrame, labels: DataFrame, run, schema: str | T.StructType) -> DataFrame:
-    """``run(texts, labels)`` for every block: its encoded texts and the labels of its codes."""
-    texts = encoded.select("block", "doc_id", "held", "wide", "codes")
-    labels = labels.select(F.col("block").alias("of"), *[c for c in labels.columns if c != "block"])
-    return texts.groupBy("block").cogroup(labels.groupBy("of")).applyInArrow(run, schema)
 
+def frequent_pairs(encoded: DataFrame, ids: dict[str, int]) -> DataFrame:
+    """(v, w, n): how often the word of id w follows that of id v in training texts; all words without
+    an id have 0."""
+    kinds = len(ids) + 1
 
-def label_pairs(encoded: DataFrame, labels: DataFrame, kinds: int) -> DataFrame:
-    """(v, w, n): how often label w follows label v in training texts; ``labels`` has (block, code,
-    label), and codes without one have label 0."""
-
-    def run(texts, found):
-        tokens, _ = _tokens(texts, train_only=True)
-        label = _of_codes(found, "label", int(tokens.max()) + 1 if len(tokens) else 1)
-        keys, counts = [], []
-        for at in range(0, len(tokens), TOKENS_AT_ONCE):
-            here = label[tokens[at:at + TOKENS_AT_ONCE]]
-            before = np.concatenate([[label[tokens[at - 1] if at else 0]], here[:-1]])
-            key, count = np.unique(before * kinds + here, return_counts=True)
-            keys.append(key)
-            counts.append(count)
-        key = np.concatenate([*keys, np.empty(0, np.int64)])
-        return pa.table({"v": key // kinds, "w": key % kinds, "n": np.concatenate([*counts, np.empty(0, np.int64)])})
-
-    counted = _with_blocks(encoded, labels, run, "v long, w long, n long")
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                held, sizes, planes, words = (batch.column(c)[k].as_py() for c in range(4))
+                label = np.fromiter((ids.get(w, 0) for w in words), dtype=np.int64, count=len(words))
+                tokens = _training_tokens(held, sizes, planes)
+                keys, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+                for at in range(0, len(tokens), TOKENS_AT_ONCE):
+                    here = label[tokens[at:at + TOKENS_AT_ONCE]]
+                    before = np.concatenate([[label[tokens[at - 1]]], here[:-1]])  # at 0: the last one
+                    key, count = np.unique(before * kinds + here, return_counts=True)
+                    keys.append(key)
+                    counts.append(count)
+                key = np.concatenate(keys)
+                yield pa.RecordBatch.from_arrays([pa.array(key // kinds), pa.array(key % kinds),
+                                                  pa.array(np.concatenate(counts))], names=["v", "w", "n"])
+
+    counted = encoded.select("held", "sizes", "codes", "words").mapInArrow(run, "v long, w long, n long")
     return counted.groupBy("v", "w").agg(F.sum("n").alias("n"))
 
 
@@ -260,9 +260,9 @@ def _choose(words: np.ndarray, own: np.ndarray, cell: np.ndarray, n: np.ndarray,
 WORDS_AT_ONCE = 4096
 
 
-def choose_classes(contexts: DataFrame, matrix: np.ndarray, targets: int) -> DataFrame:
-    """(w, cls) from contexts (w, own, cells), where cells are pairs of a 2-byte cell and a 4-byte count and
-    a word may have many rows."""
+def choose_classes(contexts: DataFrame, matrix: np.ndarray, targets: int, kind: np.dtype) -> DataFrame:
+    """(w, cls) from contexts (w, own, cells), where cells are (cell, count) pairs of a dtype and a word
+    may have many rows."""
 
     def run(batches):
         held = (np.empty(0, np.int64),) * 4
@@ -272,8 +272,8 @@ def choose_classes(contexts: DataFrame, matrix: np.ndarray, targets: int) -> Dat
             return pa.RecordBatch.from_arrays([pa.array(words), pa.array(best.astype(np.int32))], names=["w", "cls"])
 
         for batch in batches:
-            lengths = pc.binary_length(batch.column(2)).to_numpy() // _CELL.itemsize
-            cells = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=_CELL)
+            lengths = pc.binary_length(batch.column(2)).to_numpy() // kind.itemsize
+            cells = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=kind)
             new = (np.repeat(batch.column(0).to_numpy(), lengths), np.repeat(batch.column(1).to_numpy(), lengths),
                    cells["cell"].astype(np.int64), cells["n"].astype(np.int64))
             held = tuple(np.concatenate(x) for x in zip(held, new))
@@ -290,22 +290,24 @@ def choose_classes(contexts: DataFrame, matrix: np.ndarray, targets: int) -> Dat
             .mapInArrow(run, "w long, cls int"))
 
 
-_CELL = np.dtype([("cell", "<u2"), ("n", "<u4")])
-_MOST = (1 << 32) - 1
+#: Cells and counts of one block, where words are rare, and of the whole corpus.
+SMALL = np.dtype([("cell", "u1"), ("n", "u1")])
+LARGE = np.dtype([("cell", "<u2"), ("n", "<i8")])
 
 
-def _packed(owner: np.ndarray, cell: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Cells of each owner (sorted rows) as one binary; a count over 4 bytes takes several pairs."""
-    while (n > _MOST).any():
-        over = n > _MOST
-        owner, cell = np.append(owner, owner[over]), np.append(cell, cell[over])
-        n = np.append(np.minimum(n, _MOST), n[over] - _MOST)
-        order = np.argsort(owner, kind="stable")
-        owner, cell, n = owner[order], cell[order], n[order]
-    data = np.empty(len(owner), dtype=_CELL)
-    data["cell"], data["n"] = cell, n
+def _packed(owner: np.ndarray, cell: np.ndarray, n: np.ndarray, kind: np.dtype) -> tuple[np.ndarray, pa.Array]:
+    """Cells of each owner (sorted rows) as one binary; a count that the type cannot hold takes
+    several pairs."""
+    most = np.iinfo(kind["n"]).max
+    times = np.maximum(-(-n // most), 1)
+    at = np.repeat(np.arange(len(n)), times)
+    last = np.cumsum(times) - 1
+    data = np.empty(len(at), dtype=kind)
+    data["cell"], data["n"] = cell[at], most
+    data["n"][last] = n - (times - 1) * most
+    owner = owner[at]
     first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.empty(0, int)
-    offsets = (np.append(first, len(owner)) * _CELL.itemsize).astype(np.int32)
+    offsets = (np.append(first, len(owner)) * kind.itemsize).astype(np.int32)
     return owner[first], pa.Array.from_buffers(pa.binary(), len(first),
                                                [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
@@ -341,10 +343,10 @@ def cluster_frequent(pairs: DataFrame, words: int, classes: int, rounds: int) ->
         def pack(batches):
             for batch in batches:
                 w, own, cell, n = (batch.column(k).to_numpy() for k in range(4))
-                row, packed = _packed(np.arange(len(w)), cell, n)
+                row, packed = _packed(np.arange(len(w)), cell, n, LARGE)
                 yield pa.RecordBatch.from_arrays([pa.array(w[row]), pa.array(own[row]), packed], names=["w", "own", "cells"])
 
-        moved = choose_classes(summed.mapInArrow(pack, "w long, own int, cells binary"), matrix, classes)
+        moved = choose_classes(summed.mapInArrow(pack, "w long, own int, cells binary"), matrix, classes, LARGE)
         after = now.copy()
         for r in moved.collect():  # half of the words, SHARE / 2 at most
             after[r.w] = r.cls
@@ -352,141 +354,167 @@ def cluster_frequent(pairs: DataFrame, words: int, classes: int, rounds: int) ->
     return best[1], best[2]
 
 
-def rest_contexts(encoded: DataFrame, labels: DataFrame, classes: int) -> DataFrame:
-    """(w, own, cells): contexts of all words of the class of the rest, block by block. ``labels`` has (block, code,
-    label, w), w a hash of the word."""
+def rest_contexts(encoded: DataFrame, known: dict[str, int], classes: int) -> DataFrame:
+    """(w, own, cells): contexts of all words but the ``known`` ones (word: class), block by block; w is a
+    hash of the word, and its class that of the rest."""
     kinds = classes + 1
 
-    def run(texts, found):
-        tokens, _ = _tokens(texts, train_only=True)
-        size = int(tokens.max()) + 1 if len(tokens) else 1
-        label, name = _of_codes(found, "label", size), _of_codes(found, "w", size)
-        keys = []
-        for at in range(0, len(tokens), TOKENS_AT_ONCE):
-            here = tokens[at:at + TOKENS_AT_ONCE].astype(np.int64)
-            before = np.concatenate([tokens[at - 1:at] if at else tokens[-1:], here[:-1]]).astype(np.int64)
-            end = at + len(here)
-            after = np.concatenate([here[1:], tokens[end:end + 1] if end < len(tokens) else tokens[:1]]).astype(np.int64)
-            rest = label[here] == classes
-            to_left = np.where(before == here, 2 * kinds, label[before])
-            to_right = rest & (after != here)
-            key = np.concatenate([here[rest] * (2 * kinds + 1) + to_left[rest],
-                                  here[to_right] * (2 * kinds + 1) + kinds + label[after[to_right]]])
-            keys.append(np.unique(key, return_counts=True))
-        key = np.concatenate([k for k, _ in keys] or [np.empty(0, np.int64)])
-        count = np.concatenate([c for _, c in keys] or [np.empty(0, np.int64)])
-        order = np.argsort(key, kind="stable")
-        codes, cells = _packed(key[order] // (2 * kinds + 1), key[order] % (2 * kinds + 1), count[order])
-        return pa.table({"w": name[codes], "own": pa.array(np.full(len(codes), classes, dtype=np.int32)), "cells": cells})
-
-    return _with_blocks(encoded, labels, run, "w long, own int, cells binary")
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                held, sizes, planes, words, names = (batch.column(c)[k].as_py() for c in range(5))
+                label = np.fromiter((known.get(w, classes) for w in words), dtype=np.int64, count=len(words))
+                tokens, keys = _training_tokens(held, sizes, planes), []
+                for at in range(0, len(tokens), TOKENS_AT_ONCE):
+                    here = tokens[at:at + TOKENS_AT_ONCE].astype(np.int64)
+                    end = at + len(here)
+                    before = np.append(tokens[at - 1], here[:-1]).astype(np.int64)
+                    after = np.append(here[1:], tokens[end % len(tokens)]).astype(np.int64)
+                    rest = label[here] == classes
+                    to_left = np.where(before == here, 2 * kinds, label[before])
+                    to_right = rest & (after != here)
+                    keys += [here[rest] * (2 * kinds + 1) + to_left[rest],
+                             here[to_right] * (2 * kinds + 1) + kinds + label[after[to_right]]]
+                key, count = np.unique(np.concatenate(keys or [np.empty(0, np.int64)]), return_counts=True)
+                codes, cells = _packed(key // (2 * kinds + 1), key % (2 * kinds + 1), count, SMALL)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.array(names, dtype=np.int64)[codes]),
+                    pa.array(np.full(len(codes), classes, dtype=np.int32)), cells], names=["w", "own", "cells"])
+
+    return (encoded.select("held", "sizes", "codes", "words", F.transform("words", lambda w: F.xxhash64(w)).alias("names"))
+            .mapInArrow(run, "w long, own int, cells binary"))
 
 
 # ---------------------------------------------------------------- model
 
 @dataclass
 class Model:
-    """A trained model: ``vocab`` (word, n, cls), the class bigram matrix, each class's number of
-    words, all tokens, words, those seen once, and the discount."""
+    """``vocab`` (word, n, cls), each class's tokens, and the numbers of all tokens, words, and words
+    seen once."""
 
-    vocab: DataFrame | None
-    matrix: np.ndarray
-    sizes: np.ndarray
+    vocab: DataFrame
+    totals: np.ndarray
     tokens: int
     words: int
     once: int
-    discount: float
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Transitions [class before, class], the mass left for the base [class before], and each
-        class's tokens; the class after the last one is that of an unseen word."""
-        totals = self.matrix.sum(1).astype(float)
-        frequency = totals / max(self.tokens, 1)
-        step = (self.matrix + PRIOR * frequency[None, :]) / (totals[:, None] + PRIOR)
-        step = np.vstack([step, frequency])
-        left = step @ np.where(totals > 0, self.discount * self.sizes / np.maximum(totals, 1), 0.0)
-        return step, left, totals
-
-    def back(self, n: np.ndarray) -> np.ndarray:
-        """q of words seen ``n`` times."""
-        unseen = min(MOST_UNSEEN, self.once / max(self.discount * self.words, 1e-9))
-        return np.where(n > 0, (1 - unseen) * (n + 1) / max(self.tokens + self.words, 1), unseen)
-
-
-def fit(encoded: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, share: int = SHARE) -> tuple[Model, DataFrame]:
-    """The model of the texts that are not held out, and (block, code, n, cls) of every word of every
-    block that it knows."""
-    spark, words = encoded.sparkSession, block_words(encoded)
-    vocab = materialize(words.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "lm-vocabulary")
+
+    def transitions(self, bigrams: np.ndarray) -> np.ndarray:
+        """[class before, class] from class bigrams; the last class is that of unseen words."""
+        unseen = (self.once + 1) / (self.tokens + self.words + 1)
+        frequency = self.totals / max(self.tokens, 1)
+        step = (bigrams + PRIOR * frequency) / (self.totals[:, None] + PRIOR)
+        seen = (1 - unseen) * np.vstack([step, frequency])
+        return np.hstack([seen, np.full((len(seen), 1), unseen)])
+
+
+def fit(encoded: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, share: int = SHARE) -> Model:
+    """Vocabulary and classes of the texts that are not held out."""
+    if not 1 <= classes <= 126:
+        raise ValueError("classes must be 1 to 126: a cell has one byte")
+    vocab = materialize(block_words(encoded).groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "lm-vocabulary")
     total = vocab.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
-                      F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).first()
-    frequent = (vocab.where(F.col("n") * share >= total.n).orderBy(F.desc("n"), "word").select("word")
-                .collect())  # their shares sum to 1 at most, so ``share`` rows at most
-    listed = [(r.word, k + 1) for k, r in enumerate(frequent)]
-    ids = F.broadcast(spark.createDataFrame(listed, "word string, label long"))
-    pairs = materialize(label_pairs(encoded, words.join(ids, "word").select("block", "code", "label"), len(listed) + 1),
-                        "lm-frequent-pairs")
-    found, matrix = cluster_frequent(pairs, len(listed), classes, rounds)
-    known = F.broadcast(spark.createDataFrame([(w, int(found[k])) for w, k in listed], "word string, cls int"))
-    labels = (words.join(known, "word", "left")
-              .select("block", "code", F.coalesce("cls", F.lit(classes)).cast("long").alias("label"),
-                      F.xxhash64("word").alias("w")))
-    rest = choose_classes(rest_contexts(encoded, labels, classes), matrix, classes)
+                      F.count_if(F.col("n") == 1).alias("once")).first()
+    frequent = [r.word for r in vocab.where(F.col("n") * share >= total.n).orderBy(F.desc("n"), "word")
+                .select("word").collect()]  # their shares sum to 1 at most, so ``share`` rows at most
+    pairs = materialize(frequent_pairs(encoded, {w: k + 1 for k, w in enumerate(frequent)}), "lm-frequent-pairs")
+    found, matrix = cluster_frequent(pairs, len(frequent), classes, rounds)
+    known = {w: int(found[k + 1]) for k, w in enumerate(frequent)}
+    rest = choose_classes(rest_contexts(encoded, known, classes), matrix, classes, SMALL)
     rest = materialize(rest.withColumnRenamed("cls", "rest_cls"), "lm-rest-classes")
+    frequent_classes = F.broadcast(encoded.sparkSession.createDataFrame(list(known.items()), "word string, cls int"))
     classed = materialize(
-        vocab.join(known, "word", "left").withColumn("w", F.when(F.col("cls").isNull(), F.xxhash64("word")))
+        vocab.join(frequent_classes, "word", "left").withColumn("w", F.when(F.col("cls").isNull(), F.xxhash64("word")))
         .join(rest, "w", "left").select("word", "n", F.coalesce("cls", "rest_cls").alias("cls")), "lm-classes")
-    looked = materialize(words.select("block", "code", "word").join(classed, "word").select("block", "code", "n", "cls"),
-                         "lm-block-words")
-    counts = np.zeros((classes, classes), dtype=np.int64)
-    by_class = label_pairs(encoded, looked.select("block", "code", F.col("cls").cast("long").alias("label")), classes)
-    for r in by_class.collect():  # classes squared rows at most
-        counts[r.v, r.w] = r.n
-    sizes = np.zeros(classes, dtype=np.int64)
-    for r in classed.groupBy("cls").count().collect():
-        sizes[r.cls] = r["count"]
-    discount = total.once / (total.once + 2 * total.twice) if total.once and total.twice else 0.5
-    return Model(classed, counts, sizes, int(total.n), int(total.v), int(total.once), discount), looked
-
-
-def score_blocks(encoded: DataFrame, looked: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every encoded text."""
-    step, left, totals = model.tables()
-    tokens_all, words_all, discount, unseen = model.tokens, model.words, model.discount, len(totals)
-    model = replace(model, vocab=None)  # what the tasks need of it is numbers
-    schema = T.StructType([id_field(encoded, "doc_id"), T.StructField("held_out", T.BooleanType()),
-                           *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")],
-                           *[T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]])
-
-    def run(texts, found):
-        tokens, sizes = _tokens(texts)
-        width = int(tokens.max()) + 1 if len(tokens) else 1
-        n, cls = _of_codes(found, "n", width), _of_codes(found, "cls", width, unseen)
-        base = (n + 1) / (tokens_all + words_all + 1)
-        back = model.back(n)
-        emission = np.where(n > 0, np.maximum(n - discount, 0) / np.append(np.maximum(totals, 1), 1)[cls], 0.0)
-        step_to = np.hstack([step, np.zeros((unseen + 1, 1))])
-        out = [np.zeros(len(sizes)) for _ in range(3)]
-        home = np.repeat(np.arange(len(sizes)), sizes)
-        for at in range(0, len(tokens), TOKENS_AT_ONCE):
-            here = tokens[at:at + TOKENS_AT_ONCE]
-            of, c = home[at:at + TOKENS_AT_ONCE], cls[here]
-            before = np.concatenate([[cls[tokens[at - 1] if at else 0]], c[:-1]])
-            p = base[here] if not tokens_all else step_to[before, c] * emission[here] + left[before] * back[here]
-            for sums, values in zip(out, (n[here] > 0, np.log10(base)[here], np.log10(p))):
-                sums += np.bincount(of, weights=values, minlength=len(sizes))
-        known, base_score, score = out
-        return pa.table([texts["doc_id"].combine_chunks(), texts["held"].combine_chunks(), pa.array(sizes),
-                         pa.array(np.rint(known).astype(np.int64)),
-                         pa.array(np.full(len(sizes), tokens_all, dtype=np.int64)), pa.array(base_score), pa.array(score)],
-                        names=schema.names)
-
-    return _with_blocks(encoded, looked, run, schema)
+    totals = np.zeros(classes, dtype=np.int64)
+    for r in classed.groupBy("cls").agg(F.sum("n").alias("n")).collect():
+        totals[r.cls] = r.n
+    return Model(classed, totals, int(total.n), int(total.v), int(total.once))
+
+
+def class_sequences(encoded: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, base_score, emission, classes) per text: the sum of its words' log10
+    emissions, and the class of every token as a byte."""
+    totals, tokens_all, words_all, unseen = model.totals, model.tokens, model.words, len(model.totals)
+    ids = encoded.schema["ids"].dataType.elementType
+    schema = T.StructType([T.StructField("doc_id", ids), T.StructField("held_out", T.BooleanType()),
+                           T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
+                           T.StructField("base_score", T.DoubleType()), T.StructField("emission", T.DoubleType()),
+                           T.StructField("classes", T.BinaryType())])
+
+    def run(text, found):
+        sizes, codes = np.array(text["sizes"][0].as_py(), dtype=np.int64), _codes(text["codes"][0].as_py())
+        places, width = found["code"].to_numpy(), int(codes.max()) + 1
+        n, cls = np.zeros(width, dtype=np.int64), np.full(width, unseen, dtype=np.uint8)
+        n[places], cls[places] = found["n"].to_numpy(), found["cls"].to_numpy()
+        base = np.log10((n + 1) / (tokens_all + words_all + 1))
+        emission = np.where(n > 0, np.log10(np.maximum(n, 1) / np.append(np.maximum(totals, 1), 1)[cls]), 0.0)
+        starts = np.cumsum(sizes) - sizes
+        sequence, ends = cls[codes], np.cumsum(sizes)
+        return pa.table([
+            text["ids"].combine_chunks().flatten(), text["held"].combine_chunks().flatten(), pa.array(sizes),
+            pa.array(np.add.reduceat((n > 0)[codes].astype(np.int64), starts)),
+            pa.array(np.add.reduceat(base[codes], starts)), pa.array(np.add.reduceat(emission[codes], starts)),
+            pa.array([sequence[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())], pa.binary())],
+            names=schema.names)
+
+    labels = (block_words(encoded).join(model.vocab.select("word", F.col("n").alias("seen"), "cls"), "word")
+              .select(F.col("block").alias("of"), "code", F.col("seen").alias("n"), "cls"))
+    texts = encoded.select("block", "ids", "held", "sizes", "codes")
+    return texts.groupBy("block").cogroup(labels.groupBy("of")).applyInArrow(run, schema)
+
+
+def _before(sequences: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class before, class, start of each text) over texts, each led by its own last class, the end's."""
+    sizes = np.array([len(s) for s in sequences], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    here = np.frombuffer(b"".join(sequences), dtype=np.uint8)
+    before = np.empty(len(here), dtype=np.uint8)
+    before[1:] = here[:-1]
+    before[starts] = here[starts + sizes - 1]
+    return before, here, starts
+
+
+def class_bigrams(sequences: DataFrame, classes: int) -> np.ndarray:
+    """[class before, class] over the texts that are not held out."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                before, here, _ = _before(batch.column(0).slice(at, ROWS_AT_ONCE).to_pylist())
+                key, n = np.unique(before.astype(np.int64) * classes + here, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+
+    out = np.zeros(classes * classes, dtype=np.int64)
+    counted = sequences.where("NOT held_out").select("classes").mapInArrow(run, "key long, n long")
+    for r in counted.groupBy("key").agg(F.sum("n").alias("n")).collect():  # classes squared rows at most
+        out[r.key] = r.n
+    return out.reshape(classes, classes)
+
+
+def score_sequences(sequences: DataFrame, model: Model, step: np.ndarray) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
+    logs = np.log10(np.where(step > 0, step, 1.0)).astype(float)  # no word has a class of no words
+    schema = T.StructType([*sequences.schema.fields[:5], T.StructField("transition", T.DoubleType()),
+                           T.StructField("emission", T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                before, here, starts = _before(part.column(6).to_pylist())
+                yield pa.RecordBatch.from_arrays([
+                    *[part.column(k) for k in range(5)], pa.array(np.add.reduceat(logs[before, here], starts)),
+                    part.column(5)], names=schema.names)
+
+    return sequences.mapInArrow(run, schema).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score",
+        (F.col("transition") + F.col("emission")).alias("score"))
 
 
 def score(docs: DataFrame, held: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
           classes: int = CLASSES, rounds: int = ROUNDS, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Scores of all texts by the model of those that are not ``held`` out (default: ``held_out`` of the id)."""
     encoded = materialize(encode(docs, held, id_col, text_col, block_bytes), "lm-texts")
-    model, looked = fit(encoded, classes, rounds, share)
-    return score_blocks(encoded, looked, model)
+    model = fit(encoded, classes, rounds, share)
+    sequences = materialize(class_sequences(encoded, model), "lm-sequences")
+    return score_sequences(sequences, model, model.transitions(class_bigrams(sequences, classes)))
