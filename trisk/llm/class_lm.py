@@ -58,7 +58,7 @@ SHARE = 10_000
 PRIOR = 20.0
 #: Text of one block, and tokens of a block handled at a time.
 BLOCK_BYTES = 8 << 20
-TOKENS_AT_ONCE = 1 << 20
+TOKENS_AT_ONCE = 1 << 18
 #: Class sequences scored at a time.
 ROWS_AT_ONCE = 512
 #: The end token: no word has white space.
@@ -257,7 +257,7 @@ def _choose(words: np.ndarray, own: np.ndarray, cell: np.ndarray, n: np.ndarray,
 
 
 #: Words whose gains are computed at a time.
-WORDS_AT_ONCE = 4096
+WORDS_AT_ONCE = 2048
 
 
 def choose_classes(contexts: DataFrame, matrix: np.ndarray, targets: int, kind: np.dtype) -> DataFrame:

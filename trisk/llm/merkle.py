@@ -13,7 +13,7 @@ replacement and the siblings to the right; the siblings to the left are never ha
 On Spark. Digests are built-in column expressions; only they are sorted. A range sort by
 (group, id, digest) is written once, and a node's place in its group is its row in the file
 plus the rows before that file, one prefix sum over (file, group) counts. Trees are built
-``SPAN`` = ``FANOUT`` ** ``LEVELS`` nodes at a time: a block of that many consecutive nodes is
+``FANOUT`` ** ``LEVELS`` nodes at a time: a block of that many consecutive nodes is
 one step of one task, so neither a hot group nor a large one is ever held whole, and every
 pass leaves 1/4096 of the nodes. The way back down hands each block the siblings above it,
 as one more row of that block.
@@ -36,9 +36,8 @@ from pyspark.sql import types as T
 from trisk.llm.store import id_field, materialize
 
 FANOUT = 8
-#: Tree levels built in one pass over the nodes, and nodes of one block.
+#: Tree levels built in one pass over the nodes; a block has FANOUT ** LEVELS nodes.
 LEVELS = 4
-SPAN = FANOUT ** LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 _NODES = "grp string, pos long, n long, digest string"
@@ -75,13 +74,12 @@ class Parent:
         return b"".join(self.children[:slot]), b"".join(self.children[slot + 1:])
 
 
-def subtree(digests: list[bytes], n: int) -> list[list[Parent]]:
-    """The levels over a block of consecutive nodes of a group that has ``n`` of them."""
+def subtree(digests: list[bytes], n: int, depth: int = LEVELS) -> list[list[Parent]]:
+    """The levels, ``depth`` at most, over a block of consecutive nodes of a group that has ``n`` of them."""
     levels, nodes = [], digests
-    while (n > 1) if n <= SPAN else (len(levels) < LEVELS):
-        parents = [Parent(nodes[k:k + FANOUT]) for k in range(0, len(nodes), FANOUT)]
-        levels.append(parents)
-        nodes, n = [p.digest for p in parents], -(-n // FANOUT) if n <= SPAN else n
+    while n > 1 and len(levels) < depth:
+        levels.append([Parent(nodes[k:k + FANOUT]) for k in range(0, len(nodes), FANOUT)])
+        nodes, n = [p.digest for p in levels[-1]], -(-n // FANOUT)
     return levels
 
 
@@ -101,10 +99,10 @@ def ranked(rows: DataFrame, order: list[str], name: str) -> DataFrame:
             .select(*rows.columns, (F.col("row") + F.col("shift")).alias("pos"), "n"))
 
 
-def _by_block(nodes: DataFrame) -> DataFrame:
+def _by_block(nodes: DataFrame, depth: int) -> DataFrame:
     """Nodes block by block, each block in one partition and in order of place (a block's
     way up, at place -1, first)."""
-    return (nodes.withColumn("block", F.when(F.col("pos") >= 0, F.floor(F.col("pos") / SPAN)).otherwise(F.col("block")))
+    return (nodes.withColumn("block", F.when(F.col("pos") >= 0, F.floor(F.col("pos") / FANOUT ** depth)).otherwise(F.col("block")))
             .repartition("grp", "block").sortWithinPartitions("grp", "block", "pos"))
 
 
@@ -126,38 +124,38 @@ def _batch(rows: list[dict], schema: T.StructType) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=to_arrow_schema(schema))
 
 
-def reduce_blocks(nodes: DataFrame) -> DataFrame:
-    """One node per block: (grp, pos, n, digest) of the level ``LEVELS`` above."""
+def reduce_blocks(nodes: DataFrame, depth: int = LEVELS) -> DataFrame:
+    """One node per block: (grp, pos, n, digest) of the level ``depth`` above."""
     schema = T._parse_datatype_string(_NODES)
 
     def run(batches):
         for rows in _blocks(batches):
             digests, n = [r["digest"].encode() for r in rows], rows[0]["n"]
-            levels = subtree(digests, n)
+            levels = subtree(digests, n, depth)
             top = levels[-1][0].digest if levels else digests[0]
-            yield _batch([{"grp": rows[0]["grp"], "pos": rows[0]["block"], "n": -(-n // SPAN),
+            yield _batch([{"grp": rows[0]["grp"], "pos": rows[0]["block"], "n": -(-n // FANOUT ** depth),
                            "digest": top.decode()}], schema)
 
     plain = nodes.select("grp", "pos", "n", "digest", F.lit(None).cast("long").alias("block"))
-    return _by_block(plain).mapInArrow(run, schema)
+    return _by_block(plain, depth).mapInArrow(run, schema)
 
 
-def climb(nodes: DataFrame, name: str) -> list[DataFrame]:
+def climb(nodes: DataFrame, name: str, depth: int = LEVELS) -> list[DataFrame]:
     """The nodes of every pass, from the given ones to one node per group."""
     passes = [nodes]
     while (most := passes[-1].agg(F.max("n")).first()[0]) is not None and most > 1:
-        passes.append(materialize(reduce_blocks(passes[-1]), f"{name}-pass"))
+        passes.append(materialize(reduce_blocks(passes[-1], depth), f"{name}-pass"))
     return passes
 
 
 def _descend(nodes: DataFrame, ups: DataFrame, schema: T.StructType,
-             emit: Callable[[dict, list, dict], dict]) -> DataFrame:
+             emit: Callable[[dict, list, dict], dict], depth: int) -> DataFrame:
     """``emit(row, own, up)`` for every node: its own parents inside the block, as (Parent, slot),
     and the row that holds what is above the block."""
 
     def run(batches):
         for up, *rows in _blocks(batches):
-            levels, out = subtree([r["digest"].encode() for r in rows], rows[0]["n"]), []
+            levels, out = subtree([r["digest"].encode() for r in rows], rows[0]["n"], depth), []
             up["resumed"] = [(hashlib.sha256(s["left"]), s["right"]) for s in up["up"]]
             up["beside"] = b"".join(s["left"] + s["right"] for s in up["up"])
             for at, row in enumerate(rows):
@@ -170,10 +168,10 @@ def _descend(nodes: DataFrame, ups: DataFrame, schema: T.StructType,
 
     # A block's way up is one more row of it, before its nodes.
     above = ups.select("grp", F.lit(-1).cast("long").alias("pos"), F.col("pos").alias("block"), "up", "subroot", "root")
-    return _by_block(nodes.unionByName(above, allowMissingColumns=True)).mapInArrow(run, schema)
+    return _by_block(nodes.unionByName(above, allowMissingColumns=True), depth).mapInArrow(run, schema)
 
 
-def _ways(passes: list[DataFrame], top: DataFrame) -> DataFrame:
+def _ways(passes: list[DataFrame], top: DataFrame, depth: int) -> DataFrame:
     """The way up of every block of the lowest pass, from that of each group's top."""
     schema = T._parse_datatype_string(f"grp string, pos long, {_UP}")
 
@@ -184,12 +182,12 @@ def _ways(passes: list[DataFrame], top: DataFrame) -> DataFrame:
 
     ways = top
     for nodes in reversed(passes[1:]):
-        ways = _descend(nodes, ways, schema, emit)
+        ways = _descend(nodes, ways, schema, emit, depth)
     return ways
 
 
 def manifest(docs: DataFrame, replacement: Column | None = None, fields: tuple[str, ...] = FIELDS,
-             group: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             group: str = "lang", id_col: str = "doc_id", text_col: str = "text", depth: int = LEVELS) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) per row of ``docs``.
 
     ``replacement`` is the text whose leaf is folded in place of the original one (default:
@@ -208,9 +206,9 @@ def manifest(docs: DataFrame, replacement: Column | None = None, fields: tuple[s
     nodes = ranked(leaves, ["doc_id", "digest"], "merkle")
     if nodes.isEmpty():
         return docs.sparkSession.createDataFrame([], schema)
-    by_group = climb(nodes, "merkle")
+    by_group = climb(nodes, "merkle", depth)
     subroots = ranked(by_group[-1].select(F.lit("").alias("grp"), F.col("grp").alias("of"), "digest"), ["of"], "subroots")
-    over = climb(subroots.select("grp", "pos", "n", "digest"), "root")
+    over = climb(subroots.select("grp", "pos", "n", "digest"), "root", depth)
     root = over[-1].first()["digest"]
 
     # The root's way is empty; each group's top is a node of the tree over the groups.
@@ -222,7 +220,7 @@ def manifest(docs: DataFrame, replacement: Column | None = None, fields: tuple[s
         steps = [dict(zip(("left", "right"), parent.beside(slot))) for parent, slot in own]
         return {"grp": row["of"], "pos": 0, "up": steps + up["up"], "subroot": row["digest"], "root": up["root"]}
 
-    tops = _descend(subroots, _ways(over, whole), top_schema, emit_top)
+    tops = _descend(subroots, _ways(over, whole, depth), top_schema, emit_top, depth)
 
     def emit(row, own, up):
         folded, proof = row["other"].encode(), hashlib.sha256()
@@ -238,4 +236,4 @@ def manifest(docs: DataFrame, replacement: Column | None = None, fields: tuple[s
         return {"doc_id": row["doc_id"], "leaf": row["digest"], "subroot": up["subroot"], "root": up["root"],
                 "proof_sha256": proof.hexdigest(), "folded_root": folded, "verified": folded == up["root"]}
 
-    return _descend(nodes, _ways(by_group, tops), schema, emit)
+    return _descend(nodes, _ways(by_group, tops, depth), schema, emit, depth)
