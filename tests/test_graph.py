@@ -49,7 +49,7 @@ def test_small_graphs_exact(spark, name, hot):
     lists = TR.prepare(G.canonical_edges(pairs), hot_rows=hot)
     assert TR.exact_count(lists, hot_work=hot).first()["triangles"] == tri
     for (a, b, C) in [(1, 0, 2), (5, 3, 3), (6918, 2121, 4)]:
-        assert TR.exact_by_color_triples(lists, a, b, C, hot_work=hot).first()["triangles"] == tri
+        assert TR.exact_by_color_triples(lists, a, b, C).first()["triangles"] == tri
 
 
 def test_empty_graph(spark):
@@ -165,7 +165,7 @@ def test_hub_with_a_third_of_the_edges(spark):
     for hot in (10**6, 10):   # 10: the hub's lookup is broadcast and its list salted
         lists = TR.prepare(e, hot_rows=hot, hot_keys=5)
         assert TR.exact_count(lists, hot_work=hot).first()["triangles"] == 3 * n
-        assert TR.exact_by_color_triples(lists, 17, 3, 3, hot_work=hot).first()["triangles"] == 3 * n
+        assert TR.exact_by_color_triples(lists, 17, 3, 3).first()["triangles"] == 3 * n
         hub = G.adjacency_degree(e, hot_rows=hot, hot_keys=5).where("node = 0").first()
         assert (hub.degree, hub.out_degree) == (n, 0)
 
@@ -187,3 +187,83 @@ def test_run_results_are_the_separate_runs(spark):
     want["partition", 0] = TR.partition_estimate(lists, 3, seed=2).first()["estimate"]
     want["exact", 3] = TR.exact_count(lists).first()["triangles"]
     assert got == want
+
+
+def plain_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_held_lists_are_not_shuffled_again(spark):
+    lists = TR.prepare(order_graph(spark, "0.001"), buckets=8)
+    joins = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df, moved in ((TR.exact_count(lists), 1), (TR.color_estimates(lists, [(5, 3), (6, 7)], 3), 1),
+                          (TR.partition_estimate(lists, 3), 1)):
+            # Ahead of the hubs' join, the union's first branch: its senders are dealt by dst, its lists scanned.
+            plan = plain_plan(df)
+            cold = plan[plan.index("Union"):].split("SortMergeJoin [dst", 2)[1]
+            assert cold.count("Exchange hashpartitioning(dst") == moved and "Bucketed: true" in cold
+        # An equi-join on the node alone: the senders move, the lists do not.
+        senders = lists.select(F.col("src").alias("of"), F.explode("nb").alias("dst"))
+        joined = senders.join(lists.withColumnRenamed("src", "dst"), "dst")
+        assert plain_plan(joined).count("Exchange hashpartitioning") == 1
+        want = TR.exact_count(lists).first()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joins)
+    assert TR.exact_count(lists).first() == want
+    assert TR.exact_count(lists, hot_work=5).first() == want   # hubs in a join of their own
+
+
+def test_work_is_what_lists_send(spark):
+    lists = TR.prepare(frame(spark, random_pairs(3, 30, 200))).collect()
+    want = Counter()
+    for r in lists:
+        for at, dst in enumerate(r.nb):
+            want[dst] += len(r.nb) - at - 1
+    assert {r.src: r.work for r in lists if r.work} == {k: n for k, n in want.items() if n}
+
+
+@pytest.mark.parametrize("colors", [1, 2, 3, 5])
+def test_partitioned_join_equals_the_label_form(spark, colors):
+    pairs = random_pairs(21, 50, 500)
+    lists = TR.prepare(frame(spark, pairs))
+    key = lambda r: tuple(r)
+    dealt = TR.triple_key_lists(lists, 77, 5, colors)
+    got = TR.triangles_inside_keys(dealt)
+    assert plain_plan(got).count("Exchange") == 1   # the deal by key; lists, wedges and counts stay inside
+    assert sorted(map(key, got.collect())) == sorted(map(key, TR.label_by_color_triples(lists, 77, 5, colors).collect()))
+    # A key holds its own edges only, and every edge is in its C keys.
+    hue = lambda x: ((77 * x + 5) % 8191) % colors
+    held = Counter()
+    for r in dealt.collect():
+        for dst in r.nb:
+            rest = [r.k1, r.k2, r.k3]
+            rest.remove(hue(r.src))
+            rest.remove(hue(dst))
+            held[min(r.src, dst), max(r.src, dst), r.k1, r.k2, r.k3] += 1
+    want = {(u, v, *sorted((hue(u), hue(v), i))) for u, v in {(min(p), max(p)) for p in pairs if p[0] != p[1]}
+            for i in range(colors)}
+    assert set(held) == want and set(held.values()) == {1}
+
+
+def test_triple_report_counts_copies_and_the_largest_key(spark):
+    edges = frame(spark, random_pairs(4, 40, 300))
+    per_key = [r.edges for r in TR.color_triple_counts(edges, 77, 5, 3).collect()]
+    r = TR.color_triple_report(edges, 77, 5, 3).first()
+    assert (r.edges, r.copies, r.replication, r["keys"], r.largest_key) == (
+        edges.count(), 3 * edges.count(), 3.0, len(per_key), max(per_key))
+    r = TR.color_triple_report(edges.where("u > v"), 77, 5, 3).first()
+    assert (r.edges, r.copies, r.replication, r["keys"], r.largest_key) == (0, 0, None, 0, 0)
+
+
+def test_timed_runs_give_the_mean_the_median_and_the_last(spark):
+    lists = TR.prepare(frame(spark, random_pairs(5, 40, 400)))
+    params = draw_color_params(3, 2)
+    runs = TR.timed_runs(lambda ab: TR.color_estimates(lists, [ab], 3), params)
+    rows = runs.orderBy("run").collect()
+    want = [TR.color_estimates(lists, [ab], 3).first()["estimate"] for ab in params]
+    assert [r.estimate for r in rows] == want and all(r.elapsed_ms > 0 for r in rows)
+    report = TR.timing_report(runs).first()
+    assert (report.runs, report.mean_ms) == (3, round(sum(r.elapsed_ms for r in rows) / 3))
+    assert (report.median_estimate, report.last_estimate) == (sorted(want)[1], want[2])

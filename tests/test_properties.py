@@ -23,7 +23,7 @@ def test_exact_counts_agree(spark, pairs, a, b, colors, hot):
     lists = TR.prepare(G.canonical_edges(df), hot_rows=hot)
     want = len(all_triangles(pairs))
     assert TR.exact_count(lists, hot_work=hot).first()["triangles"] == want
-    assert TR.exact_by_color_triples(lists, a, b, colors, hot_work=hot).first()["triangles"] == want
+    assert TR.exact_by_color_triples(lists, a, b, colors).first()["triangles"] == want
     # one colour: every estimate is the exact count
     assert TR.color_estimates(lists, [(a, b)], 1).first()["estimate"] == want
     assert TR.partition_estimate(lists, 1).first()["estimate"] == want

@@ -147,3 +147,18 @@ def test_second_moment_of_very_large_counts(spark):
     assert abs(grid.f2 - want) < 1e-12 and abs(grid.f2_sketch - median) < 1e-12
     report = S.report_from_histogram(hist, S.f2_exact(hist).select("items"), 3, 1000, 0, 10, 5).first()
     assert abs(report.f2 - want) < 1e-12
+
+
+def test_folded_widths_equal_their_own_cells(spark):
+    hist = S.histogram(spark.createDataFrame([(x * x % 997,) for x in range(3000)], "item bigint"))
+    grid = [(3, 12), (3, 24), (3, 6), (3, 9), (2, 24), (2, 5)]
+    assert S._base_configs(grid) == {1: [1, 0, 2], 4: [4], 3: [3], 5: [5]}
+    base = None
+    for i in S._base_configs(grid):
+        cells = S.sketch_cells(hist, *grid[i]).selectExpr(f"{i} AS cfg", "row", "col", "c")
+        base = cells if base is None else base.unionByName(cells)
+    folded = {}
+    for r in S.fold_cells(base, grid).collect():
+        folded.setdefault(r.cfg, {})[r.row, r.col] = r.c
+    for i, (d, w) in enumerate(grid):
+        assert folded[i] == {(r.row, r.col): r.c for r in S.sketch_cells(hist, d, w).collect()}

@@ -9,6 +9,7 @@ from tests.conftest import SF
 from trisk.operators import batches as B
 from trisk.operators import sketch as S
 from trisk.session import work_dir
+from trisk.sources.feed import replay_feed
 from trisk.sources.items import batched_events
 from trisk.streaming import runner as ST
 
@@ -153,3 +154,85 @@ def test_empty_streams(spark):
     assert tuple(report) == (0, 0, None)
     assert ST.stream_distinct(staged(spark, none, 1), work_dir(spark, "t-empty")).collect() == []
     assert ST.stream_sketch_cells(staged(spark, none, 1), work_dir(spark, "t-empty"), 2, 4).collect() == []
+
+
+def test_feed_is_cut_into_micro_batches_by_id(spark):
+    feed = replay_feed(batched(spark), "batch_id", 8, files_per_batch=2)
+    out = work_dir(spark, "t-feed")
+    ST.stream_partials(feed, out)
+    committed = ST.Epochs(spark, out).committed()
+    assert sorted(committed) == list(range(len(committed))) and len(committed) >= 4
+    assert sorted(B.merge_partials(ST.read_histogram_partials(spark, out)).collect()) == sorted(
+        S.histogram(batched(spark)).collect())
+    big = batched_events(spark.read.parquet(f"{SF['0.1']}/events.parquet"))
+    out = work_dir(spark, "t-feed")
+    ST.stream_partials(replay_feed(big, "batch_id", 8, files_per_batch=2), out)
+    assert len(ST.Epochs(spark, out).committed()) == 8
+    assert ST.read_lengths(spark, out).agg(F.sum("n")).first()[0] == big.count()
+
+
+def test_state_lives_across_micro_batches(spark):
+    bt, out = batched(spark), work_dir(spark, "t-across")
+    sink = ST.PartialWriter(out, None, None, threshold=6250, batch_rows=1250)
+    for epoch, ids in enumerate([(1, 3), (5, 7), (0,), (2, 6), (4,)]):   # out of order, one batch at a time ahead
+        sink(bt.where(F.col("batch_id").isin(*ids)), epoch)
+        assert sink.done.is_set() == (epoch == 4)
+    assert kept_items(spark, out, 6250) == {k: 1250 for k in range(5)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_whole_prefix_equals_a_walk(spark, seed):
+    rng = random.Random(seed)
+    first = rng.randrange(20)
+    ids = [k for k in range(60) if rng.random() < (0.98 if k < 45 else 0.5)]
+    lengths = {k: rng.randrange(1, 9) for k in ids}
+    end = first
+    while end in lengths:
+        end += 1
+    got = ST.whole_prefix(spark.createDataFrame(list(lengths.items()), SCHEMA.replace("item", "n")), first, block=4)
+    assert got == (end, sum(lengths[k] for k in range(first, end)))
+
+
+def test_a_failed_attempt_leaves_the_last_whole_one(spark, monkeypatch):
+    out = work_dir(spark, "t-failed")
+    sink = ST.PartialWriter(out, None, None, threshold=1000, batch_rows=50)
+    sink(one_batch(spark, 0, 50), 0)
+    sink(one_batch(spark, 1, 30), 1)
+    before = sorted(map(tuple, ST.read_lengths(spark, out).collect()))
+
+    def breaks(*_):
+        raise OSError("lost")
+
+    for part in (ST.Cut, "advance"), (ST.Epochs, "commit"):   # after the partials, and after the state
+        with monkeypatch.context() as m:
+            m.setattr(*part, breaks)
+            with pytest.raises(OSError):
+                ST.PartialWriter(out, None, None, threshold=1000, batch_rows=50)(one_batch(spark, 1, 50), 1)
+        assert sorted(map(tuple, ST.read_lengths(spark, out).collect())) == before
+    held = ST.read_lengths(spark, out)
+    again = ST.PartialWriter(out, None, None, threshold=1000, batch_rows=50)
+    again(one_batch(spark, 1, 50), 1)   # the replay
+    assert {r.batch_id: r.n for r in ST.read_lengths(spark, out).collect()} == {0: 50, 1: 50}
+    assert sorted(map(tuple, held.collect())) == before   # a reader keeps the epochs it opened
+    state = ST.Epochs(spark, out).read("state", ST.STATE, [1]).where("frontier").first()
+    assert (state.batch_id, state.n) == (2, 100)
+
+
+def test_distinct_goes_on_after_a_restart_with_state_off_the_heap(spark):
+    path, out = work_dir(spark, "t-input"), work_dir(spark, "t-restarted")
+
+    def add(values):
+        spark.createDataFrame([(0, v) for v in values], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+    def opened():
+        return ST.table_stream(spark, path, spark.createDataFrame([], SCHEMA).schema, 1)
+
+    add(range(40))
+    assert ST.state_rows(ST.run_distinct(opened(), out)) == 40
+    add(range(30, 70))
+    progress = ST.run_distinct(opened(), out)   # a new query on the same checkpoint
+    assert ST.state_rows(progress) == 70 and progress[-1]["batchId"] == 1
+    assert "rocksdb" in str(progress[-1]["stateOperators"][0]["customMetrics"]).lower()
+    assert sorted(r.item for r in ST._read(spark, f"{out}/items", "item BIGINT").collect()) == list(range(70))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ST.ROCKSDB[
+        "spark.sql.streaming.stateStore.providerClass"]

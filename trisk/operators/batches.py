@@ -15,12 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trisk.operators.sketch import in_interval
-
-# Ids per block of one level of the running sum.
-PREFIX_BLOCK = 4096
-# Levels of blocks: no window holds more than PREFIX_BLOCK ids up to PREFIX_BLOCK^3 batches.
-PREFIX_LEVELS = 3
-
+from trisk.session import materialize
 
 def batch_lengths(batched: DataFrame, left: int, right: int) -> DataFrame:
     """``(batch_id, n, n_in)``: items per batch and items inside [left, right]."""
@@ -30,44 +25,24 @@ def batch_lengths(batched: DataFrame, left: int, right: int) -> DataFrame:
 
 
 def preceding_sum(lengths: DataFrame, value: str = "n", order: str = "batch_id",
-                  block: int = PREFIX_BLOCK) -> DataFrame:
+                  blocks: int | None = None) -> DataFrame:
     """``lengths`` plus ``preceding``: sum of ``value`` over all rows of smaller ``order``
     (rows of one ``order`` in any order among themselves).
 
-    Every row takes the sum before it inside its block of ids, and the last one of a block
-    adds a row with the block's total; totals are summed by blocks of blocks in the same way,
-    and each hands what comes before it down to its block. One read of ``lengths``, no join,
-    no list of rows, and no window or task over all batches.
+    The rows are dealt into ``blocks`` ranges of the ids that exist (default: the shuffle
+    partitions), however sparse they are, and written once; a row's sum is that before it in
+    its block and the blocks' totals before it, one number per block.
     """
-    level = lengths.select(F.lit(0).alias("_level"), F.col(order).alias("_id"), F.col(value).cast("bigint").alias("_sum"),
-                           F.lit(0).cast("bigint").alias("_off"), F.struct(*lengths.columns).alias("_row"))
-    up = F.floor(F.col("_id") / F.lit(block)).cast("bigint")
-    for k in range(PREFIX_LEVELS):
-        # Rows of other levels pass by, each keyed by its own id. The top level has one row
-        # per block^2 ids.
-        own = F.col("_level") == k
-        top = k == PREFIX_LEVELS - 1
-        level = level.withColumn("_key", F.when(own, F.lit(0).cast("bigint") if top else up).otherwise(F.col("_id").cast("bigint")))
-        within = Window.partitionBy("_level", "_key").orderBy("_id")
-        before = F.coalesce(F.sum("_sum").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        last = F.lead(F.lit(1)).over(within).isNull()
-        level = level.select("_level", "_id", "_sum", "_row", "_key", F.when(own, before).otherwise(F.col("_off")).alias("_off"),
-                             (own & last).alias("_last"))
-        if not top:
-            total = F.col("_off") + F.coalesce(F.col("_sum"), F.lit(0))
-            row = F.struct(F.col("_level"), F.col("_id"), F.col("_sum"), F.col("_off"), F.col("_row"))
-            block_row = F.struct(F.lit(k + 1).alias("_level"), F.col("_key").alias("_id"), total.alias("_sum"),
-                                 F.lit(0).cast("bigint").alias("_off"), F.when(F.lit(False), F.col("_row")).alias("_row"))
-            level = (level.select(F.explode(F.when(F.col("_last"), F.array(row, block_row)).otherwise(F.array(row))).alias("_it"))
-                     .select("_it.*"))
-    for k in reversed(range(PREFIX_LEVELS - 1)):
-        own, above = F.col("_level") == k, F.col("_level") == k + 1
-        level = (level.withColumn("_key", F.when(own, up).otherwise(F.col("_id").cast("bigint")))
-                 .withColumn("_group", F.when(above, k).otherwise(F.col("_level"))))
-        handed = F.max(F.when(above, F.col("_off"))).over(Window.partitionBy("_group", "_key"))
-        level = (level.withColumn("_off", F.when(own, F.col("_off") + handed).otherwise(F.col("_off")))
-                 .filter(F.col("_level") <= k))
-    return level.select("_row.*", F.col("_off").alias("preceding"))
+    once = materialize(lengths, "lengths")  # the range sample reads it too
+    dealt = once.repartitionByRange(blocks, order) if blocks else once.repartitionByRange(order)
+    block = materialize(dealt.withColumn("_block", F.spark_partition_id()), "length-blocks")
+    within = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (block.groupBy("_block").agg(F.sum(value).alias("_sum"))
+              .select("_block", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_off")))
+    return (block.withColumn("_in", F.coalesce(F.sum(value).over(within), F.lit(0)))
+            .join(F.broadcast(totals), "_block")  # a row per block, a parameter
+            .select(*lengths.columns, (F.col("_in") + F.col("_off")).cast("bigint").alias("preceding")))
 
 
 def prefix_cutoff(lengths: DataFrame, threshold: int) -> DataFrame:
@@ -75,10 +50,11 @@ def prefix_cutoff(lengths: DataFrame, threshold: int) -> DataFrame:
     return preceding_sum(lengths).where(F.col("preceding") < F.lit(threshold))
 
 
-def batch_partials(batched: DataFrame, left: int, right: int) -> DataFrame:
-    """``(batch_id, item, freq)``: per-batch histogram of the interval items."""
-    return (batched.where(in_interval(F.col("item"), left, right))
-            .groupBy("batch_id", "item").agg(F.count(F.lit(1)).alias("freq")))
+def batch_partials(batched: DataFrame, left: int | None = None, right: int | None = None) -> DataFrame:
+    """``(batch_id, item, freq)``: per-batch histogram of the items (in the interval, if one is given)."""
+    if left is not None and right is not None:
+        batched = batched.where(in_interval(F.col("item"), left, right))
+    return (batched.groupBy("batch_id", "item").agg(F.count(F.lit(1)).alias("freq")))
 
 
 def merge_partials(partials: DataFrame, kept: DataFrame | None = None) -> DataFrame:

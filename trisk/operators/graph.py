@@ -9,15 +9,16 @@ so every node has out-degree at most sqrt(2m): a list of at most 4.5 million ids
 10^13 edges. Each triangle x < y < z (in that order) is found exactly once, at its edge
 x -> y, as a common out-neighbour z of x and y.
 
-``out_lists`` builds every node's out-neighbours once, in that order. All counts read those
-lists: a colouring or a partition of the edges only filters each list in place. A list
+``out_lists`` builds every node's out-neighbours once, in that order, and ``node_work`` the
+number of entries that other lists send to each node. Both are written as one table bucketed
+by node, so a count reads the held side of its join without an exchange; what a colouring or
+a partition of the edges keeps is filtered out of the sending lists before they move. A list
 meets the lists of its own members by one join: the row of x sends to each member y what
 comes after y in x's list, which is all that y's list can have in common with it there.
 
-Skew: a hub is a member of very many lists. The entries sent to each node are summed first
-(numbers only); nodes that are sent more than ``hot_work`` of them are heavy, their rows
-are spread over salt buckets by the sender and their own (short) list is repeated once per
-bucket.
+Skew: a hub is a member of very many lists. Nodes that are sent more than ``hot_work`` entries
+are heavy and few (``heavy_keys``): their rows take a join of their own, spread over salt
+buckets by the sender, with their own (short) list repeated once per bucket.
 """
 
 from __future__ import annotations
@@ -90,33 +91,41 @@ def out_lists(oriented: DataFrame) -> DataFrame:
     return oriented.groupBy("src").agg(F.transform(ranked, lambda x: x["dst"]).alias("nb"))
 
 
-def close_wedges(lists: DataFrame, keys: Sequence[str] = (), hot_work: int = HOT_WORK,
-                 hot_keys: int = HOT_KEYS) -> DataFrame:
-    """``(keys..., src, dst, common)`` for every edge of ``lists(keys..., src, nb)`` that
-    closes a triangle: the common out-neighbours of src and dst.
+def node_work(lists: DataFrame) -> DataFrame:
+    """``(src, work)``: list entries that other nodes' lists send to each node."""
+    sent = lists.select(F.posexplode("nb").alias("at", "dst"), F.size("nb").alias("n"))
+    return (sent.where(F.col("at") < F.col("n") - 1)
+            .groupBy(F.col("dst").alias("src")).agg(F.sum(F.col("n") - F.col("at") - 1).alias("work")))
 
-    Keys split the graph into independent subgraphs; a list holds the members of its key.
+
+def close_wedges(senders: DataFrame, lists: DataFrame, keys: Sequence[str] = (), copies: int = 1,
+                 hot_work: int = HOT_WORK, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``(keys..., src, dst, common)`` for every edge of ``senders(keys..., src, nb)`` that closes a
+    triangle: what comes after dst in nb and is in the list of dst.
+
+    ``lists(src, nb, work)`` holds whole lists, bucketed by node; a sender's list holds the
+    members of its key, in at most ``copies`` keys each.
     """
     keys = list(keys)
-    node = [*keys, "dst"]
-    sent = (lists.where(F.size("nb") > 1)
+    work = lists.select("src", (F.col("work") * F.lit(copies)).alias("work")).where("work > 0")
+    heavy = F.broadcast(heavy_keys(work, ["src"], "work", hot_work, hot_keys)
+                        .select(F.col("src").alias("dst"), salt_count(F.col("work"), hot_work).alias("salts")))
+    sent = (senders.where(F.size("nb") > 1)
             .select(*keys, "src", "nb", F.posexplode("nb").alias("at", "dst"))
             .where(F.col("at") < F.size("nb") - 1))
-    work = sent.groupBy(*node).agg(F.sum(F.size("nb") - F.col("at") - 1).alias("work"))
-    heavy = F.broadcast(heavy_keys(work, node, "work", hot_work, hot_keys)
-                        .select(*node, salt_count(F.col("work"), hot_work).alias("salts")))
-    probe = (sent.join(heavy, node, "left")
-             .select(*node, "src", F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest"),
-                     F.pmod(F.xxhash64("src"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt")))
-    held = (lists.withColumnRenamed("src", "dst").join(heavy, node, "left")
-            .select(*node, F.col("nb").alias("own"),
-                    F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt")))
-    return (probe.join(held, [*node, "salt"])
-            .select(*keys, "src", "dst", F.array_intersect("rest", "own").alias("common"))
-            .where(F.size("common") > 0))
-
-
-def count_lists(lists: DataFrame, keys: Sequence[str] = (), hot_work: int = HOT_WORK) -> DataFrame:
-    """``(keys..., triangles)`` of the subgraphs that have at least one triangle."""
-    return (close_wedges(lists, keys, hot_work).groupBy(*keys)
-            .agg(F.coalesce(F.sum(F.size("common")), F.lit(0)).cast("bigint").alias("triangles")))
+    rest = F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest")
+    held = lists.where(F.size("nb") > 0).select(F.col("src").alias("dst"), F.col("nb").alias("own"))
+    cold = sent.join(heavy, "dst", "left_anti").select(*keys, "src", "dst", rest).join(held, "dst")
+    salted = (sent.join(heavy, "dst")
+              .select(*keys, "src", "dst", rest, F.pmod(F.xxhash64("src"), F.col("salts")).cast("int").alias("salt")))
+    repeated = (held.join(heavy, "dst")
+                .select("dst", "own", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
+    hot = salted.join(repeated, ["dst", "salt"])
+    found = [j.select(*keys, "src", "dst", F.array_intersect("rest", "own").alias("common")) for j in (cold, hot)]
+    return found[0].unionByName(found[1]).where(F.size("common") > 0)
+
+
+def count_wedges(closed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys..., triangles)`` of closed wedges, for keys with at least one."""
+    return closed.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.size("common")), F.lit(0)).cast("bigint").alias("triangles"))

@@ -20,6 +20,8 @@ BIGINT counts of up to 10^19 items. Empty inputs give NULL ratios, not a divisio
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,37 +172,60 @@ def report_from_histogram(hist: DataFrame, total: DataFrame, depth: int, width:
         "items", "items_in_interval", "distinct_in_interval", "avg_error", "f2", "f2_sketch")
 
 
+def _base_configs(configs: list[tuple[int, int]]) -> dict[int, list[int]]:
+    """Per configuration that is no multiple's divisor at its depth, the configurations folded from it.
+
+    The rows of one depth share their draws, so where W' divides W, a cell of W' is the sum of
+    the cells of W that are equal to it mod W'.
+    """
+    out: dict[int, list[int]] = {}
+    for i, (d, w) in sorted(enumerate(configs), key=lambda c: -c[1][1]):
+        base = next((j for j in out if configs[j][0] == d and configs[j][1] % w == 0), i)
+        out.setdefault(base, []).append(i)
+    return out
+
+
+def fold_cells(cells: DataFrame, configs: list[tuple[int, int]]) -> DataFrame:
+    """``(cfg, row, col, c)`` of every configuration from the cells of the base ones."""
+    folds = [(base, i, configs[i][1]) for base, many in _base_configs(configs).items() for i in many]
+    table = F.array(*[F.struct(F.lit(b).cast("int").alias("base"), F.lit(i).cast("int").alias("to"),
+                               F.lit(w).cast("bigint").alias("width")) for b, i, w in folds])
+    own = F.filter(table, lambda f: f["base"] == F.col("cfg"))
+    return (cells.select("row", "col", "c", F.inline(own))
+            .groupBy(F.col("to").alias("cfg"), "row", F.pmod("col", "width").cast("bigint").alias("col"))
+            .agg(F.sum("c").cast("bigint").alias("c")))
+
+
 def tradeoff(hist: DataFrame, configs: list[tuple[int, int]], k: int, seed: int | None = 0,
              p: int = DEFAULT_PRIME) -> DataFrame:
     """Space-accuracy trade-off: one job for a whole grid of (D, W).
 
-    ``(cfg, d, w, avg_error, f2, f2_sketch)`` per configuration. Every item is hashed
-    once per row of every configuration (a literal generate), cells are one
-    aggregation keyed by ``cfg``, and only the top-K items are estimated.
+    ``(cfg, d, w, avg_error, f2, f2_sketch)`` per configuration. Every item is hashed once
+    per row of every base configuration (a literal generate); the other widths of a depth are
+    folded from its cells, D x W rows, and only the top-K items are estimated.
     """
-    params = []
     for d, w in configs:
         require_positive(depth=d, width=w)
-    for i, (d, w) in enumerate(configs):
-        for r in draw_sketch_rows(d, seed, p):
-            params.append((i, d, w, r))
-    structs = F.array(*[
-        F.struct(F.lit(i).cast("int").alias("cfg"), F.lit(d).cast("int").alias("d"),
-                 F.lit(w).cast("int").alias("w"), F.lit(r.row).cast("int").alias("row"),
-                 F.lit(r.ah).cast("bigint").alias("ah"), F.lit(r.bh).cast("bigint").alias("bh"),
-                 F.lit(r.ag).cast("bigint").alias("ag"), F.lit(r.bg).cast("bigint").alias("bg"))
-        for i, d, w, r in params])
-
-    def hashed(frame: DataFrame) -> DataFrame:
-        return (frame.select("*", F.inline(structs))
+
+    def structs(which: Iterable[int]) -> Column:
+        return F.array(*[
+            F.struct(F.lit(i).cast("int").alias("cfg"), F.lit(configs[i][0]).cast("int").alias("d"),
+                     F.lit(configs[i][1]).cast("int").alias("w"), F.lit(r.row).cast("int").alias("row"),
+                     F.lit(r.ah).cast("bigint").alias("ah"), F.lit(r.bh).cast("bigint").alias("bh"),
+                     F.lit(r.ag).cast("bigint").alias("ag"), F.lit(r.bg).cast("bigint").alias("bg"))
+            for i in which for r in draw_sketch_rows(configs[i][0], seed, p)])
+
+    def hashed(frame: DataFrame, which: Iterable[int]) -> DataFrame:
+        return (frame.select("*", F.inline(structs(which)))
                 .select(*frame.columns, "cfg", "d", "w", "row",
                         sketch_col(F.col("item"), F.col("ah"), F.col("bh"), F.col("w"), p).alias("col"),
                         sketch_sign(F.col("item"), F.col("ag"), F.col("bg"), p).alias("sign")))
 
-    cells = (hashed(hist).groupBy("cfg", "row", "col")
-             .agg(F.sum(F.col("sign") * F.col("freq")).cast("bigint").alias("c")))
+    base = (hashed(hist, _base_configs(configs)).groupBy("cfg", "row", "col")
+            .agg(F.sum(F.col("sign") * F.col("freq")).cast("bigint").alias("c")))
+    cells = fold_cells(base, configs)
     top = top_k(hist, k)
-    est = (hashed(top).join(cells, ["cfg", "row", "col"])
+    est = (hashed(top, range(len(configs))).join(cells, ["cfg", "row", "col"])
            .groupBy("cfg", "item", "freq")
            .agg(F.percentile(F.col("sign") * F.col("c"), F.lit(0.5)).cast("bigint").alias("est")))
     err = est.groupBy("cfg").agg(

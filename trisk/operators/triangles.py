@@ -10,14 +10,22 @@
   ``sorted(c(u), c(v), i)``; a key counts only triangles whose sorted colours
   equal the key, so the sum is the exact count.
 
-All of them read one table of out-lists (``prepare``). A colour or a part keeps some
-members of each list, so the subgraphs need no shuffle of their own, and no group of
-edges is ever gathered in one task.
+The first three read one table of out-lists (``prepare``), bucketed by node, whose held side is
+never shuffled again. A colour or a part keeps some members of each sending list, so the
+subgraphs need no shuffle of their own, and no group of edges is ever gathered in one task.
+
+The exact count is the one-round join of Suri & Vassilvitskii (2011): the copies of the edges
+are dealt to their keys once, and lists, wedges and counts are made inside the keys without
+another exchange (``triangles_inside_keys``). C sets the replication and the size of a key,
+which ``color_triple_report`` gives. Inside a key everything is sorted and can spill.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trisk.functions.hashing import (
@@ -28,21 +36,27 @@ from trisk.functions.hashing import (
     edge_part,
     node_color,
 )
-from trisk.operators.graph import HOT_WORK, close_wedges, count_lists, orient, out_lists
+from trisk.operators.graph import HOT_WORK, close_wedges, count_wedges, node_work, orient, out_lists
 from trisk.operators.skew import HOT_KEYS, HOT_ROWS
 from trisk.operators.util import combine_rows, require_positive
-from trisk.session import materialize
+from trisk.session import materialize, materialize_bucketed
 
 Params = list[tuple[int, int]]
 
 
-def prepare(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
-    """Out-lists ``(src, nb)`` of a canonical edge table, written once in the shared folder.
+def prepare(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS,
+            buckets: int | None = None) -> DataFrame:
+    """Out-lists ``(src, nb, work)`` of a canonical edge table, written once in the shared folder,
+    bucketed and sorted by node; ``work`` is what other lists send to the node.
 
     Every count reads them from there; the lineage is cut, and a lost executor costs a
     re-read, not a recomputation.
     """
-    return materialize(out_lists(orient(edges, hot_rows, hot_keys)), "lists")
+    lists = materialize(out_lists(orient(edges, hot_rows, hot_keys)), "lists")
+    both = lists.join(node_work(lists), "src", "full")
+    return materialize_bucketed(
+        both.select("src", F.coalesce("nb", F.expr("CAST(array() AS array<bigint>)")).alias("nb"),
+                    F.coalesce("work", F.lit(0)).alias("work")), "bucketed-lists", "src", buckets)
 
 
 def _total(per_key: DataFrame, scale: int = 1, name: str = "triangles") -> DataFrame:
@@ -72,7 +86,9 @@ def triangles_by_color(lists: DataFrame, params: Params, colors: int, p: int = D
                        hot_work: int = HOT_WORK) -> DataFrame:
     """``(run, color, triangles)`` inside each colour class (classes with >= 1 triangle)."""
     require_positive(colors=colors, runs=len(params))
-    return count_lists(monochrome_lists(lists, params, colors, p), ["run", "color"], hot_work)
+    mono = monochrome_lists(lists, params, colors, p)
+    # dst has src's colour, and what is left of src's list too, so dst's list may stay whole.
+    return count_wedges(close_wedges(mono, lists, ["run", "color"], len(params), hot_work), ["run", "color"])
 
 
 def color_estimates(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME,
@@ -101,24 +117,29 @@ def part_lists(lists: DataFrame, parts: int, seed: int | None = 0, p: int = DEFA
     """``(part, src, nb)``: per part, the members of each list whose edge is in the part.
 
     The part of an edge is ``((a*u + b*v) mod p) mod C`` on the canonical (u, v),
-    so repeated or reversed lines of one edge always meet in one part.
+    so repeated or reversed lines of one edge always meet in one part. Every member's part
+    is computed once; a row per part that occurs takes its members by it.
     """
-    a, b = draw_partition_params(seed, p)
+    part = _part_of(F.col("src"), parts, seed, p)
+    dealt = lists.where(F.size("nb") > 0).select("src", "nb", F.transform("nb", part).alias("of"))
+    return (dealt.select("src", "nb", "of", F.explode(F.array_distinct("of")).alias("part"))
+            .select("part", "src", F.filter("nb", lambda x, k: F.get("of", k) == F.col("part")).alias("nb")))
 
-    def part(x: Column) -> Column:
-        return edge_part(F.least(F.col("src"), x), F.greatest(F.col("src"), x), a, b, parts, p)
 
-    each = F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))
-    return (lists.select("src", "nb", F.explode(each).alias("part"))
-            .select("part", "src", F.filter("nb", lambda x: part(x) == F.col("part")).alias("nb"))
-            .where(F.size("nb") > 0))
+def _part_of(end: Column, parts: int, seed: int | None, p: int):
+    """The part of the edge from ``end`` to a node, as a function of that node."""
+    a, b = draw_partition_params(seed, p)
+    return lambda x: edge_part(F.least(end, x), F.greatest(end, x), a, b, parts, p)
 
 
 def partition_estimate(lists: DataFrame, parts: int, seed: int | None = 0, p: int = DEFAULT_PRIME,
                        hot_work: int = HOT_WORK) -> DataFrame:
     """``(estimate)``: C^2 times the triangles whose three edges share a part."""
     require_positive(parts=parts)
-    return _total(count_lists(part_lists(lists, parts, seed, p), ["part"], hot_work), parts * parts, "estimate")
+    closed = close_wedges(part_lists(lists, parts, seed, p), lists, ["part"], 1, hot_work)
+    part = _part_of(F.col("dst"), parts, seed, p)  # the third edge's, which the whole list does not say
+    same = closed.withColumn("common", F.filter("common", lambda x: part(x) == F.col("part")))
+    return _total(count_wedges(same), parts * parts, "estimate")
 
 
 def partition_sizes(edges: DataFrame, parts: int, seed: int | None = 0,
@@ -149,37 +170,92 @@ def color_triple_counts(edges: DataFrame, a: int, b: int, colors: int,
             .groupBy("k1", "k2", "k3").agg(F.count(F.lit(1)).alias("edges")))
 
 
-def exact_by_color_triples_per_key(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
-                                   hot_work: int = HOT_WORK) -> DataFrame:
-    """``(k1, k2, k3, triangles)``: triangles whose sorted colours are the key.
+def color_triple_report(edges: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(colors, edges, copies, replication, keys, largest_key, mean_key)``: what dealing the edges to
+    colour-triple keys costs, and how evenly the keys are filled."""
+    per_key = color_triple_counts(edges, a, b, colors, p).agg(
+        F.coalesce(F.sum("edges"), F.lit(0)).cast("bigint").alias("copies"), F.count(F.lit(1)).alias("keys"),
+        F.coalesce(F.max("edges"), F.lit(0)).cast("bigint").alias("largest_key"), F.avg("edges").alias("mean_key"))
+    whole = edges.agg(F.count(F.lit(1)).alias("edges"))
+    return combine_rows([whole, per_key]).select(
+        F.lit(colors).alias("colors"), "edges", "copies", F.try_divide("copies", "edges").alias("replication"),
+        "keys", "largest_key", "mean_key")
 
-    Every edge goes to its C keys ``sorted(c(src), c(dst), want)`` and counts there the
-    common out-neighbours of colour ``want``; the copies are made after the join, so the
-    lists move once, not C times.
-    """
-    require_positive(colors=colors)
 
-    def color(x: Column) -> Column:
-        return node_color(x, a, b, colors, p)
+KEY = ("k1", "k2", "k3")
+
 
-    copies = close_wedges(lists, (), hot_work).select(
-        color(F.col("src")).alias("cs"), color(F.col("dst")).alias("cd"),
-        F.transform("common", color).alias("found"), _every_color(colors).alias("want"))
-    t = F.size(F.filter("found", lambda c: c == F.col("want")))
-    return (copies.select(*_triple_keys(F.col("cs"), F.col("cd"), F.col("want")), t.alias("t"))
-            .where(F.col("t") > 0).groupBy("k1", "k2", "k3")
+def triple_key_lists(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
+                     partitions: int | None = None) -> DataFrame:
+    """``(k1, k2, k3, src, nb, hues, both)``: every oriented edge in its C keys, dealt out by key and packed
+    by its source: nb are the ends of src's edges there, in the order of its list, hues their
+    colours, and ``both`` less an end's colour is the colour that a third node must have."""
+    require_positive(colors=colors)
+    hue = node_color(F.col("src"), a, b, colors, p)
+    each = lists.where(F.size("nb") > 0).select(
+        "src", "nb", hue.alias("cs"), F.transform("nb", lambda x: node_color(x, a, b, colors, p)).alias("hues"))
+    # With src's colour, the other two of a key: C (C + 1) / 2 pairs, a parameter.
+    pairs = F.array(*[F.struct(F.lit(x).cast("bigint").alias("x"), F.lit(y).cast("bigint").alias("y"))
+                      for x in range(colors) for y in range(x, colors)])
+    x, y = F.col("x"), F.col("y")
+    packed = each.select("*", F.inline(pairs)).select(
+        *_triple_keys(F.col("cs"), x, y), "src",
+        F.filter("nb", lambda _, k: F.get("hues", k).isin(x, y)).alias("nb"),
+        F.filter("hues", lambda h: h.isin(x, y)).alias("hues"), (x + y).alias("both"))
+    n = partitions or int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packed.where(F.size("nb") > 0).repartition(n, *KEY)
+
+
+def triangles_inside_keys(dealt: DataFrame) -> DataFrame:
+    """``(k1, k2, k3, triangles)`` of edges dealt to colour-triple keys, by no further exchange.
+
+    In its key, a node's list sends each member y what comes after y in the third colour; y's
+    own list comes first in y's window, and each row sent there meets it. Rows of a window are
+    sorted and spill; none is gathered.
+    """
+    none = F.expr("CAST(array() AS array<bigint>)")
+    sends = F.transform("nb", lambda dst, k: F.struct(
+        dst.alias("node"), F.lit(1).alias("kind"), none.alias("own"),
+        F.filter(F.slice("nb", k + 2, F.size("nb")),
+                 lambda _, j: F.get("hues", k + 1 + j) == F.col("both") - F.get("hues", k)).alias("rest")))
+    own = F.array(F.struct(F.col("src").alias("node"), F.lit(0).alias("kind"), F.col("nb").alias("own"), none.alias("rest")))
+    rows = dealt.select(*KEY, F.inline(F.concat(own, F.filter(sends, lambda s: F.size(s["rest"]) > 0))))
+    node = Window.partitionBy(*KEY, "node").orderBy("kind")
+    held = F.first(F.when(F.col("kind") == 0, F.col("own")), ignorenulls=True).over(
+        node.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = rows.withColumn("held", held).where("kind = 1 AND held IS NOT NULL")
+    t = F.size(F.array_intersect("rest", "held"))
+    return (met.select(*KEY, t.alias("t")).where("t > 0").groupBy(*KEY)
             .agg(F.sum("t").cast("bigint").alias("triangles")))
 
 
+def exact_by_color_triples_per_key(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
+                                   partitions: int | None = None) -> DataFrame:
+    """``(k1, k2, k3, triangles)``: triangles whose sorted colours are the key, counted in their key."""
+    return triangles_inside_keys(triple_key_lists(lists, a, b, colors, p, partitions))
+
+
 def exact_by_color_triples(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
-                           hot_work: int = HOT_WORK) -> DataFrame:
+                           partitions: int | None = None) -> DataFrame:
     """``(triangles)``: exact count, summed over colour-triple keys."""
-    return _total(exact_by_color_triples_per_key(lists, a, b, colors, p, hot_work))
+    return _total(exact_by_color_triples_per_key(lists, a, b, colors, p, partitions))
+
+
+def label_by_color_triples(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
+                           hot_work: int = HOT_WORK) -> DataFrame:
+    """``(k1, k2, k3, triangles)`` with the key as a label of triangles found by the exact count: no
+    edge is copied; what the one-round join must equal."""
+    def color(x: Column) -> Column:
+        return node_color(x, a, b, colors, p)
+
+    found = close_wedges(lists, lists, (), 1, hot_work).select("src", "dst", F.explode("common").alias("third"))
+    return (found.select(*_triple_keys(color(F.col("src")), color(F.col("dst")), color(F.col("third"))))
+            .groupBy(*KEY).agg(F.count(F.lit(1)).alias("triangles")))
 
 
 def exact_count(lists: DataFrame, hot_work: int = HOT_WORK) -> DataFrame:
     """``(triangles)``: exact count on the oriented graph."""
-    return count_lists(lists, (), hot_work)
+    return count_wedges(close_wedges(lists, lists, (), 1, hot_work))
 
 
 def triangle_report(raw_counts: DataFrame, lists: DataFrame, colors: int, runs: int,
@@ -195,7 +271,7 @@ def triangle_report(raw_counts: DataFrame, lists: DataFrame, colors: int, runs:
         .select(F.col("median_estimate").alias("color_estimate")),
         partition_estimate(lists, colors, seed, p, hot_work)
         .select(F.col("estimate").alias("partition_estimate")),
-        exact_by_color_triples(lists, a0, b0, colors, p, hot_work)
+        exact_by_color_triples(lists, a0, b0, colors, p)
         .select(F.col("triangles").alias("exact_triangles")),
     ]).select(F.lit(colors).alias("colors"), F.lit(runs).alias("runs"), "raw_edges", "edges",
               "color_estimate", "partition_estimate", "exact_triangles")
@@ -210,11 +286,30 @@ def run_results(lists: DataFrame, colors: int, runs: int, seed: int | None = 0,
         F.lit("color").alias("algorithm"), "run", "estimate")
     part = partition_estimate(lists, colors, seed, p, hot_work).select(
         F.lit("partition").alias("algorithm"), F.lit(0).alias("run"), "estimate")
-    exact = exact_by_color_triples(lists, *params[-1], colors, p, hot_work).select(
+    exact = exact_by_color_triples(lists, *params[-1], colors, p).select(
         F.lit("exact").alias("algorithm"), F.lit(runs - 1).alias("run"), F.col("triangles").alias("estimate"))
     return color.unionByName(part).unionByName(exact)
 
 
+def timed_runs(count: Callable[[tuple[int, int]], DataFrame], params: Params) -> DataFrame:
+    """``(run, estimate, elapsed_ms)``: ``count`` of one (a, b) pair, run to its end for every pair in turn, as
+    the programs time their R runs; its frame has one row with the estimate in its last column."""
+    require_positive(runs=len(params))
+    rows = []
+    for run, pair in enumerate(params):
+        begun, frame = time.perf_counter(), count(pair)
+        estimate = int(frame.first()[-1])
+        rows.append((run, estimate, round(1000 * (time.perf_counter() - begun))))
+    return frame.sparkSession.createDataFrame(rows, "run int, estimate bigint, elapsed_ms bigint")
+
+
+def timing_report(runs: DataFrame) -> DataFrame:
+    """``(runs, mean_ms, median_estimate, last_estimate)`` of timed runs, rounded half to even."""
+    return runs.agg(F.count(F.lit(1)).alias("runs"), F.bround(F.avg("elapsed_ms"), 0).cast("bigint").alias("mean_ms"),
+                    F.bround(F.percentile(F.col("estimate"), F.lit(0.5)), 0).cast("bigint").alias("median_estimate"),
+                    F.max_by("estimate", "run").alias("last_estimate"))
+
+
 def monochrome_edges(edges: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
     """``(run, color, u, v)``: canonical edges whose end points share a colour, per run."""
     rows = edges.select("u", "v", F.inline(color_runs_column(params)))

@@ -22,6 +22,7 @@ from trisk.plans import params as PR
 from trisk.sources import table
 from trisk.session import work_dir
 from trisk.sources.edges import edge_text_from_lineitem, order_pairs, parse_edges, read_edge_text
+from trisk.sources.feed import replay_feed
 from trisk.sources.items import batched_events, item_text, parse_items
 from trisk.streaming import runner as ST
 
@@ -73,10 +74,10 @@ def _batched(spark, sf_dir) -> DataFrame:
 
 
 def _stream(spark, sf_dir) -> DataFrame:
-    """The events table's own files as a stream of (batch_id, item)."""
-    events = _events(spark, sf_dir)
-    stream = ST.table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", events.schema)
-    return batched_events(stream, PR.BATCH_ROWS)
+    """The events table fed as a stream of (batch_id, item), by ranges of event ids over MICRO_BATCHES
+    micro-batches; a batch may be split over two of them."""
+    feed = replay_feed(_events(spark, sf_dir).select("event_id", "user_id"), "event_id", PR.MICRO_BATCHES)
+    return batched_events(feed, PR.BATCH_ROWS)
 
 
 # ---------------------------------------------------------------- graph programs
@@ -121,6 +122,11 @@ def color_triple_edges(spark, sf_dir):
     return TR.color_triple_counts(_graph(spark, sf_dir), a, b, PR.COLORS, PR.P)
 
 
+def color_triple_report(spark, sf_dir):
+    a, b = PR.color_params()[0]
+    return rounded(bigints(TR.color_triple_report(_graph(spark, sf_dir), a, b, PR.COLORS, PR.P)))
+
+
 def triangles_exact(spark, sf_dir):
     return TR.exact_count(_lists(spark, sf_dir))
 
@@ -247,7 +253,7 @@ def batch_prefix_cutoff(spark, sf_dir):
 
 
 def batch_partials_merge(spark, sf_dir):
-    return B.merge_partials(B.batch_partials(_batched(spark, sf_dir), PR.LEFT, PR.RIGHT))
+    return B.merge_partials(B.batch_partials(_batched(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- stream programs, streaming
@@ -291,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "monochrome_edges": monochrome_edges,
     "edge_partition_sizes": edge_partition_sizes,
     "color_triple_edges": color_triple_edges,
+    "color_triple_report": color_triple_report,
     "triangles_exact": triangles_exact,
     "triangles_by_color": triangles_by_color,
     "triangles_color_estimate": triangles_color_estimate,

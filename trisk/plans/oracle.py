@@ -159,6 +159,11 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT least(cu, cv, i)::BIGINT AS k1, "
         f"(cu + cv + i - least(cu, cv, i) - greatest(cu, cv, i))::BIGINT AS k2, "
         f"greatest(cu, cv, i)::BIGINT AS k3, count(*)::BIGINT AS edges FROM x GROUP BY 1, 2, 3")
+    sql["color_triple_report"] = (
+        f"WITH k AS ({sql['color_triple_edges']}), m AS (WITH {GRAPH} SELECT count(*)::BIGINT AS edges FROM e) "
+        f"SELECT {C}::BIGINT AS colors, m.edges, sum(k.edges)::BIGINT AS copies, "
+        f"round(sum(k.edges) / m.edges, 9)::DOUBLE AS replication, count(*)::BIGINT AS keys, "
+        f"max(k.edges)::BIGINT AS largest_key, round(avg(k.edges), 9) AS mean_key FROM k, m GROUP BY m.edges")
     exact = f"WITH {GRAPH} {_triangles('e', [])}"
     sql["triangles_exact"] = exact
     sql["triangles_exact_colored"] = exact
@@ -235,7 +240,7 @@ def oracle_sql() -> dict[str, str]:
     sql["batch_prefix_cutoff"] = f"WITH {BATCHES} SELECT batch_id, n, n_in, preceding FROM kept"
     merged = (f"WITH {BATCHES}, hk AS (SELECT item, count(*)::BIGINT AS freq FROM bt "
               f"WHERE {INTERVAL} AND batch_id IN (SELECT batch_id FROM kept) GROUP BY item)")
-    sql["batch_partials_merge"] = f"WITH {HIST_IN} SELECT item, freq FROM h0"
+    sql["batch_partials_merge"] = sql["item_histogram"]
     sql["stream_histogram"] = sql["item_histogram"]
     sql["stream_sketch_cells"] = sql["sketch_cells"]
     sql["stream_distinct"] = sql["distinct_items"]

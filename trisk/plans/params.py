@@ -20,6 +20,8 @@ RIGHT = 100
 TOP_K = 20
 THRESHOLD = 5000
 BATCH_ROWS = 1250
+# micro-batches that the streams get the table in
+MICRO_BATCHES = 8
 
 # space-accuracy grid, over lineitem.l_partkey
 TRADEOFF_GRID = [(1, 50), (3, 50), (5, 50), (1, 200), (3, 200), (5, 200),

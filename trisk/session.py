@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[str] = []
+_tables: list[str] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -72,10 +73,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """``df`` written in a fresh shared folder as a table bucketed and sorted by ``key``, one file per
+    bucket, and read back: a join on the key does not shuffle it again.
+
+    As many buckets as shuffle partitions by default, so that the planner keeps them.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = work_dir(spark, name)
+    table = f"trisk_{name}_{uuid.uuid4().hex[:12]}".replace("-", "_")
+    (df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    _tables.append(table)
+    return spark.table(table)
+
+
 def remove_work_dirs(spark: SparkSession) -> int:
-    """Delete the intermediate folders made so far, once no result reads them any more;
-    returns how many were there."""
+    """Delete the intermediate folders (and tables) made so far, once no result reads them any
+    more; returns how many folders were there."""
     jvm, removed = spark.sparkContext._jvm, 0
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     while _made:
         path = jvm.org.apache.hadoop.fs.Path(_made.pop())
         removed += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))

@@ -4,38 +4,52 @@
   data, whose rows may arrive split over files and micro-batches), or it is bare items or
   text lines, and then the micro-batch is the batch (``epoch_batches``).
 * ``table_stream`` opens a table's own files, as many per micro-batch as the cluster has
-  cores; nothing is staged. The trigger is a parameter: processing time or availableNow.
+  cores; ``sources.feed.replay_feed`` feeds any table by ranges of ids. The trigger is a
+  parameter: processing time or availableNow.
 * Per micro-batch (``foreachBatch``): lengths and interval histograms are written, in one
-  job, as partials under ``partials/epoch=<id>`` with overwrite, so a replayed micro-batch
-  replaces its own output (at-least-once delivery becomes effectively once).
-* Threshold T: after each micro-batch a small state table (``state/epoch=<id>``, made from the
-  last earlier epoch's) holds the frontier, the first batch not yet known to be whole, the
-  items before it, and the lengths of batches at or after it. The query stops once the batch
-  that crosses T is whole and so is every batch before it. A restart reads the state back and
-  a replay makes its epoch's state anew. The result applies the same cut to the partials, so
-  it never depends on where the query stopped.
+  job, as partials in a folder of this attempt at the epoch, then the cut's state, then one
+  empty file in the commit log names the attempt (``Epochs``). Readers take the last committed
+  attempt of every epoch: a replayed micro-batch replaces its own output (at-least-once
+  delivery becomes effectively once), and one that fails half-way leaves the last whole one.
+* Threshold T: the cut's state holds the frontier, the first batch not yet known to be whole,
+  the items before it, and the lengths of batches at or after it. New lengths are added to
+  those alone; whole batches without a gap move the frontier on, found by blocks of ids
+  (``whole_prefix``). The query stops once the items before the frontier reach T, so the
+  crossing batch is whole and so is every batch before it. A restart reads the state back.
+  The result applies the same cut to the partials, so it never depends on where the query
+  stopped.
 * Count sketch: a stateful streaming aggregation ``groupBy(row, col).sum(sign)``; its state
   is bounded by D x W cells.
-* Distinct items: ``dropDuplicates(['item'])`` appended to a parquet sink; with a threshold,
-  the partials of all items give the distinct count and the largest item.
+* Distinct items: ``dropDuplicates(['item'])`` appended to a parquet sink, with one state row
+  per distinct item in RocksDB (off the heap, changelog checkpoints); with a threshold, the
+  partials of all items give the distinct count and the largest item.
 """
 
 from __future__ import annotations
 
 import threading
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trisk.functions.hashing import DEFAULT_PRIME, draw_sketch_rows, sketch_col, sketch_rows_column, sketch_sign
-from trisk.operators.batches import merge_partials, preceding_sum, prefix_cutoff
+from trisk.operators.batches import merge_partials, prefix_cutoff
 from trisk.operators.sketch import in_interval
 from trisk.sources.items import parse_items
 
 AVAILABLE_NOW = {"availableNow": True}
 PARTIALS = "kind STRING, batch_id BIGINT, item BIGINT, a BIGINT, b BIGINT, epoch BIGINT"
 STATE = "frontier BOOLEAN, batch_id BIGINT, n BIGINT, epoch BIGINT"
+#: Batch ids of one block of the cut's state, and blocks walked at a time.
+BLOCK = 4096
+#: State off the heap, its checkpoints only what changed.
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
+           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+           "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 
 
 def table_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -85,18 +99,92 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+class Epochs:
+    """The commit log of a folder: per epoch, the attempts that were written to the end.
+
+    A commit is an empty file ``commits/<epoch>.<attempt>``, made in one step after all data of
+    the attempt; an epoch's attempts are numbered, and its last one counts.
+    """
+
+    def __init__(self, spark: SparkSession, out: str):
+        self.spark, self.out = spark, out
+        sc = spark.sparkContext
+        self._path = sc._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(out).getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def committed(self) -> dict[int, str]:
+        """Epoch to its last committed attempt."""
+        folder = self._path(f"{self.out}/commits")
+        if not self._fs.exists(folder):
+            return {}
+        names = [f.getPath().getName().split(".", 2) for f in self._fs.listStatus(folder)]
+        last: dict[int, tuple[int, str]] = {}
+        for epoch, number, name in names:
+            last[int(epoch)] = max(last.get(int(epoch), (-1, "")), (int(number), name))
+        return {epoch: f"{number}.{name}" for epoch, (number, name) in last.items()}
+
+    def attempt(self, epoch: int) -> str:
+        """A name for the next attempt at an epoch, used by no other."""
+        last = self.committed().get(epoch)
+        return f"{int(last.partition('.')[0]) + 1 if last else 0}.{uuid.uuid4().hex}"
+
+    def folder(self, kind: str, epoch: int, attempt: str) -> str:
+        return f"{self.out}/{kind}/epoch={epoch}/attempt={attempt}"
+
+    def commit(self, epoch: int, attempt: str) -> None:
+        self._fs.create(self._path(f"{self.out}/commits/{epoch}.{attempt}"), False).close()
+
+    def read(self, kind: str, schema: str, epochs: list[int] | None = None) -> DataFrame:
+        """The committed rows of a kind, of all epochs or of some."""
+        last = self.committed()
+        paths = [self.folder(kind, e, last[e]) for e in (sorted(last) if epochs is None else epochs)]
+        paths = [p for p in paths if self._fs.exists(self._path(p))]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        names = [f.partition(" ")[0] for f in schema.split(", ")]
+        return (self.spark.read.schema(schema).option("basePath", f"{self.out}/{kind}")
+                .parquet(*paths).select(*names))
+
+
 def read_lengths(spark: SparkSession, out: str) -> DataFrame:
-    """``(batch_id, n, n_in)`` over all epochs written under ``out``."""
-    return (_read(spark, f"{out}/partials", PARTIALS).where(F.col("kind") == "len")
+    """``(batch_id, n, n_in)`` over all committed epochs under ``out``."""
+    return (Epochs(spark, out).read("partials", PARTIALS).where(F.col("kind") == "len")
             .groupBy("batch_id").agg(F.sum("a").alias("n"), F.sum("b").alias("n_in")))
 
 
 def read_histogram_partials(spark: SparkSession, out: str) -> DataFrame:
-    """``(batch_id, item, freq)`` over all epochs written under ``out``."""
-    return (_read(spark, f"{out}/partials", PARTIALS).where(F.col("kind") == "hist")
+    """``(batch_id, item, freq)`` over all committed epochs under ``out``."""
+    return (Epochs(spark, out).read("partials", PARTIALS).where(F.col("kind") == "hist")
             .select("batch_id", "item", F.col("a").alias("freq")))
 
 
+def whole_prefix(lengths: DataFrame, first: int, block: int = BLOCK) -> tuple[int, int]:
+    """(next id, items): how far the whole batches ``(batch_id, n)`` go on from id ``first`` without a gap.
+
+    Ids are dealt out by blocks; each block tells how far its ids go on from its start, one row
+    per block, and the driver walks these rows, ``block`` of them at a time.
+    """
+    at = F.expr(f"batch_id - pmod(batch_id, {int(block)})")
+    within = Window.partitionBy("start").orderBy("batch_id")
+    rows = (lengths.where(F.col("batch_id") >= first).select("batch_id", "n", at.alias("start"))
+            .withColumn("nth", F.row_number().over(within) - 1)
+            .withColumn("from", F.greatest("start", F.lit(first))))
+    told = (rows.where(F.col("batch_id") == F.col("from") + F.col("nth"))
+            .groupBy("start", "from").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")))
+    here, items = first, 0
+    while True:
+        chunk = told.where(F.col("start") >= here - here % block).orderBy("start").limit(block).collect()
+        begun = here
+        for r in chunk:
+            if r["from"] != here:
+                return here, items
+            here, items = here + r.k, items + r.n
+            if here != r.start + block:
+                return here, items
+        if here == begun or len(chunk) < block:
+            return here, items
+
+
 class Cut:
     """The threshold rule over a growing stream, as a state table per epoch.
 
@@ -107,39 +195,29 @@ class Cut:
     def __init__(self, out: str, threshold: int, batch_rows: int | None = None):
         self.out, self.threshold, self.batch_rows = out, threshold, batch_rows
 
-    def advance(self, spark: SparkSession, lengths: DataFrame, epoch_id: int, bare: bool) -> bool:
+    def advance(self, epochs: Epochs, lengths: DataFrame, epoch_id: int, attempt: str, bare: bool) -> bool:
         """Write the state after ``epoch_id``, whose ``lengths`` are (batch_id, n); whether the
         crossing batch is whole."""
-        states = _read(spark, f"{self.out}/state", STATE).where(F.col("epoch") < epoch_id)
-        last = states.agg(F.max("epoch")).first()[0]
-        old = states.where(F.col("epoch") == last) if last is not None else states
-        mark = old.where("frontier").first()
+        spark = epochs.spark
+        earlier = [e for e in epochs.committed() if e < epoch_id]
+        old = epochs.read("state", STATE, [max(earlier)] if earlier else [])
+        mark = old.where("frontier").first() if earlier else None
         # A bare stream's epochs are its batches: one without items is an empty batch.
         frontier, before = (mark.batch_id, mark.n) if mark else (0, 0)
-        pending = (old.where("NOT frontier").select("batch_id", "n")
-                   .unionByName(lengths.select("batch_id", "n")).groupBy("batch_id").agg(F.sum("n").alias("n")))
+        rest = None
         if bare:
-            new = pending.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.lit(epoch_id + 1).alias("next")).first()
-            done, crossed, rest = new.next, before < self.threshold <= before + new.n, None
-            before += new.n
+            frontier, before = epoch_id + 1, before + (lengths.agg(F.sum("n")).first()[0] or 0)
         else:
-            rows = preceding_sum(pending.withColumn("one", F.lit(1)), "one").withColumnRenamed("preceding", "nth")
-            rows = preceding_sum(rows).withColumn("whole", F.col("n") >= F.lit(self.batch_rows))
-            gap = rows.where(~F.col("whole") | (F.col("batch_id") != F.lit(frontier) + F.col("nth")))
-            stop = gap.agg(F.min("batch_id")).first()[0]
-            ready = rows if stop is None else rows.where(F.col("batch_id") < stop)
-            after = F.lit(before) + F.col("preceding")
-            new = ready.agg(
-                F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-                F.coalesce(F.max((after < self.threshold) & (after + F.col("n") >= self.threshold)), F.lit(False))
-                .alias("crossed")).first()
-            done, crossed, before = frontier + new.k, new.crossed, before + new.n
-            rest = pending.where(F.col("batch_id") >= done)
-        state = spark.createDataFrame([(True, done, before)], "frontier BOOLEAN, batch_id BIGINT, n BIGINT")
+            pending = (old.where("NOT frontier").select("batch_id", "n").unionByName(lengths.select("batch_id", "n"))
+                       .groupBy("batch_id").agg(F.sum("n").alias("n")))
+            frontier, items = whole_prefix(pending.where(F.col("n") >= self.batch_rows), frontier)
+            before += items
+            rest = pending.where(F.col("batch_id") >= frontier)
+        state = spark.createDataFrame([(True, frontier, before)], "frontier BOOLEAN, batch_id BIGINT, n BIGINT")
         if rest is not None:
             state = state.unionByName(rest.select(F.lit(False).alias("frontier"), "batch_id", "n"))
-        state.write.mode("overwrite").parquet(f"{self.out}/state/epoch={epoch_id}")
-        return bool(crossed)
+        state.write.mode("overwrite").parquet(epochs.folder("state", epoch_id, attempt))
+        return before >= self.threshold
 
 
 class PartialWriter:
@@ -156,21 +234,39 @@ class PartialWriter:
         try:
             if self.done.is_set():
                 return  # the cut is decided: later batches are skipped
-            path, spark, bare = f"{self.out}/partials/epoch={epoch_id}", df.sparkSession, "batch_id" not in df.columns
+            epochs, bare = Epochs(df.sparkSession, self.out), "batch_id" not in df.columns
+            attempt = epochs.attempt(epoch_id)
+            path, crossed = epochs.folder("partials", epoch_id, attempt), False
             (partials_of(epoch_batches(df, epoch_id), self.left, self.right)
              .write.mode("overwrite").parquet(path))
             if self.cut is not None and (bare or self.cut.batch_rows):
-                lengths = (_read(spark, path, PARTIALS.rpartition(",")[0]).where("kind = 'len'")
+                lengths = (_read(df.sparkSession, path, PARTIALS.rpartition(",")[0]).where("kind = 'len'")
                            .select("batch_id", F.col("a").alias("n")))
-                if self.cut.advance(spark, lengths, epoch_id, bare):
-                    self.done.set()
+                crossed = self.cut.advance(epochs, lengths, epoch_id, attempt, bare)
+            epochs.commit(epoch_id, attempt)
+            if crossed:
+                self.done.set()
         except BaseException as exc:  # surfaced by run_query
             self.error = exc
             raise
 
 
-def run_query(writer, stop: threading.Event | None = None, poll: float = 0.2) -> None:
-    """Run a query to its end (availableNow) or until ``stop`` is set."""
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings that a query takes over as it starts, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run_query(writer, stop: threading.Event | None = None, poll: float = 0.2) -> list[dict]:
+    """Run a query to its end (availableNow) or until ``stop`` is set; the progress reports of its last
+    micro-batches (``spark.sql.streaming.numRecentProgressUpdates``)."""
     query = writer.start()
     try:
         while query.isActive:
@@ -181,6 +277,7 @@ def run_query(writer, stop: threading.Event | None = None, poll: float = 0.2) ->
         exc = query.exception()
         if exc is not None:
             raise RuntimeError(f"streaming query failed: {exc}")
+        return [p for p in query.recentProgress]
     finally:
         if query.isActive:
             query.stop()
@@ -227,15 +324,27 @@ def stream_sketch_cells(stream: DataFrame, out: str, depth: int, width: int, lef
 def stream_distinct(stream: DataFrame, out: str, trigger: dict = AVAILABLE_NOW) -> DataFrame:
     """Distinct items of a stream, appended to a parquet sink at ``out/items``.
 
-    State holds one key per distinct item; for very many set the RocksDB state store.
+    State holds one key per distinct item, in RocksDB: a task's memory does not grow with them.
+    A second call with the same ``out`` goes on where the first one stopped.
     """
-    run_query(stream.select("item").dropDuplicates(["item"])
-              .writeStream.outputMode("append").format("parquet")
-              .option("path", f"{out}/items").option("checkpointLocation", f"{out}/_checkpoint")
-              .trigger(**trigger))
+    run_distinct(stream, out, trigger)
     return _read(stream.sparkSession, f"{out}/items", "item BIGINT")
 
 
+def run_distinct(stream: DataFrame, out: str, trigger: dict = AVAILABLE_NOW) -> list[dict]:
+    """The query of ``stream_distinct``; its progress reports."""
+    with session_conf(stream.sparkSession, ROCKSDB):
+        return run_query(stream.select("item").dropDuplicates(["item"])
+                         .writeStream.outputMode("append").format("parquet")
+                         .option("path", f"{out}/items").option("checkpointLocation", f"{out}/_checkpoint")
+                         .trigger(**trigger))
+
+
+def state_rows(progress: list[dict]) -> int:
+    """Rows that a query's state holds after its last micro-batch."""
+    return sum(op["numRowsTotal"] for op in progress[-1]["stateOperators"]) if progress else 0
+
+
 def stream_distinct_report(stream: DataFrame, out: str, threshold: int, batch_rows: int | None = None,
                            trigger: dict = AVAILABLE_NOW) -> DataFrame:
     """``(items, distinct_items, largest_item)`` of the batches the threshold keeps."""
