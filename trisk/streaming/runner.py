@@ -42,10 +42,12 @@ from trisk.operators.sketch import in_interval
 from trisk.sources.items import parse_items
 
 AVAILABLE_NOW = {"availableNow": True}
-PARTIALS = "kind STRING, batch_id BIGINT, item BIGINT, a BIGINT, b BIGINT, epoch BIGINT"
+PARTIALS = "kind STRING, batch_id BIGINT, item BIGINT, a BIGINT, epoch BIGINT"
 STATE = "frontier BOOLEAN, batch_id BIGINT, n BIGINT, epoch BIGINT"
 #: Batch ids of one block of the cut's state, and blocks walked at a time.
 BLOCK = 4096
+#: Sketch cells of one state partition, at least.
+CELLS_PER_PARTITION = 1000
 #: State off the heap, its checkpoints only what changed.
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -74,19 +76,18 @@ def epoch_batches(df: DataFrame, epoch_id: int) -> DataFrame:
 
 
 def partials_of(batch: DataFrame, left: int | None, right: int | None) -> DataFrame:
-    """Both partials of one micro-batch from one aggregation: ``kind='len'``: (batch_id, a=n,
-    b=n_in); ``kind='hist'``: (batch_id, item, a=freq) inside the interval (None: no bound)."""
-    inside = F.lit(True) if left is None or right is None else in_interval(F.col("item"), left, right)
-    counts = (batch.groupBy("batch_id", "item").agg(F.count(F.lit(1)).alias("freq"))
-              .withColumn("inside", F.coalesce(inside, F.lit(False))))
-    none = F.lit(None).cast("bigint")
-    rows = counts.select(F.inline(F.array(
-        F.struct(F.lit("len").alias("kind"), "batch_id", none.alias("item"), F.col("freq").alias("a"),
-                 F.when(F.col("inside"), F.col("freq")).otherwise(0).alias("b")),
-        F.struct(F.when(F.col("inside"), "hist").otherwise("out").alias("kind"), "batch_id", "item",
-                 F.col("freq").alias("a"), none.alias("b")))))
-    return (rows.where("kind <> 'out'").groupBy("kind", "batch_id", "item")
-            .agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    """``(kind, batch_id, item, a)`` of one micro-batch by one aggregation: ``hist`` rows count an item
+    inside the interval (None: no bound), an ``out`` row all of a batch's items outside."""
+    inside = F.lit(True) if left is None or right is None else F.coalesce(in_interval(F.col("item"), left, right), F.lit(False))
+    kind = F.when(inside, F.lit("hist")).otherwise(F.lit("out")).alias("kind")
+    return (batch.groupBy(kind, "batch_id", F.when(inside, F.col("item")).alias("item"))
+            .agg(F.count(F.lit(1)).alias("a")))
+
+
+def lengths_of(partials: DataFrame) -> DataFrame:
+    """``(batch_id, n, n_in)`` of partials."""
+    inside = F.when(F.col("kind") == "hist", F.col("a")).otherwise(0)
+    return partials.groupBy("batch_id").agg(F.sum("a").alias("n"), F.sum(inside).alias("n_in"))
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -148,8 +149,7 @@ class Epochs:
 
 def read_lengths(spark: SparkSession, out: str) -> DataFrame:
     """``(batch_id, n, n_in)`` over all committed epochs under ``out``."""
-    return (Epochs(spark, out).read("partials", PARTIALS).where(F.col("kind") == "len")
-            .groupBy("batch_id").agg(F.sum("a").alias("n"), F.sum("b").alias("n_in")))
+    return lengths_of(Epochs(spark, out).read("partials", PARTIALS))
 
 
 def read_histogram_partials(spark: SparkSession, out: str) -> DataFrame:
@@ -240,8 +240,7 @@ class PartialWriter:
             (partials_of(epoch_batches(df, epoch_id), self.left, self.right)
              .write.mode("overwrite").parquet(path))
             if self.cut is not None and (bare or self.cut.batch_rows):
-                lengths = (_read(df.sparkSession, path, PARTIALS.rpartition(",")[0]).where("kind = 'len'")
-                           .select("batch_id", F.col("a").alias("n")))
+                lengths = lengths_of(_read(df.sparkSession, path, PARTIALS.rpartition(",")[0]))
                 crossed = self.cut.advance(epochs, lengths, epoch_id, attempt, bare)
             epochs.commit(epoch_id, attempt)
             if crossed:
@@ -264,6 +263,12 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions of a query's state: every micro-batch opens and commits all of them, so one per core,
+    and no more than the shuffle partitions. A checkpoint keeps the number it began with."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, spark.sparkContext.defaultParallelism))
+
+
 def run_query(writer, stop: threading.Event | None = None, poll: float = 0.2) -> list[dict]:
     """Run a query to its end (availableNow) or until ``stop`` is set; the progress reports of its last
     micro-batches (``spark.sql.streaming.numRecentProgressUpdates``)."""
@@ -313,8 +318,10 @@ def stream_sketch_cells(stream: DataFrame, out: str, depth: int, width: int, lef
         # a crash while writing leaves the last whole one.
         df.write.mode("overwrite").parquet(f"{out}/cells/epoch={epoch_id}")
 
-    run_query(cells.writeStream.outputMode("complete").foreachBatch(write_cells)
-              .option("checkpointLocation", f"{out}/_checkpoint").trigger(**trigger))
+    parts = min(state_partitions(stream.sparkSession), -(-depth * width // CELLS_PER_PARTITION))
+    with session_conf(stream.sparkSession, {"spark.sql.shuffle.partitions": str(parts)}):
+        run_query(cells.writeStream.outputMode("complete").foreachBatch(write_cells)
+                  .option("checkpointLocation", f"{out}/_checkpoint").trigger(**trigger))
     spark = stream.sparkSession
     written = _read(spark, f"{out}/cells", "row INT, col BIGINT, c BIGINT, epoch BIGINT")
     last = written.agg(F.max("epoch").alias("e")).scalar()
@@ -333,7 +340,8 @@ def stream_distinct(stream: DataFrame, out: str, trigger: dict = AVAILABLE_NOW)
 
 def run_distinct(stream: DataFrame, out: str, trigger: dict = AVAILABLE_NOW) -> list[dict]:
     """The query of ``stream_distinct``; its progress reports."""
-    with session_conf(stream.sparkSession, ROCKSDB):
+    parts = {"spark.sql.shuffle.partitions": str(state_partitions(stream.sparkSession))}
+    with session_conf(stream.sparkSession, ROCKSDB | parts):
         return run_query(stream.select("item").dropDuplicates(["item"])
                          .writeStream.outputMode("append").format("parquet")
                          .option("path", f"{out}/items").option("checkpointLocation", f"{out}/_checkpoint")
