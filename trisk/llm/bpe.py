@@ -19,11 +19,15 @@ from array import array
 
 import numpy as np
 
+from trisk.llm.store import held
+
 #: Distinct pieces, and distinct pre-tokens, kept by one Python worker before the tables are
 #: started anew, and bytes handled at a time; memory bounds only, ids do not depend on them.
 MAX_PIECES = 500_000
 MAX_WORDS = 300_000
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+#: Characters of the texts whose pieces are laid out at a time (one text at least).
+GROUP_CHARS = 1 << 19
 #: Byte to sign of a byte-level vocabulary: printable Latin-1 bytes stand for themselves, the
 #: others, in order, for the characters from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -169,7 +173,20 @@ class Encoder:
         return np.delete(flat, bounds[:-1]), np.diff(bounds) - 1
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids int32, ids per text int64)."""
+        """(ids int32, ids per text int64), a group of texts at a time."""
+        flat, lengths, at = [np.empty(0, np.int32)], [np.empty(0, np.int64)], 0
+        while at < len(texts):
+            to, chars = at + 1, len(texts[at])
+            while to < len(texts) and chars + len(texts[to]) <= GROUP_CHARS:
+                chars += len(texts[to])
+                to += 1
+            ids, n = self._encode_group(texts[at:to])
+            flat.append(ids)
+            lengths.append(n)
+            at = to
+        return np.concatenate(flat), np.concatenate(lengths)
+
+    def _encode_group(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole = {i: np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=np.int32)
                  for i, t in enumerate(texts) if self._whole(t)}
         cut = [t for i, t in enumerate(texts) if i not in whole]
@@ -202,10 +219,9 @@ class Encoder:
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(vocab_path: str) -> Encoder:
     """The worker's encoder for a vocabulary file, kept between tasks."""
-    return Encoder(vocab_path)
+    return held(vocab_path, lambda: Encoder(vocab_path))
 
 
 def default_vocab() -> str:

@@ -17,7 +17,7 @@ is not contaminated.
 
 from __future__ import annotations
 
-import functools
+
 import hashlib
 import re
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trisk.llm.store import columns, id_field, materialize, text_batches
+from trisk.llm.store import columns, held, id_field, materialize, text_batches
 
 WINDOW = 13
 MAX_PATTERN_CHARS = 4_000_000
@@ -53,7 +53,6 @@ def windows(text: str, window: int = WINDOW) -> list[bytes]:
     return [b" " + b" ".join(words[i:i + window]) + b" " for i in range(n)]
 
 
-@functools.lru_cache(maxsize=1)
 def _automaton(patterns: tuple):
     import ahocorasick
     machine = ahocorasick.Automaton()
@@ -123,7 +122,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     def scan_with(shared, carry: bool):
         def run(batches):
             patterns = shared.value
-            machine = _automaton(patterns)
+            machine = held(patterns, lambda: _automaton(patterns))
             for batch, texts in text_batches(batches, text_col):
                 n_words, spans, items = [], [], []
                 before = [c.to_pylist() for c in batch.columns[-2:]] if carry else None

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -13,24 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trisk.session import checkpoint_root
+from trisk.session import materialize, work_dir  # noqa: F401
 
 #: Rows of one Arrow batch handled at once inside a Python task; bounds the Python
 #: objects alive at a time, nothing else.
 STEP = 512
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/trisk-llm-{name}-{uuid.uuid4().hex}"
+_heavy: dict = {}
+
 
+def held(key, make: Callable):
+    """A worker's one heavy object, such as an automaton or an encoder: kept between the tasks of a stage, and
+    dropped once a later stage asks for another one, before that is made."""
+    if key not in _heavy:
+        _heavy.clear()
+        gc.collect()
+        _heavy[key] = make()
+    return _heavy[key]
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage;
-    a lost executor loses nothing, since the files are on shared storage)."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder, one that ``remove_work_dirs`` knows."""
+    return work_dir(spark, f"llm-{name}")
 
 
 def ship(spark: SparkSession) -> SparkSession:
