@@ -1,23 +1,29 @@
 """Mixing sources to target weights by a low-discrepancy slot schedule (DataFrame only).
 
-The mix is a schedule of ``n_slots`` slots of equal token counts. Slot i is the point
+The mix is a schedule of slots of ``BLOCK_WORDS`` words each. Slot i is the point
 frac((i + 1/2) * golden ratio); the points are mapped through the cumulative target
 shares of the sources, so every stretch of the schedule holds the sources close to
 their shares. The r-th slot of a source takes the r-th equal-token block of that
-source: its documents laid end to end in a shuffled order (md5 of seed and id), over
-and over. A block is thus joined to a slot on (source, rank).
+source: its documents laid end to end in a shuffled order (md5 of seed, id and text),
+over and over. A block is thus joined to a slot on (source, rank).
+
+Every source ends at its own target, to the word, at any size of corpus: its last block is
+partial, and the few blocks that the points of its share leave over (a source smaller than a
+block among them) are put in at points of the same sequence. Such a slot holds two blocks.
 
 Sizes are words ``[^\\x20\\x09-\\x0D]+`` (null text: 0). Targets share the total by
 weight; a source's target stops at ``cap`` times its size and the excess is reshared
 by weight until none is above. No document is taken more than ``cap`` times.
 
 Defined cases: an empty table gives no rows; a null source is a source of its own, the
-last one; null and repeated ids and repeated rows are ordinary documents (equal rows
-are interchangeable); empty documents take nothing.
-
-Scale: prefix sums are two-level (65,536 hash buckets per source), so a source with a
-third of all rows is spread; slots meet the cumulative shares by an equality join on
-cells, not by a range join; only (id, source, size, hash) rows are shuffled.
+last one; null and repeated ids and repeated rows are ordinary documents (rows equal in id,
+source and text are interchangeable); empty documents take nothing.
+
+Scale: prefix sums are two-level (65,536 hash buckets per source, ranges of slots), so a
+source or an id with a third of all rows is spread; slots meet the cumulative shares by an
+equality join on cells, not by a range join; only (id, source, size, hash) rows are shuffled.
+Windows over all sources hold one row per source: for thousands of sources, not for a
+source per document.
 """
 
 from __future__ import annotations
@@ -29,8 +35,10 @@ from trisk.llm.store import materialize
 
 #: Default weights by source in code point order, repeating.
 WEIGHTS = (5, 2, 1)
-#: Slots of the schedule; each takes total / N_SLOTS words, at any corpus size.
-N_SLOTS = 1 << 16
+#: Words of a slot; the number of slots follows the corpus.
+BLOCK_WORDS = 8192
+#: Slots whose ranks one window counts.
+SLOT_RANGE = 1 << 16
 #: No source or document is taken more than this many times.
 CAP = 3
 #: Cells over [0, 1) that slots and shares are joined on.
@@ -45,7 +53,8 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, cap: int = CAP) -> DataFrame:
-    """(skey, source, source_size) to the same with ``target``: the total by weight, water-filled.
+    """(skey, source, source_size) to the same with ``target``, the total by weight, water-filled, and
+    ``upto``, the target in whole words.
 
     The windows run over one row per source, not over documents.
     """
@@ -66,38 +75,74 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, cap: i
             .withColumn("target", F.least((cap * F.col("source_size")).cast("double"),
                                           F.coalesce(F.col("free_level") * F.col("weight"),
                                                      (cap * F.col("source_size")).cast("double"))))
-            .select("skey", "source", "source_size", "rank", "target"))
+            .withColumn("upto", F.floor(F.col("target") + F.lit(0.5)).cast("bigint"))
+            .select("skey", "source", "source_size", "rank", "target", "upto"))
+
 
+def _point(i: Column) -> Column:
+    """The i-th point of the golden-ratio sequence, in [0, 1)."""
+    x = (i + F.lit(0.5)) * F.lit(GOLDEN)
+    return x - F.floor(x)
 
-def slot_schedule(spark, targets: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
-    """(slot, skey, block): golden-ratio points through the cumulative targets, ranked per source."""
+
+def slot_schedule(spark, targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(slot, skey, block): golden-ratio points through the cumulative targets, ranked per source.
+
+    Every block of every source's target is there once; ``slot`` orders the mix.
+    """
     line = Window.partitionBy(F.lit(1)).orderBy("rank")
     total = F.sum("target").over(Window.partitionBy(F.lit(1)))
-    shares = (targets.filter(F.col("target") > 0)
+    shares = (targets.filter(F.col("upto") > 0)
+              .withColumn("n_blocks", F.ceil(F.col("upto") / F.lit(block_words)).cast("bigint"))
               .withColumn("lo", F.coalesce(F.sum("target").over(line.rowsBetween(Window.unboundedPreceding, -1)),
                                            F.lit(0.0)) / total)
               .withColumn("hi", F.sum("target").over(line) / total)
               .withColumn("last", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("rank"))) == 1)
               .withColumn("hi", F.when(F.col("last"), F.lit(1.0)).otherwise(F.col("hi"))))
+    words = targets.agg(F.coalesce(F.sum("upto"), F.lit(0))).first()[0]
+    n_slots = -(-words // block_words)
     celled = shares.select("skey", "lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") * CELLS), F.floor(F.col("hi") * CELLS))).alias("cell"))
-    x = (F.col("id") + F.lit(0.5)) * F.lit(GOLDEN)
-    points = (spark.range(n_slots).select(F.col("id").alias("slot"), (x - F.floor(x)).alias("u"))
+    points = (spark.range(n_slots).select(F.col("id").alias("slot"), _point(F.col("id")).alias("u"))
               .withColumn("cell", F.floor(F.col("u") * CELLS)))
-    return (points.join(celled, "cell").filter((F.col("lo") <= F.col("u")) & (F.col("u") < F.col("hi")))
-            .select("slot", "skey", (F.row_number().over(Window.partitionBy("skey").orderBy("slot")) - 1)
-                    .cast("bigint").alias("block")))
+    owned = materialize(points.join(celled, "cell").filter((F.col("lo") <= F.col("u")) & (F.col("u") < F.col("hi")))
+                        .select("slot", "skey", F.floor(F.col("slot") / SLOT_RANGE).alias("part")), "mix-slots")
+    parts = owned.groupBy("skey", "part").agg(F.count("*").alias("n"))
+    across = Window.partitionBy("skey").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("skey", "part").orderBy("slot")
+    ranked = (owned.withColumn("nth", F.row_number().over(inside) - 1)
+              .join(parts.select("skey", "part", F.coalesce(F.sum("n").over(across), F.lit(0)).alias("base")),
+                    ["skey", "part"])
+              .join(shares.select("skey", "n_blocks"), "skey")
+              .select("slot", "skey", (F.col("base") + F.col("nth")).cast("bigint").alias("block"), "n_blocks")
+              .filter(F.col("block") < F.col("n_blocks")).drop("n_blocks"))
+    # The points of a share miss its number of blocks by the sequence's discrepancy at most.
+    left = (shares.join(parts.groupBy("skey").agg(F.sum("n").alias("n")), "skey", "left")
+            .withColumn("n", F.coalesce("n", F.lit(0))).filter(F.col("n") < F.col("n_blocks"))
+            .select("skey", "rank", F.explode(F.sequence(F.col("n"), F.col("n_blocks") - 1)).alias("block"))
+            .select(F.floor(_point(F.col("rank") + F.col("block")) * n_slots).cast("bigint").alias("slot"), "skey",
+                    F.col("block").cast("bigint").alias("block")))
+    return ranked.unionByName(left)
+
+
+def source_key(source_col: str) -> Column:
+    """A source as text that is never null."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(f"`{source_col}`").cast("string")), F.lit("n"))
+
+
+def order_hash(id_col: str, text_col: str, seed: str) -> Column:
+    """What a source's documents are shuffled by; rows of one id differ by their texts."""
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.lit(":"),
+                          F.coalesce(F.md5(F.col(f"`{text_col}`")), F.lit(""))))
 
 
 def place_documents(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: str) -> DataFrame:
-    """(doc_id, skey, source, size, start): every document's offset on its source's shuffled line."""
-    sized = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
-                        word_count(F.col(f"`{text_col}`")).alias("size"))
-    hashed = (sized.withColumn("skey", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")))
-              .withColumn("order_hash", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"),
-                                                                                     F.lit("")))))
+    """(doc_id, skey, order_hash, source, size, start): every document's offset on its source's shuffled line."""
+    hashed = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
+                          word_count(F.col(f"`{text_col}`")).alias("size"), source_key(source_col).alias("skey"),
+                          order_hash(id_col, text_col, seed).alias("order_hash"))
               .withColumn("bucket", F.substring("order_hash", 1, 4)))
-    inside = (Window.partitionBy("skey", "bucket").orderBy("order_hash", "size")
+    inside = (Window.partitionBy("skey", "bucket").orderBy("order_hash")
               .rowsBetween(Window.unboundedPreceding, -1))
     local = materialize(hashed.withColumn("local_start", F.coalesce(F.sum("size").over(inside), F.lit(0))),
                         "mix-places")
@@ -105,15 +150,16 @@ def place_documents(docs: DataFrame, id_col: str, source_col: str, text_col: str
     bases = (local.groupBy("skey", "bucket").agg(F.sum("size").alias("bucket_size"))
              .select("skey", "bucket", F.coalesce(F.sum("bucket_size").over(across), F.lit(0)).alias("base")))
     return (local.join(bases, ["skey", "bucket"])
-            .select("doc_id", "skey", "source", "size", (F.col("base") + F.col("local_start")).alias("start")))
+            .select("doc_id", "skey", "order_hash", "source", "size", (F.col("base") + F.col("local_start")).alias("start")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        weights=WEIGHTS, share: float = 1.0, cap: int = CAP, n_slots: int = N_SLOTS, seed: str = "mix"
+        weights=WEIGHTS, share: float = 1.0, cap: int = CAP, block_words: int = BLOCK_WORDS, seed: str = "mix"
         ) -> tuple[DataFrame, DataFrame]:
     """The mix as (documents, pieces).
 
-    ``documents``: doc_id, skey, source, size, start, source_size, target, one row per input row.
+    ``documents``: doc_id, skey, order_hash, source, size, start, source_size, target, upto, one
+    row per input row.
     ``pieces``: slot, skey, block, doc_id, start, copy, from_word, to_word: which words of a
     document a slot takes, in its ``copy``-th round through the source.
     """
@@ -121,25 +167,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     placed = place_documents(docs, id_col, source_col, text_col, seed)
     sizes = placed.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, share, cap), "mix-targets")
-    documents = placed.join(targets.select("skey", "source_size", "target",
-                                           F.sum("source_size").over(Window.partitionBy(F.lit(1))).alias("total")),
-                            "skey")
-    budget = F.round(F.col("total") * F.lit(share)).cast("bigint")
-    copies = (documents.filter((F.col("size") > 0) & (F.col("target") > 0))
-              .withColumn("budget", budget)
-              .withColumn("copy", F.explode(F.array(*[F.lit(c) for c in range(cap)])))
+    documents = placed.join(targets.select("skey", "source_size", "target", "upto"), "skey")
+    # A copy of a document is words [a, b) of its source's endless line, which stops at ``upto``.
+    copies = (documents.filter((F.col("size") > 0) & (F.col("start") < F.col("upto")))
+              .withColumn("copy", F.explode(F.expr("sequence(0, (upto - 1 - start) div source_size)")))
               .withColumn("a", F.col("copy") * F.col("source_size") + F.col("start"))
-              .withColumn("b", F.col("a") + F.col("size")))
-    # Block k of a line is [k * budget div n, (k + 1) * budget div n); the two bounds below
-    # are the blocks of the first and last word.
-    first = F.expr(f"((a + 1) * {n_slots} - 1) div budget")
-    last = F.expr(f"(b * {n_slots} - 1) div budget")
-    cut = copies.withColumn("block", F.explode(F.sequence(first, last)))
-    lo = F.greatest(F.col("a"), F.expr(f"block * budget div {n_slots}")) - F.col("a")
-    hi = F.least(F.col("b"), F.expr(f"(block + 1) * budget div {n_slots}")) - F.col("a")
+              .withColumn("b", F.least(F.col("a") + F.col("size"), F.col("upto"))))
+    cut = copies.withColumn("block", F.explode(F.expr(f"sequence(a div {block_words}, (b - 1) div {block_words})")))
+    lo = F.greatest(F.col("a"), F.col("block") * block_words) - F.col("a")
+    hi = F.least(F.col("b"), (F.col("block") + 1) * block_words) - F.col("a")
     pieces = (cut.select("skey", "block", "doc_id", "start", "copy", lo.alias("from_word"), hi.alias("to_word"))
-              .filter(F.col("to_word") > F.col("from_word"))
-              .join(slot_schedule(spark, targets, n_slots), ["skey", "block"]))
+              .join(slot_schedule(spark, targets, block_words), ["skey", "block"]))
     return documents, pieces
 
 
@@ -159,19 +197,20 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     """The mix as documents with the input's columns: every document as often as it is taken whole,
     plus one copy cut after its first words where the mix ends inside it; untaken ones go.
 
-    Rows of the same id, source and size share their takes in any order.
+    Rows equal in id, source and text share their takes by the order of their other columns' hash.
     """
-    key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{source_col}`"), word_count(F.col(f"`{text_col}`")))
+    seed = options.get("seed", "mix")
     documents, pieces = mix(docs, id_col, source_col, text_col, **options)
-    taken = taken_words(documents, pieces)
-    same = Window.partitionBy("__key").orderBy("start")
-    takes = (taken.withColumn("__key", F.xxhash64("doc_id", "source", "size"))
-             .select("__key", F.row_number().over(same).alias("__nth"), F.col("size").alias("__size"),
-                     F.col("taken").alias("__taken"))
-             .filter("__taken > 0"))
-    numbered = (docs.withColumn("__key", key)
-                .withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy(F.col(f"`{id_col}`")))))
-    joined = numbered.join(takes, ["__key", "__nth"])
+    key = ["__skey", "__key"]
+    takes = (taken_words(documents, pieces)
+             .select(F.col("skey").alias("__skey"), F.col("order_hash").alias("__key"), "start",
+                     F.col("size").alias("__size"), F.col("taken").alias("__taken"))
+             .withColumn("__nth", F.row_number().over(Window.partitionBy(*key).orderBy("start")))
+             .filter("__taken > 0").drop("start"))
+    hashable = [F.col(f"`{f.name}`") for f in docs.schema if "map" not in f.dataType.simpleString()]
+    numbered = (docs.withColumn("__skey", source_key(source_col)).withColumn("__key", order_hash(id_col, text_col, seed))
+                .withColumn("__nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*hashable)))))
+    joined = numbered.join(takes, [*key, "__nth"])
     rest = F.col("__taken") % F.col("__size")
     counts = F.array_repeat(F.lit(-1).cast("bigint"), (F.col("__taken") / F.col("__size")).cast("int"))
     copies = F.when(rest > 0, F.concat(counts, F.array(rest))).otherwise(counts)

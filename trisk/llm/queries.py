@@ -120,7 +120,7 @@ def op13_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(text) AS hash
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
@@ -138,22 +138,11 @@ targets AS (
   SELECT source, source_size, r, least(top::DOUBLE, coalesce(
     (SELECT arg_min(level, (ratio, r)) FROM filled WHERE level <= ratio) * w, top::DOUBLE)) AS target
   FROM filled),
-shares AS (
-  SELECT source, coalesce(sum(target) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-      / sum(target) OVER () AS lo,
-    CASE WHEN r = max(r) OVER () THEN 1.0 ELSE sum(target) OVER (ORDER BY r) / sum(target) OVER () END AS hi
-  FROM targets WHERE target > 0),
-points AS (
-  SELECT (i + 0.5::DOUBLE) * 0.6180339887498949::DOUBLE - floor((i + 0.5::DOUBLE) * 0.6180339887498949::DOUBLE) AS u
-  FROM range(65536) t(i)),
-slots AS (
-  SELECT source, count(*)::BIGINT AS n FROM points JOIN shares ON lo <= u AND u < hi GROUP BY source),
 lined AS (
-  SELECT d.*, s.source_size, s.target, coalesce(sl.n, 0) * (SELECT sum(source_size)::BIGINT FROM sources) // 65536 AS upto,
-    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '')), size
+  SELECT d.*, s.source_size, s.target, floor(s.target + 0.5)::BIGINT AS upto,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(hash, ''))
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM sized d JOIN targets s ON d.source IS NOT DISTINCT FROM s.source
-  LEFT JOIN slots sl ON d.source IS NOT DISTINCT FROM sl.source)
+  FROM sized d JOIN targets s ON d.source IS NOT DISTINCT FROM s.source)
 SELECT doc_id, size, source_size, target, source,
   (greatest(least(upto, start + size) - start, 0)
    + greatest(least(upto, source_size + start + size) - source_size - start, 0)
