@@ -180,6 +180,45 @@ def test_substrings_equal_brute_force(spark, max_bucket):
     assert got == plain_removal(rows)
 
 
+def test_pieces_cover_every_string_once_and_equal_strings_share_a_key():
+    rng = np.random.default_rng(11)
+    for lead, count in ((336, 337), (200, 150), (0, 1), (17, 18)):
+        snippet = rng.integers(97, 123, count + 399).astype(np.uint8).tobytes()
+        for width in D.WIDTHS:
+            parts = list(D.pieces(5, lead, snippet, width))
+            starts = [s + k for _, s, _, part in parts for k in range(len(part) - 399)]
+            assert sorted(starts) == list(range(count))
+            assert all(snippet[s:s + len(part)] == part and ahead == lead - s for _, s, ahead, part in parts)
+            # The same string inside another snippet of the anchor comes under the same key.
+            key = {lead - s - k: new for new, s, _, part in parts for k in range(len(part) - 399)}
+            for cut in range(0, count, 37):
+                other = list(D.pieces(5, lead - cut, snippet[cut:cut + 400] + b"other", width))
+                assert {lead - cut - s - k: new for new, s, _, part in other
+                        for k in range(len(part) - 399)}[lead - cut] == key[lead - cut]
+
+
+def test_large_buckets_are_split_to_bounded_parts(spark, monkeypatch):
+    """A hot passage of 380 bytes in ever new contexts, a hot one of 500 bytes, and both with near variants."""
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    short, long = word(380), word(500)
+    rows = [(k, word(60) + (short if k % 2 else long) + word(60)) for k in range(90)]
+    rows += [(100 + k, rows[k][1][5:-7 - k]) for k in range(9)] + [(200, long[40:470]), (201, "=" * 900), (202, "=" * 450)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sorted_parts = []
+    plain = D._bucket_spans
+
+    def spy(snippets):
+        top = snippets.groupBy("key").count().agg({"count": "max"}).first()[0]
+        sorted_parts.append(top or 0)
+        return plain(snippets)
+
+    monkeypatch.setattr(D, "_bucket_spans", spy)
+    got = Counter(tuple(r)[:5] for r in D.remove_repeats(frame, max_bucket=12).collect())
+    assert got == plain_removal(rows)
+    assert len(sorted_parts) > 3 and max(sorted_parts) <= 12
+
+
 def test_substrings_of_awkward_tables(awkward, empty, nothing_but_nulls):
     assert D.remove_repeats(empty).collect() == []
     assert [tuple(r)[1:4] for r in D.remove_repeats(nothing_but_nulls).collect()] == [(0, 0, 0)] * 3

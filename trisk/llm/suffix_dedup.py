@@ -15,9 +15,13 @@ memory that does not depend on the corpus:
    shift d <= 12 takes both suffixes to cover places, so their ranks there decide. Neighbours
    in the order that share ``LENGTH`` bytes repeat.
 
-A bucket of more than ``MAX_BUCKET`` anchors (a passage in a large part of all documents)
-is not given to one task: its strings are counted by 128-bit hashes with partial
-aggregation instead, which finds the same places.
+4. Large buckets. One of more than ``MAX_BUCKET`` snippets (a passage in a large part of all
+   documents) is split before it is sorted. Equal strings hold their anchor at the same offset,
+   so a snippet is cut where that offset passes a multiple of a width, and the pieces are dealt
+   by the bytes that all strings of such a piece share: 64 at the first width, all ``LENGTH``
+   at the last, which is 1. Pieces of the same bytes are whole repeats, and one of them stands for
+   all in what follows. Parts that are small enough are sorted as in 3, larger ones go to the
+   next width, so any bucket ends in parts of bounded size, and no string is left out.
 
 Texts are UTF-8 bytes; strings never cross documents; copies of a whole text of at least
 ``LENGTH`` bytes are removed entirely and are read once.
@@ -29,6 +33,7 @@ ids and rows are ordinary documents (a repeated row is a copy); an empty table g
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trisk.llm.store import columns, id_field, materialize, text_batches
+from trisk.llm.store import STEP, columns, id_field, materialize, text_batches
 
 LENGTH = 400
 GRAM = 64
 #: Bytes of text whose suffixes are sorted at a time.
 BLOCK_BYTES = 2 << 20
-#: Anchors of one bucket that a task may hold (under 800 bytes each).
+#: Snippets of one bucket that a task sorts (under 800 bytes each); larger ones are split first.
 MAX_BUCKET = 30_000
+#: Offsets of the anchor that the strings of a piece may have, as a large bucket is split.
+WIDTHS = (LENGTH - GRAM + 1, 84, 21, 5, 1)
 #: Starting places of one snippet, and bytes of a text hashed at a time.
 MAX_RUN = 4096
 PIECE = 1 << 20
@@ -128,6 +135,29 @@ def runs(raw: np.ndarray, wanted: np.ndarray):
                 yield int(key[first[k]]), at + a, at + min(a + MAX_RUN, int(end[k]))
 
 
+def anchor_runs(raw: np.ndarray, wanted: np.ndarray):
+    """Yield (anchor hash, first start, end of starts, anchor's place) of the runs at one place of a wanted anchor."""
+    wanted = np.sort(wanted)
+    for at, key, place in anchors(raw):
+        first = np.flatnonzero(np.diff(place, prepend=-1))
+        end = np.append(first[1:], len(key))
+        where = np.minimum(np.searchsorted(wanted, key[first]), len(wanted) - 1)
+        for k in np.flatnonzero(wanted[where] == key[first]).tolist():
+            yield int(key[first[k]]), at + int(first[k]), at + int(end[k]), at + int(place[first[k]])
+
+
+def pieces(key: int, lead: int, snippet: bytes, width: int, length: int = LENGTH):
+    """Yield (key, shift, lead, piece) of a snippet whose first string has its anchor at offset ``lead``:
+    the strings with offsets in [j * width, (j + 1) * width), under a key of the bytes they all share."""
+    least = lead - (len(snippet) - length)
+    for j in range(least // width, lead // width + 1):
+        high, low = min(lead, j * width + width - 1), max(least, j * width)
+        shared = snippet[lead - j * width:lead - j * width + length + 1 - width]
+        digest = hashlib.blake2b(shared, digest_size=8, key=b"%d,%d" % (key, j)).digest()
+        yield (int.from_bytes(digest, "big", signed=True), lead - high, high,
+               snippet[lead - high:lead - low + length])
+
+
 def cover_ranks(words: np.ndarray, n: int) -> np.ndarray:
     """Ranks of the cover places of a text by their next 419 bytes; zeros follow the text.
 
@@ -246,12 +276,51 @@ def _bucket_spans(snippets: DataFrame) -> DataFrame:
             .mapInArrow(run, "h binary, a long, b long"))
 
 
-def _hashed_spans(strings: DataFrame) -> DataFrame:
-    """(h, a, b) of strings given as (w0, w1, h, a) hashes: the exact way for very large buckets."""
-    place = F.struct("h", "a")
-    repeated = (strings.groupBy("w0", "w1").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-                .filter(F.col("low") != F.col("high")).select("w0", "w1"))
-    return strings.join(repeated, ["w0", "w1"]).select("h", "a", (F.col("a") + LENGTH).alias("b"))
+def _piece_batches(rows):
+    """(key, h, start, lead, snippet) rows as batches of bounded bytes; a row without a snippet is a
+    known repeat of ``lead`` bytes."""
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+    held, size = [], 0
+    for row in itertools.chain(rows, [None]):
+        if held and (row is None or size >= BLOCK_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], kind) for k, kind in enumerate(kinds)],
+                                             names=["key", "h", "start", "lead", "snippet"])
+            held, size = [], 0
+        if row is not None:
+            held.append(row)
+            size += 64 + len(row[4] or b"")
+
+
+_PIECES = "key long, h binary, start long, lead long, snippet binary"
+
+
+def _split_spans(found: DataFrame, max_bucket: int) -> list[DataFrame]:
+    """Frames of (h, a, b): repeated byte spans of large buckets, given as pieces of the first width."""
+    spans, place = [], F.struct("h", "start")
+    for k, _ in enumerate(WIDTHS):
+        marked = found.withColumn("digest", F.md5("snippet"))
+        same = marked.groupBy("key", "digest").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+        marked = materialize(marked.join(same, ["key", "digest"]), "pieces")
+        spans.append(marked.filter(F.col("low") != F.col("high"))
+                     .select("h", F.col("start").alias("a"), (F.col("start") + F.length("snippet")).alias("b")))
+        alone = marked.filter(place == F.col("low")).select("key", "h", "start", "lead", "snippet")
+        if k == 0:  # a text that came twice stands once
+            alone = materialize(alone.dropDuplicates(["key", "h", "start"]), "alone")
+        large = materialize(alone.groupBy("key").count().filter(F.col("count") > max_bucket).select("key"), "large")
+        if k + 1 == len(WIDTHS) or large.isEmpty():
+            return [*spans, _bucket_spans(alone)]
+        spans.append(_bucket_spans(alone.join(large, "key", "left_anti")))
+
+        def split(batches, width=WIDTHS[k + 1]):
+            yield from _piece_batches(
+                (new, h, start + shift, ahead, part)
+                for batch in batches for at in range(0, batch.num_rows, STEP)
+                for key, h, start, lead, snippet in zip(*(c.to_pylist() for c in batch.slice(at, STEP).columns))
+                for new, shift, ahead, part in pieces(key, lead, snippet, width))
+
+        found = materialize(alone.join(large, "key").select("key", "h", "start", "lead", "snippet")
+                            .mapInArrow(split, _PIECES), "split")
+    return spans
 
 
 def repeated_spans(docs: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
@@ -292,20 +361,36 @@ def repeated_spans(docs: DataFrame, max_bucket: int = MAX_BUCKET) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)],
                                              names=["key", "h", "start", "snippet"])
 
-    def hashes(batches):
-        for batch, texts in text_batches(batches, "text"):
-            for h, text, keys in zip(batch.column(0).to_pylist(), texts, batch.column(3).to_pylist()):
-                raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-                for _, a, b in runs(raw, np.array(keys)) if keys else ():
-                    part = raw[a:b - 1 + LENGTH]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(string_hashes(part, LENGTH, w).view(np.int64)) for w in (0, 1)]
-                        + [pa.array([h] * (b - a), pa.binary()), pa.array(np.arange(a, b))], names=["w0", "w1", "h", "a"])
+    def large_pieces(h, raw, keys):
+        seen, known = {}, []
+        for key, a, b, place in anchor_runs(raw, np.array(keys)):
+            for new, shift, ahead, part in pieces(key, place - a, raw[a:b - 1 + LENGTH].tobytes(), WIDTHS[0]):
+                at = a + shift
+                before = seen.setdefault((new, part), at)
+                if before == at:
+                    yield new, h, at, ahead, part
+                else:  # twice in one text
+                    known += [(before, before + len(part)), (at, at + len(part))]
+        for a, b in merged(known):
+            yield 0, h, a, b - a, None
+
+    def large(batches):
+        def rows(before=None):
+            for batch, texts in text_batches(batches, "text"):
+                for h, text, keys in zip(batch.column(0).to_pylist(), texts, batch.column(3).to_pylist()):
+                    if keys and h != before:
+                        before = h
+                        yield from large_pieces(h, np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8), keys)
+
+        yield from _piece_batches(rows())
 
     spans = _bucket_spans(cut_from.mapInArrow(snippets, "key long, h binary, start long, snippet binary"))
     if not wanted.filter(F.size("hot") > 0).isEmpty():
-        hot = cut_from.filter(F.size("hot") > 0).mapInArrow(hashes, "w0 long, w1 long, h binary, a long")
-        spans = spans.unionByName(_hashed_spans(hot))
+        hot = materialize(cut_from.filter(F.size("hot") > 0).mapInArrow(large, _PIECES), "split")
+        known = hot.filter("snippet IS NULL").select("h", F.col("start").alias("a"),
+                                                     (F.col("start") + F.col("lead")).alias("b"))
+        for more in [known, *_split_spans(hot.filter("snippet IS NOT NULL"), max_bucket)]:
+            spans = spans.unionByName(more)
     found = spans.groupBy("h").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     copies = (counted.filter(F.col("n_bytes") >= LENGTH).groupBy("h").count().filter("count > 1")
               .select("h", F.lit(True).alias("copies")))
