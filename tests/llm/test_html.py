@@ -1,7 +1,11 @@
 """Site style tree extraction on pages written out by hand."""
 
+import math
+from collections import Counter, defaultdict
+
 import pytest
 
+from trisk.llm import style_tree
 from trisk.llm.style_tree import Page, extract
 
 PAGES = [
@@ -59,6 +63,76 @@ def test_low_importance_branches_are_cut(spark):
     assert got[3, "http://site.example/p3"] == "T3 Own words 3 xyzxyzxyz common"
 
 
+def classless(k, host):
+    """A page without names or kinds: menu, notice, body of k paragraphs, optional box, footer."""
+    body = "".join(f"<p>Paragraph {k} {j} of {host}</p>" for j in range(1 + k % 4))
+    extra = "<div><span>see also</span></div>" if k % 2 else ""
+    return (f"<html><body><div><b>Home</b> <i>About</i> Contact us</div><div>We use small files</div><div><h1>Title {k}</h1>"
+            f"{body}</div>{extra}<div>All prices in dollars <b>Imprint</b></div></body></html>",
+            f"Title {k} " + " ".join(f"Paragraph {k} {j} of {host}" for j in range(1 + k % 4)))
+
+
+@pytest.mark.parametrize("n", [5, 40])
+def test_places_without_names_go_by_importance_alone(spark, n):
+    pages = [classless(k, "h.example") for k in range(n)]
+    got = texts(spark, [(k, f"http://h.example/{k}", html) for k, (html, _) in enumerate(pages)])
+    for k, (_, body) in enumerate(pages):
+        text = got[k, f"http://h.example/{k}"]
+        # The box of every other page comes last but one: a place that few pages share on a small host.
+        assert text.replace(" see also", "") == body, k
+        assert n < 40 or text == body
+
+
+def test_two_pages_are_no_evidence_and_own_text_stays(spark):
+    two = [classless(k, "two.example")[0] for k in range(2)]
+    got = texts(spark, [(k, "http://two.example/", html) for k, html in enumerate(two)])
+    assert all(t.startswith("Home About Contact us") for t in got.values())
+    # One page of forty has an article of its own where the others have their notice.
+    rows = [(k, "http://own.example/", classless(k, "own.example")[0]) for k in range(40)]
+    rows[7] = (7, "http://own.example/", rows[7][2].replace("We use small files", "A text that is here alone"))
+    got = texts(spark, rows)
+    assert got[7, "http://own.example/"].startswith("A text that is here alone Title 7")
+    assert got[8, "http://own.example/"].startswith("Title 8")
+
+
+def test_pages_that_differ_in_markup_alone_count_once(spark):
+    rows = [(k, "http://same.example/", f"<body><div data-token={k}>Whole text</div><script>{k}</script></body>") for k in range(30)]
+    assert set(texts(spark, rows).values()) == {"Whole text"}
+
+
+def test_importance_equals_plain_entropy(spark):
+    rows = [(1, classless(k, "e.example")[0]) for k in range(12)] + [(2, row[2]) for row in site(15)] + [(3, site(1)[0][2])]
+    rows += rows[:5]
+    pages = defaultdict(dict)
+    for host, html in rows:
+        pages[host][Page(html).text_hash()] = Page(html).features()
+    plain = {}
+    for host, by_page in pages.items():
+        kinds = defaultdict(lambda: (Counter(), Counter()))
+        for features in by_page.values():
+            for node, main, kind, value in features:
+                kinds[node, main][kind][value] += 1
+        for (node, main), (styles, contents) in kinds.items():
+            m = sum(styles.values())
+            assert m == sum(contents.values())
+            if m > 1:
+                presentation = -sum(c / m * math.log(c / m, m) for c in styles.values())
+                content = 1 - sum(c / m * math.log(c, m) for c in contents.values())
+                weight = 0.9 ** len(styles)
+                measured = (1 - weight) * presentation + weight * content
+            else:
+                measured = 1.0
+            first, pages_of_prior = (1.0, 2.0) if main else (0.5, 1.0)
+            plain[host, node] = m, measured, (first * pages_of_prior + (m - 1) * measured) / (pages_of_prior + m - 1)
+    frame = spark.createDataFrame(rows, "host long, html string")
+    found = style_tree.node_importance(style_tree.value_counts(style_tree.page_features(frame))).collect()
+    assert len(found) == len(plain)
+    for r in found:
+        m, measured, importance = plain[r.host, r.node]
+        assert r.n_pages == m and abs(r.measured - measured) < 1e-9 and abs(r.importance - importance) < 1e-9
+    assert {r.importance < style_tree.MIN_IMPORTANCE for r in found} == {True, False}
+
+
 def test_few_pages_and_copies_are_no_evidence(spark):
     assert "Written by" in texts(spark, site(4))[0, "http://site.example/p0"]
     one = site(1)[0][2]

@@ -9,16 +9,19 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trisk.session import materialize, work_dir  # noqa: F401
 
-#: Rows of one Arrow batch handled at once inside a Python task; bounds the Python
-#: objects alive at a time, nothing else.
+#: Rows, and bytes of text, of one Arrow batch handled at once inside a Python task; they bound
+#: the Python objects alive at a time, nothing else. A longer text is a slice of its own.
 STEP = 512
+STEP_BYTES = 2 << 20
 
 
 _heavy: dict = {}
@@ -59,11 +62,18 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of at most ``STEP`` rows with the texts of ``column`` (null: empty)."""
+    """Slices of at most ``STEP`` rows and ``STEP_BYTES`` bytes with the texts of ``column`` (null: empty)."""
     for batch in batches:
-        for at in range(0, batch.num_rows, STEP):
-            part = batch.slice(at, STEP)
-            yield part, [t or "" for t in part.column(part.schema.get_field_index(column)).to_pylist()]
+        texts = batch.column(batch.schema.get_field_index(column))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            fit = int(np.searchsorted(ends, before + STEP_BYTES, "right")) - at
+            size = min(max(fit, 1), STEP, batch.num_rows - at)
+            part = batch.slice(at, size)
+            yield part, [t or "" for t in texts.slice(at, size).to_pylist()]
+            at += size
 
 
 def id_field(docs: DataFrame, id_col: str, name: str | None = None) -> T.StructField:

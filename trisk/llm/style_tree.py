@@ -1,16 +1,26 @@
 """Main-text extraction with a site style tree.
 
-Pages of one host are merged into a style tree: a node is a path of tags with their
-classes, and it counts, over the host's distinct pages, which sequences of children it has
-(presentation) and which text stands below it (content). Both give an entropy:
+Pages of one host are merged into a style tree. Outside the main part a node is a place: its
+parent's node, its tag with its classes, and its number among the siblings of that sign, once
+counted from the first and once from the last, so that a menu before and a footer after text
+of any length keep theirs. Inside an article or main element, where the number of blocks is the
+author's, children of one sign are one node. A node counts, over the host's pages of different
+text, which sequences of children it has (presentation) and which text stands below it
+(content). Both give an entropy:
 
 * presentation importance: -sum p_i log_m p_i over the child sequences, m pages;
 * content importance: 1 - mean over pages of log_m(pages with the same text), so text that
   is the same on every page has 0 and text that differs on every page has 1;
-* a node's importance: (1 - g^l) * presentation + g^l * content, l child sequences, g = 0.9.
+* measured importance: (1 - g^l) * presentation + g^l * content, l child sequences, g = 0.9.
 
-A node on at least ``MIN_PAGES`` distinct pages with importance under ``MIN_IMPORTANCE`` is
-cut from every page of the host with all that is below it. Elements that can hold no main
+What is measured on m pages weighs m - 1 against a prior: 1 with weight 2 in the main part, 0.5
+with weight 1 elsewhere. A node whose mean of both is under ``MIN_IMPORTANCE`` is cut, with all
+that is below it, from the pages whose text there stands on at least two pages and on
+``MIN_SHARE`` of the node's: text of a page's own is never cut. So the same text in the same
+place goes from three pages on, in the main part from ten on; two pages alone may be near copies
+and tell nothing.
+
+Elements that can hold no main
 text by their kind (menus, headers, footers, sidebars, forms, scripts, adverts, notices,
 reader comments) have importance 0 from the start; a class or id tells that by its whole name
 or its last part (not ``no-sidebar`` or ``has-menu``), never for html, body and main, and for an
@@ -23,12 +33,13 @@ joined in page order by one space.
 
 Defined cases: null or empty html gives empty text; broken markup is read the way browsers
 do (unclosed elements end with their parent, stray end tags are ignored, an unclosed comment
-or script runs to the end); a null url is a host of its own; identical pages count once as
-evidence, but each row gets its text; repeated ids and rows stay; an empty table gives none.
+or script runs to the end); a null url is a host of its own; pages of the same text count once
+as evidence, but each row gets its text; repeated ids and rows stay; an empty table gives none.
 
-Scale: features are one row per page and node and are counted with partial aggregation, so
-a host with a third of all pages is spread; the cut nodes of a host (a small list) are
-joined to its pages, by broadcast only where Spark sees that the table is small.
+Scale: features are one row per page and node and are counted by their value with partial
+aggregation, so a host with a third of all pages is spread; texts and sequences of one page
+alone are one row a node when they are written. The cuts of a host (at most 1 / ``MIN_SHARE``
+texts a node) are joined to its pages, by broadcast only where Spark sees that the table is small.
 """
 
 from __future__ import annotations
@@ -44,9 +55,11 @@ from pyspark.sql import types as T
 
 from trisk.llm.store import columns, id_field, materialize, text_batches
 
-MIN_PAGES = 8
-MIN_IMPORTANCE = 0.15
+MIN_IMPORTANCE = 0.2
+MIN_SHARE = 0.05
 DECAY = 0.9
+#: (importance, weight in pages) of a node before any evidence, in the main part and elsewhere.
+PRIOR_MAIN, PRIOR = (1.0, 2.0), (0.5, 1.0)
 
 # Fixed values of HTML: elements without content, elements that end a paragraph, and which
 # open elements a start tag closes.
@@ -116,10 +129,10 @@ def _sign(tag: str, attrs: str) -> tuple[str, int]:
 
 
 class Page:
-    """One page as nodes in page order: path, parent, noise, main; and text by node."""
+    """One page as nodes in page order: sign, parent, noise, main; and text by node."""
 
     def __init__(self, source: str):
-        self.paths: list[str] = [""]
+        self.signs: list[str] = [""]
         self.parents: list[int] = [-1]
         self.kinds: list[int] = [0]  # why an element itself is noise
         self.noise: list[bool] = [False]
@@ -184,8 +197,8 @@ class Page:
             attrs = m[3] if m[2] else m[6]
             signed, kind = _sign(tag, attrs or "")
             up = stack[-1]
-            node = len(self.paths)
-            self.paths.append(f"{self.paths[up]}/{signed}")
+            node = len(self.signs)
+            self.signs.append(signed)
             self.parents.append(up)
             self.tags.append(tag)
             self.kinds.append(kind)
@@ -202,48 +215,83 @@ class Page:
         if at < n:
             self.texts.append((stack[-1], source[at:]))
 
+    def _places(self) -> tuple[list[int], list[int]]:
+        """Style tree nodes of every element: by its place from the first sibling, and from the last."""
+        firsts, lasts, number = [0], [0], [0]
+        seen: dict[tuple[int, str], int] = {}
+        for key in zip(self.parents[1:], self.signs[1:]):
+            seen[key] = seen.get(key, 0) + 1
+            number.append(seen[key])
+        for k in range(1, len(self.signs)):
+            up, sign = self.parents[k], self.signs[k]
+            if self.main[k]:
+                # The main part starts a tree of its own, wherever it stands.
+                node = node_hash(firsts[up] if self.main[up] else 0, sign, 0)
+                firsts.append(node)
+                lasts.append(node)
+            else:
+                firsts.append(node_hash(firsts[up], sign, number[k]))
+                lasts.append(node_hash(lasts[up], sign, number[k] - seen[up, sign] - 1))
+        return firsts, lasts
+
+    def _nodes(self) -> list[tuple[int, bool, str, list[int], list[int]]]:
+        """(node, main, child sequence, text value, elements) of every style tree node with text below."""
+        contents: list[list[str]] = [[] for _ in self.signs]
+        for k, t in self.texts:
+            if not t.isspace():
+                contents[k].append(" ".join(t.split()))
+        values: list[str] = [""] * len(self.signs)
+        below: list[list[str]] = [[] for _ in self.signs]
+        sequences: list[list[str]] = [[] for _ in self.signs]
+        for k in range(len(self.signs) - 1, 0, -1):
+            if self.noise[k]:
+                continue
+            if contents[k] or below[k]:
+                values[k] = f"{_hash(chr(10).join(contents[k] + below[k][::-1]))}"
+                below[self.parents[k]].append(values[k])
+            if not sequences[self.parents[k]] or sequences[self.parents[k]][-1] != self.signs[k]:
+                sequences[self.parents[k]].append(self.signs[k])
+        found: dict[int, tuple[bool, list[str], list[str], list[int]]] = {}
+        firsts, lasts = self._places()
+        for k in range(1, len(self.signs)):
+            if values[k]:
+                for node in {firsts[k], lasts[k]}:
+                    entry = found.setdefault(node, (self.main[k], [], [], []))
+                    entry[1].append(">".join(sequences[k][::-1]))
+                    entry[2].append(values[k])
+                    entry[3].append(k)
+        return [(node, main, _hash("|".join(dict.fromkeys(styles))), _hash(f"{node}:{' '.join(texts)}"), elements)
+                for node, (main, styles, texts, elements) in found.items()]
+
     def text(self, cut: frozenset | set = frozenset()) -> str:
-        """The main text without the nodes whose path hash is in ``cut``."""
+        """The main text without the nodes whose text value is in ``cut``."""
         in_main = any(m and not x for m, x in zip(self.main, self.noise))
         gone = self.noise
         if cut:
             gone = list(self.noise)
+            for _, _, _, value, elements in self._nodes():
+                if value in cut:
+                    for k in elements:
+                        gone[k] = True
             for k in range(1, len(gone)):
-                gone[k] = gone[k] or gone[self.parents[k]] or path_hash(self.paths[k]) in cut
+                gone[k] = gone[k] or gone[self.parents[k]]
         raw = "".join(t if t == " " or not (gone[k] or (in_main and not self.main[k])) else ""
                       for k, t in self.texts)
         return " ".join((html_lib.unescape(raw) if "&" in raw else raw).split())
 
-    def features(self) -> list[tuple[int, int, int]]:
-        """(path hash, kind, value hash) of every node path that may hold main text: kind 0 is
-        the children's signs in order without repeats in a row, kind 1 the text below."""
-        in_main = any(m and not x for m, x in zip(self.main, self.noise))
-        live = [not x and (m or not in_main) and p != "" for p, x, m in zip(self.paths, self.noise, self.main)]
-        children: dict[str, list[str]] = {}
-        for k in range(1, len(self.paths)):
-            if live[self.parents[k]]:
-                row = children.setdefault(self.paths[self.parents[k]], [])
-                sign = self.paths[k].rsplit("/", 1)[1]
-                if not row or row[-1] != sign:
-                    row.append(sign)
-        below: dict[str, list[str]] = {}
-        own: dict[int, list[str]] = {}
-        for k, t in self.texts:
-            own.setdefault(k, []).append(t)
-        for k, parts in own.items():
-            piece = "".join(parts).strip()
-            up = k
-            while piece and up > 0:
-                if live[up]:
-                    below.setdefault(self.paths[up], []).append(piece)
-                up = self.parents[up]
+    def features(self) -> list[tuple[int, int, int, int]]:
+        """(node, main, kind, value) of every style tree node with text: kind 0 is the sequence of
+        children without repeats in a row, kind 1 the text below, its value told apart by node."""
         out = []
-        for path in {p for p, ok in zip(self.paths, live) if ok}:
-            h = path_hash(path)
-            out.append((h, 0, _hash(">".join(children.get(path, ())))))
-            out.append((h, 1, _hash("\n".join(below.get(path, ())))))
+        for node, main, style, text, _ in self._nodes():
+            out.append((node, int(main), 0, style))
+            out.append((node, int(main), 1, text))
         return out
 
+    def text_hash(self) -> int:
+        """What the page counts as: its text without noise."""
+        return _hash(" ".join("".join(t for k, t in self.texts if not self.noise[k]).split()))
+
 
 def _hash(text: str) -> int:
     """A signed 64-bit hash."""
@@ -251,57 +299,73 @@ def _hash(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-_PATHS: dict[str, int] = {}
+_NODES: dict[tuple[int, str, int], int] = {}
 
 
-def path_hash(path: str) -> int:
-    """Hash of a path, remembered for the worker's recent paths."""
-    value = _PATHS.get(path)
+def node_hash(parent: int, sign: str, place: int) -> int:
+    """Hash of a style tree node, remembered for the worker's recent ones."""
+    key = (parent, sign, place)
+    value = _NODES.get(key)
     if value is None:
-        if len(_PATHS) > 100_000:
-            _PATHS.clear()
-        value = _PATHS[path] = _hash(path)
+        if len(_NODES) > 100_000:
+            _NODES.clear()
+        value = _NODES[key] = _hash(f"{parent}/{sign}[{place}]")
     return value
 
 
 def page_features(pages: DataFrame) -> DataFrame:
-    """(host, page, path, kind, value) hashes of (host, html) rows."""
-    names = ["host", "page", "path", "kind", "value"]
+    """(host, page, node, main, kind, value) hashes of (host, html) rows."""
+    names = ["host", "page", "node", "main", "kind", "value"]
 
     def run(batches):
         for batch, sources in text_batches(batches, "html"):
             hosts = batch.column(batch.schema.get_field_index("host")).to_pylist()
-            rows = [(h, _hash(s), *f) for h, s in zip(hosts, sources) if s for f in Page(s).features()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(5)], names=names)
+            read = [(h, Page(s)) for h, s in zip(hosts, sources) if s]
+            rows = [(h, page.text_hash(), *f) for h, page in read for f in page.features()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names=names)
 
     return pages.select("host", "html").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def node_importance(features: DataFrame, decay: float = DECAY) -> DataFrame:
-    """(host, path, n_pages, importance) of every style node."""
-    counts = features.distinct().groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
-    n = F.col("n").cast("double")
-    nodes = counts.groupBy("host", "path").agg(
+def value_counts(features: DataFrame) -> DataFrame:
+    """(host, node, main, kind, value, n, n_values): pages by value; the values of one page alone
+    are one row with a null value."""
+    counts = (features.distinct().groupBy("host", "node", "main", "kind", "value").agg(F.count(F.lit(1)).alias("n")))
+    return (counts.groupBy("host", "node", "main", "kind", F.when(F.col("n") > 1, F.col("value")).alias("value"))
+            .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_values")))
+
+
+def node_importance(counts: DataFrame, decay: float = DECAY) -> DataFrame:
+    """(host, node, main, n_pages, measured, importance) of every style tree node."""
+    n, shared = F.col("n").cast("double"), F.col("value").isNotNull()
+    nodes = counts.groupBy("host", "node", "main").agg(
         F.sum(F.when(F.col("kind") == 0, n)).alias("m"),
-        F.count(F.when(F.col("kind") == 0, 1)).alias("styles"),
-        F.sum(F.when(F.col("kind") == 0, n * F.log(n))).alias("style_sum"),
-        F.sum(F.when(F.col("kind") == 1, n * F.log(n))).alias("text_sum"))
+        F.sum(F.when(F.col("kind") == 0, F.col("n_values"))).alias("styles"),
+        F.sum(F.when((F.col("kind") == 0) & shared, n * F.log(n)).otherwise(0.0)).alias("style_sum"),
+        F.sum(F.when((F.col("kind") == 1) & shared, n * F.log(n)).otherwise(0.0)).alias("text_sum"))
     m, weight = F.col("m"), F.pow(F.lit(decay), F.col("styles"))
     # -sum p log_m p = 1 - (sum n log n) / (m log m)
     presentation = 1 - F.col("style_sum") / (m * F.log(m))
     content = 1 - F.col("text_sum") / (m * F.log(m))
-    return nodes.select("host", "path", m.cast("bigint").alias("n_pages"),
-                        F.when(m > 1, (1 - weight) * presentation + weight * content).otherwise(F.lit(1.0))
-                        .alias("importance"))
+    measured = F.when(m > 1, (1 - weight) * presentation + weight * content).otherwise(F.lit(1.0))
+
+    def mean(prior):
+        return (prior[0] * prior[1] + (m - 1) * F.col("measured")) / (prior[1] + m - 1)
+
+    return (nodes.withColumn("measured", measured)
+            .select("host", "node", "main", m.cast("bigint").alias("n_pages"), "measured",
+                    F.when(F.col("main") == 1, mean(PRIOR_MAIN)).otherwise(mean(PRIOR)).alias("importance")))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
+            min_importance: float = MIN_IMPORTANCE, min_share: float = MIN_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars, n_cut): the main text of every page."""
     rows = columns(pages, page_id=id_col, url=url_col, html=html_col).withColumn("host", host_of(F.col("url")))
-    cut = materialize(node_importance(page_features(rows))
-                      .filter((F.col("n_pages") >= min_pages) & (F.col("importance") < min_importance))
-                      .groupBy("host").agg(F.collect_set("path").alias("cut")), "style-tree")
+    counts = materialize(value_counts(page_features(rows)), "style-tree")
+    low = node_importance(counts).filter(F.col("importance") < min_importance).select("host", "node", "n_pages")
+    cut = materialize(counts.filter((F.col("kind") == 1) & F.col("value").isNotNull())
+                      .join(low, ["host", "node"]).filter(F.col("n") >= min_share * F.col("n_pages"))
+                      .groupBy("host").agg(F.collect_set("value").alias("cut")), "style-cuts")
     schema = T.StructType([id_field(rows, "page_id"), T.StructField("url", T.StringType()),
                            T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType()),
                            T.StructField("n_cut", T.LongType())])
