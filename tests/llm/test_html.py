@@ -105,12 +105,13 @@ def test_importance_equals_plain_entropy(spark):
     rows += rows[:5]
     pages = defaultdict(dict)
     for host, html in rows:
-        pages[host][Page(html).text_hash()] = Page(html).features()
+        features = Page(html).features()
+        pages[host][features[0][0]] = features
     plain = {}
     for host, by_page in pages.items():
         kinds = defaultdict(lambda: (Counter(), Counter()))
         for features in by_page.values():
-            for node, main, kind, value in features:
+            for _, node, main, kind, value in features:
                 kinds[node, main][kind][value] += 1
         for (node, main), (styles, contents) in kinds.items():
             m = sum(styles.values())

@@ -215,53 +215,63 @@ class Page:
         if at < n:
             self.texts.append((stack[-1], source[at:]))
 
-    def _places(self) -> tuple[list[int], list[int]]:
-        """Style tree nodes of every element: by its place from the first sibling, and from the last."""
-        firsts, lasts, number = [0], [0], [0]
+    def _places(self, told: list[str]) -> tuple[list[int], list[int]]:
+        """Style tree nodes of the elements with a text value: by the place from the first sibling, and the last."""
+        size = len(self.signs)
+        firsts, lasts, number = [0] * size, [0] * size, [0] * size
         seen: dict[tuple[int, str], int] = {}
-        for key in zip(self.parents[1:], self.signs[1:]):
-            seen[key] = seen.get(key, 0) + 1
-            number.append(seen[key])
-        for k in range(1, len(self.signs)):
-            up, sign = self.parents[k], self.signs[k]
-            if self.main[k]:
-                # The main part starts a tree of its own, wherever it stands.
-                node = node_hash(firsts[up] if self.main[up] else 0, sign, 0)
-                firsts.append(node)
-                lasts.append(node)
-            else:
-                firsts.append(node_hash(firsts[up], sign, number[k]))
-                lasts.append(node_hash(lasts[up], sign, number[k] - seen[up, sign] - 1))
+        for k in range(1, size):
+            if not (self.noise[k] or self.main[k]):
+                key = self.parents[k], self.signs[k]
+                number[k] = seen[key] = seen.get(key, 0) + 1
+        for k in range(1, size):
+            if told[k]:
+                up, sign = self.parents[k], self.signs[k]
+                if self.main[k]:
+                    # The main part starts a tree of its own, wherever it stands.
+                    firsts[k] = lasts[k] = node_hash(firsts[up] if self.main[up] else 0, sign, 0)
+                else:
+                    firsts[k] = node_hash(firsts[up], sign, number[k])
+                    lasts[k] = node_hash(lasts[up], sign, number[k] - seen[up, sign] - 1)
         return firsts, lasts
 
-    def _nodes(self) -> list[tuple[int, bool, str, list[int], list[int]]]:
-        """(node, main, child sequence, text value, elements) of every style tree node with text below."""
-        contents: list[list[str]] = [[] for _ in self.signs]
+    def _nodes(self) -> tuple[list[tuple[int, bool, int, int, list[int]]], int]:
+        """(node, main, child sequence, text value, elements) of every style tree node with text below, and
+        the value of the page's text without noise."""
+        size, noise, parents, signs = len(self.signs), self.noise, self.parents, self.signs
+        parts: dict[int, list[str]] = {}
         for k, t in self.texts:
-            if not t.isspace():
-                contents[k].append(" ".join(t.split()))
-        values: list[str] = [""] * len(self.signs)
-        below: list[list[str]] = [[] for _ in self.signs]
-        sequences: list[list[str]] = [[] for _ in self.signs]
-        for k in range(len(self.signs) - 1, 0, -1):
-            if self.noise[k]:
+            if t != " " and not noise[k]:
+                words = t.split()
+                if words:
+                    parts.setdefault(k, []).append(" ".join(words))
+        told = [""] * size
+        below: dict[int, list[str]] = {}
+        sequences: dict[int, list[str]] = {}
+        for k in range(size - 1, 0, -1):
+            if noise[k]:
                 continue
-            if contents[k] or below[k]:
-                values[k] = f"{_hash(chr(10).join(contents[k] + below[k][::-1]))}"
-                below[self.parents[k]].append(values[k])
-            if not sequences[self.parents[k]] or sequences[self.parents[k]][-1] != self.signs[k]:
-                sequences[self.parents[k]].append(self.signs[k])
+            if k in parts or k in below:
+                told[k] = f"{_hash(chr(10).join(parts.get(k, []) + below.get(k, [])[::-1]))}"
+                below.setdefault(parents[k], []).append(told[k])
+            sequence = sequences.setdefault(parents[k], [])
+            if not sequence or sequence[-1] != signs[k]:
+                sequence.append(signs[k])
         found: dict[int, tuple[bool, list[str], list[str], list[int]]] = {}
-        firsts, lasts = self._places()
-        for k in range(1, len(self.signs)):
-            if values[k]:
-                for node in {firsts[k], lasts[k]}:
-                    entry = found.setdefault(node, (self.main[k], [], [], []))
-                    entry[1].append(">".join(sequences[k][::-1]))
-                    entry[2].append(values[k])
+        firsts, lasts = self._places(told)
+        for k in range(1, size):
+            if told[k]:
+                style = ">".join(sequences[k][::-1]) if k in sequences else ""
+                for node in (firsts[k],) if firsts[k] == lasts[k] else (firsts[k], lasts[k]):
+                    entry = found.get(node)
+                    if entry is None:
+                        entry = found[node] = (self.main[k], [], [], [])
+                    entry[1].append(style)
+                    entry[2].append(told[k])
                     entry[3].append(k)
         return [(node, main, _hash("|".join(dict.fromkeys(styles))), _hash(f"{node}:{' '.join(texts)}"), elements)
-                for node, (main, styles, texts, elements) in found.items()]
+                for node, (main, styles, texts, elements) in found.items()], _hash(
+                    chr(10).join(parts.get(0, []) + below.get(0, [])[::-1]))
 
     def text(self, cut: frozenset | set = frozenset()) -> str:
         """The main text without the nodes whose text value is in ``cut``."""
@@ -269,7 +279,7 @@ class Page:
         gone = self.noise
         if cut:
             gone = list(self.noise)
-            for _, _, _, value, elements in self._nodes():
+            for _, _, _, value, elements in self._nodes()[0]:
                 if value in cut:
                     for k in elements:
                         gone[k] = True
@@ -279,19 +289,17 @@ class Page:
                       for k, t in self.texts)
         return " ".join((html_lib.unescape(raw) if "&" in raw else raw).split())
 
-    def features(self) -> list[tuple[int, int, int, int]]:
-        """(node, main, kind, value) of every style tree node with text: kind 0 is the sequence of
-        children without repeats in a row, kind 1 the text below, its value told apart by node."""
+    def features(self) -> list[tuple[int, int, int, int, int]]:
+        """(page, node, main, kind, value) of every style tree node with text: kind 0 is the sequence of
+        children without repeats in a row, kind 1 the text below, its value told apart by node. A page
+        counts as its text without noise."""
+        nodes, page = self._nodes()
         out = []
-        for node, main, style, text, _ in self._nodes():
-            out.append((node, int(main), 0, style))
-            out.append((node, int(main), 1, text))
+        for node, main, style, text, _ in nodes:
+            out.append((page, node, int(main), 0, style))
+            out.append((page, node, int(main), 1, text))
         return out
 
-    def text_hash(self) -> int:
-        """What the page counts as: its text without noise."""
-        return _hash(" ".join("".join(t for k, t in self.texts if not self.noise[k]).split()))
-
 
 def _hash(text: str) -> int:
     """A signed 64-bit hash."""
@@ -320,8 +328,7 @@ def page_features(pages: DataFrame) -> DataFrame:
     def run(batches):
         for batch, sources in text_batches(batches, "html"):
             hosts = batch.column(batch.schema.get_field_index("host")).to_pylist()
-            read = [(h, Page(s)) for h, s in zip(hosts, sources) if s]
-            rows = [(h, page.text_hash(), *f) for h, page in read for f in page.features()]
+            rows = [(h, *f) for h, s in zip(hosts, sources) if s for f in Page(s).features()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names=names)
 
     return pages.select("host", "html").mapInArrow(run, ", ".join(f"{c} long" for c in names))
