@@ -154,6 +154,71 @@ def test_scan_rows(awkward, empty, spark):
     assert 0 < one.score <= 1 and (two.n_base, two.first_word, two.base_labels) == (0, None, "")
 
 
+PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+
+
+def plain_detections(text):
+    """Every rule over the whole text without a gate, each character's place kept; then the inside ones go."""
+    low = "".join(c.lower()[0] if len(text.lower()) != len(text) else c.lower() for c in text)
+    flat, place, at = [], [], 0
+    while at < len(low):
+        gap = L._GAP.match(low, at)
+        flat.append(" " if gap else low[at])
+        place.append(at)
+        at = gap.end() if gap else at + 1
+    flat = "".join(flat)
+    found = sorted(((-r.priority, place[m.start()] - place[m.end() - 1] - 1, r.order, place[m.start()], r)
+                    for r in L.rules() for m in r.pattern.finditer(flat)), key=lambda d: d[:4])
+    kept = []
+    for _, minus, _, a, r in found:
+        if not any(x <= a and a - minus <= y for x, y, _ in kept):
+            kept.append((a, a - minus, r))
+    return kept
+
+
+def plain_scan(text):
+    """(n_words, n_base, first, last, base labels, labels, score, detections)."""
+    words, places = words_of(text), []
+    for phrase, label in PHRASES:
+        own = phrase.split()
+        places += [(k, label) for k in range(len(words) - len(own) + 1) if words[k:k + len(own)] == own]
+    kept = plain_detections(text or "")
+    at, base = [k for k, _ in places], {label for _, label in places}
+    score = max([r.confidence for *_, r in kept] + [0.7] * bool(base), default=0.0)
+    return (len(words), len(places), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
+            ",".join(sorted(base | {r.label for *_, r in kept})), score, sorted((r.label, a, b) for a, b, r in kept))
+
+
+def check_scan(frame):
+    rows = L.scan(frame).join(frame.select("doc_id", "text"), "doc_id").collect()
+    assert len(rows) == frame.count()
+    for r in rows:
+        got = (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score,
+               sorted((d.label, d.start, d.end) for d in r.detections))
+        assert got == plain_scan(r.text), r.doc_id
+    return rows
+
+
+def test_scan_equals_ungated_rules_on_the_table(spark):
+    rows = check_scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert any(r.n_base for r in rows) and any(r.labels for r in rows)
+
+
+def test_scan_equals_ungated_rules_on_license_texts(spark):
+    """Random strings of license names, grants, tags, comment signs and line breaks."""
+    rng = np.random.default_rng(5)
+    parts = ["licensed under the", "released under the terms of", "license:", "SPDX-License-Identifier:", "GPL-2.0-or-later",
+             "MIT", "License", "Apache License, Version 2.0", "GNU General Public License", "version 3", "cc by", "CC-BY-SA 4.0",
+             "\n * ", "\n# ", "  ", "all rights reserved", "All\nRights Reserved", "©2020", "Copyright (c) 2021", "İ", "as is",
+             "https://www.gnu.org/licenses/gpl-3", "creativecommons.org/licenses/by-nc", "Mozilla Public License 2.0", "zlib",
+             "permission is hereby granted, free of\n// charge", "in the public domain", "eclipse public license", ".", "日本"]
+    texts = ["".join(parts[k] + str(rng.choice([" ", " ", "\n", ", ", ""])) for k in rng.integers(0, len(parts), 25))
+             for _ in range(300)]
+    texts += [None, "", " ".join(parts) * 40]
+    rows = check_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert len({label for r in rows for label in r.labels.split(",")}) > 10
+
+
 # ---------------------------------------------------------------- quality
 
 def counts(text):
