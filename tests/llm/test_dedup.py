@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from trisk.llm import line_templates as LT
 from trisk.llm import simhash as S
@@ -116,6 +117,16 @@ def test_near_duplicates(spark, awkward, nothing_but_nulls, empty):
 
 # ---------------------------------------------------------------- substrings
 
+
+def test_rows_of_one_id_and_text_keep_the_same_one_at_every_run(spark):
+    rows = [(k % 2 or None, "one text of a few words", f"row {k}", {"k": k}) for k in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, __row string, more map<string,int>")
+    first = S.deduplicate(frame).collect()
+    again = S.deduplicate(frame.repartition(7).orderBy(F.desc("__row"))).collect()
+    assert len(first) == 1 and first == again and first[0].doc_id == 1
+    assert frame.columns == S.deduplicate(frame).columns
+
+
 def test_cover_has_every_difference():
     for i, j in itertools.product(range(D.PERIOD), repeat=2):
         assert {(i + D.SHIFT[i, j]) % D.PERIOD, (j + D.SHIFT[i, j]) % D.PERIOD} <= set(D.COVER)

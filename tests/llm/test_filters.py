@@ -57,6 +57,18 @@ def test_contamination_equals_plain_matching(spark, awkward, block):
         assert (r["__n_words"], r.hit, len(r["__items"]), r.bad) == (n, hit, n_items, bad), r.doc_id
 
 
+def test_long_items_are_spread_over_blocks(spark):
+    item = " ".join(f"w{k}" for k in range(400))
+    bench = spark.createDataFrame([(1, item), (2, "short one"), (3, item)], "item_id long, text string")
+    blocks = list(D.pattern_blocks(bench, "item_id", "text", 13, 500))
+    assert len(blocks) > 20 and max(sum(len(p) for p, _ in b) for b in blocks) < 600
+    docs = spark.createDataFrame([(1, f"a {item} b"), (2, "w5 w6")], "doc_id long, text string")
+    for chars in (500, D.MAX_PATTERN_CHARS):
+        one, two = D.find_contamination(docs, bench, max_pattern_chars=chars).orderBy("doc_id").collect()
+        assert (one["__n_words"], sorted(one["__items"]), [tuple(x) for x in one["__spans"]]) == (402, [1, 3], [(1, 401)])
+        assert not two["__items"]
+
+
 def test_contamination_report(spark, empty, nothing_but_nulls):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")

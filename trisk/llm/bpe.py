@@ -23,8 +23,8 @@ from trisk.llm.store import held
 
 #: Distinct pieces, and distinct pre-tokens, kept by one Python worker before the tables are
 #: started anew, and bytes handled at a time; memory bounds only, ids do not depend on them.
-MAX_PIECES = 500_000
-MAX_WORDS = 300_000
+MAX_PIECES = 250_000
+MAX_WORDS = 150_000
 CHUNK_BYTES = 1 << 18
 #: Characters of the texts whose pieces are laid out at a time (one text at least).
 GROUP_CHARS = 1 << 19

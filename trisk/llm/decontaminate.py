@@ -64,8 +64,8 @@ def _automaton(patterns: tuple):
 
 
 def pattern_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_chars: int):
-    """Yield lists of (pattern, item ids); a block's patterns hold at most ``max_chars``
-    characters, or one item where that alone holds more."""
+    """Yield lists of (pattern, item ids); a block's patterns hold ``max_chars`` characters and at most
+    one pattern more, so that a long item is spread over blocks."""
     rows = columns(benchmark, item_id=id_col, text=text_col).filter(F.col("text").isNotNull())
     block: dict[bytes, set] = {}
     chars = 0
@@ -76,9 +76,9 @@ def pattern_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int
                 chars += len(w)
             if row.item_id is not None:
                 block[w].add(row.item_id)
-        if chars >= max_chars:
-            yield sorted((p, tuple(sorted(i))) for p, i in block.items())
-            block, chars = {}, 0
+            if chars >= max_chars:
+                yield sorted((p, tuple(sorted(i))) for p, i in block.items())
+                block, chars = {}, 0
     if block:
         yield sorted((p, tuple(sorted(i))) for p, i in block.items())
 

@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -276,7 +276,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row left of each component: the one of the smallest id (nulls last)."""
+    """``docs`` with one row left of each component: the one of the smallest id (nulls last), of its
+    rows the one of the least hash of all columns."""
     ident = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     signed = materialize(fingerprints(docs.withColumn("__text_hash", ident), id_col, text_col, shingle,
                                       keep=("__text_hash",)), "simhash")
@@ -287,7 +288,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = materialize(kept.distinct(), "simhash-kept")
     marked = docs.withColumn("__text_hash", ident)
     joined = marked.join(kept, marked[id_col].eqNullSafe(kept["__id"]) & (marked["__text_hash"] == kept["__hash"]))
-    # Repeated rows have the same id and text: one of them stays.
-    once = Window.partitionBy("__id", "__hash").orderBy(F.lit(1))
-    return (joined.withColumn("__nth", F.row_number().over(once)).filter("__nth = 1")
-            .select(*[marked[c] for c in docs.columns]))
+    # Of rows with the same id and text the one of the least hash stays, found before the shuffle in each part.
+    row_hash = F.xxhash64(*[marked[f.name] for f in docs.schema if "map" not in f.dataType.simpleString()])
+    once = joined.groupBy("__id", "__hash").agg(
+        F.min_by(F.struct(*[marked[c].alias(c) for c in docs.columns]), row_hash).alias("__row"))
+    return once.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
