@@ -267,3 +267,48 @@ def test_timed_runs_give_the_mean_the_median_and_the_last(spark):
     report = TR.timing_report(runs).first()
     assert (report.runs, report.mean_ms) == (3, round(sum(r.elapsed_ms for r in rows) / 3))
     assert (report.median_estimate, report.last_estimate) == (sorted(want)[1], want[2])
+
+
+@pytest.mark.parametrize("colors", [1, 2, 3, 5])
+def test_keys_split_over_tasks_equal_keys_in_one_task(spark, colors):
+    lists = TR.prepare(frame(spark, random_pairs(21, 50, 500)))
+    want = sorted(map(tuple, TR.exact_by_color_triples_per_key(lists, 77, 5, colors).collect()))
+    assert want
+    for hot in (G.HOT_WORK, 3):   # 3: hubs in a join of their own
+        split = TR.exact_by_color_triples_per_key(lists, 77, 5, colors, key_edges=10, hot_work=hot)
+        assert split.columns == ["k1", "k2", "k3", "triangles"]
+        assert sorted(map(tuple, split.collect())) == want
+    assert TR.exact_by_color_triples(lists, 77, 5, colors, key_edges=10).first() == TR.exact_count(lists).first()
+    held = Counter((r.src, r.dst, r.k1, r.k2, r.k3) for r in TR.triple_key_copies(lists, 77, 5, colors).collect())
+    hue = lambda x: ((77 * x + 5) % 8191) % colors
+    edges = [(r.src, x) for r in lists.collect() for x in r.nb]
+    assert held == Counter((u, v, *sorted((hue(u), hue(v), i))) for u, v in edges for i in range(colors))
+
+
+def test_a_key_over_its_limit_is_not_one_task(spark):
+    """One colour puts every edge in one key: its wedges are dealt by node, none by the key."""
+    lists = TR.prepare(order_graph(spark, "0.001"), buckets=8)
+    joins = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = plain_plan(TR.exact_by_color_triples_per_key(lists, 17, 3, 1, key_edges=100))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joins)
+    assert "Exchange hashpartitioning(dst" in split and "Window" not in split
+    cold = split[split.index("Union"):].split("SortMergeJoin [dst", 2)[1]
+    assert "Bucketed: true" in cold and cold.count("Exchange hashpartitioning(dst") == 1
+
+
+def test_prepare_counts_edges_and_degrees_once(spark):
+    """Lookups read written degrees of written edges and sort no edges; buckets follow the edges."""
+    edges = order_graph(spark, "0.001")
+    plan = plain_plan(G.orient(edges))
+    assert "HashAggregate(keys=[node" not in plan and "SortMergeJoin" not in plan
+    before, TR.BUCKET_EDGES = TR.BUCKET_EDGES, 500
+    try:
+        many = TR.prepare(edges)
+    finally:
+        TR.BUCKET_EDGES = before
+    key = lambda r: r.src
+    assert len({r.file for r in many.select(F.input_file_name().alias("file")).collect()}) > 8
+    assert sorted(many.collect(), key=key) == sorted(TR.prepare(edges).collect(), key=key)

@@ -28,7 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trisk.operators.skew import HOT_KEYS, HOT_ROWS, heavy_keys, salt_count, split_lookup
+from trisk.operators.skew import HOT_KEYS, HOT_ROWS, heavy_keys, plain_lookup, salt_count, split_lookup
+from trisk.session import materialize
 
 # List entries (8 bytes each) sent to one node that one task may hold.
 HOT_WORK = 16_000_000
@@ -56,13 +57,19 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def orient(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
-    """Orient canonical edges by ``(degree, id)``: ``(src, dst, dsrc, ddst)``."""
-    deg = degrees(edges)
+    """Orient canonical edges by ``(degree, id)``: ``(src, dst, dsrc, ddst)``.
+
+    Degrees are counted once and read back by both ends' lookups and the search for hubs; only
+    a graph that has hubs pays for keeping their rows apart.
+    """
+    deg = materialize(degrees(edges), "degrees")
     hot = heavy_keys(deg, ["node"], "degree", hot_rows, hot_keys)  # one broadcast for both ends
+    hubs = not hot.isEmpty()
     both = edges
     for end, name in (("u", "du"), ("v", "dv")):
-        both = split_lookup(both, deg.select("node", F.col("degree").alias(name)), end, "node", name,
-                            hot.select("node", F.col("degree").alias(name)))
+        dim = deg.select("node", F.col("degree").alias(name))
+        both = (split_lookup(both, dim, end, "node", name, hot.select("node", F.col("degree").alias(name)))
+                if hubs else plain_lookup(both, dim, end, "node"))
     forward = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
 
     def pick(a: str, b: str):
@@ -98,6 +105,14 @@ def node_work(lists: DataFrame) -> DataFrame:
             .groupBy(F.col("dst").alias("src")).agg(F.sum(F.col("n") - F.col("at") - 1).alias("work")))
 
 
+def with_work(dealt: DataFrame) -> DataFrame:
+    """``(src, nb, work)`` rows, at most one with a list per node and all of a node in one partition, to
+    one row per node: its list (or an empty one) and the sum of its work; no exchange."""
+    return dealt.groupBy("src").agg(
+        F.coalesce(F.first("nb", ignorenulls=True), F.expr("CAST(array() AS array<bigint>)")).alias("nb"),
+        F.sum("work").alias("work"))
+
+
 def close_wedges(senders: DataFrame, lists: DataFrame, keys: Sequence[str] = (), copies: int = 1,
                  hot_work: int = HOT_WORK, hot_keys: int = HOT_KEYS) -> DataFrame:
     """``(keys..., src, dst, common)`` for every edge of ``senders(keys..., src, nb)`` that closes a
@@ -107,22 +122,30 @@ def close_wedges(senders: DataFrame, lists: DataFrame, keys: Sequence[str] = (),
     members of its key, in at most ``copies`` keys each.
     """
     keys = list(keys)
+    sent = (senders.where(F.size("nb") > 1)
+            .select(*keys, "src", "nb", F.posexplode("nb").alias("at", "dst"))
+            .where(F.col("at") < F.size("nb") - 1)
+            .select(*keys, "src", "dst", F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest")))
+    met = meet_lists(sent, lists, copies, hot_work, hot_keys)
+    return (met.select(*keys, "src", "dst", F.array_intersect("rest", "own").alias("common"))
+            .where(F.size("common") > 0))
+
+
+def meet_lists(sent: DataFrame, lists: DataFrame, copies: int = 1, hot_work: int = HOT_WORK,
+               hot_keys: int = HOT_KEYS) -> DataFrame:
+    """The rows of ``sent(src, dst, ...)`` whose dst has a list, with that list as ``own``; a node is sent
+    at most ``copies`` times its work."""
     work = lists.select("src", (F.col("work") * F.lit(copies)).alias("work")).where("work > 0")
     heavy = F.broadcast(heavy_keys(work, ["src"], "work", hot_work, hot_keys)
                         .select(F.col("src").alias("dst"), salt_count(F.col("work"), hot_work).alias("salts")))
-    sent = (senders.where(F.size("nb") > 1)
-            .select(*keys, "src", "nb", F.posexplode("nb").alias("at", "dst"))
-            .where(F.col("at") < F.size("nb") - 1))
-    rest = F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest")
     held = lists.where(F.size("nb") > 0).select(F.col("src").alias("dst"), F.col("nb").alias("own"))
-    cold = sent.join(heavy, "dst", "left_anti").select(*keys, "src", "dst", rest).join(held, "dst")
+    cold = sent.join(heavy, "dst", "left_anti").join(held, "dst")
     salted = (sent.join(heavy, "dst")
-              .select(*keys, "src", "dst", rest, F.pmod(F.xxhash64("src"), F.col("salts")).cast("int").alias("salt")))
+              .select(*sent.columns, F.pmod(F.xxhash64("src"), F.col("salts")).cast("int").alias("salt")))
     repeated = (held.join(heavy, "dst")
                 .select("dst", "own", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
-    hot = salted.join(repeated, ["dst", "salt"])
-    found = [j.select(*keys, "src", "dst", F.array_intersect("rest", "own").alias("common")) for j in (cold, hot)]
-    return found[0].unionByName(found[1]).where(F.size("common") > 0)
+    hot = salted.join(repeated, ["dst", "salt"]).drop("salt")
+    return cold.unionByName(hot)
 
 
 def count_wedges(closed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

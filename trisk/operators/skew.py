@@ -39,6 +39,12 @@ def salt_count(count: Column, threshold: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(count / F.lit(threshold))).cast("int")
 
 
+def plain_lookup(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str) -> DataFrame:
+    """``big`` joined to ``dim`` (one row per ``dim_key``) where no key is heavy: ``dim``, the short
+    side, is hashed in each partition, so ``big`` is not sorted."""
+    return big.join(dim.withColumnRenamed(dim_key, big_key).hint("shuffle_hash"), big_key)
+
+
 def split_lookup(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str, value_col: str,
                  hot: DataFrame) -> DataFrame:
     """``big`` joined to ``dim(dim_key, value_col)`` (one row per key), skew-safe.
@@ -55,7 +61,7 @@ def split_lookup(big: DataFrame, dim: DataFrame, big_key: str, dim_key: str, val
                           .otherwise(F.col(big_key).cast("bigint"))))
     cold = dim.select(F.lit(0).alias("_f"), F.col(dim_key).cast("bigint").alias("_k"),
                       F.col(value_col).alias("_cv"))
-    joined = tagged.join(cold, ["_f", "_k"], "left")
+    joined = tagged.join(cold.hint("shuffle_hash"), ["_f", "_k"], "left")
     return (joined.withColumn(value_col, F.coalesce("_hv", "_cv"))
             .where(F.col(value_col).isNotNull())
             .drop("_f", "_k", "_hv", "_cv"))

@@ -36,13 +36,27 @@ from trisk.functions.hashing import (
     edge_part,
     node_color,
 )
-from trisk.operators.graph import HOT_WORK, close_wedges, count_wedges, node_work, orient, out_lists
+from trisk.operators.graph import (
+    HOT_WORK,
+    close_wedges,
+    count_wedges,
+    meet_lists,
+    node_work,
+    orient,
+    out_lists,
+    with_work,
+)
 from trisk.operators.skew import HOT_KEYS, HOT_ROWS
 from trisk.operators.util import combine_rows, require_positive
 from trisk.session import materialize, materialize_bucketed
 
 Params = list[tuple[int, int]]
 
+# Edges of one bucket of lists: what is sent to a bucket is sorted in one task.
+BUCKET_EDGES = 1_000_000
+# Edges up to which a colour-triple key, which holds an edge once at most, is counted in one task.
+KEY_EDGES = 1_000_000
+
 
 def prepare(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS,
             buckets: int | None = None) -> DataFrame:
@@ -50,13 +64,18 @@ def prepare(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS
     bucketed and sorted by node; ``work`` is what other lists send to the node.
 
     Every count reads them from there; the lineage is cut, and a lost executor costs a
-    re-read, not a recomputation.
+    re-read, not a recomputation. Edges and degrees are written once too, as several steps read them.
     """
+    edges = materialize(edges, "edges")
     lists = materialize(out_lists(orient(edges, hot_rows, hot_keys)), "lists")
-    both = lists.join(node_work(lists), "src", "full")
-    return materialize_bucketed(
-        both.select("src", F.coalesce("nb", F.expr("CAST(array() AS array<bigint>)")).alias("nb"),
-                    F.coalesce("work", F.lit(0)).alias("work")), "bucketed-lists", "src", buckets)
+    rows = lists.withColumn("work", F.lit(0).cast("bigint")).unionByName(
+        node_work(lists).withColumn("nb", F.lit(None).cast("array<bigint>")))
+    return materialize_bucketed(rows, "bucketed-lists", "src", buckets or _buckets(edges), within=with_work)
+
+
+def _buckets(edges: DataFrame) -> int:
+    """Shuffle partitions, or one per BUCKET_EDGES edges if those are more."""
+    return max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-edges.count() // BUCKET_EDGES))
 
 
 def _total(per_key: DataFrame, scale: int = 1, name: str = "triangles") -> DataFrame:
@@ -229,16 +248,51 @@ def triangles_inside_keys(dealt: DataFrame) -> DataFrame:
             .agg(F.sum("t").cast("bigint").alias("triangles")))
 
 
+def triple_key_copies(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(k1, k2, k3, src, dst, third, nb, at)``: every oriented edge once in each of its C keys, as a row;
+    dst is at the place ``at`` of src's list nb, third the colour that a third node must have."""
+    require_positive(colors=colors)
+    edges = lists.select("src", "nb", node_color(F.col("src"), a, b, colors, p).alias("cs"),
+                         F.posexplode("nb").alias("at", "dst"))
+    copies = edges.select("*", node_color(F.col("dst"), a, b, colors, p).alias("cd"), _every_color(colors).alias("third"))
+    return copies.select(*_triple_keys(F.col("cs"), F.col("cd"), F.col("third")), "src", "dst", "third", "nb", "at")
+
+
+def triangles_in_split_keys(copies: DataFrame, lists: DataFrame, a: int, b: int, colors: int,
+                            p: int = DEFAULT_PRIME, hot_work: int = HOT_WORK) -> DataFrame:
+    """``(k1, k2, k3, triangles)`` of the rows of ``triple_key_copies``, for keys of any size.
+
+    A key's wedges are spread by node: in its key, an edge takes what comes after its end in the
+    source's list and has the third colour, and meets the end's list, where it closes the triangle
+    if it is there. Every wedge is in one key. Hubs are salted as in every count.
+    """
+    key = (F.col("k1") * colors + F.col("k2")) * colors + F.col("k3")  # one number while rows move
+    wedges = (copies.where(F.col("at") < F.size("nb") - 1)
+              .select(key.alias("key"), "src", "dst", "third",
+                      F.explode(F.slice("nb", F.col("at") + 2, F.size("nb"))).alias("end"))
+              .where(node_color(F.col("end"), a, b, colors, p) == F.col("third")).drop("third"))
+    closed = meet_lists(wedges, lists, 1, hot_work).where(F.array_contains("own", F.col("end")))
+    return (closed.groupBy("key").agg(F.count(F.lit(1)).alias("triangles"))
+            .select(F.expr(f"key div {colors * colors}").alias("k1"), F.expr(f"key div {colors} % {colors}").alias("k2"),
+                    F.expr(f"key % {colors}").alias("k3"), "triangles"))
+
+
 def exact_by_color_triples_per_key(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
-                                   partitions: int | None = None) -> DataFrame:
-    """``(k1, k2, k3, triangles)``: triangles whose sorted colours are the key, counted in their key."""
-    return triangles_inside_keys(triple_key_lists(lists, a, b, colors, p, partitions))
+                                   partitions: int | None = None, key_edges: int = KEY_EDGES,
+                                   hot_work: int = HOT_WORK) -> DataFrame:
+    """``(k1, k2, k3, triangles)``: triangles whose sorted colours are the key, counted in their key:
+    in one task per key, or over all tasks where a key may hold more than ``key_edges``."""
+    edges = lists.agg(F.coalesce(F.sum(F.size("nb")), F.lit(0))).first()[0]
+    if edges <= key_edges:
+        return triangles_inside_keys(triple_key_lists(lists, a, b, colors, p, partitions))
+    return triangles_in_split_keys(triple_key_copies(lists, a, b, colors, p), lists, a, b, colors, p, hot_work)
 
 
 def exact_by_color_triples(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
-                           partitions: int | None = None) -> DataFrame:
+                           partitions: int | None = None, key_edges: int = KEY_EDGES,
+                           hot_work: int = HOT_WORK) -> DataFrame:
     """``(triangles)``: exact count, summed over colour-triple keys."""
-    return _total(exact_by_color_triples_per_key(lists, a, b, colors, p, partitions))
+    return _total(exact_by_color_triples_per_key(lists, a, b, colors, p, partitions, key_edges, hot_work))
 
 
 def label_by_color_triples(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
