@@ -312,3 +312,9 @@ def test_prepare_counts_edges_and_degrees_once(spark):
     key = lambda r: r.src
     assert len({r.file for r in many.select(F.input_file_name().alias("file")).collect()}) > 8
     assert sorted(many.collect(), key=key) == sorted(TR.prepare(edges).collect(), key=key)
+
+
+def test_pairs_are_dealt_before_repeats_are_dropped(spark):
+    plan = plain_plan(frame(spark, [(1, 2), (2, 1), (2, 3)]))
+    first = plan.rindex("Exchange hashpartitioning(u")   # the lowest, and only, exchange
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan[first:]

@@ -36,10 +36,14 @@ HOT_WORK = 16_000_000
 
 
 def canonical_edges(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Raw directed pairs to the canonical undirected edge set ``(u, v)``, u < v."""
+    """Raw directed pairs to the canonical undirected edge set ``(u, v)``, u < v.
+
+    Pairs are dealt out before repeats are dropped: a task of raw pairs that hardly repeat would
+    fill, spill and sort a hash table for nothing.
+    """
     return (raw.where(F.col(src) != F.col(dst))
             .select(F.least(src, dst).alias("u"), F.greatest(src, dst).alias("v"))
-            .distinct())
+            .repartition("u", "v").distinct())
 
 
 def edge_counts(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
