@@ -318,3 +318,35 @@ def test_pairs_are_dealt_before_repeats_are_dropped(spark):
     plan = plain_plan(frame(spark, [(1, 2), (2, 1), (2, 3)]))
     first = plan.rindex("Exchange hashpartitioning(u")   # the lowest, and only, exchange
     assert plan.count("Exchange") == 1 and "HashAggregate" not in plan[first:]
+
+
+def test_lists_send_to_members_with_a_list_only(spark):
+    """A member without a list closes nothing: its places are not in ``at``, and nothing is sent there."""
+    rng = random.Random(3)   # orders, parts, suppliers: no supplier has a list
+    ids = [(rng.randrange(30), 100 + rng.randrange(9), 200 + rng.randrange(3)) for _ in range(90)]
+    lists = TR.prepare(frame(spark, [pair for t in ids for pair in combinations(t, 2)]))
+    rows = lists.collect()
+    have = {r.src for r in rows if r.nb}
+    assert [r.at for r in rows] == [[k for k, x in enumerate(r.nb[:-1]) if x in have] for r in rows]
+    assert any(set(r.nb[:-1]) - have for r in rows)
+    sent = sorted((r.src, r.dst, tuple(r.rest)) for r in G.wedges(lists).collect())
+    assert sent == sorted((r.src, x, tuple(r.nb[k + 1:])) for r in rows for k, x in enumerate(r.nb[:-1]) if x in have)
+
+
+def test_a_wedge_moves_once_for_all_runs(spark):
+    pairs, params, C = random_pairs(11, 60, 700), draw_color_params(70, 4), 3   # 70: two messages
+    lists = TR.prepare(frame(spark, pairs))
+    hue = lambda x, r: ((params[r][0] * x + params[r][1]) % 8191) % C
+    moved = TR.monochrome_wedges(lists, params[:5], C).collect()
+    assert len({(r.src, r.dst) for r in moved}) == len(moved) > 0
+    for row in moved:
+        alike = [r for r in range(5) if hue(row.src, r) == hue(row.dst, r)]
+        assert row.mark == sum(1 << r for r in alike)
+        assert all(any(hue(x, r) == hue(row.dst, r) for r in alike) for x in row.rest)
+    want = Counter((r, hue(t[0], r)) for t in all_triangles(pairs) for r in range(70) if len({hue(x, r) for x in t}) == 1)
+    assert {(r.run, r.color): r.triangles for r in TR.triangles_by_color(lists, params, C).collect()} == want
+
+
+def test_counts_of_written_edges_equal_those_of_pairs(spark):
+    raw = spark.createDataFrame([(1, 2), (2, 1), (3, 3), (2, 4)], "src bigint, dst bigint")
+    assert tuple(G.edge_counts(raw, edges=G.canonical_edges(raw)).first()) == tuple(G.edge_counts(raw).first()) == (4, 2)

@@ -9,11 +9,12 @@ so every node has out-degree at most sqrt(2m): a list of at most 4.5 million ids
 10^13 edges. Each triangle x < y < z (in that order) is found exactly once, at its edge
 x -> y, as a common out-neighbour z of x and y.
 
-``out_lists`` builds every node's out-neighbours once, in that order, and ``node_work`` the
-number of entries that other lists send to each node. Both are written as one table bucketed
+``out_lists`` builds every node's out-neighbours once, in that order, ``node_work`` the number
+of entries that other lists send to each node, and ``live_members`` the members of each list
+that have a list themselves: only there can a wedge close. All are written as one table bucketed
 by node, so a count reads the held side of its join without an exchange; what a colouring or
 a partition of the edges keeps is filtered out of the sending lists before they move. A list
-meets the lists of its own members by one join: the row of x sends to each member y what
+meets the lists of its live members by one join: the row of x sends to each such member y what
 comes after y in x's list, which is all that y's list can have in common with it there.
 
 Skew: a hub is a member of very many lists. Nodes that are sent more than ``hot_work`` entries
@@ -23,12 +24,13 @@ buckets by the sender, with their own (short) list repeated once per bucket.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trisk.operators.skew import HOT_KEYS, HOT_ROWS, heavy_keys, plain_lookup, salt_count, split_lookup
+from trisk.operators.util import combine_rows
 from trisk.session import materialize
 
 # List entries (8 bytes each) sent to one node that one task may hold.
@@ -46,8 +48,11 @@ def canonical_edges(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataF
             .repartition("u", "v").distinct())
 
 
-def edge_counts(raw: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """``(raw_edges, edges)`` of raw pairs in one pass: all rows, and canonical edges."""
+def edge_counts(raw: DataFrame, src: str = "src", dst: str = "dst", edges: DataFrame | None = None) -> DataFrame:
+    """``(raw_edges, edges)`` of raw pairs in one pass: all rows, and canonical edges. Where these are
+    written already they are given as ``edges`` and counted there."""
+    if edges is not None:
+        return combine_rows([raw.agg(F.count(F.lit(1)).alias("raw_edges")), edges.agg(F.count(F.lit(1)).alias("edges"))])
     pairs = (raw.groupBy(F.least(src, dst).alias("u"), F.greatest(src, dst).alias("v"))
              .agg(F.count(F.lit(1)).alias("n")))
     return pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("raw_edges"),
@@ -60,6 +65,12 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
 
 
+def hubs_of(deg: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame | None:
+    """The heavy rows of ``(node, degree)``, or None if there are none."""
+    hot = heavy_keys(deg, ["node"], "degree", hot_rows, hot_keys)
+    return None if hot.isEmpty() else hot
+
+
 def orient(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
     """Orient canonical edges by ``(degree, id)``: ``(src, dst, dsrc, ddst)``.
 
@@ -67,13 +78,16 @@ def orient(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS)
     a graph that has hubs pays for keeping their rows apart.
     """
     deg = materialize(degrees(edges), "degrees")
-    hot = heavy_keys(deg, ["node"], "degree", hot_rows, hot_keys)  # one broadcast for both ends
-    hubs = not hot.isEmpty()
+    return orient_by(edges, deg, hubs_of(deg, hot_rows, hot_keys))
+
+
+def orient_by(edges: DataFrame, deg: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """``orient`` with the written degrees and their heavy rows, which both lookups and those of lists share."""
     both = edges
     for end, name in (("u", "du"), ("v", "dv")):
         dim = deg.select("node", F.col("degree").alias(name))
-        both = (split_lookup(both, dim, end, "node", name, hot.select("node", F.col("degree").alias(name)))
-                if hubs else plain_lookup(both, dim, end, "node"))
+        both = (plain_lookup(both, dim, end, "node") if hubs is None else
+                split_lookup(both, dim, end, "node", name, hubs.select("node", F.col("degree").alias(name))))
     forward = (F.col("du") < F.col("dv")) | ((F.col("du") == F.col("dv")) & (F.col("u") < F.col("v")))
 
     def pick(a: str, b: str):
@@ -109,43 +123,79 @@ def node_work(lists: DataFrame) -> DataFrame:
             .groupBy(F.col("dst").alias("src")).agg(F.sum(F.col("n") - F.col("at") - 1).alias("work")))
 
 
-def with_work(dealt: DataFrame) -> DataFrame:
-    """``(src, nb, work)`` rows, at most one with a list per node and all of a node in one partition, to
-    one row per node: its list (or an empty one) and the sum of its work; no exchange."""
-    return dealt.groupBy("src").agg(
-        F.coalesce(F.first("nb", ignorenulls=True), F.expr("CAST(array() AS array<bigint>)")).alias("nb"),
-        F.sum("work").alias("work"))
+def live_members(lists: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
+    """``(src, dst, rest)``: every member of a list that has a list itself and ``rest`` > 0 members after it."""
+    asked = (lists.select("src", F.posexplode("nb").alias("at", "dst"), F.size("nb").alias("n"))
+             .select("src", "dst", (F.col("n") - F.col("at") - 1).alias("rest")).where("rest > 0"))
+    held = lists.select(F.col("src").alias("node"), F.lit(True).alias("held"))
+    if hubs is None:
+        return plain_lookup(asked, held, "dst", "node").select("src", "dst", "rest")
+    known = hubs.select("node").join(held, "node", "left").select("node", F.coalesce("held", F.lit(False)).alias("held"))
+    return split_lookup(asked, held, "dst", "node", "held", known).where("held").select("src", "dst", "rest")
+
+
+def with_members(lists: DataFrame, live: DataFrame, buckets: int) -> DataFrame:
+    """``(src, nb, at, work)``, one row per node that has a list or is in one that sends to it: its list (or
+    an empty one), the places in it of its ``live`` members, and its work. ``lists`` stays where it
+    is, in that many buckets by node."""
+    told = (live.select("src", "rest", F.lit(None).cast("bigint").alias("work"))
+            .unionByName(node_work(lists).withColumn("rest", F.lit(None).cast("int")))
+            .repartition(buckets, "src").groupBy("src")
+            .agg(F.sort_array(F.collect_list("rest"), asc=False).alias("rests"), F.sum("work").alias("work")))
+    nb = F.coalesce("nb", F.expr("CAST(array() AS array<bigint>)"))
+    return lists.join(told, "src", "full").select(
+        "src", nb.alias("nb"), F.coalesce(F.transform("rests", lambda r: F.size("nb") - 1 - r),
+                                          F.expr("CAST(array() AS array<int>)")).alias("at"),
+        F.coalesce("work", F.lit(0)).cast("bigint").alias("work"))
+
+
+def wedges(lists: DataFrame, label: Callable[[Column], Column] | None = None,
+           alike: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """``(src, dst, mark, rest)``: what each list sends to its live members, as far as any is left.
+
+    ``label`` gives each member of a list a value, once, and ``alike`` says by the values of dst, its
+    ``mark``, and of a member after it whether that member is sent; without them all are.
+    """
+    live = lists.where(F.size("at") > 0)
+    if label is None:
+        return live.select("src", "nb", F.explode("at").alias("at")).select(
+            "src", F.get("nb", F.col("at")).alias("dst"), F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest"))
+    # The explode keeps the labels below it: merged into one projection they were made anew per comparison.
+    each = (live.select("src", "nb", "at", F.transform("nb", label).alias("labels"))
+            .select("src", "nb", "labels", F.explode("at").alias("at")))
+    mark = F.get("labels", F.col("at"))
+    rest = F.filter(F.slice("nb", F.col("at") + 2, F.size("nb")),
+                    lambda _, k: alike(mark, F.get("labels", F.col("at") + 1 + k)))
+    return each.select("src", F.get("nb", F.col("at")).alias("dst"), mark.alias("mark"), if_any(rest))
 
 
-def close_wedges(senders: DataFrame, lists: DataFrame, keys: Sequence[str] = (), copies: int = 1,
-                 hot_work: int = HOT_WORK, hot_keys: int = HOT_KEYS) -> DataFrame:
-    """``(keys..., src, dst, common)`` for every edge of ``senders(keys..., src, nb)`` that closes a
-    triangle: what comes after dst in nb and is in the list of dst.
+def if_any(rest: Column) -> Column:
+    """A row with ``rest`` if it has an element, else none; a filter on its size would make it twice."""
+    return F.inline(F.filter(F.array(F.struct(rest.alias("rest"))), lambda s: F.size(s["rest"]) > 0))
 
-    ``lists(src, nb, work)`` holds whole lists, bucketed by node; a sender's list holds the
-    members of its key, in at most ``copies`` keys each.
-    """
-    keys = list(keys)
-    sent = (senders.where(F.size("nb") > 1)
-            .select(*keys, "src", "nb", F.posexplode("nb").alias("at", "dst"))
-            .where(F.col("at") < F.size("nb") - 1)
-            .select(*keys, "src", "dst", F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest")))
-    met = meet_lists(sent, lists, copies, hot_work, hot_keys)
-    return (met.select(*keys, "src", "dst", F.array_intersect("rest", "own").alias("common"))
-            .where(F.size("common") > 0))
-
-
-def meet_lists(sent: DataFrame, lists: DataFrame, copies: int = 1, hot_work: int = HOT_WORK,
-               hot_keys: int = HOT_KEYS) -> DataFrame:
-    """The rows of ``sent(src, dst, ...)`` whose dst has a list, with that list as ``own``; a node is sent
-    at most ``copies`` times its work."""
-    work = lists.select("src", (F.col("work") * F.lit(copies)).alias("work")).where("work > 0")
+
+def close_wedges(sent: DataFrame, lists: DataFrame, hot_work: int = HOT_WORK, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``sent(dst, rest, ...)`` where dst has a list, with what of rest is in that list, each a triangle, as
+    ``common`` in place of rest. ``lists(src, nb, work)`` holds whole lists, bucketed by node."""
+    kept = [c for c in sent.columns if c != "rest"]
+    return meet_lists(sent, lists, hot_work, hot_keys).select(*kept, F.array_intersect("own", "rest").alias("common"))
+
+
+def each_of(common: str) -> Column:
+    """A row per element. Spark filters a plain column by its size first, which would intersect twice."""
+    return F.explode(F.slice(common, 1, F.size(common)))
+
+
+def meet_lists(sent: DataFrame, lists: DataFrame, hot_work: int = HOT_WORK, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """The rows of ``sent(dst, ...)`` whose dst has a list, with that list as ``own``; a node is sent at
+    most its work."""
+    work = lists.where((F.col("work") > 0) & (F.size("nb") > 0)).select("src", "work")
     heavy = F.broadcast(heavy_keys(work, ["src"], "work", hot_work, hot_keys)
                         .select(F.col("src").alias("dst"), salt_count(F.col("work"), hot_work).alias("salts")))
     held = lists.where(F.size("nb") > 0).select(F.col("src").alias("dst"), F.col("nb").alias("own"))
     cold = sent.join(heavy, "dst", "left_anti").join(held, "dst")
     salted = (sent.join(heavy, "dst")
-              .select(*sent.columns, F.pmod(F.xxhash64("src"), F.col("salts")).cast("int").alias("salt")))
+              .select(*sent.columns, F.pmod(F.xxhash64(*sent.columns), F.col("salts")).cast("int").alias("salt")))
     repeated = (held.join(heavy, "dst")
                 .select("dst", "own", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
     hot = salted.join(repeated, ["dst", "salt"]).drop("salt")
@@ -153,6 +203,6 @@ def meet_lists(sent: DataFrame, lists: DataFrame, copies: int = 1, hot_work: int
 
 
 def count_wedges(closed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys..., triangles)`` of closed wedges, for keys with at least one."""
+    """``(keys..., triangles)`` of closed wedges."""
     return closed.groupBy(*keys).agg(
         F.coalesce(F.sum(F.size("common")), F.lit(0)).cast("bigint").alias("triangles"))

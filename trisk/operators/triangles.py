@@ -11,8 +11,9 @@
   equal the key, so the sum is the exact count.
 
 The first three read one table of out-lists (``prepare``), bucketed by node, whose held side is
-never shuffled again. A colour or a part keeps some members of each sending list, so the
+never shuffled again. A colour or a part keeps some members of what each list sends, so the
 subgraphs need no shuffle of their own, and no group of edges is ever gathered in one task.
+A list sends only to members that have a list, and what R colourings keep of it moves once.
 
 The exact count is the one-round join of Suri & Vassilvitskii (2011): the copies of the edges
 are dealt to their keys once, and lists, wedges and counts are made inside the keys without
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,11 +42,15 @@ from trisk.operators.graph import (
     HOT_WORK,
     close_wedges,
     count_wedges,
+    degrees,
+    each_of,
+    hubs_of,
+    live_members,
     meet_lists,
-    node_work,
-    orient,
+    orient_by,
     out_lists,
-    with_work,
+    wedges,
+    with_members,
 )
 from trisk.operators.skew import HOT_KEYS, HOT_ROWS
 from trisk.operators.util import combine_rows, require_positive
@@ -59,18 +65,20 @@ KEY_EDGES = 1_000_000
 
 
 def prepare(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS,
-            buckets: int | None = None) -> DataFrame:
-    """Out-lists ``(src, nb, work)`` of a canonical edge table, written once in the shared folder,
-    bucketed and sorted by node; ``work`` is what other lists send to the node.
+            buckets: int | None = None, written: bool = False) -> DataFrame:
+    """Out-lists ``(src, nb, at, work)`` of a canonical edge table, written once in the shared folder,
+    bucketed and sorted by node; ``at`` are the places in nb of members that have a list themselves
+    and members after them, ``work`` is what other lists send to the node.
 
     Every count reads them from there; the lineage is cut, and a lost executor costs a
-    re-read, not a recomputation. Edges and degrees are written once too, as several steps read them.
+    re-read, not a recomputation. Edges and degrees are written once too, as several steps read
+    them (``written``: the edges are). Lists are dealt to their buckets as edges and stay there.
     """
-    edges = materialize(edges, "edges")
-    lists = materialize(out_lists(orient(edges, hot_rows, hot_keys)), "lists")
-    rows = lists.withColumn("work", F.lit(0).cast("bigint")).unionByName(
-        node_work(lists).withColumn("nb", F.lit(None).cast("array<bigint>")))
-    return materialize_bucketed(rows, "bucketed-lists", "src", buckets or _buckets(edges), within=with_work)
+    edges = edges if written else materialize(edges, "edges", "zstd")
+    n, deg = buckets or _buckets(edges), materialize(degrees(edges), "degrees")
+    hubs = hubs_of(deg, hot_rows, hot_keys)
+    lists = materialize_bucketed(orient_by(edges, deg, hubs), "out-lists", "src", n, within=out_lists)
+    return materialize_bucketed(with_members(lists, live_members(lists, hubs), n), "bucketed-lists", "src", n, dealt=True)
 
 
 def _buckets(edges: DataFrame) -> int:
@@ -90,24 +98,45 @@ def node_colors(edges: DataFrame, params: Params, colors: int, p: int = DEFAULT_
                     .alias("color")))
 
 
-def monochrome_lists(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
-    """``(run, color, src, nb)``: per run, the members of each list of its node's colour."""
-    def color(x: Column) -> Column:
-        return node_color(x, F.col("a"), F.col("b"), colors, p)
+# Runs whose colourings share one message: a bit of a bigint each.
+MASK_RUNS = 62
+
 
-    return (lists.select("src", "nb", F.inline(color_runs_column(params)))
-            .withColumn("color", color(F.col("src")))
-            .select("run", "color", "src", F.filter("nb", lambda x: color(x) == F.col("color")).alias("nb"))
-            .where(F.size("nb") > 0))
+def monochrome_wedges(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(src, dst, mark, rest)``: the wedges that have one colour in any of at most ``MASK_RUNS`` runs, each once;
+    bit r of ``mark`` says whether src and dst share a colour in run r."""
+    def mask(x: Column) -> Column:
+        bits = [F.when(node_color(F.col("src"), a, b, colors, p) == node_color(x, a, b, colors, p),
+                       F.lit(1 << r).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+                for r, (a, b) in enumerate(params)]
+        return reduce(Column.bitwiseOR, bits)
+
+    return wedges(lists, mask, lambda m, n: m.bitwiseAND(n) != 0)
 
 
 def triangles_by_color(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME,
                        hot_work: int = HOT_WORK) -> DataFrame:
-    """``(run, color, triangles)`` inside each colour class (classes with >= 1 triangle)."""
+    """``(run, color, triangles)`` inside each colour class (classes with >= 1 triangle).
+
+    The one-colour subgraphs of the runs overlap, so their union moves: a wedge goes to its list once
+    and, closed there, counts in each run that gives its three nodes one colour.
+    """
     require_positive(colors=colors, runs=len(params))
-    mono = monochrome_lists(lists, params, colors, p)
-    # dst has src's colour, and what is left of src's list too, so dst's list may stay whole.
-    return count_wedges(close_wedges(mono, lists, ["run", "color"], len(params), hot_work), ["run", "color"])
+
+    def color(x: str) -> Column:
+        return node_color(F.col(x), F.col("a"), F.col("b"), colors, p)
+
+    found = []
+    for at in range(0, len(params), MASK_RUNS):
+        some = params[at:at + MASK_RUNS]
+        closed = close_wedges(monochrome_wedges(lists, some, colors, p).drop("src"), lists, hot_work)
+        found.append(closed.select("dst", "mark", each_of("common").alias("third"))
+                     .select("*", F.inline(color_runs_column(some, at)))
+                     .where(F.get(F.array(*[F.col("mark").bitwiseAND(1 << r) != 0 for r in range(len(some))]),
+                                  F.col("run") - at))
+                     .select("run", color("dst").alias("color"), color("third").alias("own"))
+                     .where("color = own").groupBy("run", "color").agg(F.count(F.lit(1)).alias("triangles")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def color_estimates(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME,
@@ -132,17 +161,15 @@ def median_estimate(estimates: DataFrame) -> DataFrame:
         .alias("median_estimate"))
 
 
-def part_lists(lists: DataFrame, parts: int, seed: int | None = 0, p: int = DEFAULT_PRIME) -> DataFrame:
-    """``(part, src, nb)``: per part, the members of each list whose edge is in the part.
+def part_wedges(lists: DataFrame, parts: int, seed: int | None = 0, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(src, dst, part, rest)``: the wedges whose two edges at src are in one part.
 
     The part of an edge is ``((a*u + b*v) mod p) mod C`` on the canonical (u, v),
     so repeated or reversed lines of one edge always meet in one part. Every member's part
-    is computed once; a row per part that occurs takes its members by it.
+    is computed once.
     """
-    part = _part_of(F.col("src"), parts, seed, p)
-    dealt = lists.where(F.size("nb") > 0).select("src", "nb", F.transform("nb", part).alias("of"))
-    return (dealt.select("src", "nb", "of", F.explode(F.array_distinct("of")).alias("part"))
-            .select("part", "src", F.filter("nb", lambda x, k: F.get("of", k) == F.col("part")).alias("nb")))
+    of = _part_of(F.col("src"), parts, seed, p)
+    return wedges(lists, of, lambda part, other: part == other).withColumnRenamed("mark", "part")
 
 
 def _part_of(end: Column, parts: int, seed: int | None, p: int):
@@ -155,7 +182,7 @@ def partition_estimate(lists: DataFrame, parts: int, seed: int | None = 0, p: in
                        hot_work: int = HOT_WORK) -> DataFrame:
     """``(estimate)``: C^2 times the triangles whose three edges share a part."""
     require_positive(parts=parts)
-    closed = close_wedges(part_lists(lists, parts, seed, p), lists, ["part"], 1, hot_work)
+    closed = close_wedges(part_wedges(lists, parts, seed, p).drop("src"), lists, hot_work)
     part = _part_of(F.col("dst"), parts, seed, p)  # the third edge's, which the whole list does not say
     same = closed.withColumn("common", F.filter("common", lambda x: part(x) == F.col("part")))
     return _total(count_wedges(same), parts * parts, "estimate")
@@ -248,33 +275,44 @@ def triangles_inside_keys(dealt: DataFrame) -> DataFrame:
             .agg(F.sum("t").cast("bigint").alias("triangles")))
 
 
-def triple_key_copies(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
-    """``(k1, k2, k3, src, dst, third, nb, at)``: every oriented edge once in each of its C keys, as a row;
-    dst is at the place ``at`` of src's list nb, third the colour that a third node must have."""
-    require_positive(colors=colors)
-    edges = lists.select("src", "nb", node_color(F.col("src"), a, b, colors, p).alias("cs"),
+def triple_key_edges(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(src, dst, cs, live, rest)``: every oriented edge, with src's colour and what comes after dst in src's
+    list; ``live`` says whether dst has a list to close a wedge with."""
+    edges = lists.select("src", "nb", F.col("at").alias("open"), node_color(F.col("src"), a, b, colors, p).alias("cs"),
                          F.posexplode("nb").alias("at", "dst"))
-    copies = edges.select("*", node_color(F.col("dst"), a, b, colors, p).alias("cd"), _every_color(colors).alias("third"))
-    return copies.select(*_triple_keys(F.col("cs"), F.col("cd"), F.col("third")), "src", "dst", "third", "nb", "at")
+    return edges.select("src", "dst", "cs", F.array_contains("open", F.col("at")).alias("live"),
+                        F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest"))
+
+
+def copied(edges: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(k1, k2, k3, third, rest, ...)``: each of ``edges(dst, cs, rest, ...)`` once in each of its C keys, as a
+    row; third is the colour that a third node must have, and rest what of the edge's has it."""
+    require_positive(colors=colors)
+    others = [c for c in edges.columns if c not in ("cs", "rest")]
+    rest = F.filter("rest", lambda x: node_color(x, a, b, colors, p) == F.col("third"))
+    return (edges.select("*", _every_color(colors).alias("third"))
+            .select(*_triple_keys(F.col("cs"), node_color(F.col("dst"), a, b, colors, p), F.col("third")), *others,
+                    "third", rest.alias("rest")))
+
+
+def triple_key_copies(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
+    """``(k1, k2, k3, src, dst, live, third, rest)``: every oriented edge once in each of its C keys, as a row."""
+    return copied(triple_key_edges(lists, a, b, colors, p), a, b, colors, p)
 
 
-def triangles_in_split_keys(copies: DataFrame, lists: DataFrame, a: int, b: int, colors: int,
+def triangles_in_split_keys(edges: DataFrame, lists: DataFrame, a: int, b: int, colors: int,
                             p: int = DEFAULT_PRIME, hot_work: int = HOT_WORK) -> DataFrame:
-    """``(k1, k2, k3, triangles)`` of the rows of ``triple_key_copies``, for keys of any size.
+    """``(k1, k2, k3, triangles)`` of the rows of ``triple_key_edges``, for keys of any size.
 
-    A key's wedges are spread by node: in its key, an edge takes what comes after its end in the
-    source's list and has the third colour, and meets the end's list, where it closes the triangle
-    if it is there. Every wedge is in one key. Hubs are salted as in every count.
+    A key's wedges are spread by node, so all copies of an edge belong where its end's list is: the edge
+    moves there once and is copied to its C keys in that place. In its key, a copy has what comes after
+    the end in the source's list and has the third colour, and closes the triangles whose third node is
+    in the end's list too. Every wedge is in one key. Hubs are salted as in every count.
     """
-    key = (F.col("k1") * colors + F.col("k2")) * colors + F.col("k3")  # one number while rows move
-    wedges = (copies.where(F.col("at") < F.size("nb") - 1)
-              .select(key.alias("key"), "src", "dst", "third",
-                      F.explode(F.slice("nb", F.col("at") + 2, F.size("nb"))).alias("end"))
-              .where(node_color(F.col("end"), a, b, colors, p) == F.col("third")).drop("third"))
-    closed = meet_lists(wedges, lists, 1, hot_work).where(F.array_contains("own", F.col("end")))
-    return (closed.groupBy("key").agg(F.count(F.lit(1)).alias("triangles"))
-            .select(F.expr(f"key div {colors * colors}").alias("k1"), F.expr(f"key div {colors} % {colors}").alias("k2"),
-                    F.expr(f"key % {colors}").alias("k3"), "triangles"))
+    met = meet_lists(edges.where("live").select("dst", "cs", "rest"), lists, hot_work)
+    copies = copied(met, a, b, colors, p)
+    return (copies.select(*KEY, F.size(F.array_intersect("own", "rest")).alias("t")).groupBy(*KEY)
+            .agg(F.sum("t").cast("bigint").alias("triangles")).where("triangles > 0"))
 
 
 def exact_by_color_triples_per_key(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
@@ -285,7 +323,7 @@ def exact_by_color_triples_per_key(lists: DataFrame, a: int, b: int, colors: int
     edges = lists.agg(F.coalesce(F.sum(F.size("nb")), F.lit(0))).first()[0]
     if edges <= key_edges:
         return triangles_inside_keys(triple_key_lists(lists, a, b, colors, p, partitions))
-    return triangles_in_split_keys(triple_key_copies(lists, a, b, colors, p), lists, a, b, colors, p, hot_work)
+    return triangles_in_split_keys(triple_key_edges(lists, a, b, colors, p), lists, a, b, colors, p, hot_work)
 
 
 def exact_by_color_triples(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,
@@ -302,14 +340,14 @@ def label_by_color_triples(lists: DataFrame, a: int, b: int, colors: int, p: int
     def color(x: Column) -> Column:
         return node_color(x, a, b, colors, p)
 
-    found = close_wedges(lists, lists, (), 1, hot_work).select("src", "dst", F.explode("common").alias("third"))
+    found = close_wedges(wedges(lists), lists, hot_work).select("src", "dst", each_of("common").alias("third"))
     return (found.select(*_triple_keys(color(F.col("src")), color(F.col("dst")), color(F.col("third"))))
             .groupBy(*KEY).agg(F.count(F.lit(1)).alias("triangles")))
 
 
 def exact_count(lists: DataFrame, hot_work: int = HOT_WORK) -> DataFrame:
     """``(triangles)``: exact count on the oriented graph."""
-    return count_wedges(close_wedges(lists, lists, (), 1, hot_work))
+    return count_wedges(close_wedges(wedges(lists).drop("src"), lists, hot_work))
 
 
 def triangle_report(raw_counts: DataFrame, lists: DataFrame, colors: int, runs: int,

@@ -20,7 +20,7 @@ from trisk.operators import sketch as S
 from trisk.operators import triangles as TR
 from trisk.plans import params as PR
 from trisk.sources import table
-from trisk.session import work_dir
+from trisk.session import materialize, work_dir
 from trisk.sources.edges import edge_text_from_lineitem, order_pairs, parse_edges, read_edge_text
 from trisk.sources.feed import replay_feed
 from trisk.sources.items import batched_events, item_text, parse_items
@@ -160,7 +160,8 @@ def triangles_per_triple_key(spark, sf_dir):
 
 def triangle_report(spark, sf_dir):
     raw = order_pairs(_lineitem(spark, sf_dir))
-    return bigints(TR.triangle_report(G.edge_counts(raw), TR.prepare(G.canonical_edges(raw)),
+    edges = materialize(G.canonical_edges(raw), "edges", "zstd")
+    return bigints(TR.triangle_report(G.edge_counts(raw, edges=edges), TR.prepare(edges, written=True),
                                       PR.COLORS, PR.RUNS, PR.SEED, PR.P))
 
 
