@@ -106,12 +106,13 @@ def monochrome_wedges(lists: DataFrame, params: Params, colors: int, p: int = DE
     """``(src, dst, mark, rest)``: the wedges that have one colour in any of at most ``MASK_RUNS`` runs, each once;
     bit r of ``mark`` says whether src and dst share a colour in run r."""
     def mask(x: Column) -> Column:
-        bits = [F.when(node_color(F.col("src"), a, b, colors, p) == node_color(x, a, b, colors, p),
-                       F.lit(1 << r).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-                for r, (a, b) in enumerate(params)]
+        bits = [F.when(F.get("own", F.lit(r)) == node_color(x, a, b, colors, p), F.lit(1 << r).cast("bigint"))
+                .otherwise(F.lit(0).cast("bigint")) for r, (a, b) in enumerate(params)]
         return reduce(Column.bitwiseOR, bits)
 
-    return wedges(lists, mask, lambda m, n: m.bitwiseAND(n) != 0)
+    # The explode, of one row, keeps src's colours out of the lambda, which would make them anew per member.
+    own = F.array(*[node_color(F.col("src"), a, b, colors, p) for a, b in params])
+    return wedges(lists.select("*", F.explode(F.array(own)).alias("own")), mask, lambda m, n: m.bitwiseAND(n) != 0)
 
 
 def triangles_by_color(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME,
