@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF, edges_of
-from trisk.functions.hashing import draw_color_params, draw_partition_params
+from trisk.functions.hashing import color_planes, draw_color_params, draw_partition_params
 from trisk.operators import graph as G
 from trisk.operators import skew
 from trisk.operators import triangles as TR
@@ -350,3 +350,23 @@ def test_a_wedge_moves_once_for_all_runs(spark):
 def test_counts_of_written_edges_equal_those_of_pairs(spark):
     raw = spark.createDataFrame([(1, 2), (2, 1), (3, 3), (2, 4)], "src bigint, dst bigint")
     assert tuple(G.edge_counts(raw, edges=G.canonical_edges(raw)).first()) == tuple(G.edge_counts(raw).first()) == (4, 2)
+
+
+def test_members_are_compared_by_compiled_code(spark):
+    """Pairs of a list's members are rows, not an interpreted filter of arrays, and are packed without an exchange."""
+    lists = TR.prepare(order_graph(spark, "0.001"), buckets=8)
+    for sent in (TR.part_wedges(lists, 3), TR.monochrome_wedges(lists, [(5, 3), (6, 7)], 3)):
+        plan = plain_plan(sent)
+        assert "lambda" not in plan and "Exchange" not in plan and sent.columns[:2] == ["src", "dst"]
+
+
+@pytest.mark.parametrize("p", [8191, 65537])   # residues in a table, and worked out
+def test_colour_planes_spell_every_runs_colour(spark, p):
+    params, xs = [(7, 3), (8000, 8190), (1, 0)], [0, 1, 8190, 8191, 70000, 10**15, -5]
+    for colors in (1, 2, 5, 20000):
+        planes = color_planes(params, colors, p)
+        rows = spark.createDataFrame([(x,) for x in xs], "x bigint").select(
+            "x", F.array(*[of(F.col("x")) for of in planes], F.lit(0).cast("bigint")).alias("words")).collect()
+        for row in rows:
+            for r, (a, b) in enumerate(params):
+                assert sum((w >> r & 1) << j for j, w in enumerate(row.words)) == (a * row.x + b) % p % colors

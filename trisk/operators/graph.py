@@ -112,8 +112,8 @@ def adjacency_degree(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int =
 
 def out_lists(oriented: DataFrame) -> DataFrame:
     """``(src, nb)``: every node's out-neighbours in ascending ``(degree, id)``."""
-    ranked = F.array_sort(F.collect_list(F.struct("ddst", "dst")))
-    return oriented.groupBy("src").agg(F.transform(ranked, lambda x: x["dst"]).alias("nb"))
+    ranked = F.sort_array(F.collect_list(F.struct("ddst", "dst")))  # array_sort would interpret its comparator
+    return oriented.groupBy("src").agg(ranked["dst"].alias("nb"))
 
 
 def node_work(lists: DataFrame) -> DataFrame:
@@ -124,54 +124,47 @@ def node_work(lists: DataFrame) -> DataFrame:
 
 
 def live_members(lists: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
-    """``(src, dst, rest)``: every member of a list that has a list itself and ``rest`` > 0 members after it."""
+    """``(src, dst, at)``: every member of a list that has a list itself and members after it, and its place."""
     asked = (lists.select("src", F.posexplode("nb").alias("at", "dst"), F.size("nb").alias("n"))
-             .select("src", "dst", (F.col("n") - F.col("at") - 1).alias("rest")).where("rest > 0"))
+             .where(F.col("at") < F.col("n") - 1).select("src", "dst", "at"))
     held = lists.select(F.col("src").alias("node"), F.lit(True).alias("held"))
     if hubs is None:
-        return plain_lookup(asked, held, "dst", "node").select("src", "dst", "rest")
+        return plain_lookup(asked, held, "dst", "node").select("src", "dst", "at")
     known = hubs.select("node").join(held, "node", "left").select("node", F.coalesce("held", F.lit(False)).alias("held"))
-    return split_lookup(asked, held, "dst", "node", "held", known).where("held").select("src", "dst", "rest")
+    return split_lookup(asked, held, "dst", "node", "held", known).where("held").select("src", "dst", "at")
 
 
 def with_members(lists: DataFrame, live: DataFrame, buckets: int) -> DataFrame:
     """``(src, nb, at, work)``, one row per node that has a list or is in one that sends to it: its list (or
     an empty one), the places in it of its ``live`` members, and its work. ``lists`` stays where it
     is, in that many buckets by node."""
-    told = (live.select("src", "rest", F.lit(None).cast("bigint").alias("work"))
-            .unionByName(node_work(lists).withColumn("rest", F.lit(None).cast("int")))
+    told = (live.select("src", "at", F.lit(None).cast("bigint").alias("work"))
+            .unionByName(node_work(lists).withColumn("at", F.lit(None).cast("int")))
             .repartition(buckets, "src").groupBy("src")
-            .agg(F.sort_array(F.collect_list("rest"), asc=False).alias("rests"), F.sum("work").alias("work")))
-    nb = F.coalesce("nb", F.expr("CAST(array() AS array<bigint>)"))
+            .agg(F.sort_array(F.collect_list("at")).alias("at"), F.sum("work").alias("work")))
     return lists.join(told, "src", "full").select(
-        "src", nb.alias("nb"), F.coalesce(F.transform("rests", lambda r: F.size("nb") - 1 - r),
-                                          F.expr("CAST(array() AS array<int>)")).alias("at"),
+        "src", F.coalesce("nb", F.expr("CAST(array() AS array<bigint>)")).alias("nb"),
+        F.coalesce("at", F.expr("CAST(array() AS array<int>)")).alias("at"),
         F.coalesce("work", F.lit(0)).cast("bigint").alias("work"))
 
 
-def wedges(lists: DataFrame, label: Callable[[Column], Column] | None = None,
+def wedges(lists: DataFrame, label: Callable[[str], Column] | None = None,
            alike: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``(src, dst, mark, rest)``: what each list sends to its live members, as far as any is left.
 
-    ``label`` gives each member of a list a value, once, and ``alike`` says by the values of dst, its
-    ``mark``, and of a member after it whether that member is sent; without them all are.
+    ``label`` gives a column of members a value, and ``alike`` says by the values of dst, its ``mark``,
+    and of a member after it whether that member is sent; without them all are. Pairs of members are
+    compared as rows, by compiled code (a filter of arrays is interpreted), and packed again where they are.
     """
     live = lists.where(F.size("at") > 0)
     if label is None:
         return live.select("src", "nb", F.explode("at").alias("at")).select(
             "src", F.get("nb", F.col("at")).alias("dst"), F.slice("nb", F.col("at") + 2, F.size("nb")).alias("rest"))
-    # The explode keeps the labels below it: merged into one projection they were made anew per comparison.
-    each = (live.select("src", "nb", "at", F.transform("nb", label).alias("labels"))
-            .select("src", "nb", "labels", F.explode("at").alias("at")))
-    mark = F.get("labels", F.col("at"))
-    rest = F.filter(F.slice("nb", F.col("at") + 2, F.size("nb")),
-                    lambda _, k: alike(mark, F.get("labels", F.col("at") + 1 + k)))
-    return each.select("src", F.get("nb", F.col("at")).alias("dst"), mark.alias("mark"), if_any(rest))
-
-
-def if_any(rest: Column) -> Column:
-    """A row with ``rest`` if it has an element, else none; a filter on its size would make it twice."""
-    return F.inline(F.filter(F.array(F.struct(rest.alias("rest"))), lambda s: F.size(s["rest"]) > 0))
+    pairs = (live.select("src", "nb", F.explode("at").alias("at"))
+             .select("src", F.get("nb", F.col("at")).alias("dst"),
+                     F.explode(F.slice("nb", F.col("at") + 2, F.size("nb"))).alias("third")))
+    return (pairs.where(alike(label("dst"), label("third"))).groupBy("src", "dst")
+            .agg(F.collect_list("third").alias("rest")).select("src", "dst", label("dst").alias("mark"), "rest"))
 
 
 def close_wedges(sent: DataFrame, lists: DataFrame, hot_work: int = HOT_WORK, hot_keys: int = HOT_KEYS) -> DataFrame:
@@ -192,7 +185,8 @@ def meet_lists(sent: DataFrame, lists: DataFrame, hot_work: int = HOT_WORK, hot_
     work = lists.where((F.col("work") > 0) & (F.size("nb") > 0)).select("src", "work")
     heavy = F.broadcast(heavy_keys(work, ["src"], "work", hot_work, hot_keys)
                         .select(F.col("src").alias("dst"), salt_count(F.col("work"), hot_work).alias("salts")))
-    held = lists.where(F.size("nb") > 0).select(F.col("src").alias("dst"), F.col("nb").alias("own"))
+    held = (lists.where((F.col("work") > 0) & (F.size("nb") > 0))  # no other node is sent anything
+            .select(F.col("src").alias("dst"), F.col("nb").alias("own")))
     cold = sent.join(heavy, "dst", "left_anti").join(held, "dst")
     salted = (sent.join(heavy, "dst")
               .select(*sent.columns, F.pmod(F.xxhash64(*sent.columns), F.col("salts")).cast("int").alias("salt")))

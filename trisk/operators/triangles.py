@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from trisk.functions.hashing import (
     DEFAULT_PRIME,
+    color_planes,
     color_runs_column,
     draw_color_params,
     draw_partition_params,
@@ -105,14 +106,14 @@ MASK_RUNS = 62
 def monochrome_wedges(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME) -> DataFrame:
     """``(src, dst, mark, rest)``: the wedges that have one colour in any of at most ``MASK_RUNS`` runs, each once;
     bit r of ``mark`` says whether src and dst share a colour in run r."""
-    def mask(x: Column) -> Column:
-        bits = [F.when(F.get("own", F.lit(r)) == node_color(x, a, b, colors, p), F.lit(1 << r).cast("bigint"))
-                .otherwise(F.lit(0).cast("bigint")) for r, (a, b) in enumerate(params)]
-        return reduce(Column.bitwiseOR, bits)
+    planes = color_planes(params, colors, p)
+    every = F.lit((1 << len(params)) - 1).cast("bigint")
 
-    # The explode, of one row, keeps src's colours out of the lambda, which would make them anew per member.
-    own = F.array(*[node_color(F.col("src"), a, b, colors, p) for a, b in params])
-    return wedges(lists.select("*", F.explode(F.array(own)).alias("own")), mask, lambda m, n: m.bitwiseAND(n) != 0)
+    def mask(x: str) -> Column:
+        differ = [of(F.col("src")).bitwiseXOR(of(F.col(x))) for of in planes]
+        return F.bitwise_not(reduce(Column.bitwiseOR, differ)).bitwiseAND(every) if differ else every
+
+    return wedges(lists, mask, lambda m, n: m.bitwiseAND(n) != 0)
 
 
 def triangles_by_color(lists: DataFrame, params: Params, colors: int, p: int = DEFAULT_PRIME,
@@ -166,11 +167,10 @@ def part_wedges(lists: DataFrame, parts: int, seed: int | None = 0, p: int = DEF
     """``(src, dst, part, rest)``: the wedges whose two edges at src are in one part.
 
     The part of an edge is ``((a*u + b*v) mod p) mod C`` on the canonical (u, v),
-    so repeated or reversed lines of one edge always meet in one part. Every member's part
-    is computed once.
+    so repeated or reversed lines of one edge always meet in one part.
     """
     of = _part_of(F.col("src"), parts, seed, p)
-    return wedges(lists, of, lambda part, other: part == other).withColumnRenamed("mark", "part")
+    return wedges(lists, lambda x: of(F.col(x)), lambda part, other: part == other).withColumnRenamed("mark", "part")
 
 
 def _part_of(end: Column, parts: int, seed: int | None, p: int):
