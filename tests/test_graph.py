@@ -370,3 +370,10 @@ def test_colour_planes_spell_every_runs_colour(spark, p):
         for row in rows:
             for r, (a, b) in enumerate(params):
                 assert sum((w >> r & 1) << j for j, w in enumerate(row.words)) == (a * row.x + b) % p % colors
+
+
+def test_an_end_is_met_once_for_all_its_copies(spark):
+    """What an edge can close is looked up before it is copied to its C keys."""
+    lists = TR.prepare(order_graph(spark, "0.001"), buckets=8)
+    plan = plain_plan(TR.exact_by_color_triples_per_key(lists, 17, 3, 4, key_edges=100))
+    assert plan.index("Generate explode") < plan.index("array_intersect")

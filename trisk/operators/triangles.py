@@ -311,8 +311,9 @@ def triangles_in_split_keys(edges: DataFrame, lists: DataFrame, a: int, b: int,
     in the end's list too. Every wedge is in one key. Hubs are salted as in every count.
     """
     met = meet_lists(edges.where("live").select("dst", "cs", "rest"), lists, hot_work)
-    copies = copied(met, a, b, colors, p)
-    return (copies.select(*KEY, F.size(F.array_intersect("own", "rest")).alias("t")).groupBy(*KEY)
+    # Of what comes after the end, only what is in its list can close there: looked up once for all copies.
+    copies = copied(met.select("dst", "cs", F.array_intersect("own", "rest").alias("rest")), a, b, colors, p)
+    return (copies.select(*KEY, F.size("rest").alias("t")).groupBy(*KEY)
             .agg(F.sum("t").cast("bigint").alias("triangles")).where("triangles > 0"))
 
 
