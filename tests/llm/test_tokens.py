@@ -36,6 +36,29 @@ def test_encoder_tables_start_anew(monkeypatch):
         assert enc.encode([text])[0].tolist() == ids_of(text)
 
 
+def test_plain_pieces_are_cut_out_together(monkeypatch):
+    """A space and ASCII letters, with or without a comma or full stop, are not looked at one by one."""
+    enc, alone = bpe.Encoder(bpe.default_vocab()), []
+    one_by_one = enc._encode_new
+    monkeypatch.setattr(enc, "_encode_new", lambda pieces: alone.extend(pieces) or one_by_one(pieces))
+    text = "first plain words, and more. a , b. caf\u00e9 it's x1 y.. z,. Q"
+    assert enc.encode([text])[0].tolist() == ids_of(text)
+    assert set(alone) == {"\nfirst", " ,", " caf\u00e9", " it's", " x1", " y..", " z,."}
+
+
+def test_older_words_go_first(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_WORDS", 10)
+    enc = bpe.Encoder(bpe.default_vocab())
+    words = ["one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
+    for k, word in enumerate(words):
+        enc.encode(["x " + word])
+        assert all("\u0120" + w in enc.word_ids for w in words[max(0, k - 1):k + 1])
+        assert len(enc.word_ids) <= 16
+    assert "\u0120one" not in enc.word_ids
+    for text in ("x one, seven. two", "x six five, eight"):
+        assert enc.encode([text])[0].tolist() == ids_of(text)
+
+
 def expected_files(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     return [(i, [*ids_of(t), 0]) for i, t in order]

@@ -13,6 +13,7 @@ whole text.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 from array import array
@@ -21,8 +22,8 @@ import numpy as np
 
 from trisk.llm.store import held
 
-#: Distinct pieces, and distinct pre-tokens, kept by one Python worker before the tables are
-#: started anew, and bytes handled at a time; memory bounds only, ids do not depend on them.
+#: Distinct pieces, and distinct pre-tokens, kept by one Python worker before the pieces are
+#: started anew and the older pre-tokens dropped, and bytes handled at a time; memory bounds only, ids do not depend on them.
 MAX_PIECES = 250_000
 MAX_WORDS = 150_000
 CHUNK_BYTES = 1 << 18
@@ -34,6 +35,8 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: chr(b) for b in _PRINTABLE}
 _BYTE_SIGNS |= {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _BYTE_SIGNS)}
 _SPACE, _NEWLINE = _BYTE_SIGNS[32], _BYTE_SIGNS[10]
+_LETTERS = np.zeros(256, dtype=np.int32)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = 1
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0  -     　]")
 
 _ODD = np.random.default_rng(2).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,13 +75,49 @@ class Encoder:
                 or " \n" in text or "\n " in text or _OTHER_SPACE.search(text) is not None
                 or any(s in text for s in self.specials))
 
+    def _drop_old_words(self) -> None:
+        """Where there are too many pre-tokens, the half that was learned first goes."""
+        if len(self.word_ids) > MAX_WORDS:
+            self.word_ids = dict(itertools.islice(self.word_ids.items(), len(self.word_ids) // 2, None))
+
+    def _learn(self, words: set[str]) -> None:
+        """Encode the pre-tokens that are not known yet by the library's model."""
+        known, tokenize = self.word_ids, self.tokenizer.model.tokenize
+        for word in words.difference(known):
+            known[word] = array("i", [t.id for t in tokenize(word)]).tobytes()
+
+    def _encode_spans(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The ids of the pieces [start, end) of a buffer. A space and ASCII letters, with or without a comma or
+        full stop, are told by sums over the bytes and cut out as pre-tokens; all others go one by one."""
+        self._drop_old_words()
+        raw = np.frombuffer(buffer, dtype=np.uint8)
+        letters = np.concatenate([np.zeros(1, np.int32), np.cumsum(_LETTERS[raw], dtype=np.int32)])
+        last = raw[ends - 1]
+        upto = ends - ((last == 44) | (last == 46))
+        plain = (raw[starts] == 32) & (upto > starts + 1) & (letters[upto] - letters[np.minimum(starts + 1, upto)]
+                                                             == upto - starts - 1)
+        own, out = np.flatnonzero(plain), [b""] * len(starts)
+        shown = buffer.decode("latin-1").replace(" ", _SPACE)
+        words = [shown[x:y] for x, y in zip(starts[own].tolist(), upto[own].tolist())]
+        self._learn({*words, ",", "."})
+        known = self.word_ids
+        tails = [b"", known[","], known["."]]
+        tail = np.where(upto == ends, 0, np.where(last == 44, 1, 2))
+        for k, word, end in zip(own.tolist(), words, tail[own].tolist()):
+            out[k] = known[word] + tails[end] if end else known[word]
+        other = np.flatnonzero(~plain)
+        if len(other):
+            pieces = [buffer[x:y].decode() for x, y in zip(starts[other].tolist(), ends[other].tolist())]
+            for k, ids in zip(other.tolist(), self._encode_new(pieces)):
+                out[k] = ids
+        return out
+
     def _encode_new(self, pieces: list[str]) -> list[bytes]:
         """The ids (int32 bytes) of pieces, each with its leading space or newline: cut into pre-tokens, each
         distinct one encoded once by the library's model. A piece of Latin-1 letters, with or
         without a comma or full stop after them, has its pre-tokens in plain sight; the library
         cuts all others, written one after the other."""
-        if len(self.word_ids) > MAX_WORDS:
-            self.word_ids = {}
+        self._drop_old_words()
         known, plain, tails, others, order = self.word_ids, [], [], [], []
         for piece in pieces:
             core, tail = (piece[1:-1], piece[-1]) if piece[-1] in ",." else (piece[1:], "")
@@ -98,9 +137,7 @@ class Encoder:
         rest = ([w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str("".join(others))] if others else [])
         missing = {*words, *tails, *rest, _NEWLINE}
         missing.discard("")
-        tokenize = self.tokenizer.model.tokenize
-        for word in missing.difference(known):
-            known[word] = array("i", [t.id for t in tokenize(word)]).tobytes()
+        self._learn(missing)
         known[""] = b""
         newline = known[_NEWLINE]
         of_plain = [known[w] + known[t] if r[0] != _NEWLINE else newline + known[w] + known[t]
@@ -135,8 +172,7 @@ class Encoder:
             raise ArithmeticError("two pieces of one hash")
         new = np.flatnonzero(~held)
         if len(new):
-            a, b = starts[first[new]].tolist(), ends[first[new]].tolist()
-            ids = self._encode_new([buffer[x:y].decode() for x, y in zip(a, b)])
+            ids = self._encode_spans(buffer, starts[first[new]], ends[first[new]])
             counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
             flat = np.frombuffer(b"".join(ids), dtype=np.int32)
             where = at[new]
