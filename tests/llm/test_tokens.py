@@ -27,6 +27,23 @@ def test_encoder_equals_the_library(texts):
     assert [flat[e - n:e].tolist() for e, n in zip(ends, lengths)] == [ids_of(t) for t in texts]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.text(st.sampled_from("abZ\u00e9\u00c0\u00f7\u00d7\u00aa\u00ba,.'s1\u65e5\u0301"), min_size=1, max_size=6),
+                         min_size=1, max_size=12), min_size=1, max_size=4), st.sampled_from([1, 7, 1 << 12]))
+def test_cut_words_equal_the_library(texts, joined):
+    enc, before = bpe.encoder(bpe.default_vocab()), bpe.JOINED_BYTES
+    bpe.JOINED_BYTES = joined
+    try:
+        texts = ["".join(w + " \n"[len(w) % 2] for w in t)[:-1] for t in texts]
+        enc._reset()
+        enc.word_ids = {}
+        flat, lengths = enc.encode(texts)
+    finally:
+        bpe.JOINED_BYTES = before
+    ends = np.cumsum(lengths)
+    assert [flat[e - n:e].tolist() for e, n in zip(ends, lengths)] == [ids_of(t) for t in texts]
+
+
 def test_encoder_tables_start_anew(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_PIECES", 2)
     monkeypatch.setattr(bpe, "MAX_WORDS", 2)
@@ -59,6 +76,62 @@ def test_older_words_go_first(monkeypatch):
         assert enc.encode([text])[0].tolist() == ids_of(text)
 
 
+def test_new_words_share_a_call(monkeypatch):
+    """New pieces are encoded many at a time, and a stop after a letter does not make another piece."""
+    enc = bpe.Encoder(bpe.default_vocab())
+    whole, model, calls = enc.tokenizer, enc.model, []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **named):
+            calls.extend(texts)
+            return self.inner.encode_batch_fast(texts, **named)
+
+    enc.tokenizer, enc.model = Counted(whole), Counted(model)
+    text = "x " + " ".join(f"{a}ou{b} {a}ou{b}, {a}\u00e9{b}." for a in "bcdfghjk" for b in "lmnpqrst") + "\ny1 z2, 7."
+    before = len(enc.hashes)
+    assert enc.encode([text])[0].tolist() == ids_of(text)
+    assert len(calls) <= 3
+    assert len(enc.hashes) - before == 1 + 64 + 64 + 3
+
+
+def test_long_lists_of_new_pieces_are_cut(monkeypatch):
+    monkeypatch.setattr(bpe, "JOINED_BYTES", 5)
+    enc = bpe.Encoder(bpe.default_vocab())
+    text = "a bc def, ghij \u00e9\u00f7\u00d7 \u00c0klmno. \u00fcber 12, x\u00d7. \u00aa, \u00ba. it's, 't. p\nq"
+    assert enc.encode([text])[0].tolist() == ids_of(text)
+
+
+def test_pieces_met_again_stay(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_PIECES", 8)
+    enc = bpe.Encoder(bpe.default_vocab())
+    for text in ("x one two three", "x one four five six", "x one seven"):
+        assert enc.encode([text])[0].tolist() == ids_of(text)
+    new = enc._encode_spans
+    monkeypatch.setattr(enc, "_encode_spans", lambda buffer, starts, ends: learned.extend(
+        buffer[a:b] for a, b in zip(starts, ends)) or new(buffer, starts, ends))
+    learned = []
+    assert enc.encode(["x one two"])[0].tolist() == ids_of("x one two")
+    assert learned == [b" two"]
+
+
+def test_a_model_that_joins_words_is_not_used_alone(tmp_path):
+    """Where a merge could join the end of a word and the next one's space, the whole tokenizer cuts all words."""
+    import json
+    spec = json.loads(LIBRARY.to_str())
+    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    vocab["q\u0120"] = max(vocab.values()) + 2
+    merges.insert(0, ["q", "\u0120"])
+    path = tmp_path / "joins.json"
+    path.write_text(json.dumps(spec))
+    enc = bpe.Encoder(str(path))
+    assert bpe.Encoder(bpe.default_vocab()).model is not None and enc.model is None
+    text = "aq bq cq, q dq"
+    assert enc.encode([text])[0].tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids == ids_of(text)
+
+
 def expected_files(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     return [(i, [*ids_of(t), 0]) for i, t in order]

@@ -3,7 +3,8 @@
 The byte-level pre-tokenizer always starts a new piece at a single space between two
 non-space characters, and a single newline between two non-space characters is a piece
 of its own before a fresh start. A text without adjacent white space is therefore cut
-there, every distinct piece is encoded once by the library's pre-tokenizer and model, and
+there, and so is a comma or full stop after a letter, which is a piece of its own; every
+distinct piece is encoded by the library, many in one call, and
 the ids are laid out with numpy: pieces are found by a 64-bit hash, checked by their
 length and first eight bytes. A text with adjacent white space, at an end, or with a special
 token's text in it goes to the library whole. Both ways give the library's ids for the
@@ -16,17 +17,18 @@ import functools
 import itertools
 import os
 import re
-from array import array
 
 import numpy as np
 
 from trisk.llm.store import held
 
-#: Distinct pieces, and distinct pre-tokens, kept by one Python worker before the pieces are
-#: started anew and the older pre-tokens dropped, and bytes handled at a time; memory bounds only, ids do not depend on them.
+#: Distinct pieces, and distinct pre-tokens, kept by one Python worker before the pieces met once
+#: and the older pre-tokens are dropped, and bytes handled at a time; memory bounds only, ids do not depend on them.
 MAX_PIECES = 250_000
 MAX_WORDS = 150_000
-CHUNK_BYTES = 1 << 18
+CHUNK_BYTES = 1 << 19
+#: Bytes of new pieces that one call of the library encodes, as they are written one after the other.
+JOINED_BYTES = 1 << 12
 #: Characters of the texts whose pieces are laid out at a time (one text at least).
 GROUP_CHARS = 1 << 19
 #: Byte to sign of a byte-level vocabulary: printable Latin-1 bytes stand for themselves, the
@@ -50,6 +52,24 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def letter_bytes(raw: np.ndarray) -> np.ndarray:
+    """1 for every byte of an ASCII or Latin-1 letter (two bytes from U+00C0 on), else 0."""
+    out = _LETTERS[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+    out[lead] = out[lead + 1] = 1
+    return out
+
+
+def piece_starts(raw: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts start, each text after a newline: at every space and newline, and at a comma or
+    full stop between a letter (ASCII or Latin-1) and white space or the end, which is a pre-token of its own."""
+    space = (raw == 32) | (raw == 10)
+    stops = np.flatnonzero(((raw == 44) | (raw == 46)) & np.append(space[1:], True))
+    space[stops[letter_bytes(raw)[stops - 1] > 0]] = True
+    return np.flatnonzero(space)
+
+
 class Encoder:
     """Encodes lists of texts into one flat id array and a length per text."""
 
@@ -58,16 +78,43 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocab_path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.token_bytes = self.byte_lengths()
+        self.model = Tokenizer(self.tokenizer.model) if self._merge_inside() else None
         self.word_ids: dict[str, bytes] = {}  # ids as int32 bytes, a third of a tuple's memory
         self._reset()
 
     def _reset(self) -> None:
-        # Known pieces by ascending hash, with their check value, first id and number of ids.
+        # Hashes of known pieces, ascending, with their place in the arrays after them: check value, whether
+        # met again since it was learned, and the bounds of their ids.
         self.hashes = np.empty(0, dtype=np.uint64)
+        self.places = np.empty(0, dtype=np.int64)
         self.checks = np.empty(0, dtype=np.uint64)
-        self.starts = np.empty(0, dtype=np.int64)
-        self.sizes = np.empty(0, dtype=np.int64)
+        self.again = np.empty(0, dtype=bool)
+        self.bounds = np.zeros(1, dtype=np.int64)
         self.flat = np.empty(0, dtype=np.int32)
+        for stop in (b",", b"."):  # the pieces that do not begin with white space
+            self._lookup(stop, np.array([0]), np.array([1]))
+
+    def _drop_once_met(self) -> None:
+        """Where there are too many pieces, those not met again go; all do where that leaves over half of them."""
+        if len(self.hashes) <= MAX_PIECES:
+            return
+        self.again[:2] = True  # the stops
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > MAX_PIECES:
+            self._reset()
+            return
+        counts = np.diff(self.bounds)[kept]
+        self.flat = self._ids_of(kept, counts)
+        self.bounds = np.concatenate([[0], np.cumsum(counts)])
+        left = self.again[self.places]
+        self.hashes, self.places = self.hashes[left], (np.cumsum(self.again) - 1)[self.places[left]]
+        self.checks, self.again = self.checks[kept], np.zeros(len(kept), dtype=bool)
+
+    def _ids_of(self, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The ids of known pieces, one after the other; ``counts`` has the number of each."""
+        upto = np.cumsum(counts)
+        return self.flat[np.arange(upto[-1] if len(upto) else 0) + np.repeat(self.bounds[places] - (upto - counts), counts)]
 
     def _whole(self, text: str) -> bool:
         """Whether the text must be encoded in one call."""
@@ -76,78 +123,93 @@ class Encoder:
                 or any(s in text for s in self.specials))
 
     def _drop_old_words(self) -> None:
-        """Where there are too many pre-tokens, the half that was learned first goes."""
-        if len(self.word_ids) > MAX_WORDS:
+        """Where the room for pre-tokens is full, the half that was learned first goes."""
+        if len(self.word_ids) >= MAX_WORDS:
             self.word_ids = dict(itertools.islice(self.word_ids.items(), len(self.word_ids) // 2, None))
 
-    def _learn(self, words: set[str]) -> None:
-        """Encode the pre-tokens that are not known yet by the library's model."""
-        known, tokenize = self.word_ids, self.tokenizer.model.tokenize
-        for word in words.difference(known):
-            known[word] = array("i", [t.id for t in tokenize(word)]).tobytes()
+    def _merge_inside(self) -> bool:
+        """Whether the model alone, given words of ASCII or Latin-1 letters one after the other, each with a space or
+        newline before it, never joins bytes of two words: plain merges, and no token of such bytes that could."""
+        model = self.tokenizer.model
+        if type(model).__name__ != "BPE" or model.ignore_merges or model.dropout or (
+                model.continuing_subword_prefix or model.end_of_word_suffix):
+            return False
+        letters = "".join(_BYTE_SIGNS[b] for b in (*range(65, 91), *range(97, 123), 0xC3, *range(0x80, 0xC0)))
+        across = re.compile(f"[{letters}][{_SPACE}{_NEWLINE}]|{_NEWLINE}[{letters}]")
+        made = re.compile(f"[{letters}{_SPACE}{_NEWLINE}]+")  # what the model can make of such words
+        return not any(across.search(t) and made.fullmatch(t)
+                       for t in self.tokenizer.get_vocab(with_added_tokens=False))
+
+    def _encode_joined(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces written one after the other, each with its leading space or newline, and how many each has.
+        Words of letters need no pre-tokenizer, so the library's model has them alone; the whole tokenizer cuts and
+        encodes the others. Either gets ``JOINED_BYTES`` at a time."""
+        starts = np.append(0, np.flatnonzero((raw[1:] == 32) | (raw[1:] == 10)) + 1)
+        sizes = np.diff(np.append(starts, len(raw)))
+        counts = np.zeros(len(starts), dtype=np.int64)
+        lettered = np.zeros(len(starts), dtype=bool)
+        if self.model is not None:
+            lettered = (np.add.reduceat(letter_bytes(raw), starts, dtype=np.int64) == sizes - 1) & (sizes > 1)
+        ids, kinds = [], ((lettered, self.model), (~lettered, self.tokenizer))
+        for kind, encode_with in kinds:
+            own = np.flatnonzero(kind)
+            if not len(own):
+                ids.append(np.empty(0, dtype=np.int32))
+                continue
+            part, ends = raw[np.repeat(kind, sizes)], np.cumsum(sizes[own])
+            cuts = np.unique(np.append(np.searchsorted(ends, np.arange(JOINED_BYTES, ends[-1], JOINED_BYTES)) + 1, len(own)))
+            upto = [0, *ends[cuts - 1].tolist()]
+            texts = [part[x:y].tobytes().decode() for x, y in zip(upto, upto[1:])]
+            if encode_with is self.model:
+                texts = [t.encode().decode("latin-1").translate(_BYTE_SIGNS) for t in texts]
+            found = encode_with.encode_batch_fast(texts, add_special_tokens=False)
+            ids.append(np.concatenate([np.array(f.ids, dtype=np.int32) for f in found]))
+            to = np.cumsum(self.token_bytes[ids[-1]])
+            at = np.searchsorted(to, ends)
+            if (to[at] != ends).any():
+                raise ArithmeticError("a token of two pieces")
+            counts[own] = np.diff(at, prepend=-1)
+        out, of_words = np.empty(counts.sum(), dtype=np.int32), np.repeat(lettered, counts)
+        out[of_words], out[~of_words] = ids
+        return out, counts
 
-    def _encode_spans(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        """The ids of the pieces [start, end) of a buffer. A space and ASCII letters, with or without a comma or
-        full stop, are told by sums over the bytes and cut out as pre-tokens; all others go one by one."""
+    def _learn(self, words: list[str]) -> None:
+        """Encode the words that are not known yet: each a space and letters, or a stop alone."""
+        known = self.word_ids
+        missing = [w for w in words if w not in known]
+        if missing:
+            ids, counts = self._encode_joined(np.frombuffer("".join(missing).replace(_SPACE, " ").encode(), dtype=np.uint8))
+            raw, ends = ids.tobytes(), (np.cumsum(counts) * 4).tolist()
+            known.update(zip(missing, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def _encode_spans(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces [start, end) of a buffer and how many each has. A space and ASCII letters are told by
+        sums over the bytes and kept as pre-tokens, and so is a stop; all others are written one after the other
+        and encoded anew."""
         self._drop_old_words()
         raw = np.frombuffer(buffer, dtype=np.uint8)
         letters = np.concatenate([np.zeros(1, np.int32), np.cumsum(_LETTERS[raw], dtype=np.int32)])
-        last = raw[ends - 1]
-        upto = ends - ((last == 44) | (last == 46))
-        plain = (raw[starts] == 32) & (upto > starts + 1) & (letters[upto] - letters[np.minimum(starts + 1, upto)]
-                                                             == upto - starts - 1)
-        own, out = np.flatnonzero(plain), [b""] * len(starts)
+        plain = (raw[starts] == 32) & (ends > starts + 1) & (letters[ends] - letters[starts] == ends - starts - 1)
+        plain |= (raw[starts] == 44) | (raw[starts] == 46)
+        own, other = np.flatnonzero(plain), np.flatnonzero(~plain)
         shown = buffer.decode("latin-1").replace(" ", _SPACE)
-        words = [shown[x:y] for x, y in zip(starts[own].tolist(), upto[own].tolist())]
-        self._learn({*words, ",", "."})
-        known = self.word_ids
-        tails = [b"", known[","], known["."]]
-        tail = np.where(upto == ends, 0, np.where(last == 44, 1, 2))
-        for k, word, end in zip(own.tolist(), words, tail[own].tolist()):
-            out[k] = known[word] + tails[end] if end else known[word]
-        other = np.flatnonzero(~plain)
-        if len(other):
-            pieces = [buffer[x:y].decode() for x, y in zip(starts[other].tolist(), ends[other].tolist())]
-            for k, ids in zip(other.tolist(), self._encode_new(pieces)):
-                out[k] = ids
-        return out
+        words = [shown[x:y] for x, y in zip(starts[own].tolist(), ends[own].tolist())]
+        self._learn(words)
+        ids = [self.word_ids[w] for w in words]
+        counts = np.empty(len(starts), dtype=np.int64)
+        counts[own] = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), dtype=np.int32)
+        if not len(other):
+            return flat, counts
+        more, counts[other] = self._encode_new(
+            [buffer[x:y].decode() for x, y in zip(starts[other].tolist(), ends[other].tolist())])
+        out, of_own = np.empty(len(flat) + len(more), dtype=np.int32), np.repeat(plain, counts)
+        out[of_own], out[~of_own] = flat, more
+        return out, counts
 
-    def _encode_new(self, pieces: list[str]) -> list[bytes]:
-        """The ids (int32 bytes) of pieces, each with its leading space or newline: cut into pre-tokens, each
-        distinct one encoded once by the library's model. A piece of Latin-1 letters, with or
-        without a comma or full stop after them, has its pre-tokens in plain sight; the library
-        cuts all others, written one after the other."""
-        self._drop_old_words()
-        known, plain, tails, others, order = self.word_ids, [], [], [], []
-        for piece in pieces:
-            core, tail = (piece[1:-1], piece[-1]) if piece[-1] in ",." else (piece[1:], "")
-            if core.isalpha() and (core.isascii() or max(core) < "Ā"):
-                order.append(len(plain))
-                plain.append(core if piece[0] == " " else "\n" + core)
-                tails.append(tail)
-            else:
-                others.append(piece)
-                order.append(-len(others))
-        if plain:
-            # A separator that no word holds; a leading newline is a pre-token of its own.
-            raw = " ".join(plain).encode().decode("latin-1").translate(_BYTE_SIGNS).split(_SPACE)
-            words = [_SPACE + w if w[0] != _NEWLINE else w[1:] for w in raw]
-        else:
-            raw = words = []
-        rest = ([w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str("".join(others))] if others else [])
-        missing = {*words, *tails, *rest, _NEWLINE}
-        missing.discard("")
-        self._learn(missing)
-        known[""] = b""
-        newline = known[_NEWLINE]
-        of_plain = [known[w] + known[t] if r[0] != _NEWLINE else newline + known[w] + known[t]
-                    for r, w, t in zip(raw, words, tails)]
-        of_others: list[bytes] = []
-        for w in rest:  # a pre-token that starts with a space or newline starts a piece
-            if w[0] == _SPACE or w[0] == _NEWLINE:
-                of_others.append(b"")
-            of_others[-1] += known[w]
-        return [of_plain[k] if k >= 0 else of_others[-k - 1] for k in order]
+    def _encode_new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, each with its leading space or newline, and how many each has."""
+        return self._encode_joined(np.frombuffer("".join(pieces).encode(), dtype=np.uint8))
 
     def _lookup(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Places in the tables of the pieces [start, end) of a buffer, learning new ones."""
@@ -168,39 +230,39 @@ class Encoder:
         at = np.searchsorted(self.hashes, distinct)
         held = at < len(self.hashes)
         held[held] = self.hashes[at[held]] == distinct[held]
-        if (own[which] != check).any() or (self.checks[at[held]] != own[held]).any():
+        found = self.places[at[held]]
+        if (own[which] != check).any() or (self.checks[found] != own[held]).any():
             raise ArithmeticError("two pieces of one hash")
+        self.again[found] = True
+        places = np.empty(len(distinct), dtype=np.int64)
+        places[held] = found
         new = np.flatnonzero(~held)
         if len(new):
-            ids = self._encode_spans(buffer, starts[first[new]], ends[first[new]])
-            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-            flat = np.frombuffer(b"".join(ids), dtype=np.int32)
-            where = at[new]
-            self.hashes = np.insert(self.hashes, where, distinct[new])
-            self.checks = np.insert(self.checks, where, own[new])
-            self.starts = np.insert(self.starts, where, len(self.flat) + np.cumsum(counts) - counts)
-            self.sizes = np.insert(self.sizes, where, counts)
-            self.flat = np.concatenate([self.flat, flat])
-            at = np.searchsorted(self.hashes, distinct)
-        return at[which]
+            ids, counts = self._encode_spans(buffer, starts[first[new]], ends[first[new]])
+            places[new] = len(self.checks) + np.arange(len(new))
+            self.hashes = np.insert(self.hashes, at[new], distinct[new])
+            self.places = np.insert(self.places, at[new], places[new])
+            self.checks = np.concatenate([self.checks, own[new]])
+            self.again = np.concatenate([self.again, np.zeros(len(new), dtype=bool)])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(counts)])
+            self.flat = np.concatenate([self.flat, ids])
+        return places[which]
 
     def _encode_cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and lengths of texts that may be cut at their white space."""
-        buffer = "".join(["\n" + t for t in texts]).encode()
-        raw = np.frombuffer(buffer, dtype=np.uint8)
-        starts = np.flatnonzero((raw == 32) | (raw == 10))
-        ends = np.append(starts[1:], len(raw))
-        doc_at = np.cumsum([0] + [len(t.encode()) + 1 for t in texts])
+        encoded = [("\n" + t).encode() for t in texts]
+        buffer = b"".join(encoded)
+        starts = piece_starts(np.frombuffer(buffer, dtype=np.uint8))
+        ends = np.append(starts[1:], len(buffer))
+        doc_at = np.cumsum([0, *map(len, encoded)])
         parts, sizes, k = [], [], 0
         while k < len(starts):
             to = max(k + 1, int(np.searchsorted(ends, starts[k] + CHUNK_BYTES, side="right")))
             low = int(starts[k])
-            if len(self.hashes) > MAX_PIECES:
-                self._reset()
+            self._drop_once_met()
             at = self._lookup(buffer[low:int(ends[to - 1])], starts[k:to] - low, ends[k:to] - low)
-            n, first = self.sizes[at], self.starts[at]
-            upto = np.cumsum(n)
-            parts.append(self.flat[np.arange(upto[-1]) + np.repeat(first - (upto - n), n)])
+            n = self.bounds[at + 1] - self.bounds[at]
+            parts.append(self._ids_of(at, n))
             sizes.append(n)
             k = to
         flat, upto = np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
