@@ -1,6 +1,8 @@
 """SimHash, substring and line dedup against brute force."""
 
+import contextlib
 import hashlib
+import io
 import itertools
 import re
 from collections import Counter
@@ -230,6 +232,42 @@ def test_large_buckets_are_split_to_bounded_parts(spark, monkeypatch):
     assert len(sorted_parts) > 3 and max(sorted_parts) <= 12
 
 
+def moved(frame):
+    """The columns that each exchange of a frame's plan takes."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        frame.explain(mode="formatted")
+    return [set(re.findall(r"(\w+)#", x)) for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", out.getvalue())]
+
+
+def test_texts_are_dealt_out_once(spark, monkeypatch):
+    """Snippets, pieces of large buckets and what is kept are cut where the distinct texts are."""
+    rng = np.random.default_rng(21)
+    prose = [" ".join(f"w{x}" for x in rng.integers(0, 500, 300)) for _ in range(4)]
+    rows = [(k, prose[k % 4][:1000 + k % 3]) for k in range(24)] + [(90 + k, f"{k} " * k + prose[0][:700]) for k in range(9)]
+    rows += [(50, "short"), (51, None), (52, prose[3])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, plain = [], D._bucket_spans
+    monkeypatch.setattr(D, "_bucket_spans", lambda snippets: seen.extend(moved(snippets)) or plain(snippets))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = D.remove_repeats(frame, max_bucket=10)
+        seen += moved(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert Counter(tuple(r)[:5] for r in found.collect()) == plain_removal(rows)
+    assert seen and not any("text" in columns for columns in seen)
+
+
+def test_distinct_texts_hold_each_text_once(spark):
+    texts = ["x" * 500, "y" * 400, "x" * 500, "z" * 900, "x" * 500]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("h", F.unhex(F.md5("text")))
+    got = D.distinct_texts(frame.repartition(3)).collect()
+    assert {r.text: (r.copies, r.n_bytes) for r in got} == {t: (n, len(t)) for t, n in Counter(texts).items()}
+    assert len(got) == 3 and all(r.counts == [len(r.text) - 399] or len(r.keys) == len(r.counts) > 0 for r in got)
+
+
 def test_substrings_of_awkward_tables(awkward, empty, nothing_but_nulls):
     assert D.remove_repeats(empty).collect() == []
     assert [tuple(r)[1:4] for r in D.remove_repeats(nothing_but_nulls).collect()] == [(0, 0, 0)] * 3
