@@ -209,3 +209,17 @@ def test_field_counts_sum_to_the_whole(spark):
     got = {(r.doc_id, r.field): r.n_tokens for r in token_spans.field_token_counts(rows, "id", ["title", "body"]).collect()}
     for i, t, b in ((1, "A title", "and a body\n\ntext"), (2, "", "x"), (3, "", "")):
         assert got[i, "title"] + got[i, "body"] == len(ids_of(f"{t}\n{b}"))
+
+
+def test_only_odd_texts_are_looked_at_one_by_one(monkeypatch):
+    """Texts without adjacent white space, other white space or a special token's first byte are cut unseen."""
+    enc, seen = bpe.Encoder(bpe.default_vocab()), []
+    plain = enc._whole
+    monkeypatch.setattr(enc, "_whole", lambda text: seen.append(text) or plain(text))
+    odd = ["", " a", "a ", "a\n", "\na", "a  b", "a\n\nb", "a \nb", "a\n b", "a\tb", "a\x1cb", "a\x85b", "a\xa0b",
+           "a b", "a b", "a b", "a　b", "<|endoftext|>", "x <|endoftext|> y"]
+    texts = [t for k, o in enumerate(odd) for t in (f"plain text, {k}.", o, "caf\xe9 au\nlait")]
+    flat, lengths = enc.encode(texts)
+    ends = np.cumsum(lengths)
+    assert [flat[e - n:e].tolist() for e, n in zip(ends, lengths)] == [ids_of(t) for t in texts]
+    assert seen == odd

@@ -26,7 +26,7 @@ from trisk.llm.store import held
 #: and the older pre-tokens are dropped, and bytes handled at a time; memory bounds only, ids do not depend on them.
 MAX_PIECES = 250_000
 MAX_WORDS = 150_000
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 5 << 17
 #: Bytes of new pieces that one call of the library encodes, as they are written one after the other.
 JOINED_BYTES = 1 << 12
 #: Characters of the texts whose pieces are laid out at a time (one text at least).
@@ -78,6 +78,9 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocab_path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd_bytes = np.zeros(256, dtype=bool)
+        self.odd_bytes[[9, *range(11, 14), *range(28, 32), 0xC2, 0xE1, 0xE2, 0xE3,
+                        *(s.encode()[0] for s in self.specials)]] = True
         self.token_bytes = self.byte_lengths()
         self.model = Tokenizer(self.tokenizer.model) if self._merge_inside() else None
         self.word_ids: dict[str, bytes] = {}  # ids as int32 bytes, a third of a tuple's memory
@@ -215,7 +218,7 @@ class Encoder:
         """Places in the tables of the pieces [start, end) of a buffer, learning new ones."""
         raw = np.frombuffer(buffer, dtype=np.uint8)
         n = len(raw)
-        room = max(n, 2 * CHUNK_BYTES)
+        room = max(n, CHUNK_BYTES)
         sums = np.concatenate([np.zeros(1, np.uint64),
                                np.cumsum(_ODD[raw] * _powers(_BASE, room)[:n], dtype=np.uint64)])
         sizes = (ends - starts).astype(np.uint64)
@@ -248,9 +251,8 @@ class Encoder:
             self.flat = np.concatenate([self.flat, ids])
         return places[which]
 
-    def _encode_cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and lengths of texts that may be cut at their white space."""
-        encoded = [("\n" + t).encode() for t in texts]
+    def _encode_cut(self, encoded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of texts, each after a newline, that may be cut at their white space."""
         buffer = b"".join(encoded)
         starts = piece_starts(np.frombuffer(buffer, dtype=np.uint8))
         ends = np.append(starts[1:], len(buffer))
@@ -285,9 +287,17 @@ class Encoder:
         return np.concatenate(flat), np.concatenate(lengths)
 
     def _encode_group(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        whole = {i: np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=np.int32)
-                 for i, t in enumerate(texts) if self._whole(t)}
-        cut = [t for i, t in enumerate(texts) if i not in whole]
+        encoded = [("\n" + t).encode() for t in texts]
+        # Only these may have to be encoded whole: with adjacent white space (the newlines put before them and at the
+        # end count), or a byte that other white space or a special token begins with.
+        raw = np.frombuffer(b"".join([*encoded, b"\n"]), dtype=np.uint8)
+        space = (raw == 32) | (raw == 10)
+        odd = self.odd_bytes[raw[:-1]] | (space[1:] & space[:-1])
+        at = np.cumsum(list(map(len, encoded)))
+        maybe = np.unique(np.searchsorted(at, np.flatnonzero(odd), side="right")).tolist()
+        whole = {i: np.asarray(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, dtype=np.int32)
+                 for i in maybe if self._whole(texts[i])}
+        cut = [r for i, r in enumerate(encoded) if i not in whole]
         flat, lengths = self._encode_cut(cut) if cut else (np.empty(0, np.int32), np.empty(0, np.int64))
         if not whole:
             return flat, lengths
