@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF, edges_of
+from trisk import session
 from trisk.functions.hashing import color_planes, draw_color_params, draw_partition_params
 from trisk.operators import graph as G
 from trisk.operators import skew
@@ -377,3 +378,71 @@ def test_an_end_is_met_once_for_all_its_copies(spark):
     lists = TR.prepare(order_graph(spark, "0.001"), buckets=8)
     plan = plain_plan(TR.exact_by_color_triples_per_key(lists, 17, 3, 4, key_edges=100))
     assert plan.index("Generate explode") < plan.index("array_intersect")
+
+
+def test_edges_move_once_to_their_lists(spark):
+    """Dealt by their smaller end, edges are told to the other end, and only those that belong to the first go
+    back; live members are found where the lists are."""
+    edges, deg, n = TR.write_graph(order_pairs(spark.read.parquet(f"{SF['0.001']}/lineitem.parquet")))
+    joins = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lists = G.directed_lists(edges, deg, None, n)
+        plan = plain_plan(lists)
+        # Spark deals v for both branches, and runs the same exchange once.
+        assert "Exchange hashpartitioning(u" not in plan and plan.count("Exchange hashpartitioning(v") == 2
+        assert plan.count("Exchange") == 3 and plan.count("Exchange hashpartitioning(src") == 1
+        held = TR.prepare(edges, buckets=n, written=True, deg=deg).where(F.size("nb") > 0).select("src", "nb")
+        work = TR.materialize_bucketed(G.node_work(held), "work", "src", n)
+        assert "Exchange hashpartitioning" not in plain_plan(G.live_members(held, work, n))
+        assert "Exchange hashpartitioning" in plain_plan(G.live_members(held, work, n, sinks=0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joins)
+    assert sorted(map(tuple, lists.collect())) == sorted(map(tuple, held.collect()))
+
+
+@pytest.mark.parametrize("hot", [10**6, 150, 30])   # 150: larger ends are heavy; 30: smaller ones too
+def test_pairs_of_any_skew_give_the_same_lists(spark, hot):
+    rng = random.Random(8)
+    raw = [(-1, x) for x in range(40)] + [(900, x) for x in range(200)] + [(5, 5)]
+    raw += [(rng.randrange(200), rng.randrange(200)) for _ in range(500)]
+    raw += [(y, x) for x, y in raw[::3]]
+    pairs = spark.createDataFrame(raw, "src bigint, dst bigint")
+    total, smaller, larger = G.raw_ends(pairs)
+    lesser, greater = Counter(min(p) for p in raw), Counter(max(p) for p in raw)
+    assert (total, smaller >= max(lesser.values()), larger >= max(greater.values())) == (len(raw), True, True)
+    joined = {(min(p), max(p)) for p in raw if p[0] != p[1]}
+    edges, deg, _ = TR.write_graph(pairs, hot_rows=hot, hot_keys=10**6)
+    assert sorted(map(tuple, edges.collect())) == sorted(joined)
+    degree = Counter(x for pair in joined for x in pair)
+    assert {r.node: r.degree for r in deg.collect()} == degree
+    rank = lambda x: (degree[x], x)
+    nb = {}
+    for pair in joined:
+        low, high = sorted(pair, key=rank)
+        nb.setdefault(low, []).append(high)
+    lists = TR.prepare_pairs(pairs, hot_rows=hot, hot_keys=10**6)
+    assert {r.src: r.nb for r in lists.collect() if r.nb} == {x: sorted(ys, key=rank) for x, ys in nb.items()}
+    assert TR.exact_by_color_triples(lists, 77, 5, 3, key_edges=10).first()["triangles"] == len(all_triangles(raw))
+
+
+def test_members_without_a_list_are_found_both_ways(spark):
+    edges = frame(spark, random_pairs(31, 60, 150))
+    want = sorted(TR.prepare(edges).collect())
+    assert want == sorted(TR.prepare(edges, sinks=0).collect()) == sorted(TR.prepare(edges, sinks=0, hot_rows=5).collect())
+
+
+@pytest.mark.parametrize("shift", [0, 2**31 - 40, -2**40])   # ids of 32 bits, across their end, and far below
+def test_long_ids_count_as_short_ones(spark, shift):
+    pairs = random_pairs(12, 50, 400)
+    lists = TR.prepare(frame(spark, [(u + shift, v + shift) for u, v in pairs]))
+    count = TR.exact_by_color_triples_per_key(lists, 77, 5, 3, key_edges=10)
+    assert ("as array<int>" in plain_plan(count)) == (shift == 0)
+    assert sum(r.triangles for r in count.collect()) == len(all_triangles(pairs)) > 0
+
+
+def test_only_the_lists_stay(spark):
+    before = (len(session._made), len(session._tables))
+    lists = TR.prepare_pairs(spark.createDataFrame([(1, 2), (2, 3), (1, 3)], "src bigint, dst bigint"))
+    assert (len(session._made), len(session._tables)) == (before[0] + 1, before[1] + 1)
+    assert TR.exact_count(lists).first()["triangles"] == 1

@@ -27,7 +27,7 @@ import time
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trisk.functions.hashing import (
@@ -41,21 +41,25 @@ from trisk.functions.hashing import (
 )
 from trisk.operators.graph import (
     HOT_WORK,
+    SINKS,
+    canonical_edges,
     close_wedges,
     count_wedges,
     degrees,
+    degrees_in_place,
+    directed_lists,
     each_of,
     hubs_of,
     live_members,
     meet_lists,
-    orient_by,
-    out_lists,
+    node_work,
+    raw_ends,
     wedges,
     with_members,
 )
 from trisk.operators.skew import HOT_KEYS, HOT_ROWS
 from trisk.operators.util import combine_rows, require_positive
-from trisk.session import materialize, materialize_bucketed
+from trisk.session import made_so_far, materialize, materialize_bucketed, remove_made
 
 Params = list[tuple[int, int]]
 
@@ -66,25 +70,59 @@ KEY_EDGES = 1_000_000
 
 
 def prepare(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS,
-            buckets: int | None = None, written: bool = False) -> DataFrame:
+            buckets: int | None = None, written: bool = False, sinks: int = SINKS,
+            deg: DataFrame | None = None) -> DataFrame:
     """Out-lists ``(src, nb, at, work)`` of a canonical edge table, written once in the shared folder,
     bucketed and sorted by node; ``at`` are the places in nb of members that have a list themselves
     and members after them, ``work`` is what other lists send to the node.
 
     Every count reads them from there; the lineage is cut, and a lost executor costs a
     re-read, not a recomputation. Edges and degrees are written once too, as several steps read
-    them (``written``: the edges are). Lists are dealt to their buckets as edges and stay there.
+    them (``written``: the edges are; ``deg``: the degrees too, bucketed by node), and what is written
+    here is removed once the lists are there. Lists are dealt to their
+    buckets as edges and stay there.
     """
+    since = made_so_far()
     edges = edges if written else materialize(edges, "edges", "zstd")
-    n, deg = buckets or _buckets(edges), materialize(degrees(edges), "degrees")
+    n = buckets or _buckets(edges.sparkSession, edges.count())
+    deg = materialize_bucketed(degrees(edges), "degrees", "node", n) if deg is None else deg
     hubs = hubs_of(deg, hot_rows, hot_keys)
-    lists = materialize_bucketed(orient_by(edges, deg, hubs), "out-lists", "src", n, within=out_lists)
-    return materialize_bucketed(with_members(lists, live_members(lists, hubs), n), "bucketed-lists", "src", n, dealt=True)
+    lists = materialize_bucketed(directed_lists(edges, deg, hubs, n), "out-lists", "src", n, dealt=True)
+    work = materialize_bucketed(node_work(lists), "work", "src", n)
+    whole = with_members(lists, live_members(lists, work, n, hubs, sinks), work)
+    done = materialize_bucketed(whole, "bucketed-lists", "src", n, dealt=True)
+    remove_made(edges.sparkSession, since, keep=1)
+    return done
 
 
-def _buckets(edges: DataFrame) -> int:
+def write_graph(raw: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> tuple[DataFrame, DataFrame, int]:
+    """The canonical edges of raw pairs and the degrees, each written once in the shared folder, and the buckets
+    to ``prepare`` them in.
+
+    Edges are dealt, and bucketed, by their smaller end, and not dealt by it again; where one node may
+    be that of a heavy share of the pairs, they are dealt by both ends instead.
+    """
+    pairs, smaller, larger = raw_ends(raw)
+    n, heavy = _buckets(raw.sparkSession, pairs), max(hot_rows, pairs / hot_keys)
+    edges = (materialize(canonical_edges(raw), "edges", "zstd") if smaller > heavy else
+             materialize_bucketed(canonical_edges(raw, by_end=n), "edges", "u", n, dealt=True, then=["v"]))
+    if max(smaller, larger) > heavy:
+        return edges, materialize_bucketed(degrees(edges), "degrees", "node", n), n
+    return edges, materialize_bucketed(degrees_in_place(edges, n), "degrees", "node", n, dealt=True), n
+
+
+def prepare_pairs(raw: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``prepare`` of raw pairs, of which only the lists stay."""
+    since = made_so_far()
+    edges, deg, n = write_graph(raw, hot_rows, hot_keys)
+    lists = prepare(edges, hot_rows, hot_keys, n, written=True, deg=deg)
+    remove_made(raw.sparkSession, since, keep=1)
+    return lists
+
+
+def _buckets(spark: SparkSession, edges: int) -> int:
     """Shuffle partitions, or one per BUCKET_EDGES edges if those are more."""
-    return max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-edges.count() // BUCKET_EDGES))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-edges // BUCKET_EDGES))
 
 
 def _total(per_key: DataFrame, scale: int = 1, name: str = "triangles") -> DataFrame:
@@ -302,17 +340,20 @@ def triple_key_copies(lists: DataFrame, a: int, b: int, colors: int, p: int = DE
 
 
 def triangles_in_split_keys(edges: DataFrame, lists: DataFrame, a: int, b: int, colors: int,
-                            p: int = DEFAULT_PRIME, hot_work: int = HOT_WORK) -> DataFrame:
+                            p: int = DEFAULT_PRIME, hot_work: int = HOT_WORK, short: bool = False) -> DataFrame:
     """``(k1, k2, k3, triangles)`` of the rows of ``triple_key_edges``, for keys of any size.
 
     A key's wedges are spread by node, so all copies of an edge belong where its end's list is: the edge
     moves there once and is copied to its C keys in that place. In its key, a copy has what comes after
     the end in the source's list and has the third colour, and closes the triangles whose third node is
-    in the end's list too. Every wedge is in one key. Hubs are salted as in every count.
+    in the end's list too. Every wedge is in one key. Hubs are salted as in every count. Where all
+    ids are ``short``, of 32 bits, they move as such.
     """
-    met = meet_lists(edges.where("live").select("dst", "cs", "rest"), lists, hot_work)
+    moved = F.col("rest").cast("array<int>") if short else F.col("rest")
+    met = meet_lists(edges.where("live").select("dst", "cs", moved.alias("rest")), lists, hot_work)
     # Of what comes after the end, only what is in its list can close there: looked up once for all copies.
-    copies = copied(met.select("dst", "cs", F.array_intersect("own", "rest").alias("rest")), a, b, colors, p)
+    closed = F.array_intersect("own", F.col("rest").cast("array<bigint>"))
+    copies = copied(met.select("dst", "cs", closed.alias("rest")), a, b, colors, p)
     return (copies.select(*KEY, F.size("rest").alias("t")).groupBy(*KEY)
             .agg(F.sum("t").cast("bigint").alias("triangles")).where("triangles > 0"))
 
@@ -322,10 +363,12 @@ def exact_by_color_triples_per_key(lists: DataFrame, a: int, b: int, colors: int
                                    hot_work: int = HOT_WORK) -> DataFrame:
     """``(k1, k2, k3, triangles)``: triangles whose sorted colours are the key, counted in their key:
     in one task per key, or over all tasks where a key may hold more than ``key_edges``."""
-    edges = lists.agg(F.coalesce(F.sum(F.size("nb")), F.lit(0))).first()[0]
+    edges, least, most = lists.agg(F.coalesce(F.sum(F.size("nb")), F.lit(0)), F.min(F.array_min("nb")),
+                                   F.max(F.array_max("nb"))).first()
     if edges <= key_edges:
         return triangles_inside_keys(triple_key_lists(lists, a, b, colors, p, partitions))
-    return triangles_in_split_keys(triple_key_edges(lists, a, b, colors, p), lists, a, b, colors, p, hot_work)
+    short = -(1 << 31) <= least and most < 1 << 31
+    return triangles_in_split_keys(triple_key_edges(lists, a, b, colors, p), lists, a, b, colors, p, hot_work, short)
 
 
 def exact_by_color_triples(lists: DataFrame, a: int, b: int, colors: int, p: int = DEFAULT_PRIME,

@@ -20,7 +20,7 @@ from trisk.operators import sketch as S
 from trisk.operators import triangles as TR
 from trisk.plans import params as PR
 from trisk.sources import table
-from trisk.session import materialize, work_dir
+from trisk.session import work_dir
 from trisk.sources.edges import edge_text_from_lineitem, order_pairs, parse_edges, read_edge_text
 from trisk.sources.feed import replay_feed
 from trisk.sources.items import batched_events, item_text, parse_items
@@ -54,7 +54,7 @@ def _graph(spark, sf_dir) -> DataFrame:
 
 
 def _lists(spark, sf_dir) -> DataFrame:
-    return TR.prepare(_graph(spark, sf_dir))
+    return TR.prepare_pairs(order_pairs(_lineitem(spark, sf_dir)))
 
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -160,9 +160,9 @@ def triangles_per_triple_key(spark, sf_dir):
 
 def triangle_report(spark, sf_dir):
     raw = order_pairs(_lineitem(spark, sf_dir))
-    edges = materialize(G.canonical_edges(raw), "edges", "zstd")
-    return bigints(TR.triangle_report(G.edge_counts(raw, edges=edges), TR.prepare(edges, written=True),
-                                      PR.COLORS, PR.RUNS, PR.SEED, PR.P))
+    edges, deg, n = TR.write_graph(raw)
+    return bigints(TR.triangle_report(G.edge_counts(raw, edges=edges),
+                                      TR.prepare(edges, buckets=n, written=True, deg=deg), PR.COLORS, PR.RUNS, PR.SEED, PR.P))
 
 
 def run_report(spark, sf_dir):
