@@ -1,5 +1,6 @@
 """Shared folders: never a machine-local one on a cluster; removed on request."""
 
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -34,3 +35,34 @@ def test_work_folders_are_removed_on_request(spark):
     session._made[:] = [p for p in held if "t-remove" not in p]
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffle_files(spark), spark.conf.get(key)
+    with pytest.raises(ValueError), session.shuffles_removed(spark):
+        session.materialize(spark.range(1000).repartition(3, "id"), "t-shuffled")
+        raise ValueError
+    assert spark.conf.get(key) == was   # set back after an error too
+    until = time.monotonic() + 20   # they are removed in the background
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+
+
+def test_what_was_made_since_a_mark_is_removed_but_the_last(spark):
+    since = session.made_so_far()
+    frames = [session.materialize(spark.range(5), "t-mark"),
+              session.materialize_bucketed(spark.range(7), "t-mark", "id", 2),
+              session.materialize_bucketed(spark.range(9), "t-mark", "id", 2)]
+    paths = [f.inputFiles()[0].rpartition("/")[0] for f in frames]
+    assert session.remove_made(spark, since, keep=1) == 2
+    assert frames[2].count() == 9 and session.made_so_far() == (since[0] + 1, since[1] + 1)
+    for path in paths[:2]:
+        with pytest.raises(Exception):
+            spark.read.parquet(path).count()

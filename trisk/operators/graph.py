@@ -53,8 +53,8 @@ def canonical_edges(raw: DataFrame, src: str = "src", dst: str = "dst", by_end:
             .where("before IS NULL OR before <> v").drop("before"))
 
 
-# Cells that the ends of raw pairs are counted in: many more than heavy keys can be.
-END_CELLS = 1 << 17
+# Cells that the ends of raw pairs are counted in: more than heavy keys can be.
+END_CELLS = 1 << 15
 
 
 def raw_ends(raw: DataFrame, src: str = "src", dst: str = "dst", cells: int = END_CELLS) -> tuple[int, int, int]:

@@ -59,7 +59,7 @@ from trisk.operators.graph import (
 )
 from trisk.operators.skew import HOT_KEYS, HOT_ROWS
 from trisk.operators.util import combine_rows, require_positive
-from trisk.session import made_so_far, materialize, materialize_bucketed, remove_made
+from trisk.session import made_so_far, materialize, materialize_bucketed, remove_made, shuffles_removed
 
 Params = list[tuple[int, int]]
 
@@ -82,16 +82,17 @@ def prepare(edges: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS
     here is removed once the lists are there. Lists are dealt to their
     buckets as edges and stay there.
     """
-    since = made_so_far()
-    edges = edges if written else materialize(edges, "edges", "zstd")
-    n = buckets or _buckets(edges.sparkSession, edges.count())
-    deg = materialize_bucketed(degrees(edges), "degrees", "node", n) if deg is None else deg
-    hubs = hubs_of(deg, hot_rows, hot_keys)
-    lists = materialize_bucketed(directed_lists(edges, deg, hubs, n), "out-lists", "src", n, dealt=True)
-    work = materialize_bucketed(node_work(lists), "work", "src", n)
-    whole = with_members(lists, live_members(lists, work, n, hubs, sinks), work)
-    done = materialize_bucketed(whole, "bucketed-lists", "src", n, dealt=True)
-    remove_made(edges.sparkSession, since, keep=1)
+    since, spark = made_so_far(), edges.sparkSession
+    with shuffles_removed(spark):
+        edges = edges if written else materialize(edges, "edges", "zstd")
+        n = buckets or _buckets(spark, edges.count())
+        deg = materialize_bucketed(degrees(edges), "degrees", "node", n) if deg is None else deg
+        hubs = hubs_of(deg, hot_rows, hot_keys)
+        lists = materialize_bucketed(directed_lists(edges, deg, hubs, n), "out-lists", "src", n, dealt=True)
+        work = materialize_bucketed(node_work(lists), "work", "src", n)
+        whole = with_members(lists, live_members(lists, work, n, hubs, sinks), work)
+        done = materialize_bucketed(whole, "bucketed-lists", "src", n, dealt=True)
+    remove_made(spark, since, keep=1)
     return done
 
 
@@ -104,11 +105,12 @@ def write_graph(raw: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KE
     """
     pairs, smaller, larger = raw_ends(raw)
     n, heavy = _buckets(raw.sparkSession, pairs), max(hot_rows, pairs / hot_keys)
-    edges = (materialize(canonical_edges(raw), "edges", "zstd") if smaller > heavy else
-             materialize_bucketed(canonical_edges(raw, by_end=n), "edges", "u", n, dealt=True, then=["v"]))
-    if max(smaller, larger) > heavy:
-        return edges, materialize_bucketed(degrees(edges), "degrees", "node", n), n
-    return edges, materialize_bucketed(degrees_in_place(edges, n), "degrees", "node", n, dealt=True), n
+    with shuffles_removed(raw.sparkSession):
+        edges = (materialize(canonical_edges(raw), "edges", "zstd") if smaller > heavy else
+                 materialize_bucketed(canonical_edges(raw, by_end=n), "edges", "u", n, dealt=True, then=["v"]))
+        if max(smaller, larger) > heavy:
+            return edges, materialize_bucketed(degrees(edges), "degrees", "node", n), n
+        return edges, materialize_bucketed(degrees_in_place(edges, n), "degrees", "node", n, dealt=True), n
 
 
 def prepare_pairs(raw: DataFrame, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
